@@ -588,8 +588,10 @@ RUN_TABLES = ["h_orders", "h_restaurants", "h_users", "h_products", "h_couriers"
 
 @query("run_day", RUN_DAY_COUNTS)
 def q_run_day(w: World) -> DataFrame:
-    """Daily runs from the first day through D, each persisted; row count of each table after D."""
-    state = pipeline.run_days(pipeline.empty_state(w.spark), w.sources(), fx.FIRST_DAY, DAY,
-                              shared_dir(w.spark, "warehouse"))
+    """State as of D-1 (bulk backfill from the first day), then the persisted daily run of D;
+    row count of each table afterwards."""
+    sources = w.sources()
+    before = pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV)
+    state = pipeline.run_day(before, sources, DAY, shared_dir(w.spark, "warehouse"))
     return pipeline.load_metrics({t: state[t] for t in RUN_TABLES}).withColumnsRenamed(
         {"step": "table_name"})

@@ -9,6 +9,7 @@ re-read, which both persists the day and cuts the lineage before the next day
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ from vaultspark.functions.json import to_document
 from vaultspark.functions.time import DayLike, in_days, ts_lit
 from vaultspark.operators import scd2, vault
 from vaultspark.operators.shred import USER_SPEC, menu_product_keys, shred_documents, shred_menu
-from vaultspark.operators.writes import advance_watermark, replace_all, replace_slice, replace_window, upsert
+from vaultspark.operators.writes import (
+    advance_watermark, replace_all, replace_range, replace_slice, replace_window, upsert,
+)
 from vaultspark.schemas import TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
 from vaultspark.sources.store import empty_table, save_table
@@ -38,23 +41,37 @@ def _next(day: DayLike) -> str:
     return str(dt.date.fromisoformat(str(day)) + dt.timedelta(days=1))
 
 
-def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike) -> dict[str, DataFrame]:
-    """Sources -> staging for run date ``day`` (the run starts right after ``day`` ended)."""
+Persist = Callable[[str, DataFrame], DataFrame]
+
+
+def _keep(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
+                persist: Persist = _keep) -> dict[str, DataFrame]:
+    """Sources -> staging for run date ``day`` (the run starts right after ``day`` ended).
+
+    ``persist(name, df)`` is applied to each table as soon as it is built (the
+    watermark advance then reads the persisted stage, not its plan).
+    """
     s = dict(state)
     log = s["load_watermarks"]
     run_end = ts_lit(f"{_next(day)} 00:00:00")
     for coll, table in DOCUMENT_COLLECTIONS.items():
         src = sources[coll].where(F.col("update_ts") < run_end)
         fresh = incremental_scan(src, high_watermark(log, coll))
-        s[table] = upsert(s[table], to_document(fresh), ["object_id"], "update_ts")
+        s[table] = persist(table, upsert(s[table], to_document(fresh), ["object_id"], "update_ts"))
         log = advance_watermark(log, s[table], coll)
-    s["load_watermarks"] = log
-    s["bonus_system_outbox"] = replace_slice(s["bonus_system_outbox"], sources["outbox"], "event_ts", day)
-    s["bonus_system_users"] = replace_all(
-        s["bonus_system_users"], sources["bonus_users"].withColumnsRenamed({"id": "bonus_user_id"}))
-    s["couriers_system_couriers"] = replace_all(s["couriers_system_couriers"], sources["couriers"])
-    s["couriers_system_deliveries"] = replace_window(
-        s["couriers_system_deliveries"], sources["deliveries"], "order_ts", day, 1)
+    s["load_watermarks"] = persist("load_watermarks", log)
+    s["bonus_system_outbox"] = persist("bonus_system_outbox", replace_slice(
+        s["bonus_system_outbox"], sources["outbox"], "event_ts", day))
+    s["bonus_system_users"] = persist("bonus_system_users", replace_all(
+        s["bonus_system_users"], sources["bonus_users"].withColumnsRenamed({"id": "bonus_user_id"})))
+    s["couriers_system_couriers"] = persist("couriers_system_couriers", replace_all(
+        s["couriers_system_couriers"], sources["couriers"]))
+    s["couriers_system_deliveries"] = persist("couriers_system_deliveries", replace_window(
+        s["couriers_system_deliveries"], sources["deliveries"], "order_ts", day, 1))
     return s
 
 
@@ -68,7 +85,8 @@ STAGING_TABLES = ["order_system_restaurants", "order_system_users", "order_syste
 DEPENDENT_TABLES = ["l_orders", "s_restaurants", "s_users", "s_products", "s_couriers", "s_orders"]
 
 
-def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash") -> dict[str, DataFrame]:
+def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash",
+             persist: Persist = _keep) -> dict[str, DataFrame]:
     """Staging -> the five hubs for run date ``day``."""
     s = dict(state)
     stg_r, stg_u, stg_o = s["order_system_restaurants"], s["order_system_users"], s["order_system_orders"]
@@ -77,10 +95,12 @@ def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash") -> di
     s["h_couriers"] = vault.load_hub(s["h_couriers"], s["couriers_system_couriers"], "_id", "courier", key)
     s["h_orders"] = vault.load_hub(s["h_orders"], _updated_on(stg_o, day), "object_id", "order", key)
     s["h_products"] = vault.load_hub(s["h_products"], menu_product_keys(stg_r, day), "product_id", "product", key)
+    for t in HUB_TABLES.values():
+        s[t] = persist(t, s[t])
     return s
 
 
-def run_dependents(state: dict[str, DataFrame], day: DayLike) -> dict[str, DataFrame]:
+def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist = _keep) -> dict[str, DataFrame]:
     """Staging + hubs -> link and satellites for run date ``day`` (independent of each other)."""
     s = dict(state)
     stg_r, stg_u, stg_o = s["order_system_restaurants"], s["order_system_users"], s["order_system_orders"]
@@ -96,6 +116,8 @@ def run_dependents(state: dict[str, DataFrame], day: DayLike) -> dict[str, DataF
     s["s_couriers"] = vault.load_full_satellite(s["s_couriers"], s["couriers_system_couriers"], hubs["courier"])
     s["s_orders"] = vault.load_window_satellite(s["s_orders"], stg_o, hubs["order"],
                                                 s["couriers_system_deliveries"], day, 1)
+    for t in DEPENDENT_TABLES:
+        s[t] = persist(t, s[t])
     return s
 
 
@@ -104,13 +126,10 @@ def run_vault(state: dict[str, DataFrame], day: DayLike, key: str = "hash") -> d
     return run_dependents(run_hubs(state, day, key), day)
 
 
-def _persist(state: dict[str, DataFrame], names: list[str], root: str | None) -> dict[str, DataFrame]:
+def _saver(root: str | None) -> Persist:
     if not root:
-        return state
-    s = dict(state)
-    for n in names:
-        s[n] = save_table(s[n], root, n)
-    return s
+        return _keep
+    return lambda name, df: save_table(df, root, name)
 
 
 def restaurant_batch(stage: DataFrame, hub: DataFrame, day: DayLike | None) -> DataFrame:
@@ -135,12 +154,68 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
             save_root: str | None = None, key: str = "hash") -> dict[str, DataFrame]:
     """One daily run: staging, then hubs, then link and satellites.
 
-    With ``save_root`` each phase is persisted before the next reads it, so no
-    table is computed twice and every later plan starts from written files.
+    With ``save_root`` every table is persisted as soon as it is built, so no
+    table is computed twice and every later step starts from written files.
     """
-    s = _persist(run_staging(state, sources, day), STAGING_TABLES, save_root)
-    s = _persist(run_hubs(s, day, key), list(HUB_TABLES.values()), save_root)
-    return _persist(run_dependents(s, day), DEPENDENT_TABLES, save_root)
+    persist = _saver(save_root)
+    s = run_staging(state, sources, day, persist)
+    s = run_hubs(s, day, key, persist)
+    return run_dependents(s, day, persist)
+
+
+def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi: DayLike,
+             key: str = "hash") -> dict[str, DataFrame]:
+    """State after daily runs ``lo..hi``, built for all days at once (lazy).
+
+    Hubs and satellites are built from every source version updated in the
+    range (SCD2 through ``scd2_history``); the link and the order satellite
+    cover all business days of the range.  Equal to ``run_days(lo, hi)`` when
+    each object has at most one version per day, orders do not change after
+    their business day, and attributes are never NULL.
+    """
+    s = empty_state(spark)
+    lo_d, hi_d = dt.date.fromisoformat(str(lo)), dt.date.fromisoformat(str(hi))
+    span = (hi_d - lo_d).days
+    run_end = ts_lit(f"{_next(hi)} 00:00:00")
+    versions: dict[str, DataFrame] = {}
+    logs = []
+    for coll, table in DOCUMENT_COLLECTIONS.items():
+        src = sources[coll].where(F.col("update_ts") < run_end)
+        s[table] = upsert(s[table], to_document(src), ["object_id"], "update_ts")
+        versions[coll] = to_document(sources[coll].where(in_days("update_ts", lo, hi)))
+        logs.append(src.agg(F.max("update_ts").alias("update_ts"))
+                    .where(F.col("update_ts").isNotNull()).select(F.lit(coll).alias("table_name"), "update_ts"))
+    log = logs[0]
+    for part in logs[1:]:
+        log = log.unionByName(part)
+    s["load_watermarks"] = log
+    s["bonus_system_outbox"] = replace_range(s["bonus_system_outbox"], sources["outbox"], "event_ts", lo, hi)
+    s["bonus_system_users"] = replace_all(
+        s["bonus_system_users"], sources["bonus_users"].withColumnsRenamed({"id": "bonus_user_id"}))
+    s["couriers_system_couriers"] = replace_all(s["couriers_system_couriers"], sources["couriers"])
+    s["couriers_system_deliveries"] = replace_range(
+        s["couriers_system_deliveries"], sources["deliveries"], "order_ts", str(lo_d - dt.timedelta(days=1)), hi)
+
+    vr, vu, vo = versions["restaurants"], versions["users"], versions["orders"]
+    s["h_restaurants"] = vault.load_hub(s["h_restaurants"], vr, "object_id", "restaurant", key)
+    s["h_users"] = vault.load_hub(s["h_users"], vu, "object_id", "user", key)
+    s["h_couriers"] = vault.load_hub(s["h_couriers"], s["couriers_system_couriers"], "_id", "courier", key)
+    s["h_orders"] = vault.load_hub(s["h_orders"], vo, "object_id", "order", key)
+    s["h_products"] = vault.load_hub(s["h_products"], menu_product_keys(vr, None), "product_id", "product", key)
+    hubs = {e: s[t] for e, t in HUB_TABLES.items()}
+
+    stg_o = s["order_system_orders"]
+    s["l_orders"] = vault.load_link(s["l_orders"], stg_o, s["bonus_system_outbox"],
+                                    s["couriers_system_deliveries"], hubs, hi, span)
+    s["s_restaurants"] = scd2.scd2_history(restaurant_batch(vr, hubs["restaurant"], None),
+                                           "restaurant_id_dwh", ["restaurant_name"])
+    s["s_users"] = scd2.scd2_history(user_batch(vu, hubs["user"], None), "user_id_dwh", ["user_name", "user_login"])
+    s["s_products"] = scd2.scd2_history(product_batch(vr, hubs["product"], None), "product_id_dwh",
+                                        ["product_name", "product_price", "product_category"])
+    s["s_couriers"] = vault.load_full_satellite(s["s_couriers"], s["couriers_system_couriers"], hubs["courier"])
+    s["s_orders"] = vault.load_window_satellite(s["s_orders"], stg_o, hubs["order"],
+                                                s["couriers_system_deliveries"], hi, span + 1)
+    return {n: s[n].select(*TABLES[n].fieldNames()) for n in s}
 
 
 def run_days(state: dict[str, DataFrame], sources: dict[str, DataFrame], lo: DayLike, hi: DayLike,
