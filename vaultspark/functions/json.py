@@ -22,16 +22,26 @@ WRITE_OPTIONS = {
 READ_OPTIONS = {"mode": "FAILFAST"}
 
 
-def to_document(df: DataFrame, key: str = "_id", ts: str = "update_ts") -> DataFrame:
-    """Source objects -> staging rows ``(object_id, object_value, update_ts)``.
+def to_document(df: DataFrame, key: str = "_id", ts: str = "update_ts",
+                extra: dict[str, Column] | None = None) -> DataFrame:
+    """Source objects -> staging rows ``(object_id, object_value, update_ts, <extra>)``.
 
-    ``object_value`` is the whole object as JSON text.
+    ``object_value`` is the whole object as JSON text.  ``extra`` adds typed
+    columns derived from the object (e.g. the business date of an order), so
+    that day slices filter and prune on a column instead of parsing every text.
     """
-    return df.select(
+    cols = [
         F.col(key).cast("string").alias("object_id"),
         F.to_json(F.struct(*[F.col(c) for c in df.columns]), WRITE_OPTIONS).alias("object_value"),
         F.col(ts).cast("timestamp_ntz").alias("update_ts"),
-    )
+    ]
+    cols += [c.alias(n) for n, c in (extra or {}).items()]
+    return df.select(*cols)
+
+
+def to_order_document(df: DataFrame) -> DataFrame:
+    """Order objects -> staged orders, with the business date as a typed column."""
+    return to_document(df, extra={"order_date": F.col("date").cast("date")})
 
 
 def string_schema(spec: dict) -> T.DataType:

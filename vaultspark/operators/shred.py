@@ -59,11 +59,25 @@ def parsed_orders(stage: DataFrame) -> DataFrame:
 
 
 def orders_of_days(stage: DataFrame, day: DayLike | None, days_back: int = 0) -> DataFrame:
-    """Parsed orders whose business date is ``day - days_back .. day`` (all when ``day`` is None)."""
-    p = parsed_orders(stage)
+    """Parsed orders whose business date is ``day - days_back .. day`` (all when ``day`` is None).
+
+    A stage with a typed ``order_date`` column is cut before any text is parsed.
+    """
     if day is None:
-        return p
-    return p.where(F.col("order_date").between(day_lit(previous_day(day, days_back)), day_lit(day)))
+        return parsed_orders(stage)
+    window = (day_lit(previous_day(day, days_back)), day_lit(day))
+    if "order_date" in stage.columns:
+        stage = stage.where(F.col("order_date").between(*window))
+    return parsed_orders(stage).where(F.col("order_date").between(*window))
+
+
+def order_lines(orders: DataFrame) -> DataFrame:
+    """Items of parsed orders with their order's attributes, in one pass (no join back to the orders):
+    ``o_id, restaurant_id, user_id, p_id, quantity``."""
+    e = orders.select(F.col("object_id").alias("o_id"), "restaurant_id", "user_id",
+                      F.explode("order_items").alias("_e"))
+    return e.select("o_id", "restaurant_id", "user_id", F.col("_e.id").alias("p_id"),
+                    F.col("_e.quantity").cast("int").alias("quantity"))
 
 
 def shred_order_items(stage: DataFrame, day: DayLike | None, days_back: int = 0) -> DataFrame:

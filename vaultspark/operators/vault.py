@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultspark.functions.keys import hash_key
 from vaultspark.functions.time import DayLike
-from vaultspark.operators.shred import orders_of_days, shred_bonuses, shred_order_items
+from vaultspark.operators.shred import order_lines, orders_of_days, shred_bonuses
 from vaultspark.operators.writes import _conform, delete_keys, replace_all
 
 POSITION_BITS = 33  # monotonically_increasing_id(): partition index << 33 | row position
@@ -81,18 +81,18 @@ def load_link(link: DataFrame, stage_orders: DataFrame, outbox: DataFrame, deliv
     from a hub drop the row).  Left joins: deliveries and the courier hub (no
     delivery -> NULL courier).  ``day=None`` loads all days at once (bulk).
 
-    The fact side is joined on the order key first (items, bonuses, order
-    attributes, deliveries all share it), then mapped through the hubs.
+    Items are exploded straight from the parsed orders (they carry the order's
+    restaurant and user), then joined on the order key with bonus lines and
+    deliveries (one shuffle by order key), then mapped through the hubs.
     """
     orders = orders_of_days(stage_orders, day, days_back)
-    o = orders.select(F.col("object_id").alias("o_id"), "restaurant_id", "user_id")
-    it = shred_order_items(stage_orders, day, days_back).select(
-        F.col("order_id").alias("o_id"), F.col("product_id").alias("p_id"), "quantity")
+    o = orders.select(F.col("object_id").alias("o_id"))
+    lines = order_lines(orders)
     bn = shred_bonuses(outbox, day, days_back).select(
         F.col("order_id").alias("o_id"), F.col("product_id").alias("p_id"), "bonus_payment", "bonus_grant")
     dl = deliveries.select(F.col("order_id").alias("o_id"), "courier_id")
 
-    facts = it.join(bn, ["o_id", "p_id"]).join(o, "o_id").join(dl, "o_id", "left")
+    facts = lines.join(bn, ["o_id", "p_id"]).join(dl, "o_id", "left")
     rows = (facts
             .join(_hub_as(hubs["order"], "order", "o_id"), "o_id")
             .join(_hub_as(hubs["restaurant"], "restaurant", "restaurant_id"), "restaurant_id")

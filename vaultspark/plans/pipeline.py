@@ -14,14 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.functions.json import to_document
+from vaultspark.functions.json import to_document, to_order_document
 from vaultspark.functions.time import DayLike, in_days, ts_lit
 from vaultspark.operators import scd2, vault
 from vaultspark.operators.shred import USER_SPEC, menu_product_keys, shred_documents, shred_menu
 from vaultspark.operators.writes import (
     advance_watermark, replace_all, replace_range, replace_slice, replace_window, upsert,
 )
-from vaultspark.schemas import TABLES
+from vaultspark.schemas import PARTITIONING, TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
 from vaultspark.sources.store import empty_table, save_table
 
@@ -31,6 +31,7 @@ DOCUMENT_COLLECTIONS = {
     "orders": "order_system_orders",
 }
 HUB_TABLES = {e: f"h_{e}s" for e in ("restaurant", "user", "courier", "order", "product")}
+DOCUMENT_WRITERS = {"restaurants": to_document, "users": to_document, "orders": to_order_document}
 
 
 def empty_state(spark: SparkSession) -> dict[str, DataFrame]:
@@ -61,7 +62,7 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
     for coll, table in DOCUMENT_COLLECTIONS.items():
         src = sources[coll].where(F.col("update_ts") < run_end)
         fresh = incremental_scan(src, high_watermark(log, coll))
-        s[table] = persist(table, upsert(s[table], to_document(fresh), ["object_id"], "update_ts"))
+        s[table] = persist(table, upsert(s[table], DOCUMENT_WRITERS[coll](fresh), ["object_id"], "update_ts"))
         log = advance_watermark(log, s[table], coll)
     s["load_watermarks"] = persist("load_watermarks", log)
     s["bonus_system_outbox"] = persist("bonus_system_outbox", replace_slice(
@@ -129,7 +130,7 @@ def run_vault(state: dict[str, DataFrame], day: DayLike, key: str = "hash") -> d
 def _saver(root: str | None) -> Persist:
     if not root:
         return _keep
-    return lambda name, df: save_table(df, root, name)
+    return lambda name, df: save_table(df, root, name, PARTITIONING.get(name))
 
 
 def restaurant_batch(stage: DataFrame, hub: DataFrame, day: DayLike | None) -> DataFrame:
@@ -181,8 +182,8 @@ def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi
     logs = []
     for coll, table in DOCUMENT_COLLECTIONS.items():
         src = sources[coll].where(F.col("update_ts") < run_end)
-        s[table] = upsert(s[table], to_document(src), ["object_id"], "update_ts")
-        versions[coll] = to_document(sources[coll].where(in_days("update_ts", lo, hi)))
+        s[table] = upsert(s[table], DOCUMENT_WRITERS[coll](src), ["object_id"], "update_ts")
+        versions[coll] = DOCUMENT_WRITERS[coll](sources[coll].where(in_days("update_ts", lo, hi)))
         logs.append(src.agg(F.max("update_ts").alias("update_ts"))
                     .where(F.col("update_ts").isNotNull()).select(F.lit(coll).alias("table_name"), "update_ts"))
     log = logs[0]

@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vaultspark.functions.json import to_document
+from vaultspark.functions.json import to_document, to_order_document
 from vaultspark.functions.time import in_days, previous_day
 from vaultspark.operators import vault
 from vaultspark.operators.shred import menu_product_keys
@@ -74,7 +74,7 @@ class World:
     # -------------------------------------------------- staging
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return to_document(self.orders_source)
+        return to_order_document(self.orders_source)
 
     @cached_property
     def stg_restaurants_v1(self) -> DataFrame:

@@ -20,7 +20,9 @@ DOCUMENT = _schema(("object_id", S), ("object_value", S), ("update_ts", TS))
 
 STAGING = {
     "order_system_restaurants": DOCUMENT,
-    "order_system_orders": DOCUMENT,
+    # Staged orders also carry their business date (derived from the JSON on
+    # staging) so day slices prune by column; the store partitions by it.
+    "order_system_orders": T.StructType(DOCUMENT.fields + [T.StructField("order_date", T.DateType(), True)]),
     "order_system_users": DOCUMENT,
     "bonus_system_users": _schema(("bonus_user_id", INT), ("order_user_id", S)),
     "bonus_system_outbox": _schema(("event_type", S), ("event_value", S), ("event_ts", TS)),
@@ -60,6 +62,9 @@ VAULT.update({
 
 TABLES = {**STAGING, **VAULT}
 
+# Physical layout of persisted tables (partition columns).
+PARTITIONING = {"order_system_orders": ["order_date"]}
+
 # Declared constraints, as data.  Rule kinds: not_null, unique, foreign_key,
 # lower_bound, range, max_length.  Fixed values of the warehouse model.
 RULES = {

@@ -59,9 +59,14 @@ def business_day(stage: DataFrame, path: str = "$.date", value: str = "object_va
 
 
 def business_day_slice(stage: DataFrame, day: DayLike, path: str = "$.date", days_back: int = 0,
-                       value: str = "object_value") -> DataFrame:
-    """Staged documents whose business date (inside the JSON) is in ``day - days_back .. day``."""
-    d = business_day(stage, path, value)
+                       value: str = "object_value", date_col: str = "order_date") -> DataFrame:
+    """Staged documents whose business date (inside the JSON) is in ``day - days_back .. day``.
+
+    When the stage carries the date as a column (``date_col``) the filter is on
+    that column (pushed to the scan, prunes date partitions); otherwise the
+    date is read out of the JSON text of every row.
+    """
+    d = F.col(date_col) if date_col in stage.columns else business_day(stage, path, value)
     if days_back == 0:
         return stage.where(d == day_lit(day))
     return stage.where(d.between(day_lit(previous_day(day, days_back)), day_lit(day)))
