@@ -80,15 +80,23 @@ def scd2_apply(sat: DataFrame, batch: DataFrame, key: str, attrs: list[str], ts:
 
 
 def scd2_history(updates: DataFrame, key: str, attrs: list[str], ts: str = "update_ts",
-                 null_safe: bool = False) -> DataFrame:
+                 null_safe: bool = False, per_day: bool = True) -> DataFrame:
     """All versions from a whole history of updates in one job (bulk backfill).
 
+    A daily run sees one update per key and day (the newest staged version),
+    so updates are first reduced to the newest per (key, day) -- a partial
+    ``WindowGroupLimit`` before the shuffle, so a hot key costs no more than a
+    cold one.  After that each key holds at most one row per day, which bounds
+    the per-key window below by the number of days, not by the data.
+
     An update opens a version when it is the key's first or differs from the
-    previous update; ``active_to`` is the next kept update's time minus 1 ms, or
-    the open sentinel.  Equal to applying the updates day by day with
-    ``scd2_apply`` when each day holds at most one update per key and attributes
-    are never NULL.
+    previous one; ``active_to`` is the next version's start minus 1 ms, or the
+    open sentinel.  Equal to ``scd2_apply`` run day by day when attributes are
+    never NULL (after ``a -> NULL -> b`` the loop compares ``b`` with ``a``).
     """
+    if per_day:
+        updates = latest_per_key(updates.withColumn("_day", F.to_date(ts)), [key, "_day"],
+                                 [F.col(ts).desc()] + [F.col(a).desc_nulls_last() for a in attrs])
     w = Window.partitionBy(key).orderBy(F.col(ts), *[F.col(a) for a in attrs])
     prev = [F.lag(a).over(w) for a in attrs]
     first = F.row_number().over(w) == 1
