@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.functions.json import json_field, to_document
+from vaultspark.functions.json import json_field, to_document, to_order_document
 from vaultspark.functions.keys import hash_key
 from vaultspark.functions.predicates import changed
 from vaultspark.functions.time import OPEN_TO, in_days, local_day, minus_one_ms, ts_lit
@@ -562,6 +562,29 @@ def q_dq_types(w: World) -> DataFrame:
     return checked.select("product_id", F.col("price_text").try_cast("decimal(8,2)").alias("price"), "rule")
 
 
+# ======================================================================== streaming form of S1/S2/W1/W2
+
+@query("stream_stage_documents", sql(
+    "SELECT CAST(o_orderkey AS VARCHAR) AS object_id, odate AS update_ts, CAST(odate AS DATE) AS order_date FROM ord",
+    "ord"))
+def q_stream_stage_documents(w: World) -> DataFrame:
+    """Orders arrive as files in three drops (business days 1-10, 11-20, 21-30); each drop is
+    followed by one run of the staging stream.  Result: the stage after the last run."""
+    from vaultspark.streaming import stage_documents_stream
+    from vaultspark.streaming.documents import read_stage
+
+    base = shared_dir(w.spark, "stream")
+    landing, root, ckpt = f"{base}/landing", f"{base}/stage", f"{base}/checkpoint"
+    src = w.orders_source
+    day = F.dayofmonth("date")
+    epoch = None
+    for i, (lo, hi) in enumerate(((1, 10), (11, 20), (21, 31))):
+        ingest.land_json(src.where(day.between(lo, hi)), f"{landing}/drop={i}")
+        epoch = stage_documents_stream(w.spark, f"{landing}/drop=*", src.schema, root, ckpt,
+                                       "order_system_orders", to_order_document)
+    return read_stage(w.spark, root, epoch, "order_system_orders").select("object_id", "update_ts", "order_date")
+
+
 # ======================================================================== whole pipeline (B1)
 
 RUN_DAY_COUNTS = sql(
