@@ -165,15 +165,17 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
 
 
 def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi: DayLike,
-             key: str = "hash") -> dict[str, DataFrame]:
+             key: str = "hash", save_root: str | None = None) -> dict[str, DataFrame]:
     """State after daily runs ``lo..hi``, built for all days at once (lazy).
 
     Hubs and satellites are built from every source version updated in the
     range (SCD2 through ``scd2_history``); the link and the order satellite
     cover all business days of the range.  Equal to ``run_days(lo, hi)`` when
     each object has at most one version per day, orders do not change after
-    their business day, and attributes are never NULL.
+    their business day, and attributes are never NULL.  With ``save_root``
+    staging, then hubs, then the rest are persisted as they are built.
     """
+    persist = _saver(save_root)
     s = empty_state(spark)
     lo_d, hi_d = dt.date.fromisoformat(str(lo)), dt.date.fromisoformat(str(hi))
     span = (hi_d - lo_d).days
@@ -196,6 +198,8 @@ def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi
     s["couriers_system_couriers"] = replace_all(s["couriers_system_couriers"], sources["couriers"])
     s["couriers_system_deliveries"] = replace_range(
         s["couriers_system_deliveries"], sources["deliveries"], "order_ts", str(lo_d - dt.timedelta(days=1)), hi)
+    for t in STAGING_TABLES:
+        s[t] = persist(t, s[t].select(*TABLES[t].fieldNames()))
 
     vr, vu, vo = versions["restaurants"], versions["users"], versions["orders"]
     s["h_restaurants"] = vault.load_hub(s["h_restaurants"], vr, "object_id", "restaurant", key)
@@ -203,6 +207,8 @@ def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi
     s["h_couriers"] = vault.load_hub(s["h_couriers"], s["couriers_system_couriers"], "_id", "courier", key)
     s["h_orders"] = vault.load_hub(s["h_orders"], vo, "object_id", "order", key)
     s["h_products"] = vault.load_hub(s["h_products"], menu_product_keys(vr, None), "product_id", "product", key)
+    for t in HUB_TABLES.values():
+        s[t] = persist(t, s[t])
     hubs = {e: s[t] for e, t in HUB_TABLES.items()}
 
     stg_o = s["order_system_orders"]
@@ -216,7 +222,9 @@ def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi
     s["s_couriers"] = vault.load_full_satellite(s["s_couriers"], s["couriers_system_couriers"], hubs["courier"])
     s["s_orders"] = vault.load_window_satellite(s["s_orders"], stg_o, hubs["order"],
                                                 s["couriers_system_deliveries"], hi, span + 1)
-    return {n: s[n].select(*TABLES[n].fieldNames()) for n in s}
+    for t in DEPENDENT_TABLES:
+        s[t] = persist(t, s[t].select(*TABLES[t].fieldNames()))
+    return s
 
 
 def run_days(state: dict[str, DataFrame], sources: dict[str, DataFrame], lo: DayLike, hi: DayLike,
