@@ -44,3 +44,24 @@ def test_link_for_one_day_parses_only_that_day(spark):
     text = df._jdf.queryExecution().optimizedPlan().toString()
     # the business-date cut happens on the typed column, before from_json
     assert "order_date" in text
+
+
+def test_latest_per_key_limits_before_the_shuffle(spark):
+    """row_number() = 1 gets a partial WindowGroupLimit under the exchange: a hot key sends one row per task."""
+    from vaultspark.operators.writes import latest_per_key
+
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS v")
+    plan = latest_per_key(df, ["k"], [F.col("v").desc()])._jdf.queryExecution().executedPlan().toString()
+    exchange = plan.index("Exchange")
+    assert "WindowGroupLimit" in plan[exchange:]  # partial limit below the exchange
+    rows = {r.k: r.v for r in latest_per_key(df, ["k"], [F.col("v").desc()]).collect()}
+    assert rows == {0: 999, 1: 997, 2: 998}
+
+
+def test_new_keys_skips_known_duplicate_and_null_keys(spark):
+    from vaultspark.operators.vault import new_keys
+
+    hub = spark.range(100).selectExpr("sha2(cast(id as string), 256) AS user_id_dwh",
+                                      "cast(id as string) AS user_id_bk")
+    batch = spark.createDataFrame([("5",), ("500",), ("500",), (None,)], "object_id string")
+    assert [r.user_id_bk for r in new_keys(hub, batch, "object_id", "user").collect()] == ["500"]

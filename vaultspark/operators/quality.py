@@ -64,8 +64,10 @@ class ForeignKey(Rule):
 
     def prepare(self, df, i):
         flag = f"_fk{i}"
-        keys = self.ref.select(F.col(self.ref_column).alias(self.column)).dropDuplicates([self.column])
-        keys = keys.select(self.column, F.lit(True).alias(flag))
+        # Referenced keys cut to the keys present in df first (small side on the right of each join).
+        wanted = df.select(self.column).where(F.col(self.column).isNotNull()).dropDuplicates([self.column])
+        keys = self.ref.select(F.col(self.ref_column).alias(self.column)).join(wanted, self.column, "left_semi")
+        keys = keys.dropDuplicates([self.column]).select(self.column, F.lit(True).alias(flag))
         joined = df.join(keys, self.column, "left")
         return joined, F.col(self.column).isNotNull() & F.col(flag).isNull()
 

@@ -43,11 +43,17 @@ def sequence_keys(new_keys: DataFrame, bk_col: str, dwh_col: str, start: Column)
 
 
 def new_keys(hub: DataFrame, batch: DataFrame, bk_col: str, entity: str) -> DataFrame:
-    """Distinct non-NULL business keys of ``batch`` missing from the hub (``LEFT JOIN hub .. WHERE hub.bk IS NULL``,
-    written as an anti join so Spark plans it as one)."""
+    """Distinct non-NULL business keys of ``batch`` missing from the hub (``LEFT JOIN hub .. WHERE hub.bk IS NULL``).
+
+    A hash join builds on its right side, and ``batch ANTI hub`` would put the
+    (large, growing) hub there.  So the hub is first cut to the batch's keys
+    (``hub SEMI batch keys``: the small side on the right, which AQE broadcasts
+    when its runtime size allows), and the batch is anti-joined with that cut.
+    """
     b = bk(entity)
     keys = batch.select(F.col(bk_col).cast("string").alias(b)).where(F.col(b).isNotNull()).dropDuplicates([b])
-    return keys.join(hub.select(b), b, "left_anti")
+    known = hub.select(b).join(keys, b, "left_semi")
+    return keys.join(known, b, "left_anti")
 
 
 def load_hub(hub: DataFrame, batch: DataFrame, bk_col: str, entity: str, key: str = "hash") -> DataFrame:
