@@ -200,9 +200,16 @@ def q_delete_keys(w: World) -> DataFrame:
     return writes.delete_keys(w.deliveries, day_orders, ["order_id"])
 
 
+def persisted(w: World, df: DataFrame, name: str) -> DataFrame:
+    """A day's table as the daily run leaves it: written, then read back (the next day's
+    plan starts from files instead of embedding this day's plan)."""
+    return save_table(df, shared_dir(w.spark, "days"), name)
+
+
 def users_sat_v1(w: World) -> DataFrame:
     batch = pipeline.user_batch(w.stg_users_v1, w.user_hub, fx.FIRST_DAY)
-    return scd2.scd2_apply(w.empty("s_users"), batch, "user_id_dwh", ["user_name", "user_login"])
+    return persisted(w, scd2.scd2_apply(w.empty("s_users"), batch, "user_id_dwh", ["user_name", "user_login"]),
+                     "s_users")
 
 
 def users_batch_v2(w: World) -> DataFrame:
@@ -430,8 +437,8 @@ def q_sat_users(w: World) -> DataFrame:
 @query("sat_restaurants", scd2_two_days("rest1", "rest2", "restaurant_id_dwh", [("name", "restaurant_name")]))
 def q_sat_restaurants(w: World) -> DataFrame:
     key, attrs = "restaurant_id_dwh", ["restaurant_name"]
-    sat = scd2.scd2_apply(w.empty("s_restaurants"),
-                          pipeline.restaurant_batch(w.stg_restaurants_v1, w.restaurant_hub, fx.FIRST_DAY), key, attrs)
+    sat = persisted(w, scd2.scd2_apply(w.empty("s_restaurants"), pipeline.restaurant_batch(
+        w.stg_restaurants_v1, w.restaurant_hub, fx.FIRST_DAY), key, attrs), "s_restaurants")
     return scd2.scd2_apply(sat, pipeline.restaurant_batch(w.stg_restaurants_v2, w.restaurant_hub, fx.SECOND_DAY),
                            key, attrs)
 
@@ -443,9 +450,8 @@ PRODUCT_ATTRS = ["product_name", "product_price", "product_category"]
 
 @query("sat_products", PRODUCTS_SAT)
 def q_sat_products(w: World) -> DataFrame:
-    sat = scd2.scd2_apply(w.empty("s_products"),
-                          pipeline.product_batch(w.stg_restaurants_v1, w.product_hub, fx.FIRST_DAY),
-                          "product_id_dwh", PRODUCT_ATTRS)
+    sat = persisted(w, scd2.scd2_apply(w.empty("s_products"), pipeline.product_batch(
+        w.stg_restaurants_v1, w.product_hub, fx.FIRST_DAY), "product_id_dwh", PRODUCT_ATTRS), "s_products")
     return scd2.scd2_apply(sat, pipeline.product_batch(w.stg_restaurants_v2, w.product_hub, fx.SECOND_DAY),
                            "product_id_dwh", PRODUCT_ATTRS)
 

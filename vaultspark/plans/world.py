@@ -15,7 +15,8 @@ from vaultspark.functions.time import in_days, previous_day
 from vaultspark.operators import vault
 from vaultspark.operators.shred import menu_product_keys
 from vaultspark.sources import fixtures as fx
-from vaultspark.sources.store import empty_table
+from vaultspark.session import shared_dir
+from vaultspark.sources.store import empty_table, save_table
 
 D = fx.TEST_DAY
 
@@ -96,29 +97,36 @@ class World:
     def empty(self, name: str) -> DataFrame:
         return empty_table(self.spark, name)
 
+    def persisted(self, df: DataFrame, name: str) -> DataFrame:
+        """A table as a daily run leaves it: written, then read back, so the plans that
+        use it start from files (as link and satellite loads read saved hubs)."""
+        return save_table(df, shared_dir(self.spark, "tables"), name)
+
     def order_hub(self, lo=None, hi=None, key: str = "hash") -> DataFrame:
         """Order hub after loading the update days ``lo..hi`` (all days when ``lo`` is None)."""
         stg = self.stg_orders if lo is None else self.stg_orders.where(in_days("update_ts", lo, hi or lo))
-        return vault.load_hub(self.empty("h_orders"), stg, "object_id", "order", key)
+        return self.persisted(vault.load_hub(self.empty("h_orders"), stg, "object_id", "order", key), "h_orders")
 
     @cached_property
     def restaurant_hub(self) -> DataFrame:
         stg = self.stg_restaurants_v1.where(in_days("update_ts", fx.FIRST_DAY))
-        return vault.load_hub(self.empty("h_restaurants"), stg, "object_id", "restaurant")
+        return self.persisted(vault.load_hub(self.empty("h_restaurants"), stg, "object_id", "restaurant"),
+                              "h_restaurants")
 
     @cached_property
     def user_hub(self) -> DataFrame:
         stg = self.stg_users_v1.where(in_days("update_ts", fx.FIRST_DAY))
-        return vault.load_hub(self.empty("h_users"), stg, "object_id", "user")
+        return self.persisted(vault.load_hub(self.empty("h_users"), stg, "object_id", "user"), "h_users")
 
     @cached_property
     def product_hub(self) -> DataFrame:
         keys = menu_product_keys(self.stg_restaurants_v1, fx.FIRST_DAY)
-        return vault.load_hub(self.empty("h_products"), keys, "product_id", "product")
+        return self.persisted(vault.load_hub(self.empty("h_products"), keys, "product_id", "product"), "h_products")
 
     @cached_property
     def courier_hub(self) -> DataFrame:
-        return vault.load_hub(self.empty("h_couriers"), self.couriers, "_id", "courier")
+        return self.persisted(vault.load_hub(self.empty("h_couriers"), self.couriers, "_id", "courier"),
+                              "h_couriers")
 
     def hubs(self, order_hub: DataFrame) -> dict[str, DataFrame]:
         return {"order": order_hub, "restaurant": self.restaurant_hub, "user": self.user_hub,
