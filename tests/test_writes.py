@@ -90,3 +90,11 @@ def test_malformed_json_fails(spark, bad):
     stage = spark.createDataFrame([("1", bad, T(2024, 1, 1))], DOC)
     with pytest.raises(Exception):
         menu_product_keys(stage, None).collect()
+
+
+def test_save_table_observes_rows_written(spark):
+    from vaultspark.sources.store import save_table
+
+    metrics = {}
+    out = save_table(spark.range(123).toDF("id"), shared_dir(spark, "test-store"), "t", metrics=metrics)
+    assert metrics == {"t": 123} and out.count() == 123

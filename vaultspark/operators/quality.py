@@ -104,6 +104,16 @@ class MaxLength(Rule):
         return df, F.coalesce(F.length(self.column) > self.length, F.lit(False))
 
 
+@dataclass(frozen=True)
+class Ordered(Rule):
+    """``lo <= hi`` when both are set (a version must not end before it starts)."""
+    lo: str = ""
+    hi: str = ""
+
+    def prepare(self, df, i):
+        return df, F.coalesce(F.col(self.hi) < F.col(self.lo), F.lit(False))
+
+
 @dataclass(frozen=True)
 class Conforms(Rule):
     """Value (often JSON text) fits the declared type: a non-NULL that the cast cannot take."""
@@ -139,6 +149,10 @@ def max_length(col: str, n: int) -> Rule:
     return MaxLength(f"max_length:{col}", col, n)
 
 
+def ordered(lo: str, hi: str) -> Rule:
+    return Ordered(f"ordered:{lo},{hi}", lo, hi)
+
+
 def conforms(col: str, type_: str) -> Rule:
     return Conforms(f"type:{col}", col, type_)
 

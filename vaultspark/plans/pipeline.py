@@ -127,10 +127,10 @@ def run_vault(state: dict[str, DataFrame], day: DayLike, key: str = "hash") -> d
     return run_dependents(run_hubs(state, day, key), day)
 
 
-def _saver(root: str | None) -> Persist:
+def _saver(root: str | None, metrics: dict[str, int] | None = None) -> Persist:
     if not root:
         return _keep
-    return lambda name, df: save_table(df, root, name, PARTITIONING.get(name))
+    return lambda name, df: save_table(df, root, name, PARTITIONING.get(name), metrics)
 
 
 def restaurant_batch(stage: DataFrame, hub: DataFrame, day: DayLike | None) -> DataFrame:
@@ -152,13 +152,16 @@ def product_batch(stage: DataFrame, hub: DataFrame, day: DayLike | None) -> Data
 
 
 def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
-            save_root: str | None = None, key: str = "hash") -> dict[str, DataFrame]:
+            save_root: str | None = None, key: str = "hash",
+            metrics: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """One daily run: staging, then hubs, then link and satellites.
 
     With ``save_root`` every table is persisted as soon as it is built, so no
     table is computed twice and every later step starts from written files.
+    With ``metrics`` (a dict) the rows written per table are recorded there,
+    observed during the writes (see ``metrics_frame``).
     """
-    persist = _saver(save_root)
+    persist = _saver(save_root, metrics)
     s = run_staging(state, sources, day, persist)
     s = run_hubs(s, day, key, persist)
     return run_dependents(s, day, persist)
@@ -238,6 +241,12 @@ def run_days(state: dict[str, DataFrame], sources: dict[str, DataFrame], lo: Day
     return state
 
 
+def metrics_frame(spark: SparkSession, metrics: dict[str, int], day: DayLike) -> DataFrame:
+    """Observed row counts of a run as a small DataFrame ``(run_date, table_name, rows)``."""
+    return spark.createDataFrame([(str(day), k, v) for k, v in sorted(metrics.items())],
+                                 "run_date string, table_name string, rows bigint")
+
+
 def load_metrics(steps: dict[str, DataFrame]) -> DataFrame:
     """Row count of each step as one small DataFrame ``(step, rows)`` (one job)."""
     parts = [df.select(F.lit(name).alias("step"), F.count(F.lit(1)).alias("rows")) for name, df in steps.items()]

@@ -10,7 +10,8 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from vaultspark.schemas import TABLES
 
@@ -26,13 +27,24 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def save_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Write a new version of table ``name`` under ``root`` and return it as a scan."""
+def save_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None,
+               metrics: dict[str, int] | None = None) -> DataFrame:
+    """Write a new version of table ``name`` under ``root`` and return it as a scan.
+
+    With ``metrics``, the number of rows written is recorded as ``metrics[name]``;
+    it is counted by an observation on the write itself, not by a second scan.
+    """
     path = f"{root.rstrip('/')}/{name}/v={time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    obs = None
+    if metrics is not None:
+        obs = Observation(f"rows_{name}_{uuid.uuid4().hex[:6]}")
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    if obs is not None:
+        metrics[name] = int(obs.get["rows"])
     return load_table(df.sparkSession, path)
 
 
