@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultspark.functions.keys import hash_key
+from vaultspark.session import shared_dir
 from vaultspark.functions.time import DayLike
 from vaultspark.operators.shred import order_lines, orders_of_days, shred_bonuses
 from vaultspark.operators.writes import _conform, delete_keys, replace_all
@@ -30,6 +31,7 @@ def sequence_keys(new_keys: DataFrame, bk_col: str, dwh_col: str, start: Column)
     broadcast).  The numbered keys are checkpointed first, so a recomputation
     cannot renumber them.
     """
+    shared_dir(new_keys.sparkSession)  # reliable checkpoints go to the session's shared folder
     numbered = new_keys.select(bk_col).orderBy(bk_col).withColumn("_mid", F.monotonically_increasing_id())
     numbered = numbered.checkpoint(eager=True)
     part = F.shiftright("_mid", POSITION_BITS)

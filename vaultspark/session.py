@@ -48,13 +48,18 @@ def shared_dir(spark: SparkSession, purpose: str | None = None) -> str:
     clear or overwrite each other's files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext; the server owns the setting
+        sc = None
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="vaultspark-")
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     base = base.rstrip("/")
     if purpose is None:
         return base
