@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 
 def changed(new: list[Column], old: list[Column], null_safe: bool = False) -> Column:

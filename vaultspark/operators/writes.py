@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspark.functions.time import DayLike, in_days, previous_day, ts_lit
+from vaultspark.functions.time import DayLike, in_days, previous_day
 
 
 def _conform(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -137,5 +137,5 @@ def advance_watermark(log: DataFrame, stage: DataFrame, name: str, ts: str = "up
 
 __all__ = [
     "advance_watermark", "append_rows", "delete_keys", "insert_absent", "latest_per_key", "replace_all",
-    "replace_range", "replace_slice", "replace_window", "update_from", "upsert", "ts_lit",
+    "replace_range", "replace_slice", "replace_window", "update_from", "upsert",
 ]
