@@ -98,3 +98,17 @@ def test_save_table_observes_rows_written(spark):
     metrics = {}
     out = save_table(spark.range(123).toDF("id"), shared_dir(spark, "test-store"), "t", metrics=metrics)
     assert metrics == {"t": 123} and out.count() == 123
+
+
+def test_sequence_keys_dense_after_max_in_key_order(spark):
+    from vaultspark.operators import vault
+
+    hub = spark.createDataFrame([(1, "b"), (2, "d")], "order_id_dwh bigint, order_id_bk string")
+    batch = spark.range(0, 200, numPartitions=7).selectExpr("lpad(cast(id as string), 4, '0') AS object_id") \
+        .union(spark.createDataFrame([("b",), ("d",), ("zz",)], "object_id string"))
+    out = vault.load_hub(hub, batch, "object_id", "order", key="sequence")
+    got = sorted((r.order_id_dwh, r.order_id_bk) for r in out.collect())
+    new = [g for g in got if g[0] > 2]
+    assert [k for k, _ in new] == list(range(3, 3 + 201))  # dense, no gaps, after the maximum
+    assert [b for _, b in new] == sorted(b for _, b in new)  # numbered in business-key order
+    assert got[:2] == [(1, "b"), (2, "d")]  # existing keys keep theirs
