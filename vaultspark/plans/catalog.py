@@ -625,12 +625,14 @@ RUN_TABLES = ["h_orders", "h_restaurants", "h_users", "h_products", "h_couriers"
 
 @query("run_day", RUN_DAY_COUNTS)
 def q_run_day(w: World) -> DataFrame:
-    """State as of D-1 (bulk backfill from the first day), then the persisted daily run of D;
-    row count of each table afterwards."""
+    """State as of D-1 (bulk backfill from the first day; outbox and deliveries loaded into
+    day-partitioned tables), then the persisted daily run of D, which replaces only the day
+    partitions of those two; row count of each table afterwards."""
     sources = w.sources()
-    before = pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV)
+    root = shared_dir(w.spark, "warehouse")
+    before, day_tables = pipeline.register_day_tables(pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV), root)
     written: dict[str, int] = {}
-    pipeline.run_day(before, sources, DAY, shared_dir(w.spark, "warehouse"), metrics=written)
+    pipeline.run_day(before, sources, DAY, root, metrics=written, day_tables=day_tables)
     # row counts observed while the tables were written (no rescan)
     return pipeline.metrics_frame(w.spark, written, DAY).where(F.col("table_name").isin(RUN_TABLES)).select(
         "table_name", "rows")

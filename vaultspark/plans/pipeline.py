@@ -23,7 +23,7 @@ from vaultspark.operators.writes import (
 )
 from vaultspark.schemas import PARTITIONING, TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
-from vaultspark.sources.store import empty_table, save_table
+from vaultspark.sources.store import day_table, empty_table, load_days, read_days, replace_days, save_table
 
 DOCUMENT_COLLECTIONS = {
     "restaurants": "order_system_restaurants",
@@ -49,12 +49,17 @@ def _keep(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
+DAY_TABLES = {"bonus_system_outbox": "event_ts", "couriers_system_deliveries": "order_ts"}
+
+
 def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
-                persist: Persist = _keep) -> dict[str, DataFrame]:
+                persist: Persist = _keep, day_tables: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Sources -> staging for run date ``day`` (the run starts right after ``day`` ended).
 
     ``persist(name, df)`` is applied to each table as soon as it is built (the
-    watermark advance then reads the persisted stage, not its plan).
+    watermark advance then reads the persisted stage, not its plan).  With
+    ``day_tables`` (table name -> registered day table, see ``store.day_table``)
+    the outbox and deliveries are replaced in place, one day partition at a time.
     """
     s = dict(state)
     log = s["load_watermarks"]
@@ -65,14 +70,24 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
         s[table] = persist(table, upsert(s[table], DOCUMENT_WRITERS[coll](fresh), ["object_id"], "update_ts"))
         log = advance_watermark(log, s[table], coll)
     s["load_watermarks"] = persist("load_watermarks", log)
-    s["bonus_system_outbox"] = persist("bonus_system_outbox", replace_slice(
-        s["bonus_system_outbox"], sources["outbox"], "event_ts", day))
+    if day_tables:
+        spark = log.sparkSession
+        s["bonus_system_outbox"] = replace_days(spark, day_tables["bonus_system_outbox"], "bonus_system_outbox",
+                                                sources["outbox"], "event_ts", day)
+    else:
+        s["bonus_system_outbox"] = persist("bonus_system_outbox", replace_slice(
+            s["bonus_system_outbox"], sources["outbox"], "event_ts", day))
     s["bonus_system_users"] = persist("bonus_system_users", replace_all(
         s["bonus_system_users"], sources["bonus_users"].withColumnsRenamed({"id": "bonus_user_id"})))
     s["couriers_system_couriers"] = persist("couriers_system_couriers", replace_all(
         s["couriers_system_couriers"], sources["couriers"]))
-    s["couriers_system_deliveries"] = persist("couriers_system_deliveries", replace_window(
-        s["couriers_system_deliveries"], sources["deliveries"], "order_ts", day, 1))
+    if day_tables:
+        s["couriers_system_deliveries"] = replace_days(
+            log.sparkSession, day_tables["couriers_system_deliveries"], "couriers_system_deliveries",
+            sources["deliveries"], "order_ts", str(dt.date.fromisoformat(str(day)) - dt.timedelta(days=1)), day)
+    else:
+        s["couriers_system_deliveries"] = persist("couriers_system_deliveries", replace_window(
+            s["couriers_system_deliveries"], sources["deliveries"], "order_ts", day, 1))
     return s
 
 
@@ -151,18 +166,36 @@ def product_batch(stage: DataFrame, hub: DataFrame, day: DayLike | None) -> Data
         "product_id_dwh", "product_name", "product_price", "product_category", "update_ts")
 
 
+def register_day_tables(state: dict[str, DataFrame], root: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Day tables for the outbox and deliveries under ``root``, loaded with the state's current rows
+    when they are new.  Returns the state reading from them and the registered names."""
+    s = dict(state)
+    names = {}
+    for name, ts in DAY_TABLES.items():
+        spark = s[name].sparkSession
+        names[name] = day_table(spark, root, name)
+        if spark.table(names[name]).isEmpty():
+            load_days(spark, names[name], name, s[name], ts)
+        s[name] = read_days(spark, names[name], name)
+    return s, names
+
+
 def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
             save_root: str | None = None, key: str = "hash",
-            metrics: dict[str, int] | None = None) -> dict[str, DataFrame]:
+            metrics: dict[str, int] | None = None, day_tables: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """One daily run: staging, then hubs, then link and satellites.
 
     With ``save_root`` every table is persisted as soon as it is built, so no
     table is computed twice and every later step starts from written files.
     With ``metrics`` (a dict) the rows written per table are recorded there,
-    observed during the writes (see ``metrics_frame``).
+    observed during the writes (see ``metrics_frame``).  With ``day_tables``
+    (``register_day_tables``) outbox and deliveries are replaced per day partition.
     """
     persist = _saver(save_root, metrics)
-    s = run_staging(state, sources, day, persist)
+    s = run_staging(state, sources, day, persist, day_tables)
+    if metrics is not None and day_tables:
+        for name in day_tables:
+            metrics[name] = s[name].count()  # rows of the table (partition files' footers)
     s = run_hubs(s, day, key, persist)
     return run_dependents(s, day, persist)
 

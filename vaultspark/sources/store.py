@@ -1,8 +1,15 @@
-"""Table store: one folder per table, a new version folder per save.
+"""Table store.
 
-A save never overwrites a folder that the same plan may still read; the new
-version is written next to the old one and returned as a fresh scan (which also
-cuts the lineage of multi-day loops).
+Snapshot tables: one folder per table, a new version folder per save.  A save
+never overwrites a folder that the same plan may still read; the new version is
+written next to the old one and returned as a fresh scan (which also cuts the
+lineage of multi-day loops).
+
+Day tables: for tables that a run replaces by day (outbox, deliveries), a
+catalog table partitioned by day, stored under the shared folder.  Replacing a
+day overwrites only that day's partition (``INSERT OVERWRITE .. PARTITION``), so
+the cost of a run does not grow with the table's history.  Spark refuses to
+overwrite a table that the same plan reads, which keeps these writes safe.
 """
 
 from __future__ import annotations
@@ -13,6 +20,10 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+import datetime as dt
+import hashlib
+
+from vaultspark.functions.time import DayLike, in_days
 from vaultspark.schemas import TABLES
 
 
@@ -50,3 +61,55 @@ def save_table(df: DataFrame, root: str, name: str, partition_by: list[str] | No
 
 def load_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+DAY_COL = "part_day"
+
+
+def day_table(spark: SparkSession, root: str, name: str) -> str:
+    """Register (idempotently) the day-partitioned catalog table of ``name`` stored at ``root/name``."""
+    location = f"{root.rstrip('/')}/{name}"
+    table = f"{name}_{hashlib.sha1(location.encode()).hexdigest()[:10]}"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name].fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, {DAY_COL} DATE) USING parquet "
+              f"PARTITIONED BY ({DAY_COL}) LOCATION '{location}'")
+    return table
+
+
+def _view(df: DataFrame) -> str:
+    name = f"_vs_batch_{uuid.uuid4().hex[:12]}"
+    df.createOrReplaceTempView(name)
+    return name
+
+
+def read_days(spark: SparkSession, table: str, name: str) -> DataFrame:
+    """The table's rows in the declared columns (the day column is only layout)."""
+    return spark.table(table).select(*TABLES[name].fieldNames())
+
+
+def load_days(spark: SparkSession, table: str, name: str, df: DataFrame, ts: str) -> DataFrame:
+    """Bulk load: overwrite every day present in ``df`` (other days are kept)."""
+    cols = ", ".join(f"`{c}`" for c in TABLES[name].fieldNames())
+    view = _view(conform(df, name))
+    (spark.sql(f"SELECT {cols}, to_date(`{ts}`) AS {DAY_COL} FROM {view}")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table))
+    spark.catalog.dropTempView(view)
+    return read_days(spark, table, name)
+
+
+def replace_days(spark: SparkSession, table: str, name: str, batch: DataFrame, ts: str,
+                 lo: DayLike, hi: DayLike | None = None) -> DataFrame:
+    """Replace days ``lo..hi`` with the batch's rows of those days; other partitions are not touched.
+
+    One static-partition overwrite per day: a day without rows in the batch
+    ends up empty (a dynamic overwrite would leave its old rows).
+    """
+    cols = ", ".join(f"`{c}`" for c in TABLES[name].fieldNames())
+    day = dt.date.fromisoformat(str(lo))
+    end = dt.date.fromisoformat(str(hi if hi is not None else lo))
+    while day <= end:
+        view = _view(conform(batch.where(in_days(ts, day)), name))
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL} = DATE'{day}') SELECT {cols} FROM {view}")
+        spark.catalog.dropTempView(view)
+        day += dt.timedelta(days=1)
+    return read_days(spark, table, name)
