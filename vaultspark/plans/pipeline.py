@@ -23,7 +23,9 @@ from vaultspark.operators.writes import (
 )
 from vaultspark.schemas import PARTITIONING, TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
-from vaultspark.sources.store import day_table, empty_table, load_days, read_days, replace_days, save_table
+from vaultspark.sources.store import (
+    day_table, empty_table, load_days, read_days, replace_days, save_table, upsert_days,
+)
 
 DOCUMENT_COLLECTIONS = {
     "restaurants": "order_system_restaurants",
@@ -49,7 +51,8 @@ def _keep(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
-DAY_TABLES = {"bonus_system_outbox": "event_ts", "couriers_system_deliveries": "order_ts"}
+DAY_TABLES = {"bonus_system_outbox": "event_ts", "couriers_system_deliveries": "order_ts",
+              "order_system_orders": "order_date"}
 
 
 def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
@@ -59,7 +62,8 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
     ``persist(name, df)`` is applied to each table as soon as it is built (the
     watermark advance then reads the persisted stage, not its plan).  With
     ``day_tables`` (table name -> registered day table, see ``store.day_table``)
-    the outbox and deliveries are replaced in place, one day partition at a time.
+    the outbox and deliveries are replaced in place, one day partition at a time,
+    and the staged orders are upserted rewriting only the business dates touched.
     """
     s = dict(state)
     log = s["load_watermarks"]
@@ -67,7 +71,11 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
     for coll, table in DOCUMENT_COLLECTIONS.items():
         src = sources[coll].where(F.col("update_ts") < run_end)
         fresh = incremental_scan(src, high_watermark(log, coll))
-        s[table] = persist(table, upsert(s[table], DOCUMENT_WRITERS[coll](fresh), ["object_id"], "update_ts"))
+        if day_tables and table in day_tables:
+            s[table] = upsert_days(log.sparkSession, day_tables[table], table, DOCUMENT_WRITERS[coll](fresh),
+                                   ["object_id"], "update_ts", DAY_TABLES[table])
+        else:
+            s[table] = persist(table, upsert(s[table], DOCUMENT_WRITERS[coll](fresh), ["object_id"], "update_ts"))
         log = advance_watermark(log, s[table], coll)
     s["load_watermarks"] = persist("load_watermarks", log)
     if day_tables:

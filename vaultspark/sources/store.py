@@ -82,6 +82,21 @@ def _view(df: DataFrame) -> str:
     return name
 
 
+def _overwrite_present_days(spark: SparkSession, table: str, select_sql: str) -> None:
+    """``INSERT OVERWRITE .. PARTITION (day)`` replacing only the days the query returns.
+
+    The overwrite mode is a session setting for SQL inserts; it is switched to
+    dynamic for this one statement and restored afterwards.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL}) {select_sql}")
+    finally:
+        spark.conf.set(key, old)
+
+
 def read_days(spark: SparkSession, table: str, name: str) -> DataFrame:
     """The table's rows in the declared columns (the day column is only layout)."""
     return spark.table(table).select(*TABLES[name].fieldNames())
@@ -91,8 +106,7 @@ def load_days(spark: SparkSession, table: str, name: str, df: DataFrame, ts: str
     """Bulk load: overwrite every day present in ``df`` (other days are kept)."""
     cols = ", ".join(f"`{c}`" for c in TABLES[name].fieldNames())
     view = _view(conform(df, name))
-    (spark.sql(f"SELECT {cols}, to_date(`{ts}`) AS {DAY_COL} FROM {view}")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table))
+    _overwrite_present_days(spark, table, f"SELECT {cols}, to_date(`{ts}`) AS {DAY_COL} FROM {view}")
     spark.catalog.dropTempView(view)
     return read_days(spark, table, name)
 
@@ -113,3 +127,42 @@ def replace_days(spark: SparkSession, table: str, name: str, batch: DataFrame, t
         spark.catalog.dropTempView(view)
         day += dt.timedelta(days=1)
     return read_days(spark, table, name)
+
+
+def upsert_days(spark: SparkSession, table: str, name: str, batch: DataFrame, keys: list[str], order_by: str,
+                part: str) -> DataFrame:
+    """Keyed upsert (newest batch row per key wins) that rewrites only the affected day partitions.
+
+    Affected days: those of the batch rows and those holding the versions the
+    batch replaces (found by a semi join of the table's key and day columns
+    with the batch keys).  Their new content is materialized first (a reliable
+    checkpoint: Spark refuses to overwrite a table that the writing plan
+    reads), then written with a dynamic partition overwrite; an affected day
+    left without rows is overwritten with an empty slice.  The list of affected
+    days is the only thing brought to the driver (bounded by the number of
+    business days in one batch).
+    """
+    from vaultspark.operators.writes import latest_per_key
+    from vaultspark.session import shared_dir
+
+    shared_dir(spark)
+    current = spark.table(table)
+    cols = TABLES[name].fieldNames()
+    others = [c for c in cols if c not in keys and c != order_by]
+    fresh = latest_per_key(conform(batch, name), keys, [F.col(order_by).desc()] + [F.col(c).desc() for c in others])
+    replaced = current.select(*keys, DAY_COL).join(fresh.select(*keys), keys, "left_semi")
+    days = fresh.select(F.col(part).alias(DAY_COL)).union(replaced.select(DAY_COL)).distinct()
+    touched = current.join(days, DAY_COL, "left_semi")
+    kept = touched.join(fresh.select(*keys), keys, "left_anti").select(*cols, DAY_COL)
+    content = kept.unionByName(fresh.select(*cols, F.col(part).alias(DAY_COL))).checkpoint(eager=True)
+    affected = sorted(r[0] for r in days.collect() if r[0] is not None)
+    present = {r[0] for r in content.select(DAY_COL).distinct().collect()}
+    view = _view(content)
+    col_list = ", ".join(f"`{c}`" for c in cols)
+    _overwrite_present_days(spark, table, f"SELECT {col_list}, {DAY_COL} FROM {view}")
+    for day in affected:
+        if day not in present:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL} = DATE'{day}') "
+                      f"SELECT {col_list} FROM {view} WHERE false")
+    spark.catalog.dropTempView(view)
+    return read_days(spark, table, name)
