@@ -80,6 +80,27 @@ def _hub_as(hub: DataFrame, entity: str, bk_name: str) -> DataFrame:
     return hub.select(F.col(dwh(entity)), F.col(bk(entity)).alias(bk_name))
 
 
+def link_changes(stage_orders: DataFrame, outbox: DataFrame, deliveries: DataFrame,
+                 hubs: dict[str, DataFrame], day: DayLike | None, days_back: int = 0,
+                 link_columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(order keys whose link rows are deleted, new link rows with their order's business date)``."""
+    orders = orders_of_days(stage_orders, day, days_back)
+    o = orders.select(F.col("object_id").alias("o_id"), "order_date")
+    lines = order_lines(orders)
+    bn = shred_bonuses(outbox, day, days_back).select(
+        F.col("order_id").alias("o_id"), F.col("product_id").alias("p_id"), "bonus_payment", "bonus_grant")
+    dl = deliveries.select(F.col("order_id").alias("o_id"), "courier_id")
+    facts = lines.join(bn, ["o_id", "p_id"]).join(dl, "o_id", "left").join(o, "o_id")
+    rows = (facts
+            .join(_hub_as(hubs["order"], "order", "o_id"), "o_id")
+            .join(_hub_as(hubs["restaurant"], "restaurant", "restaurant_id"), "restaurant_id")
+            .join(_hub_as(hubs["user"], "user", "user_id"), "user_id")
+            .join(_hub_as(hubs["product"], "product", "p_id"), "p_id")
+            .join(_hub_as(hubs["courier"], "courier", "courier_id"), "courier_id", "left"))
+    dropped = o.join(_hub_as(hubs["order"], "order", "o_id"), "o_id").select(dwh("order"))
+    return dropped, rows
+
+
 def load_link(link: DataFrame, stage_orders: DataFrame, outbox: DataFrame, deliveries: DataFrame,
               hubs: dict[str, DataFrame], day: DayLike | None, days_back: int = 0) -> DataFrame:
     """Order link for business day(s): delete the link rows of those orders, insert the star join.

@@ -24,7 +24,7 @@ from vaultspark.operators.writes import (
 from vaultspark.schemas import PARTITIONING, TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
 from vaultspark.sources.store import (
-    day_table, empty_table, load_days, read_days, replace_days, save_table, upsert_days,
+    day_table, empty_table, load_days, read_days, replace_days, rewrite_days, save_table, upsert_days,
 )
 
 DOCUMENT_COLLECTIONS = {
@@ -53,6 +53,8 @@ def _keep(name: str, df: DataFrame) -> DataFrame:
 
 DAY_TABLES = {"bonus_system_outbox": "event_ts", "couriers_system_deliveries": "order_ts",
               "order_system_orders": "order_date"}
+# Day tables whose day is not one of their columns: the layout day is looked up.
+LINK_DAY_TABLE = "l_orders"
 
 
 def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
@@ -124,13 +126,23 @@ def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash",
     return s
 
 
-def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist = _keep) -> dict[str, DataFrame]:
-    """Staging + hubs -> link and satellites for run date ``day`` (independent of each other)."""
+def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist = _keep,
+                   day_tables: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Staging + hubs -> link and satellites for run date ``day`` (independent of each other).
+
+    With a day table for the link (partitioned by the order's business date),
+    only the partitions of the day's rows and of the deleted orders are rewritten.
+    """
     s = dict(state)
     stg_r, stg_u, stg_o = s["order_system_restaurants"], s["order_system_users"], s["order_system_orders"]
     hubs = {e: s[t] for e, t in HUB_TABLES.items()}
-    s["l_orders"] = vault.load_link(s["l_orders"], stg_o, s["bonus_system_outbox"],
-                                    s["couriers_system_deliveries"], hubs, day)
+    if day_tables and LINK_DAY_TABLE in day_tables:
+        dropped, rows = vault.link_changes(stg_o, s["bonus_system_outbox"], s["couriers_system_deliveries"], hubs, day)
+        s["l_orders"] = rewrite_days(stg_o.sparkSession, day_tables[LINK_DAY_TABLE], "l_orders", dropped,
+                                     ["order_id_dwh"], rows, "order_date")
+    else:
+        s["l_orders"] = persist("l_orders", vault.load_link(s["l_orders"], stg_o, s["bonus_system_outbox"],
+                                                            s["couriers_system_deliveries"], hubs, day))
     s["s_restaurants"] = scd2.scd2_apply(s["s_restaurants"], restaurant_batch(stg_r, hubs["restaurant"], day),
                                          "restaurant_id_dwh", ["restaurant_name"])
     s["s_users"] = scd2.scd2_apply(s["s_users"], user_batch(stg_u, hubs["user"], day),
@@ -141,7 +153,8 @@ def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist =
     s["s_orders"] = vault.load_window_satellite(s["s_orders"], stg_o, hubs["order"],
                                                 s["couriers_system_deliveries"], day, 1)
     for t in DEPENDENT_TABLES:
-        s[t] = persist(t, s[t])
+        if t != "l_orders":
+            s[t] = persist(t, s[t])
     return s
 
 
@@ -185,6 +198,15 @@ def register_day_tables(state: dict[str, DataFrame], root: str) -> tuple[dict[st
         if spark.table(names[name]).isEmpty():
             load_days(spark, names[name], name, s[name], ts)
         s[name] = read_days(spark, names[name], name)
+    # The link is laid out by its order's business date (looked up in the staged orders).
+    spark = s[LINK_DAY_TABLE].sparkSession
+    names[LINK_DAY_TABLE] = day_table(spark, root, LINK_DAY_TABLE)
+    if spark.table(names[LINK_DAY_TABLE]).isEmpty():
+        hub = s["h_orders"].select("order_id_dwh", F.col("order_id_bk").alias("object_id"))
+        dated = s[LINK_DAY_TABLE].join(hub, "order_id_dwh", "left").join(
+            s["order_system_orders"].select("object_id", "order_date"), "object_id", "left")
+        load_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE, dated, "order_date")
+    s[LINK_DAY_TABLE] = read_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE)
     return s, names
 
 
@@ -205,7 +227,10 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
         for name in day_tables:
             metrics[name] = s[name].count()  # rows of the table (partition files' footers)
     s = run_hubs(s, day, key, persist)
-    return run_dependents(s, day, persist)
+    s = run_dependents(s, day, persist, day_tables)
+    if metrics is not None and day_tables and LINK_DAY_TABLE in day_tables:
+        metrics["l_orders"] = s["l_orders"].count()
+    return s
 
 
 def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi: DayLike,

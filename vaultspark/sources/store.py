@@ -76,6 +76,13 @@ def day_table(spark: SparkSession, root: str, name: str) -> str:
     return table
 
 
+def _with_day(df: DataFrame, name: str, day_source: str) -> DataFrame:
+    """Declared columns of ``name`` plus the layout day taken from ``df[day_source]``."""
+    schema = TABLES[name]
+    return df.select(*[df[f.name].cast(f.dataType).alias(f.name) for f in schema.fields],
+                     F.to_date(df[day_source]).alias(DAY_COL))
+
+
 def _view(df: DataFrame) -> str:
     name = f"_vs_batch_{uuid.uuid4().hex[:12]}"
     df.createOrReplaceTempView(name)
@@ -105,8 +112,8 @@ def read_days(spark: SparkSession, table: str, name: str) -> DataFrame:
 def load_days(spark: SparkSession, table: str, name: str, df: DataFrame, ts: str) -> DataFrame:
     """Bulk load: overwrite every day present in ``df`` (other days are kept)."""
     cols = ", ".join(f"`{c}`" for c in TABLES[name].fieldNames())
-    view = _view(conform(df, name))
-    _overwrite_present_days(spark, table, f"SELECT {cols}, to_date(`{ts}`) AS {DAY_COL} FROM {view}")
+    view = _view(_with_day(df, name, ts))
+    _overwrite_present_days(spark, table, f"SELECT {cols}, {DAY_COL} FROM {view}")
     spark.catalog.dropTempView(view)
     return read_days(spark, table, name)
 
@@ -129,32 +136,27 @@ def replace_days(spark: SparkSession, table: str, name: str, batch: DataFrame, t
     return read_days(spark, table, name)
 
 
-def upsert_days(spark: SparkSession, table: str, name: str, batch: DataFrame, keys: list[str], order_by: str,
-                part: str) -> DataFrame:
-    """Keyed upsert (newest batch row per key wins) that rewrites only the affected day partitions.
-
-    Affected days: those of the batch rows and those holding the versions the
-    batch replaces (found by a semi join of the table's key and day columns
-    with the batch keys).  Their new content is materialized first (a reliable
-    checkpoint: Spark refuses to overwrite a table that the writing plan
-    reads), then written with a dynamic partition overwrite; an affected day
-    left without rows is overwritten with an empty slice.  The list of affected
-    days is the only thing brought to the driver (bounded by the number of
-    business days in one batch).
+def rewrite_days(spark: SparkSession, table: str, name: str, drop: DataFrame, keys: list[str],
+                 rows: DataFrame, part: str) -> DataFrame:
+    """Delete the rows whose ``keys`` are in ``drop`` and add ``rows``, rewriting only the day
+    partitions involved: those of the new rows and those holding a deleted key (found by a semi
+    join of the table's key and day columns).  Their new content is materialized first (a
+    reliable checkpoint: Spark refuses to overwrite a table that the writing plan reads), then
+    only those partitions are overwritten; a day left without rows is cleared.  The list of
+    affected days is the only thing brought to the driver (bounded by the days of one run).
     """
-    from vaultspark.operators.writes import latest_per_key
     from vaultspark.session import shared_dir
 
     shared_dir(spark)
     current = spark.table(table)
     cols = TABLES[name].fieldNames()
-    others = [c for c in cols if c not in keys and c != order_by]
-    fresh = latest_per_key(conform(batch, name), keys, [F.col(order_by).desc()] + [F.col(c).desc() for c in others])
-    replaced = current.select(*keys, DAY_COL).join(fresh.select(*keys), keys, "left_semi")
-    days = fresh.select(F.col(part).alias(DAY_COL)).union(replaced.select(DAY_COL)).distinct()
+    drop_keys = drop.select(*keys)
+    hit = current.select(*keys, DAY_COL).join(drop_keys, keys, "left_semi")
+    days = rows.select(F.col(part).alias(DAY_COL)).union(hit.select(DAY_COL)).distinct()
     touched = current.join(days, DAY_COL, "left_semi")
-    kept = touched.join(fresh.select(*keys), keys, "left_anti").select(*cols, DAY_COL)
-    content = kept.unionByName(fresh.select(*cols, F.col(part).alias(DAY_COL))).checkpoint(eager=True)
+    kept = touched.join(drop_keys, keys, "left_anti").select(*cols, DAY_COL)
+    fresh = _with_day(rows, name, part)
+    content = kept.unionByName(fresh).checkpoint(eager=True)
     affected = sorted(r[0] for r in days.collect() if r[0] is not None)
     present = {r[0] for r in content.select(DAY_COL).distinct().collect()}
     view = _view(content)
@@ -166,3 +168,16 @@ def upsert_days(spark: SparkSession, table: str, name: str, batch: DataFrame, ke
                       f"SELECT {col_list} FROM {view} WHERE false")
     spark.catalog.dropTempView(view)
     return read_days(spark, table, name)
+
+
+def upsert_days(spark: SparkSession, table: str, name: str, batch: DataFrame, keys: list[str], order_by: str,
+                part: str) -> DataFrame:
+    """Keyed upsert (newest batch row per key wins) that rewrites only the affected day partitions:
+    those of the batch rows and those holding the versions the batch replaces."""
+    from vaultspark.operators.writes import latest_per_key
+
+    cols = TABLES[name].fieldNames()
+    others = [c for c in cols if c not in keys and c != order_by]
+    fresh = latest_per_key(conform(batch, name), keys, [F.col(order_by).desc()] + [F.col(c).desc() for c in others])
+    rows = fresh.withColumn("_part", F.col(part))
+    return rewrite_days(spark, table, name, fresh, keys, rows, "_part")
