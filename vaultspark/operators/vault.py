@@ -58,22 +58,25 @@ def new_keys(hub: DataFrame, batch: DataFrame, bk_col: str, entity: str) -> Data
     return keys.join(known, b, "left_anti")
 
 
+def hub_additions(hub: DataFrame, batch: DataFrame, bk_col: str, entity: str, key: str = "hash") -> DataFrame:
+    """Only the rows ``load_hub`` adds: new business keys with their surrogate keys."""
+    b, d = bk(entity), dwh(entity)
+    fresh = new_keys(hub, batch, bk_col, entity)
+    if key == "hash":
+        return fresh.select(hash_key(b).alias(d), b)
+    if key == "sequence":
+        start = F.coalesce(hub.select(F.max(d)).scalar(), F.lit(0)).cast("long")
+        return sequence_keys(fresh, b, d, start)
+    raise ValueError(f"unknown key kind {key!r}")
+
+
 def load_hub(hub: DataFrame, batch: DataFrame, bk_col: str, entity: str, key: str = "hash") -> DataFrame:
     """Insert business keys of ``batch`` that the hub lacks (``LEFT JOIN .. IS NULL``, ``ON CONFLICT DO NOTHING``).
 
     ``key="hash"``: surrogate = SHA-256 of the business key.  ``key="sequence"``:
     dense numbers after the hub's current maximum, in business-key order.
     """
-    b, d = bk(entity), dwh(entity)
-    fresh = new_keys(hub, batch, bk_col, entity)
-    if key == "hash":
-        fresh = fresh.select(hash_key(b).alias(d), b)
-    elif key == "sequence":
-        start = F.coalesce(hub.select(F.max(d)).scalar(), F.lit(0)).cast("long")
-        fresh = sequence_keys(fresh, b, d, start)
-    else:
-        raise ValueError(f"unknown key kind {key!r}")
-    return hub.unionByName(_conform(fresh, hub))
+    return hub.unionByName(_conform(hub_additions(hub, batch, bk_col, entity, key), hub))
 
 
 def _hub_as(hub: DataFrame, entity: str, bk_name: str) -> DataFrame:

@@ -24,7 +24,8 @@ from vaultspark.operators.writes import (
 from vaultspark.schemas import PARTITIONING, TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
 from vaultspark.sources.store import (
-    day_table, empty_table, load_days, read_days, replace_days, rewrite_days, save_table, upsert_days,
+    append_rows_to, append_table, day_table, empty_table, load_days, read_days, replace_days, rewrite_days,
+    save_table, upsert_days,
 )
 
 DOCUMENT_COLLECTIONS = {
@@ -112,17 +113,27 @@ DEPENDENT_TABLES = ["l_orders", "s_restaurants", "s_users", "s_products", "s_cou
 
 
 def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash",
-             persist: Persist = _keep) -> dict[str, DataFrame]:
-    """Staging -> the five hubs for run date ``day``."""
+             persist: Persist = _keep, tables: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Staging -> the five hubs for run date ``day``.
+
+    With registered append tables (``register_day_tables``) only the new keys are written (``INSERT INTO``).
+    """
     s = dict(state)
     stg_r, stg_u, stg_o = s["order_system_restaurants"], s["order_system_users"], s["order_system_orders"]
-    s["h_restaurants"] = vault.load_hub(s["h_restaurants"], _updated_on(stg_r, day), "object_id", "restaurant", key)
-    s["h_users"] = vault.load_hub(s["h_users"], _updated_on(stg_u, day), "object_id", "user", key)
-    s["h_couriers"] = vault.load_hub(s["h_couriers"], s["couriers_system_couriers"], "_id", "courier", key)
-    s["h_orders"] = vault.load_hub(s["h_orders"], _updated_on(stg_o, day), "object_id", "order", key)
-    s["h_products"] = vault.load_hub(s["h_products"], menu_product_keys(stg_r, day), "product_id", "product", key)
-    for t in HUB_TABLES.values():
-        s[t] = persist(t, s[t])
+    batches = {
+        "restaurant": (_updated_on(stg_r, day), "object_id"),
+        "user": (_updated_on(stg_u, day), "object_id"),
+        "courier": (s["couriers_system_couriers"], "_id"),
+        "order": (_updated_on(stg_o, day), "object_id"),
+        "product": (menu_product_keys(stg_r, day), "product_id"),
+    }
+    for entity, (batch, col) in batches.items():
+        t = HUB_TABLES[entity]
+        if tables and t in tables:
+            s[t] = append_rows_to(stg_o.sparkSession, tables[t], t,
+                                  vault.hub_additions(s[t], batch, col, entity, key))
+        else:
+            s[t] = persist(t, vault.load_hub(s[t], batch, col, entity, key))
     return s
 
 
@@ -207,6 +218,12 @@ def register_day_tables(state: dict[str, DataFrame], root: str) -> tuple[dict[st
             s["order_system_orders"].select("object_id", "order_date"), "object_id", "left")
         load_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE, dated, "order_date")
     s[LINK_DAY_TABLE] = read_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE)
+    # Hubs only grow: append-only tables, a run writes just its new keys.
+    for t in HUB_TABLES.values():
+        names[t] = append_table(spark, root, t)
+        if spark.table(names[t]).isEmpty():
+            append_rows_to(spark, names[t], t, s[t])
+        s[t] = spark.table(names[t]).select(*TABLES[t].fieldNames())
     return s, names
 
 
@@ -226,7 +243,11 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
     if metrics is not None and day_tables:
         for name in day_tables:
             metrics[name] = s[name].count()  # rows of the table (partition files' footers)
-    s = run_hubs(s, day, key, persist)
+    s = run_hubs(s, day, key, persist, day_tables)
+    if metrics is not None and day_tables:
+        for t in HUB_TABLES.values():
+            if t in day_tables:
+                metrics[t] = s[t].count()
     s = run_dependents(s, day, persist, day_tables)
     if metrics is not None and day_tables and LINK_DAY_TABLE in day_tables:
         metrics["l_orders"] = s["l_orders"].count()

@@ -181,3 +181,21 @@ def upsert_days(spark: SparkSession, table: str, name: str, batch: DataFrame, ke
     fresh = latest_per_key(conform(batch, name), keys, [F.col(order_by).desc()] + [F.col(c).desc() for c in others])
     rows = fresh.withColumn("_part", F.col(part))
     return rewrite_days(spark, table, name, fresh, keys, rows, "_part")
+
+
+def append_table(spark: SparkSession, root: str, name: str) -> str:
+    """Register (idempotently) an append-only catalog table of ``name`` stored at ``root/name``."""
+    location = f"{root.rstrip('/')}/{name}"
+    table = f"{name}_{hashlib.sha1(location.encode()).hexdigest()[:10]}"
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name].fields)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet LOCATION '{location}'")
+    return table
+
+
+def append_rows_to(spark: SparkSession, table: str, name: str, rows: DataFrame) -> DataFrame:
+    """``INSERT INTO``: only the new rows are written (the plan may read the table itself)."""
+    cols = ", ".join(f"`{c}`" for c in TABLES[name].fieldNames())
+    view = _view(conform(rows, name))
+    spark.sql(f"INSERT INTO {table} SELECT {cols} FROM {view}")
+    spark.catalog.dropTempView(view)
+    return spark.table(table).select(*TABLES[name].fieldNames())
