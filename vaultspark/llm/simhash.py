@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import map_columns, written
+from vaultspark.llm.common import map_columns, shuffle_partitions, written
 from vaultspark.llm.components import connected_components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -201,7 +201,8 @@ def fingerprint_links(fps: DataFrame, max_bits: int = MAX_BITS, group_rows: int
                 key, row = golay_keys(part)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(part[row])], names=["key", "fp"])
 
-    found = _links_of(fps.select("fp").distinct().mapInArrow(keyed, "key long, fp long"), max_bits, group_rows, "links")
+    distinct = fps.select("fp").distinct().repartition(shuffle_partitions(fps.sparkSession))
+    found = _links_of(distinct.mapInArrow(keyed, "key long, fp long"), max_bits, group_rows, "links")
     links = found.where("NOT rest").select("u", "v")
     rest = found.where("rest").select(F.col("u").alias("key"), F.col("v").alias("fp"))
     if not rest.isEmpty():  # groups over the limit, exactly: every pair of blocks is one group

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import written
+from vaultspark.llm.common import shuffle_partitions, written
 
 PIVOTS = 32
 PIVOT_SAMPLE = 1024  # vectors (the smallest hashes of their ids) among which pivots are chosen; results don't depend on it
@@ -54,12 +54,19 @@ def search_tile(qid: np.ndarray, q: np.ndarray, qd: np.ndarray, cid: np.ndarray,
     """Top k of a tile per query: (query ids, candidate ids, scores) and the number of products evaluated."""
     out_q, out_c, out_s, evaluated = [], [], [], 0
     q2, c2 = (q ** 2).sum(1), (c ** 2).sum(1)
+    if q2.max(initial=0) * c2.max(initial=0) < 2.0 ** 48:  # all sums of products below 2 ** 24: exact in single precision
+        q, c = q.astype(np.float32), c.astype(np.float32)
+    qd, cd = qd.astype(np.float32), np.ascontiguousarray(cd.astype(np.float32).T)
+    slack = 1e-6 * (1 + max(qd.max(initial=0), cd.max(initial=0)))  # of single precision
     for at in range(0, len(qid), 32):
         rows = slice(at, at + 32)
-        gap = np.zeros((len(qid[rows]), len(cid)))
+        gap = np.zeros((len(qid[rows]), len(cid)), np.float32)
+        step = np.empty_like(gap)
         for j in range(qd.shape[1]):
-            np.maximum(gap, np.abs(qd[rows, j, None] - cd[None, :, j]), out=gap)
-        bounds = (q2[rows, None] + c2[None, :] - np.maximum(gap - 1e-6, 0) ** 2) / 2 + 1e-6
+            np.subtract(qd[rows, j, None], cd[j], out=step)
+            np.abs(step, out=step)
+            np.maximum(gap, step, out=gap)
+        bounds = (q2[rows, None] + c2[None, :] - np.maximum(gap.astype(np.float64) - slack, 0) ** 2) / 2 + 1e-6
         for i, bound in enumerate(bounds, at):
             bound[cid == qid[i]] = -np.inf  # never the query's own row
             first = np.argpartition(-bound, chunk)[:chunk] if len(bound) > chunk else np.arange(len(bound))
@@ -70,13 +77,16 @@ def search_tile(qid: np.ndarray, q: np.ndarray, qd: np.ndarray, cid: np.ndarray,
             best_id, best = best_id[rank], best[rank]
             bound[first] = -np.inf
             rest = np.flatnonzero(bound >= (best[-1] if len(best) == k else -np.finfo(float).max))
-            rest = rest[np.argsort(-bound[rest], kind="stable")]
-            for s in range(0, len(rest), chunk):
-                part = rest[s:s + chunk]
-                if len(best) == k and bound[part[0]] < best[-1]:
+            rest = rest[np.argsort(-bound[rest].astype(np.float32))]
+            for s in range(0, len(rest), 8 * chunk):
+                part = rest[s:s + 8 * chunk]
+                if len(best) == k and bound[part].max() < best[-1]:
                     break
                 evaluated += len(part)
-                best_id, best = np.r_[best_id, cid[part]], np.r_[best, c[part] @ q[i]]
+                score = c[part] @ q[i]
+                if len(best) == k:
+                    part, score = part[score >= best[-1]], score[score >= best[-1]]
+                best_id, best = np.concatenate([best_id, cid[part]]), np.concatenate([best, score])
                 rank = np.lexsort((best_id, -best))[:k]
                 best_id, best = best_id[rank], best[rank]
             out_q.append(np.full(len(best), qid[i]))
@@ -138,7 +148,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, piv
             gives["vec_id"].to_numpy(), _matrix(gives["v"], width), np.stack(gives["d"].to_list()), k)
         return pd.DataFrame({"query_id": np.concatenate(at), "vec_id": np.concatenate(ids), "score": np.concatenate(scores)})
 
-    found = tiles.groupBy("tile").applyInPandas(search, "query_id long, vec_id long, score long")
+    found = tiles.repartition(shuffle_partitions(spark), "tile").groupBy("tile").applyInPandas(search, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

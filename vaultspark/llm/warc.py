@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import map_columns, written
+from vaultspark.llm.common import map_columns, shuffle_partitions, written
 from vaultspark.session import shared_dir
 
 DATE = "2024-01-01T00:00:00Z"
@@ -171,7 +171,8 @@ def normalise(decided: DataFrame, root: str, level: int = 6) -> None:
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(0, 0)], names=["part"])
         finish()
 
-    ordered = decided.select("part", "nr", "refers_to").repartition("part").sortWithinPartitions("part", "nr")
+    ordered = decided.select("part", "nr", "refers_to").repartition(
+        shuffle_partitions(decided.sparkSession), "part").sortWithinPartitions("part", "nr")
     ordered.mapInArrow(scan, "part int").count()
     store, base = _file_system(root)
     _Output(store, f"{base}/members/none.idx").close()  # an index also where there is no record
