@@ -77,7 +77,7 @@ def search_tile(qid: np.ndarray, q: np.ndarray, qd: np.ndarray, cid: np.ndarray,
             best_id, best = best_id[rank], best[rank]
             bound[first] = -np.inf
             rest = np.flatnonzero(bound >= (best[-1] if len(best) == k else -np.finfo(float).max))
-            rest = rest[np.argsort(-bound[rest].astype(np.float32))]
+            rest = rest[np.argsort(-bound[rest])]
             for s in range(0, len(rest), 8 * chunk):
                 part = rest[s:s + 8 * chunk]
                 if len(best) == k and bound[part].max() < best[-1]:
