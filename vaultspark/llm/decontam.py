@@ -23,7 +23,7 @@ WINDOW = 8
 LITERALS = 4  # words of a window that are no placeholders, at least
 WINDOWS = 6  # matching windows on consistent alignments (13 words in a row), or all of a shorter item
 FILTER_BITS = 24
-CACHED = 400_000
+CACHED = 200_000
 
 # fixed values: units of measure and currencies
 UNITS = frozenset("mm cm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec secs min mins h hr hrs hour hours minute "

@@ -20,7 +20,7 @@ GRAIN = 16  # lengths are rounded up to this many tokens when patterns are enume
 DEPTH = 3  # pieces in an enumerated pattern, at most
 TOKENIZER = "word_bpe_49k.json"
 END = 2  # id appended to every document
-CACHED = 400_000  # chunks remembered by a Python worker
+CACHED = 250_000  # chunks remembered by a Python worker
 
 
 # tokens
