@@ -41,7 +41,7 @@ def test_day_tables_give_the_same_run_and_rerun(spark, world):
     plain = pipeline.run_day(before, src, "2024-01-05", shared_dir(spark, "test-plain"))
     expected = {t: rows(plain[t]) for t in CHECKED}
     root = shared_dir(spark, "test-day-tables")
-    state, names = pipeline.register_day_tables(before, root)
+    state, names = pipeline.register_day_tables(before, root, load=True)
     once = pipeline.run_day(state, src, "2024-01-05", root, day_tables=names)
     got = {t: rows(once[t]) for t in CHECKED}  # read now: the day tables change in place on the rerun
     assert got == expected

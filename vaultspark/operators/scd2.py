@@ -8,7 +8,7 @@ on either side is no change) unless ``null_safe=True``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vaultspark.functions.predicates import changed
@@ -87,23 +87,29 @@ def scd2_history(updates: DataFrame, key: str, attrs: list[str], ts: str = "upda
     so updates are first reduced to the newest per (key, day) -- a partial
     ``WindowGroupLimit`` before the shuffle, so a hot key costs no more than a
     cold one.  After that each key holds at most one row per day, which bounds
-    the per-key window below by the number of days, not by the data.
+    the array of a key below by the number of days, not by the data.
 
     An update opens a version when it is the key's first or differs from the
-    previous one; ``active_to`` is the next version's start minus 1 ms, or the
-    open sentinel.  Equal to ``scd2_apply`` run day by day when attributes are
-    never NULL (after ``a -> NULL -> b`` the loop compares ``b`` with ``a``).
+    version last opened (a NULL is no change, so after ``a -> NULL -> b`` the
+    ``b`` is compared with ``a``); ``active_to`` is the next version's start minus
+    1 ms, or the open sentinel.  The versions of a key are a fold over its updates
+    in time order.  Equal to ``scd2_apply`` run day by day.  With
+    ``per_day=False`` the caller has bounded the updates of a key.
     """
     if per_day:
         updates = latest_per_key(updates.withColumn("_day", F.to_date(ts)), [key, "_day"],
                                  [F.col(ts).desc()] + [F.col(a).desc_nulls_last() for a in attrs])
-    w = Window.partitionBy(key).orderBy(F.col(ts), *[F.col(a) for a in attrs])
-    prev = [F.lag(a).over(w) for a in attrs]
-    first = F.row_number().over(w) == 1
-    flagged = updates.select(key, *attrs, ts, first.alias("_first"),
-                             F.coalesce(changed([F.col(a) for a in attrs], prev, null_safe), F.lit(False)).alias("_chg"))
-    kept = flagged.where(F.col("_first") | F.col("_chg"))
-    w2 = Window.partitionBy(key).orderBy(F.col(ts))
-    return kept.select(
-        key, *attrs, F.col(ts).alias(FROM),
-        F.coalesce(minus_one_ms(F.lead(ts).over(w2)), ts_lit(OPEN_TO)).alias(TO))
+    one = F.struct(F.col(ts).alias(ts), *[F.col(a).alias(a) for a in attrs])
+    by_key = updates.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("_u"))
+
+    def opens(acc: Column, x: Column) -> Column:
+        last = F.try_element_at(acc, F.lit(-1))
+        differs = F.coalesce(changed([x[a] for a in attrs], [last[a] for a in attrs], null_safe), F.lit(False))
+        return F.when((F.size(acc) == 0) | differs, F.concat(acc, F.array(x))).otherwise(acc)
+
+    folded = by_key.select(key, F.aggregate("_u", F.slice("_u", 1, 0), opens).alias("_v"))
+    rows = folded.select(key, "_v", F.posexplode("_v").alias("_i", "_x"))
+    following = F.try_element_at(F.col("_v"), F.col("_i") + 2)[ts]
+    return rows.select(
+        key, *[F.col("_x")[a].alias(a) for a in attrs], F.col("_x")[ts].alias(FROM),
+        F.coalesce(minus_one_ms(following), ts_lit(OPEN_TO)).alias(TO))

@@ -24,7 +24,7 @@ from vaultspark.plans.world import World
 from vaultspark.session import shared_dir
 from vaultspark.sources import fixtures as fx
 from vaultspark.sources import ingest
-from vaultspark.sources.store import conform, save_table
+from vaultspark.sources.store import conform, day_table, load_days, save_table, upsert_days
 from vaultspark.schemas import STAGING
 
 DAY = fx.TEST_DAY
@@ -154,6 +154,31 @@ def q_upsert_documents(w: World) -> DataFrame:
                       json_field("object_value", "$.login").alias("login"))
 
 
+@query("upsert_documents_by_day", (
+    "SELECT CAST(o_orderkey AS VARCHAR) AS object_id, "
+    "CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS update_ts, "
+    "CASE WHEN o_orderpriority = '1-URGENT' THEN "
+    "CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH AS DATE) END "
+    "WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(date_trunc('month', o_orderdate) AS DATE) END AS order_date FROM orders"))
+def q_upsert_documents_by_day(w: World) -> DataFrame:
+    """All orders in a table partitioned by business date, some undated; all urgent ones move, to a date or to none."""
+    src = w.spark.read.parquet(f"{w.sf_dir}/orders.parquet").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz"))
+    month = F.trunc("o_orderdate", "month")
+    staged = src.select(
+        F.col("o_orderkey").cast("string").alias("object_id"), F.lit("{}").alias("object_value"),
+        F.col("o_orderdate").alias("update_ts"),
+        F.when(F.col("o_orderstatus") == "P", None).otherwise(month).cast("date").alias("order_date"))
+    moved = src.where("o_orderpriority = '1-URGENT'").select(
+        F.col("o_orderkey").cast("string").alias("object_id"), F.lit("{}").alias("object_value"),
+        F.expr("o_orderdate + INTERVAL 1 DAY").alias("update_ts"),
+        F.when(F.col("o_orderstatus") == "F", None).otherwise(F.add_months(month, 1)).cast("date").alias("order_date"))
+    name = "order_system_orders"
+    table = day_table(w.spark, shared_dir(w.spark, "orders-by-day"), name)
+    load_days(w.spark, table, name, staged, "order_date")
+    return upsert_days(w.spark, table, name, moved, ["object_id"], "update_ts", "order_date").select(
+        "object_id", "update_ts", "order_date")
+
+
 @query("advance_watermark", sql(
     "SELECT table_name, update_ts FROM wlog UNION ALL SELECT 'orders', max(odate) FROM ord", "wlog"))
 def q_advance_watermark(w: World) -> DataFrame:
@@ -630,7 +655,8 @@ def q_run_day(w: World) -> DataFrame:
     partitions of those two; row count of each table afterwards."""
     sources = w.sources()
     root = shared_dir(w.spark, "warehouse")
-    before, day_tables = pipeline.register_day_tables(pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV), root)
+    before, day_tables = pipeline.register_day_tables(
+        pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV), root, load=True)
     written: dict[str, int] = {}
     pipeline.run_day(before, sources, DAY, root, metrics=written, day_tables=day_tables)
     # row counts observed while the tables were written (no rescan)

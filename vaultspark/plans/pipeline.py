@@ -19,12 +19,12 @@ from vaultspark.functions.time import DayLike, in_days, ts_lit
 from vaultspark.operators import scd2, vault
 from vaultspark.operators.shred import USER_SPEC, menu_product_keys, shred_documents, shred_menu
 from vaultspark.operators.writes import (
-    advance_watermark, replace_all, replace_range, replace_slice, replace_window, upsert,
+    advance_watermark, latest_per_key, replace_all, replace_range, replace_slice, replace_window, upsert,
 )
 from vaultspark.schemas import PARTITIONING, TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
 from vaultspark.sources.store import (
-    append_rows_to, append_table, day_table, empty_table, load_days, read_days, replace_days, rewrite_days,
+    append_rows_to, append_table, day_table, empty_table, load_days, load_rows, read_days, replace_days, rewrite_days,
     save_table, upsert_days,
 )
 
@@ -79,7 +79,7 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
                                    ["object_id"], "update_ts", DAY_TABLES[table])
         else:
             s[table] = persist(table, upsert(s[table], DOCUMENT_WRITERS[coll](fresh), ["object_id"], "update_ts"))
-        log = advance_watermark(log, s[table], coll)
+        log = advance_watermark(log, fresh, coll)  # the batch holds every newer row: no scan of the stage
     s["load_watermarks"] = persist("load_watermarks", log)
     if day_tables:
         spark = log.sparkSession
@@ -138,9 +138,11 @@ def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash",
 
 
 def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist = _keep,
-                   day_tables: dict[str, str] | None = None) -> dict[str, DataFrame]:
+                   day_tables: dict[str, str] | None = None, link_days_back: int = 0) -> dict[str, DataFrame]:
     """Staging + hubs -> link and satellites for run date ``day`` (independent of each other).
 
+    ``link_days_back`` widens the link's window of business days, for orders staged after their day.
+
     With a day table for the link (partitioned by the order's business date),
     only the partitions of the day's rows and of the deleted orders are rewritten.
     """
@@ -148,12 +150,13 @@ def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist =
     stg_r, stg_u, stg_o = s["order_system_restaurants"], s["order_system_users"], s["order_system_orders"]
     hubs = {e: s[t] for e, t in HUB_TABLES.items()}
     if day_tables and LINK_DAY_TABLE in day_tables:
-        dropped, rows = vault.link_changes(stg_o, s["bonus_system_outbox"], s["couriers_system_deliveries"], hubs, day)
+        dropped, rows = vault.link_changes(stg_o, s["bonus_system_outbox"], s["couriers_system_deliveries"], hubs, day,
+                                           link_days_back)
         s["l_orders"] = rewrite_days(stg_o.sparkSession, day_tables[LINK_DAY_TABLE], "l_orders", dropped,
                                      ["order_id_dwh"], rows, "order_date")
     else:
         s["l_orders"] = persist("l_orders", vault.load_link(s["l_orders"], stg_o, s["bonus_system_outbox"],
-                                                            s["couriers_system_deliveries"], hubs, day))
+                                                            s["couriers_system_deliveries"], hubs, day, link_days_back))
     s["s_restaurants"] = scd2.scd2_apply(s["s_restaurants"], restaurant_batch(stg_r, hubs["restaurant"], day),
                                          "restaurant_id_dwh", ["restaurant_name"])
     s["s_users"] = scd2.scd2_apply(s["s_users"], user_batch(stg_u, hubs["user"], day),
@@ -198,21 +201,25 @@ def product_batch(stage: DataFrame, hub: DataFrame, day: DayLike | None) -> Data
         "product_id_dwh", "product_name", "product_price", "product_category", "update_ts")
 
 
-def register_day_tables(state: dict[str, DataFrame], root: str) -> tuple[dict[str, DataFrame], dict[str, str]]:
-    """Day tables for the outbox and deliveries under ``root``, loaded with the state's current rows
-    when they are new.  Returns the state reading from them and the registered names."""
+def register_day_tables(state: dict[str, DataFrame], root: str,
+                        load: bool = False) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """Day and append tables under ``root``; returns the state reading from them and the registered names.
+
+    ``load=True`` is the one bulk load: the tables' content becomes the state's rows.  Without it the tables are
+    used as they are on disk, also after a restart, and the state's own rows of them are not looked at.
+    """
     s = dict(state)
     names = {}
     for name, ts in DAY_TABLES.items():
         spark = s[name].sparkSession
         names[name] = day_table(spark, root, name)
-        if spark.table(names[name]).isEmpty():
+        if load:
             load_days(spark, names[name], name, s[name], ts)
         s[name] = read_days(spark, names[name], name)
     # The link is laid out by its order's business date (looked up in the staged orders).
     spark = s[LINK_DAY_TABLE].sparkSession
     names[LINK_DAY_TABLE] = day_table(spark, root, LINK_DAY_TABLE)
-    if spark.table(names[LINK_DAY_TABLE]).isEmpty():
+    if load:
         hub = s["h_orders"].select("order_id_dwh", F.col("order_id_bk").alias("object_id"))
         dated = s[LINK_DAY_TABLE].join(hub, "order_id_dwh", "left").join(
             s["order_system_orders"].select("object_id", "order_date"), "object_id", "left")
@@ -221,15 +228,16 @@ def register_day_tables(state: dict[str, DataFrame], root: str) -> tuple[dict[st
     # Hubs only grow: append-only tables, a run writes just its new keys.
     for t in HUB_TABLES.values():
         names[t] = append_table(spark, root, t)
-        if spark.table(names[t]).isEmpty():
-            append_rows_to(spark, names[t], t, s[t])
+        if load:
+            load_rows(spark, names[t], t, s[t])
         s[t] = spark.table(names[t]).select(*TABLES[t].fieldNames())
     return s, names
 
 
 def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
             save_root: str | None = None, key: str = "hash",
-            metrics: dict[str, int] | None = None, day_tables: dict[str, str] | None = None) -> dict[str, DataFrame]:
+            metrics: dict[str, int] | None = None, day_tables: dict[str, str] | None = None,
+            link_days_back: int = 0) -> dict[str, DataFrame]:
     """One daily run: staging, then hubs, then link and satellites.
 
     With ``save_root`` every table is persisted as soon as it is built, so no
@@ -248,21 +256,27 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
         for t in HUB_TABLES.values():
             if t in day_tables:
                 metrics[t] = s[t].count()
-    s = run_dependents(s, day, persist, day_tables)
+    s = run_dependents(s, day, persist, day_tables, link_days_back)
     if metrics is not None and day_tables and LINK_DAY_TABLE in day_tables:
         metrics["l_orders"] = s["l_orders"].count()
     return s
 
 
+def _newest_of_day(documents: DataFrame) -> DataFrame:
+    """The version a daily run would see: the newest of each object and day."""
+    newest = latest_per_key(documents.withColumn("_day", F.to_date("update_ts")), ["object_id", "_day"],
+                            [F.col("update_ts").desc(), F.col("object_value").desc()])
+    return newest.drop("_day")
+
+
 def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi: DayLike,
              key: str = "hash", save_root: str | None = None) -> dict[str, DataFrame]:
     """State after daily runs ``lo..hi``, built for all days at once (lazy).
 
-    Hubs and satellites are built from every source version updated in the
-    range (SCD2 through ``scd2_history``); the link and the order satellite
-    cover all business days of the range.  Equal to ``run_days(lo, hi)`` when
-    each object has at most one version per day, orders do not change after
-    their business day, and attributes are never NULL.  With ``save_root``
+    Hubs and satellites are built from the newest source version of each object
+    and day in the range (SCD2 through ``scd2_history``); the link and the order
+    satellite cover all business days of the range.  Equal to ``run_days(lo, hi)``
+    when orders do not change after their business day.  With ``save_root``
     staging, then hubs, then the rest are persisted as they are built.
     """
     persist = _saver(save_root)
@@ -275,7 +289,8 @@ def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi
     for coll, table in DOCUMENT_COLLECTIONS.items():
         src = sources[coll].where(F.col("update_ts") < run_end)
         s[table] = upsert(s[table], DOCUMENT_WRITERS[coll](src), ["object_id"], "update_ts")
-        versions[coll] = DOCUMENT_WRITERS[coll](sources[coll].where(in_days("update_ts", lo, hi)))
+        seen = DOCUMENT_WRITERS[coll](sources[coll].where(in_days("update_ts", lo, hi)))
+        versions[coll] = seen if coll == "orders" else _newest_of_day(seen)  # of orders only the keys are used
         logs.append(src.agg(F.max("update_ts").alias("update_ts"))
                     .where(F.col("update_ts").isNotNull()).select(F.lit(coll).alias("table_name"), "update_ts"))
     log = logs[0]

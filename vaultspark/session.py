@@ -39,12 +39,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def single_jvm(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[8]``, ``local[*,3]``; not ``local-cluster``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession, purpose: str | None = None) -> str:
     """Folder on the cluster's shared storage for checkpoints and written tables.
 
-    Uses ``spark.checkpoint.dir`` from the session.  Only when it is unset (a
-    local test run) is a local folder created and registered as the checkpoint
-    directory.  With ``purpose`` a fresh sub-folder is returned, so runs never
+    Uses ``spark.checkpoint.dir`` from the session.  Only when it is unset and the
+    master is a single local JVM (a test run) is a local folder created and
+    registered as the checkpoint directory; anywhere else that is an error, as
+    executors would write to disks of their own.  With ``purpose`` a fresh sub-folder is returned, so runs never
     clear or overwrite each other's files.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -55,9 +61,10 @@ def shared_dir(spark: SparkSession, purpose: str | None = None) -> str:
     if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
+        if sc is None or not single_jvm(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="vaultspark-")
-        if sc is not None:
-            sc.setCheckpointDir(base)
+        sc.setCheckpointDir(base)
     elif sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     base = base.rstrip("/")

@@ -19,6 +19,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import datetime as dt
 import hashlib
@@ -52,27 +53,41 @@ def save_table(df: DataFrame, root: str, name: str, partition_by: list[str] | No
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode("errorifexists")
     if partition_by:
+        w = df.hint("rebalance", *partition_by).write.mode("errorifexists")  # a day's rows together, large days split
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     if obs is not None:
         metrics[name] = int(obs.get["rows"])
-    return load_table(df.sparkSession, path)
+    return load_table(df.sparkSession, path, df.schema)
 
 
-def load_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def load_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A saved version with its declared schema (a version without rows has no file to infer it from)."""
+    return spark.read.schema(schema).parquet(path)
 
 
 DAY_COL = "part_day"
 
 
+def _exists(spark: SparkSession, location: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
 def day_table(spark: SparkSession, root: str, name: str) -> str:
-    """Register (idempotently) the day-partitioned catalog table of ``name`` stored at ``root/name``."""
+    """Register (idempotently) the day-partitioned catalog table of ``name`` stored at ``root/name``.
+
+    Partitions already on disk are recovered, so a session with a catalog of its own sees them.  Overwrites
+    without a stated partition replace only the days they write (a property of the table, not of the session).
+    """
     location = f"{root.rstrip('/')}/{name}"
     table = f"{name}_{hashlib.sha1(location.encode()).hexdigest()[:10]}"
     cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in TABLES[name].fields)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, {DAY_COL} DATE) USING parquet "
-              f"PARTITIONED BY ({DAY_COL}) LOCATION '{location}'")
+    if not spark.catalog.tableExists(table):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}, {DAY_COL} DATE) USING parquet "
+                  f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({DAY_COL}) LOCATION '{location}'")
+        if _exists(spark, location):
+            spark.catalog.recoverPartitions(table)
     return table
 
 
@@ -90,18 +105,8 @@ def _view(df: DataFrame) -> str:
 
 
 def _overwrite_present_days(spark: SparkSession, table: str, select_sql: str) -> None:
-    """``INSERT OVERWRITE .. PARTITION (day)`` replacing only the days the query returns.
-
-    The overwrite mode is a session setting for SQL inserts; it is switched to
-    dynamic for this one statement and restored afterwards.
-    """
-    key = "spark.sql.sources.partitionOverwriteMode"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL}) {select_sql}")
-    finally:
-        spark.conf.set(key, old)
+    """Replace only the days the query returns (rows without a day are a partition of their own)."""
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL}) SELECT /*+ REBALANCE({DAY_COL}) */ * FROM ({select_sql})")
 
 
 def read_days(spark: SparkSession, table: str, name: str) -> DataFrame:
@@ -140,32 +145,34 @@ def rewrite_days(spark: SparkSession, table: str, name: str, drop: DataFrame, ke
                  rows: DataFrame, part: str) -> DataFrame:
     """Delete the rows whose ``keys`` are in ``drop`` and add ``rows``, rewriting only the day
     partitions involved: those of the new rows and those holding a deleted key (found by a semi
-    join of the table's key and day columns).  Their new content is materialized first (a
-    reliable checkpoint: Spark refuses to overwrite a table that the writing plan reads), then
-    only those partitions are overwritten; a day left without rows is cleared.  The list of
-    affected days is the only thing brought to the driver (bounded by the days of one run).
+    join of the table's key and day columns).  Rows without a day are a partition like any other.
+
+    The new rows are materialized once (a reliable checkpoint), then the new content of the partitions
+    (Spark refuses to overwrite a table that the writing plan reads), which one overwrite puts in place; a
+    day left without rows is cleared after it, so a failure in between leaves a moved row twice, never lost, and
+    a rerun finds and clears it.  The list of affected days is the only thing brought to the driver.
     """
     from vaultspark.session import shared_dir
 
     shared_dir(spark)
     current = spark.table(table)
     cols = TABLES[name].fieldNames()
-    drop_keys = drop.select(*keys)
+    drop_keys = drop.select(*keys).checkpoint(eager=True)
+    fresh = _with_day(rows, name, part).checkpoint(eager=True)
     hit = current.select(*keys, DAY_COL).join(drop_keys, keys, "left_semi")
-    days = rows.select(F.col(part).alias(DAY_COL)).union(hit.select(DAY_COL)).distinct()
-    touched = current.join(days, DAY_COL, "left_semi")
+    affected = fresh.select(DAY_COL).union(hit.select(DAY_COL)).distinct().checkpoint(eager=True)
+    days = affected.select(F.col(DAY_COL).alias("_day"))
+    touched = current.join(days, current[DAY_COL].eqNullSafe(days["_day"]), "left_semi")
     kept = touched.join(drop_keys, keys, "left_anti").select(*cols, DAY_COL)
-    fresh = _with_day(rows, name, part)
     content = kept.unionByName(fresh).checkpoint(eager=True)
-    affected = sorted(r[0] for r in days.collect() if r[0] is not None)
-    present = {r[0] for r in content.select(DAY_COL).distinct().collect()}
+    emptied = [r[0] for r in affected.join(content.select(F.col(DAY_COL).alias("_day")).distinct(),
+                                           F.col(DAY_COL).eqNullSafe(F.col("_day")), "left_anti").collect()]
     view = _view(content)
     col_list = ", ".join(f"`{c}`" for c in cols)
     _overwrite_present_days(spark, table, f"SELECT {col_list}, {DAY_COL} FROM {view}")
-    for day in affected:
-        if day not in present:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL} = DATE'{day}') "
-                      f"SELECT {col_list} FROM {view} WHERE false")
+    for day in emptied:
+        value = "NULL" if day is None else f"DATE'{day}'"
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL} = {value}) SELECT {col_list} FROM {view} WHERE false")
     spark.catalog.dropTempView(view)
     return read_days(spark, table, name)
 
@@ -175,12 +182,14 @@ def upsert_days(spark: SparkSession, table: str, name: str, batch: DataFrame, ke
     """Keyed upsert (newest batch row per key wins) that rewrites only the affected day partitions:
     those of the batch rows and those holding the versions the batch replaces."""
     from vaultspark.operators.writes import latest_per_key
+    from vaultspark.session import shared_dir
 
+    shared_dir(spark)
     cols = TABLES[name].fieldNames()
     others = [c for c in cols if c not in keys and c != order_by]
     fresh = latest_per_key(conform(batch, name), keys, [F.col(order_by).desc()] + [F.col(c).desc() for c in others])
-    rows = fresh.withColumn("_part", F.col(part))
-    return rewrite_days(spark, table, name, fresh, keys, rows, "_part")
+    fresh = fresh.withColumn("_part", F.col(part)).checkpoint(eager=True)
+    return rewrite_days(spark, table, name, fresh, keys, fresh, "_part")
 
 
 def append_table(spark: SparkSession, root: str, name: str) -> str:
@@ -192,6 +201,15 @@ def append_table(spark: SparkSession, root: str, name: str) -> str:
     return table
 
 
+def load_rows(spark: SparkSession, table: str, name: str, rows: DataFrame) -> DataFrame:
+    """Bulk load of an append table: its whole content becomes ``rows``."""
+    view = _view(conform(rows, name))
+    cols = ", ".join(f"`{c}`" for c in TABLES[name].fieldNames())
+    spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT {cols} FROM {view}")
+    spark.catalog.dropTempView(view)
+    return spark.table(table).select(*TABLES[name].fieldNames())
+
+
 def append_rows_to(spark: SparkSession, table: str, name: str, rows: DataFrame) -> DataFrame:
     """``INSERT INTO``: only the new rows are written (the plan may read the table itself)."""
     cols = ", ".join(f"`{c}`" for c in TABLES[name].fieldNames())

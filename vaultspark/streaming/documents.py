@@ -20,7 +20,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +27,7 @@ from pyspark.sql import types as T
 from vaultspark.functions.json import to_document
 from vaultspark.functions.time import LOW_WATERMARK, ts_lit
 from vaultspark.operators.writes import upsert
+from vaultspark.schemas import TABLES
 from vaultspark.sources.store import empty_table
 
 
@@ -36,13 +36,11 @@ def _epoch_path(root: str, epoch: int) -> str:
 
 
 def read_stage(spark: SparkSession, root: str, epoch: int, table: str) -> DataFrame:
-    """Stage as written by micro-batch ``epoch`` (empty before the first one)."""
+    """Stage as written by micro-batch ``epoch``: empty before the first one; a later epoch whose folder
+    is missing is an error (going on would lose the stage)."""
     if epoch < 0:
         return empty_table(spark, table)
-    try:
-        return spark.read.parquet(_epoch_path(root, epoch))
-    except AnalysisException:
-        return empty_table(spark, table)
+    return spark.read.schema(TABLES[table]).parquet(_epoch_path(root, epoch))
 
 
 def stage_documents_stream(spark: SparkSession, landing: str, object_schema: T.StructType, stage_root: str,
