@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -48,20 +49,22 @@ def log_count_ratios(rows: list[np.ndarray], y: np.ndarray, buckets: int, alpha:
 
 def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, scale: np.ndarray, cost: float = 1.0,
                             epochs: int = 12, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Linear hinge-loss model of the scaled indicators: one dual variable in [0, cost] per row, updated in a new
-    random order each epoch; a constant feature is the bias."""
-    sign = np.where(y == 1, 1.0, -1.0)
-    values = [scale[r] for r in rows]
-    diagonal = np.array([v @ v + 1.0 for v in values])
+    """Weights of the raw indicators and the bias of a linear hinge-loss model of the scaled ones: one dual variable
+    in [0, cost] per row, updated in a new random order each epoch; a constant feature is the bias.
+
+    The weight of a scaled indicator times its scale is kept, so that no scaled copy of the rows is needed.
+    """
+    sign, squared = np.where(y == 1, 1.0, -1.0), scale * scale
+    diagonal = np.array([squared[r].sum() + 1.0 for r in rows])
     w, bias, dual, order = np.zeros(len(scale)), 0.0, np.zeros(len(rows)), np.random.default_rng(seed)
     for _ in range(epochs):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            gradient = sign[i] * (values[i] @ w[rows[i]] + bias) - 1
+            gradient = sign[i] * (w[rows[i]].sum() + bias) - 1
             new = min(max(dual[i] - gradient / diagonal[i], 0.0), cost)
             if new != dual[i]:
                 step = (new - dual[i]) * sign[i]
-                w[rows[i]] += step * values[i]
+                w[rows[i]] += step * squared[rows[i]]
                 bias += step
                 moved = max(moved, abs(new - dual[i]) * diagonal[i])
                 dual[i] = new
@@ -101,7 +104,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, buckets: int, solver: Callable, o
     use = [r for r, h in zip(rows, held) if not h]
     ratios = log_count_ratios(use, y[~held], buckets)
     weights, bias = solver(use, y[~held], ratios)
-    model = LinearModel((weights * ratios).astype(np.float32), bias, 1.0, 0.0)
+    model = LinearModel(weights.astype(np.float32), bias, 1.0, 0.0)
     back = held if held.any() else ~held
     slope, shift = platt(model.margins([r for r, h in zip(rows, back) if h]), y[back])
     if odds:
@@ -132,7 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, features: Features, bu
 
     found = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
              .select("_y", "text").mapInPandas(scan, "y int, ids binary").collect())  # at most 2 * per_class rows
-    found.sort(key=lambda r: (r["y"], bytes(r["ids"])))  # the model does not depend on the order of arrival
+    found.sort(key=lambda r: (r["y"], len(r["ids"]), crc32(r["ids"])))  # the model does not depend on the order of arrival
     rows = [np.frombuffer(r["ids"], "<u4") for r in found]
     odds = counts.get(1, 0) / counts[0] if counts.get(0) else None
     return fit(rows, np.array([r["y"] for r in found]), buckets, solver, odds)
