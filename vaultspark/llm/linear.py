@@ -91,25 +91,34 @@ def platt(margin: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[float, f
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, buckets: int, solver: Callable, odds: float | None = None) -> LinearModel:
-    """Ratios and weights from three quarters of the rows, the sigmoid from the rest; ``odds`` (label 1 to label 0
-    among all training labels) undoes the sample's balance.  With no rows, or one class, the score is constant."""
+    """Ratios and weights from all rows; the sigmoid from the margins that models of three quarters give the last
+    quarter, in turn.  ``odds`` (label 1 to label 0 among all training labels) undoes the sample's balance.  With
+    no rows, or one class, the score is constant."""
     y = np.asarray(y)
     if len(set(y.tolist())) < 2:
         share = (y.sum() + 1) / (len(y) + 2) if len(y) else 0.5
         return LinearModel(np.zeros(buckets, np.float32), 0.0, 0.0, float(np.log(share / (1 - share))))
-    held = np.zeros(len(y), bool)
-    if len(y) >= 40:
-        for label in (0, 1):
-            held[np.flatnonzero(y == label)[::4]] = True
-    use = [r for r, h in zip(rows, held) if not h]
-    ratios = log_count_ratios(use, y[~held], buckets)
-    weights, bias = solver(use, y[~held], ratios)
-    model = LinearModel(weights.astype(np.float32), bias, 1.0, 0.0)
-    back = held if held.any() else ~held
-    slope, shift = platt(model.margins([r for r, h in zip(rows, back) if h]), y[back])
+
+    def model(keep: np.ndarray) -> LinearModel:
+        use = [r for r, k in zip(rows, keep) if k]
+        weights, bias = solver(use, y[keep], log_count_ratios(use, y[keep], buckets))
+        return LinearModel(weights.astype(np.float32), bias, 1.0, 0.0)
+
+    turn = np.zeros(len(y), int)
+    for label in (0, 1):
+        turn[y == label] = np.arange((y == label).sum()) % 4
+    margin, seen = np.zeros(len(y)), np.zeros(len(y), bool)
+    for k in range(4):
+        if (turn == k).any() and len(set(y[turn != k].tolist())) == 2:
+            margin[turn == k] = model(turn != k).margins([r for r, t in zip(rows, turn) if t == k])
+            seen |= turn == k
+    whole = model(np.ones(len(y), bool))
+    if len(set(y[seen].tolist())) < 2:  # a class with a single row
+        margin, seen = whole.margins(rows), np.ones(len(y), bool)
+    slope, shift = platt(margin[seen], y[seen])
     if odds:
-        shift += float(np.log(odds) - np.log((y[back] == 1).sum() / (y[back] == 0).sum()))
-    return LinearModel(model.weights, bias, slope, shift)
+        shift += float(np.log(odds) - np.log((y[seen] == 1).sum() / (y[seen] == 0).sum()))
+    return LinearModel(whole.weights, whole.bias, slope, shift)
 
 
 def fold(doc_id: str, folds: int) -> Column:
