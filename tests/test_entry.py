@@ -65,3 +65,14 @@ def test_new_keys_skips_known_duplicate_and_null_keys(spark):
                                       "cast(id as string) AS user_id_bk")
     batch = spark.createDataFrame([("5",), ("500",), ("500",), (None,)], "object_id string")
     assert [r.user_id_bk for r in new_keys(hub, batch, "object_id", "user").collect()] == ["500"]
+
+
+def test_documents_are_parsed_once_and_deliveries_cut_to_the_day(spark):
+    from vaultspark.operators import vault
+    from vaultspark.plans.world import World
+
+    w = World(spark, SF001)
+    _, rows = vault.link_changes(w.stg_orders, w.outbox, w.deliveries, w.hubs_for_day("2024-01-05"), "2024-01-05")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2  # staged orders, bonus events
+    assert "LeftSemi" in plan

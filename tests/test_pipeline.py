@@ -47,3 +47,25 @@ def test_day_tables_give_the_same_run_and_rerun(spark, world):
     assert got == expected
     again = pipeline.run_day(once, src, "2024-01-05", root, day_tables=names)
     assert {t: rows(again[t]) for t in CHECKED} == expected
+
+
+def test_declared_rules_reject_rows_in_the_load(spark, world):
+    """Orders without a rate or rated 9 are left out and reported; ``fail`` raises."""
+    from pyspark.sql import functions as F
+
+    from vaultspark.operators.quality import RuleViolation
+
+    s = pipeline.empty_state(spark)
+    s |= {pipeline.HUB_TABLES[e]: h for e, h in world.hubs_for_day("2024-01-04").items()}
+    s |= {"bonus_system_outbox": world.outbox, "couriers_system_couriers": world.couriers}
+    s["couriers_system_deliveries"] = world.deliveries.withColumn(
+        "rate", F.when(F.col("courier_id") == "3", 9).otherwise(F.col("rate")).cast("smallint"))
+    s["order_system_orders"] = world.stg_orders
+    rejected = {}
+    out = pipeline.run_dependents(s, "2024-01-04", on_violation="split", rejected=rejected)
+    rules = {r[0] for r in rejected["s_orders"].select("rule").distinct().collect()}
+    assert rules == {"not_null:order_rate", "range:order_rate"}
+    assert out["s_orders"].where("order_rate = 9").isEmpty()
+    assert {"l_orders", "s_products", "s_users", "s_restaurants", "s_couriers", "s_orders"} <= set(rejected)
+    with pytest.raises(RuleViolation):
+        pipeline.run_dependents(s, "2024-01-04", on_violation="fail")

@@ -178,6 +178,14 @@ def declared_rules(table: str, refs: dict[str, tuple[DataFrame, str]] | None = N
     return out
 
 
+def rules_of(df: DataFrame, table: str) -> list[Rule]:
+    """The declared rules of ``table`` whose columns ``df`` holds (a load's batch lacks the columns the load fills)."""
+    def columns(rule: Rule) -> tuple[str, ...]:
+        return rule.columns if isinstance(rule, Unique) else (rule.column,)
+
+    return [r for r in declared_rules(table) if set(columns(r)) <= set(df.columns)]
+
+
 def check(df: DataFrame, rules: list[Rule], rule_col: str = "rule") -> DataFrame:
     """``df`` plus ``rule``: name of the first violated rule, NULL when the row is valid."""
     cols = df.columns

@@ -30,23 +30,31 @@ BONUS_SPEC = {
 USER_SPEC = {"name": None, "login": None}
 
 
+def parsed_once(df: DataFrame, value: str, spec: dict, keep: list[str | Column], mode: str = "FAILFAST") -> DataFrame:
+    """The ``keep`` columns and the document as ``_d``, parsed once a row.
+
+    The document is the one element of an exploded array: a filter on its fields stays above the generator, while
+    one above a plain projection is pushed below it together with a copy of the parse for every field.
+    """
+    kept = [F.col(k) if isinstance(k, str) else k for k in keep]
+    return df.select(*kept, F.explode(F.array(parse(value, spec, mode))).alias("_d"))
+
+
 def json_explode(df: DataFrame, value: str, spec: dict, array: str, keep: list[str | Column],
                  mode: str = "FAILFAST") -> DataFrame:
     """Generic shredder: parse ``value`` with ``spec`` and explode ``spec[array]``.
 
     Returns the ``keep`` columns plus the fields of each array element.
     """
-    kept = [F.col(k) if isinstance(k, str) else k for k in keep]
-    parsed = df.select(*kept, parse(value, spec, mode)[array].alias("_arr"))
-    names = [c for c in parsed.columns if c != "_arr"]
-    return parsed.select(*names, F.explode("_arr").alias("_e")).select(*names, "_e.*")
+    parsed = parsed_once(df, value, spec, keep, mode)
+    names = [c for c in parsed.columns if c != "_d"]
+    return parsed.select(*names, F.explode(F.col("_d")[array]).alias("_e")).select(*names, "_e.*")
 
 
 def parsed_orders(stage: DataFrame) -> DataFrame:
     """Staged orders parsed once: ``object_id, update_ts, order_date, order_ts, restaurant_id,
     user_id, final_status, order_items``."""
-    d = parse("object_value", ORDER_SPEC).alias("_d")
-    p = stage.select("object_id", "update_ts", d)
+    p = parsed_once(stage, "object_value", ORDER_SPEC, ["object_id", "update_ts"])
     return p.select(
         "object_id", "update_ts",
         F.col("_d.date").cast("date").alias("order_date"),
@@ -73,10 +81,10 @@ def orders_of_days(stage: DataFrame, day: DayLike | None, days_back: int = 0) ->
 
 def order_lines(orders: DataFrame) -> DataFrame:
     """Items of parsed orders with their order's attributes, in one pass (no join back to the orders):
-    ``o_id, restaurant_id, user_id, p_id, quantity``."""
-    e = orders.select(F.col("object_id").alias("o_id"), "restaurant_id", "user_id",
+    ``o_id, order_date, restaurant_id, user_id, p_id, quantity``."""
+    e = orders.select(F.col("object_id").alias("o_id"), "order_date", "restaurant_id", "user_id",
                       F.explode("order_items").alias("_e"))
-    return e.select("o_id", "restaurant_id", "user_id", F.col("_e.id").alias("p_id"),
+    return e.select("o_id", "order_date", "restaurant_id", "user_id", F.col("_e.id").alias("p_id"),
                     F.col("_e.quantity").cast("int").alias("quantity"))
 
 
@@ -92,7 +100,7 @@ def shred_bonuses(outbox: DataFrame, day: DayLike | None, days_back: int = 0,
                   event_type: str = "bonus_transaction") -> DataFrame:
     """``(order_id, product_id, bonus_payment, bonus_grant)`` of bonus events of the window."""
     ev = outbox.where(F.col("event_type") == event_type)
-    p = ev.select(parse("event_value", BONUS_SPEC).alias("_d"))
+    p = parsed_once(ev, "event_value", BONUS_SPEC, [])
     p = p.select(F.col("_d.order_id").alias("order_id"), F.col("_d.order_date").cast("date").alias("_day"),
                  F.col("_d.product_payments").alias("_arr"))
     if day is not None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultspark.functions.keys import hash_key
 from vaultspark.session import shared_dir
-from vaultspark.functions.time import DayLike
+from vaultspark.functions.time import DayLike, day_lit, previous_day
 from vaultspark.operators.shred import order_lines, orders_of_days, shred_bonuses
 from vaultspark.operators.writes import _conform, delete_keys, replace_all
 
@@ -83,25 +83,45 @@ def _hub_as(hub: DataFrame, entity: str, bk_name: str) -> DataFrame:
     return hub.select(F.col(dwh(entity)), F.col(bk(entity)).alias(bk_name))
 
 
-def link_changes(stage_orders: DataFrame, outbox: DataFrame, deliveries: DataFrame,
-                 hubs: dict[str, DataFrame], day: DayLike | None, days_back: int = 0,
-                 link_columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(order keys whose link rows are deleted, new link rows with their order's business date)``."""
+def _deliveries_of(deliveries: DataFrame, stage_orders: DataFrame, orders: DataFrame, day: DayLike | None,
+                   days_back: int) -> DataFrame:
+    """Deliveries with their order's key as ``o_id``, cut to the window's orders (a semi join, so that a daily run
+    never shuffles the history for its left join).  The keys come from the stage's typed business date, where it has one."""
+    dl = deliveries.withColumnRenamed("order_id", "o_id")
+    if day is None:
+        return dl
+    if "order_date" in stage_orders.columns:
+        keys = stage_orders.where(F.col("order_date").between(day_lit(previous_day(day, days_back)), day_lit(day)))
+    else:
+        keys = orders
+    return dl.join(keys.select(F.col("object_id").alias("o_id")), "o_id", "left_semi")
+
+
+def link_changes(stage_orders: DataFrame, outbox: DataFrame, deliveries: DataFrame, hubs: dict[str, DataFrame],
+                 day: DayLike | None, days_back: int = 0) -> tuple[DataFrame, DataFrame]:
+    """``(order keys whose link rows are deleted, new link rows with their order's business date)``.
+
+    Items are exploded straight from the parsed orders (they carry the order's date, restaurant and user), then
+    joined on the order key with bonus lines and deliveries, then mapped through the hubs.  The courier is mapped
+    on the delivery, before the left join: lines without a delivery never meet on a NULL courier key.
+    """
     orders = orders_of_days(stage_orders, day, days_back)
-    o = orders.select(F.col("object_id").alias("o_id"), "order_date")
-    lines = order_lines(orders)
     bn = shred_bonuses(outbox, day, days_back).select(
         F.col("order_id").alias("o_id"), F.col("product_id").alias("p_id"), "bonus_payment", "bonus_grant")
-    dl = deliveries.select(F.col("order_id").alias("o_id"), "courier_id")
-    facts = lines.join(bn, ["o_id", "p_id"]).join(dl, "o_id", "left").join(o, "o_id")
-    rows = (facts
+    dl = (_deliveries_of(deliveries, stage_orders, orders, day, days_back).select("o_id", "courier_id")
+          .join(_hub_as(hubs["courier"], "courier", "courier_id"), "courier_id", "left").select("o_id", dwh("courier")))
+    rows = (order_lines(orders).join(bn, ["o_id", "p_id"]).join(dl, "o_id", "left")
             .join(_hub_as(hubs["order"], "order", "o_id"), "o_id")
             .join(_hub_as(hubs["restaurant"], "restaurant", "restaurant_id"), "restaurant_id")
             .join(_hub_as(hubs["user"], "user", "user_id"), "user_id")
-            .join(_hub_as(hubs["product"], "product", "p_id"), "p_id")
-            .join(_hub_as(hubs["courier"], "courier", "courier_id"), "courier_id", "left"))
-    dropped = o.join(_hub_as(hubs["order"], "order", "o_id"), "o_id").select(dwh("order"))
-    return dropped, rows
+            .join(_hub_as(hubs["product"], "product", "p_id"), "p_id"))
+    keys = orders.select(F.col("object_id").alias("o_id"))
+    return keys.join(_hub_as(hubs["order"], "order", "o_id"), "o_id").select(dwh("order")), rows
+
+
+def apply_changes(target: DataFrame, dropped: DataFrame, rows: DataFrame) -> DataFrame:
+    """``target`` without the orders in ``dropped``, and with ``rows``."""
+    return delete_keys(target, dropped, [dwh("order")]).unionByName(_conform(rows, target))
 
 
 def load_link(link: DataFrame, stage_orders: DataFrame, outbox: DataFrame, deliveries: DataFrame,
@@ -112,29 +132,27 @@ def load_link(link: DataFrame, stage_orders: DataFrame, outbox: DataFrame, deliv
     dropped), the order and its restaurant / user / product hubs (keys missing
     from a hub drop the row).  Left joins: deliveries and the courier hub (no
     delivery -> NULL courier).  ``day=None`` loads all days at once (bulk).
-
-    Items are exploded straight from the parsed orders (they carry the order's
-    restaurant and user), then joined on the order key with bonus lines and
-    deliveries (one shuffle by order key), then mapped through the hubs.
     """
-    orders = orders_of_days(stage_orders, day, days_back)
-    o = orders.select(F.col("object_id").alias("o_id"))
-    lines = order_lines(orders)
-    bn = shred_bonuses(outbox, day, days_back).select(
-        F.col("order_id").alias("o_id"), F.col("product_id").alias("p_id"), "bonus_payment", "bonus_grant")
-    dl = deliveries.select(F.col("order_id").alias("o_id"), "courier_id")
+    return apply_changes(link, *link_changes(stage_orders, outbox, deliveries, hubs, day, days_back))
 
-    facts = lines.join(bn, ["o_id", "p_id"]).join(dl, "o_id", "left")
-    rows = (facts
-            .join(_hub_as(hubs["order"], "order", "o_id"), "o_id")
-            .join(_hub_as(hubs["restaurant"], "restaurant", "restaurant_id"), "restaurant_id")
-            .join(_hub_as(hubs["user"], "user", "user_id"), "user_id")
-            .join(_hub_as(hubs["product"], "product", "p_id"), "p_id")
-            .join(_hub_as(hubs["courier"], "courier", "courier_id"), "courier_id", "left"))
 
-    dropped = o.join(_hub_as(hubs["order"], "order", "o_id"), "o_id").select(dwh("order"))
-    kept = delete_keys(link, dropped, [dwh("order")])
-    return kept.unionByName(_conform(rows, link))
+def order_satellite_changes(stage_orders: DataFrame, order_hub: DataFrame, deliveries: DataFrame, day: DayLike,
+                            days_back: int = 1) -> tuple[DataFrame, DataFrame]:
+    """``(order keys whose satellite rows are deleted, their new rows)``."""
+    orders = orders_of_days(stage_orders, day, days_back)
+    hit = orders.select(F.col("object_id").alias("o_id"), "final_status", "order_ts").join(
+        _hub_as(order_hub, "order", "o_id"), "o_id")
+    dl = _deliveries_of(deliveries, stage_orders, orders, day, days_back).select(
+        "o_id", "tip_sum", "rate", "address", "delivery_ts")
+    return hit.select(dwh("order")), hit.join(dl, "o_id", "left").select(
+        dwh("order"),
+        F.col("tip_sum").alias("order_tip_sum"),
+        F.col("rate").alias("order_rate"),
+        F.col("final_status").alias("order_status"),
+        F.col("address").alias("order_address"),
+        F.col("order_ts").alias("order_create_ts"),
+        F.col("delivery_ts").alias("order_delivering_ts"),
+    )
 
 
 def load_window_satellite(sat: DataFrame, stage_orders: DataFrame, order_hub: DataFrame, deliveries: DataFrame,
@@ -144,21 +162,7 @@ def load_window_satellite(sat: DataFrame, stage_orders: DataFrame, order_hub: Da
     Delivery attributes come through a left join, so an order without delivery
     keeps NULL tip / rate / address / delivery time.
     """
-    orders = orders_of_days(stage_orders, day, days_back).select(
-        F.col("object_id").alias("o_id"), "final_status", "order_ts")
-    hit = orders.join(_hub_as(order_hub, "order", "o_id"), "o_id")
-    kept = delete_keys(sat, hit, [dwh("order")])
-    dl = deliveries.select(F.col("order_id").alias("o_id"), "tip_sum", "rate", "address", "delivery_ts")
-    rows = hit.join(dl, "o_id", "left").select(
-        dwh("order"),
-        F.col("tip_sum").alias("order_tip_sum"),
-        F.col("rate").alias("order_rate"),
-        F.col("final_status").alias("order_status"),
-        F.col("address").alias("order_address"),
-        F.col("order_ts").alias("order_create_ts"),
-        F.col("delivery_ts").alias("order_delivering_ts"),
-    )
-    return kept.unionByName(_conform(rows, sat))
+    return apply_changes(sat, *order_satellite_changes(stage_orders, order_hub, deliveries, day, days_back))
 
 
 def load_full_satellite(sat: DataFrame, couriers: DataFrame, courier_hub: DataFrame) -> DataFrame:

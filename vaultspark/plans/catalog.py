@@ -601,6 +601,70 @@ def q_dq_ordered_versions(w: World) -> DataFrame:
         "product_id_dwh", "active_from", "active_to", "rule")
 
 
+# Rows made from whole tables so that every declared rule meets rows that break it.
+
+@query("dq_declared_order_rows", (
+    "WITH r AS (SELECT o_orderkey AS order_key, CASE WHEN o_orderpriority = '1-URGENT' THEN 'c' || CAST(o_custkey AS VARCHAR) "
+    "ELSE 'o' || CAST(o_orderkey AS VARCHAR) END AS k, CASE WHEN o_orderstatus <> 'P' THEN o_custkey % 8 END AS rate, "
+    "o_custkey % 11 - 1 AS tip, o_orderpriority AS status, repeat('Street ', CAST(o_custkey % 9 AS INTEGER)) AS address FROM orders) "
+    "SELECT order_key, CASE WHEN rate IS NULL THEN 'not_null:order_rate' "
+    "WHEN count(*) OVER (PARTITION BY k) > 1 THEN 'unique:order_id_dwh' WHEN tip < 0 THEN 'lower_bound:order_tip_sum' "
+    "WHEN rate NOT BETWEEN 1 AND 5 THEN 'range:order_rate' WHEN length(status) > 9 THEN 'max_length:order_status' "
+    "WHEN length(address) > 50 THEN 'max_length:order_address' END AS rule FROM r"))
+def q_dq_declared_order_rows(w: World) -> DataFrame:
+    """All orders as order-satellite rows against the rules that table declares."""
+    rows = w.t("orders").select(
+        F.col("o_orderkey").alias("order_key"),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("c"), F.col("o_custkey").cast("string")))
+        .otherwise(F.concat(F.lit("o"), F.col("o_orderkey").cast("string"))).alias("order_id_dwh"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_custkey") % 8).cast("smallint").alias("order_rate"),
+        (F.col("o_custkey") % 11 - 1).cast("decimal(8,2)").alias("order_tip_sum"),
+        F.col("o_orderpriority").alias("order_status"), F.col("o_orderdate").alias("order_create_ts"),
+        F.expr("repeat('Street ', cast(o_custkey % 9 AS int))").alias("order_address"))
+    return Q.check(rows, Q.declared_rules("s_orders")).select("order_key", "rule")
+
+
+@query("dq_declared_link_rows", (
+    "SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' THEN 'not_null:restaurant_id_dwh' "
+    "WHEN count(*) OVER (PARTITION BY l_orderkey, l_partkey) > 1 THEN 'unique:order_id_dwh,product_id_dwh' "
+    "WHEN CAST(l_quantity AS INTEGER) <= 10 THEN 'lower_bound:quantity' WHEN l_linenumber < 2 THEN 'lower_bound:bonus_payment' "
+    "WHEN l_linenumber < 3 THEN 'lower_bound:bonus_grant' WHEN p_partkey IS NULL THEN 'foreign_key:product_id_dwh' END AS rule "
+    "FROM lineitem LEFT JOIN (SELECT p_partkey FROM part WHERE p_size < 40) p ON p_partkey = l_partkey"))
+def q_dq_declared_link_rows(w: World) -> DataFrame:
+    """All order lines as link rows against the rules the link declares and a product reference with gaps."""
+    text = lambda c: F.col(c).cast("string")
+    rows = w.t("lineitem").select(
+        "l_orderkey", "l_linenumber", text("l_orderkey").alias("order_id_dwh"), text("l_orderkey").alias("user_id_dwh"),
+        F.when(F.col("l_returnflag") != "R", text("l_suppkey")).alias("restaurant_id_dwh"),
+        text("l_partkey").alias("product_id_dwh"), (F.col("l_quantity").cast("int") - 10).alias("quantity"),
+        (F.col("l_linenumber") - 2).cast("decimal(8,2)").alias("bonus_payment"),
+        (F.col("l_linenumber") - 3).cast("decimal(8,2)").alias("bonus_grant"))
+    known = w.t("part").where("p_size < 40").select(text("p_partkey").alias("product_id_dwh"))
+    rules = Q.declared_rules("l_orders", {"product_id_dwh": (known, "product_id_dwh")})
+    return Q.check(rows, rules).select("l_orderkey", "l_linenumber", "rule")
+
+
+@query("dq_type_violations", (
+    "SELECT p_partkey, CASE WHEN TRY_CAST(price AS DECIMAL(8,2)) IS NULL THEN 'type:price' END AS rule FROM (SELECT p_partkey, "
+    "CASE p_size % 4 WHEN 0 THEN p_brand WHEN 1 THEN CAST(p_partkey + 1000000 AS VARCHAR) ELSE CAST(p_partkey AS VARCHAR) END "
+    "AS price FROM part)"))
+def q_dq_type_violations(w: World) -> DataFrame:
+    """Price texts of all parts: some are words, some too large for the declared type."""
+    kind = F.col("p_size") % 4
+    price = F.when(kind == 0, F.col("p_brand")).when(kind == 1, (F.col("p_partkey") + 1000000).cast("string"))
+    rows = w.t("part").select("p_partkey", price.otherwise(F.col("p_partkey").cast("string")).alias("price"))
+    return Q.check(rows, [Q.conforms("price", "decimal(8,2)")]).select("p_partkey", "rule")
+
+
+@query("dq_reversed_versions", (
+    "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' AND o_custkey % 3 = 0 THEN 'ordered:active_from,active_to' END AS rule FROM orders"))
+def q_dq_reversed_versions(w: World) -> DataFrame:
+    """Versions made from all orders: some end a day before they start, some have no end."""
+    rows = w.t("orders").select("o_orderkey", F.col("o_orderdate").alias("active_from"), F.expr(
+        "CASE WHEN o_orderstatus <> 'P' THEN o_orderdate + make_dt_interval(cast(o_custkey % 3 - 1 AS int)) END").alias("active_to"))
+    return Q.check(rows, [Q.ordered("active_from", "active_to")]).select("o_orderkey", "rule")
+
+
 # ======================================================================== streaming form of S1/S2/W1/W2
 
 @query("stream_stage_documents", sql(
@@ -648,17 +712,50 @@ RUN_TABLES = ["h_orders", "h_restaurants", "h_users", "h_products", "h_couriers"
               "couriers_system_deliveries"]
 
 
-@query("run_day", RUN_DAY_COUNTS)
-def q_run_day(w: World) -> DataFrame:
+def after_run_day(w: World, written: dict[str, int]) -> dict[str, DataFrame]:
     """State as of D-1 (bulk backfill from the first day; outbox and deliveries loaded into
     day-partitioned tables), then the persisted daily run of D, which replaces only the day
-    partitions of those two; row count of each table afterwards."""
+    partitions of those two."""
     sources = w.sources()
     root = shared_dir(w.spark, "warehouse")
     before, day_tables = pipeline.register_day_tables(
         pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV), root, load=True)
+    return pipeline.run_day(before, sources, DAY, root, metrics=written, day_tables=day_tables)
+
+
+@query("run_day", RUN_DAY_COUNTS)
+def q_run_day(w: World) -> DataFrame:
+    """Row count of each table after the daily run."""
     written: dict[str, int] = {}
-    pipeline.run_day(before, sources, DAY, root, metrics=written, day_tables=day_tables)
-    # row counts observed while the tables were written (no rescan)
+    after_run_day(w, written)
     return pipeline.metrics_frame(w.spark, written, DAY).where(F.col("table_name").isin(RUN_TABLES)).select(
         "table_name", "rows")
+
+
+@query("run_day_contents", sql(
+    "SELECT 'l_orders' AS table_name, order_id_dwh AS key, product_id_dwh AS product, bonus_payment AS amount, "
+    "concat_ws('|', restaurant_id_dwh, user_id_dwh, courier_id_dwh, CAST(quantity AS VARCHAR)) AS attributes, "
+    f"CAST(NULL AS TIMESTAMP) AS from_ts, CAST(NULL AS TIMESTAMP) AS to_ts FROM link WHERE _day <= {D} "
+    "UNION ALL SELECT 's_products', product_id_dwh, NULL, product_price, concat_ws('|', product_name, product_category), "
+    f"active_from, active_to FROM ({PRODUCTS_SAT}) "
+    "UNION ALL SELECT 's_orders', sha256(CAST(o_orderkey AS VARCHAR)), NULL, d.tip_sum, "
+    "concat_ws('|', o_orderstatus, CAST(d.rate AS VARCHAR), d.address), odate, d.delivery_ts "
+    f"FROM ord LEFT JOIN deliv d ON d.order_id = CAST(o_orderkey AS VARCHAR) WHERE CAST(odate AS DATE) <= {D}",
+    "link", "ord", "deliv"))
+def q_run_day_contents(w: World) -> DataFrame:
+    """Every row of the link, the product and the order satellite after the daily run."""
+    s = after_run_day(w, {})
+    none, never = F.lit(None).cast("string"), F.lit(None).cast("timestamp_ntz")
+
+    def rows(table: str, key: str, product, amount: str, attributes: list[str], lo, hi) -> DataFrame:
+        return s[table].select(
+            F.lit(table).alias("table_name"), F.col(key).alias("key"), product.alias("product"), F.col(amount).alias("amount"),
+            F.concat_ws("|", *[F.col(a).cast("string") for a in attributes]).alias("attributes"),
+            lo.alias("from_ts"), hi.alias("to_ts"))
+
+    return (rows("l_orders", "order_id_dwh", F.col("product_id_dwh"), "bonus_payment",
+                 ["restaurant_id_dwh", "user_id_dwh", "courier_id_dwh", "quantity"], never, never)
+            .union(rows("s_products", "product_id_dwh", none, "product_price", ["product_name", "product_category"],
+                        F.col("active_from"), F.col("active_to")))
+            .union(rows("s_orders", "order_id_dwh", none, "order_tip_sum", ["order_status", "order_rate", "order_address"],
+                        F.col("order_create_ts"), F.col("order_delivering_ts"))))

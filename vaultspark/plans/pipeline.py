@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from vaultspark.functions.json import to_document, to_order_document
 from vaultspark.functions.time import DayLike, in_days, ts_lit
-from vaultspark.operators import scd2, vault
+from vaultspark.operators import quality, scd2, vault
 from vaultspark.operators.shred import USER_SPEC, menu_product_keys, shred_documents, shred_menu
 from vaultspark.operators.writes import (
     advance_watermark, latest_per_key, replace_all, replace_range, replace_slice, replace_window, upsert,
@@ -138,40 +138,59 @@ def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash",
 
 
 def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist = _keep,
-                   day_tables: dict[str, str] | None = None, link_days_back: int = 0) -> dict[str, DataFrame]:
+                   day_tables: dict[str, str] | None = None, link_days_back: int = 0, on_violation: str | None = None,
+                   rejected: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """Staging + hubs -> link and satellites for run date ``day`` (independent of each other).
 
     ``link_days_back`` widens the link's window of business days, for orders staged after their day.
 
     With a day table for the link (partitioned by the order's business date),
     only the partitions of the day's rows and of the deleted orders are rewritten.
+
+    ``on_violation`` applies the declared rules to the rows each load adds: ``"split"`` leaves bad rows out and
+    puts them, with the rule each breaks, into ``rejected[table]``; ``"fail"`` raises; None (default) checks nothing.
     """
+    def checked(table: str, rows: DataFrame) -> DataFrame:
+        if on_violation is None:
+            return rows
+        valid, bad = quality.split_valid(rows, quality.rules_of(rows, table), on_violation)
+        if rejected is not None:
+            rejected[table] = bad
+        return valid
+
     s = dict(state)
     stg_r, stg_u, stg_o = s["order_system_restaurants"], s["order_system_users"], s["order_system_orders"]
     hubs = {e: s[t] for e, t in HUB_TABLES.items()}
+    dropped, rows = vault.link_changes(stg_o, s["bonus_system_outbox"], s["couriers_system_deliveries"], hubs, day,
+                                       link_days_back)
+    rows = checked("l_orders", rows)
     if day_tables and LINK_DAY_TABLE in day_tables:
-        dropped, rows = vault.link_changes(stg_o, s["bonus_system_outbox"], s["couriers_system_deliveries"], hubs, day,
-                                           link_days_back)
         s["l_orders"] = rewrite_days(stg_o.sparkSession, day_tables[LINK_DAY_TABLE], "l_orders", dropped,
                                      ["order_id_dwh"], rows, "order_date")
     else:
-        s["l_orders"] = persist("l_orders", vault.load_link(s["l_orders"], stg_o, s["bonus_system_outbox"],
-                                                            s["couriers_system_deliveries"], hubs, day, link_days_back))
-    s["s_restaurants"] = scd2.scd2_apply(s["s_restaurants"], restaurant_batch(stg_r, hubs["restaurant"], day),
-                                         "restaurant_id_dwh", ["restaurant_name"])
-    s["s_users"] = scd2.scd2_apply(s["s_users"], user_batch(stg_u, hubs["user"], day),
+        s["l_orders"] = persist("l_orders", vault.apply_changes(s["l_orders"], dropped, rows))
+    s["s_restaurants"] = scd2.scd2_apply(
+        s["s_restaurants"], checked("s_restaurants", restaurant_batch(stg_r, hubs["restaurant"], day)),
+        "restaurant_id_dwh", ["restaurant_name"])
+    s["s_users"] = scd2.scd2_apply(s["s_users"], checked("s_users", user_batch(stg_u, hubs["user"], day)),
                                    "user_id_dwh", ["user_name", "user_login"])
-    s["s_products"] = scd2.scd2_apply(s["s_products"], product_batch(stg_r, hubs["product"], day),
-                                      "product_id_dwh", ["product_name", "product_price", "product_category"])
-    s["s_couriers"] = vault.load_full_satellite(s["s_couriers"], s["couriers_system_couriers"], hubs["courier"])
-    s["s_orders"] = vault.load_window_satellite(s["s_orders"], stg_o, hubs["order"],
-                                                s["couriers_system_deliveries"], day, 1)
+    s["s_products"] = scd2.scd2_apply(
+        s["s_products"], checked("s_products", product_batch(stg_r, hubs["product"], day)),
+        "product_id_dwh", ["product_name", "product_price", "product_category"])
+    s["s_couriers"] = vault.load_full_satellite(s["s_couriers"], checked_couriers(s, checked), hubs["courier"])
+    dropped, rows = vault.order_satellite_changes(stg_o, hubs["order"], s["couriers_system_deliveries"], day, 1)
+    s["s_orders"] = vault.apply_changes(s["s_orders"], dropped, checked("s_orders", rows))
     for t in DEPENDENT_TABLES:
         if t != "l_orders":
             s[t] = persist(t, s[t])
     return s
 
 
+def checked_couriers(state: dict[str, DataFrame], checked: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
+    named = state["couriers_system_couriers"].withColumnRenamed("name", "courier_name")
+    return checked("s_couriers", named).withColumnRenamed("courier_name", "name")
+
+
 def run_vault(state: dict[str, DataFrame], day: DayLike, key: str = "hash") -> dict[str, DataFrame]:
     """Staging -> hubs, then link and satellites, for run date ``day`` (lazy)."""
     return run_dependents(run_hubs(state, day, key), day)
@@ -237,7 +256,8 @@ def register_day_tables(state: dict[str, DataFrame], root: str,
 def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
             save_root: str | None = None, key: str = "hash",
             metrics: dict[str, int] | None = None, day_tables: dict[str, str] | None = None,
-            link_days_back: int = 0) -> dict[str, DataFrame]:
+            link_days_back: int = 0, on_violation: str | None = None,
+            rejected: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """One daily run: staging, then hubs, then link and satellites.
 
     With ``save_root`` every table is persisted as soon as it is built, so no
@@ -245,6 +265,7 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
     With ``metrics`` (a dict) the rows written per table are recorded there,
     observed during the writes (see ``metrics_frame``).  With ``day_tables``
     (``register_day_tables``) outbox and deliveries are replaced per day partition.
+    ``on_violation`` and ``rejected``: the declared rules, see ``run_dependents``.
     """
     persist = _saver(save_root, metrics)
     s = run_staging(state, sources, day, persist, day_tables)
@@ -256,7 +277,7 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
         for t in HUB_TABLES.values():
             if t in day_tables:
                 metrics[t] = s[t].count()
-    s = run_dependents(s, day, persist, day_tables, link_days_back)
+    s = run_dependents(s, day, persist, day_tables, link_days_back, on_violation, rejected)
     if metrics is not None and day_tables and LINK_DAY_TABLE in day_tables:
         metrics["l_orders"] = s["l_orders"].count()
     return s
