@@ -171,4 +171,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windows: int = WINDOWS) -> DataFrame:
     """The rows of ``docs`` whose doc_id holds no benchmark item; all columns stay, a null doc_id always stays."""
     found = contaminated(docs, benchmark, window, min_windows).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(found, F.col("doc_id") == F.col("_leak"), "left_anti")
+    return docs.join(found, docs["doc_id"] == found["_leak"], "left_anti")

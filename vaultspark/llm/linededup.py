@@ -22,12 +22,6 @@ def line_key(line: Column) -> Column:
     return F.when(F.octet_length(bare) == F.char_length(bare), F.lower(bare)).otherwise(F.translate(bare, UPPER, LOWER))
 
 
-def _identified(docs: DataFrame) -> DataFrame:
-    """Rows that share doc_id and text are interchangeable; (_id, _text_hash) names them."""
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn(
-        "_text_hash", F.xxhash64(text_or_empty()))
-
-
 def line_drops(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """``(_id, _text_hash, n_dropped, dropped)``: the documents that lose lines.
 
@@ -38,8 +32,9 @@ def line_drops(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataF
     crosses partitions are added up.  Documents are told apart by doc_id.
     """
     spark = docs.sparkSession
-    rows = _identified(docs.select("doc_id", "text")).select(
-        "_id", "_text_hash", F.posexplode(_lines(text_or_empty())).alias("pos", "line"))
+    rows = docs.select(  # rows that share doc_id and text are interchangeable: (_id, _text_hash) names them
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text_or_empty()).alias("_text_hash"),
+        F.posexplode(_lines(text_or_empty())).alias("pos", "line"))
     key = rows.where(F.char_length("line") >= min_chars).withColumn("key", line_key(F.col("line")))
     hashes = written(key.where(F.char_length("key") >= min_chars).select(
         F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "_id", "_text_hash", "pos"), "line-hashes")
@@ -75,13 +70,12 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Data
     stays null; a null doc_id counts as one document below all others; repeated rows are treated alike; other
     columns pass through.  An empty table gives no rows.
     """
-    drops = line_drops(docs, min_chars, min_docs).select(
-        F.col("_id").alias("_drop_id"), F.col("_text_hash").alias("_drop_hash"), F.col("n_dropped").alias("_n"), "dropped")
-    base = _identified(docs)
-    joined = base.join(drops.withColumnRenamed("dropped", "_dropped"),
-                       (base["_id"] == F.col("_drop_id")) & (base["_text_hash"] == F.col("_drop_hash")), "left")
-    cols = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    drops = line_drops(docs, min_chars, min_docs)
+    doc_id = F.coalesce(docs["doc_id"].cast("long"), F.lit(NO_ID))
+    text = F.coalesce(docs["text"], F.lit(""))
+    joined = docs.join(drops, (doc_id == drops["_id"]) & (F.xxhash64(text) == drops["_text_hash"]), "left")
+    cols = [docs[c] for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     return joined.select(
-        *cols, F.size(_lines(text_or_empty())).cast("long").alias("n_lines"),
-        F.coalesce("_n", F.lit(0)).cast("long").alias("n_dropped"),
-        F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(kept_text(F.col("text"), F.col("_dropped"))).alias("text"))
+        *cols, F.size(_lines(text)).cast("long").alias("n_lines"),
+        F.coalesce(drops["n_dropped"], F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(drops["dropped"].isNull(), docs["text"]).otherwise(kept_text(docs["text"], drops["dropped"])).alias("text"))
