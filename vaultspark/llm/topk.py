@@ -123,14 +123,14 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, piv
             yield pdf.assign(d=list(pivot_distances(_matrix(pdf["v"], width), centres)) if len(pdf) else [])
 
     table = base.mapInPandas(measure, "vec_id long, v array<double>, d array<double>")
-    table = written(table, "pivot-table")
-    queries = table.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("v", "d")).alias("x")).select(
-        "vec_id", "x.v", "x.d")
+    table = written(table.withColumn("nr", F.monotonically_increasing_id()), "pivot-table")  # nr tells repeated rows apart
+    queries = table.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min(F.struct("v", "d", "nr")).alias("x")).select(
+        "vec_id", "x.v", "x.d", "x.nr")
     c_blocks = max(1, math.ceil(rows / CANDIDATE_BLOCK))
     q_blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
 
     def dealt(df: DataFrame, own: int, other: int, query: bool) -> DataFrame:
-        block = F.pmod(F.xxhash64("vec_id", F.hash("v")), F.lit(own)).cast("int")
+        block = F.pmod(F.xxhash64("nr"), F.lit(own)).cast("int")
         each = F.explode(F.sequence(F.lit(0), F.lit(other - 1)))
         df = df.withColumn("block", block).withColumn("each", each)
         tile = F.struct(F.col("block" if query else "each").alias("q"), F.col("each" if query else "block").alias("c"))
