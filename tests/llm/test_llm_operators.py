@@ -78,6 +78,8 @@ def _line_dedup(rows):
 def test_line_dedup(docs):
     got = [(r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in linededup.dedup_lines(docs).collect()]
     assert _sorted(got) == _sorted(_line_dedup(DOCS))
+    named = docs.select("doc_id", "text", F.lit(5).alias("_id"), F.lit(6).alias("_text_hash"), F.lit(7).alias("dropped"))
+    assert {tuple(r)[1:4] for r in linededup.dedup_lines(named).collect()} == {(5, 6, 7)}
     assert linededup.dedup_lines(docs.limit(0)).count() == 0
 
 
@@ -229,6 +231,13 @@ def test_classifiers_on_held_out_labels(spark, docs, scorer, label):
     assert scorer(docs.limit(0), labels).count() == 0
 
 
+def test_repeated_rows_of_a_document_train_once(spark, documents):
+    labels = read(spark, SF001, "labels")
+    twice = quality.train_quality(documents.union(documents), labels.union(labels))
+    once = quality.train_quality(documents, labels)
+    assert np.array_equal(once.weights, twice.weights) and (once.slope, once.shift) == (twice.slope, twice.shift)
+
+
 def test_dual_coordinate_descent_separates():
     rng = np.random.default_rng(4)
     y = rng.integers(0, 2, 400)

@@ -129,9 +129,10 @@ def fold(doc_id: str, folds: int) -> Column:
 def train(docs: DataFrame, labels: DataFrame, label: str, features: Features, buckets: int, solver: Callable,
           per_class: int) -> LinearModel:
     """Fit on at most ``per_class`` labelled rows of either class.  ``labels(doc_id, <label>)`` holds the training
-    rows only; other labels than 0 and 1 and rows without a document are left out."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").alias("_labelled"), F.col(label).cast("int").alias("_y"))
+    rows only; other labels than 0 and 1 and rows without a document are left out.  A doc_id counts once, with
+    its largest label and smallest text."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(
+        F.col("doc_id").alias("_labelled")).agg(F.max(F.col(label).cast("int")).alias("_y"))
     counts = dict(known.groupBy("_y").count().collect())
     sample = None
     for value in (0, 1):
@@ -143,6 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, features: Features, bu
             yield pd.DataFrame({"y": pdf["_y"], "ids": [features(t or "").astype("<u4").tobytes() for t in pdf["text"]]})
 
     found = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
+             .groupBy("_labelled", "_y").agg(F.min("text").alias("text"))  # repeated rows of a document are one
              .select("_y", "text").mapInPandas(scan, "y int, ids binary").collect())  # at most 2 * per_class rows
     found.sort(key=lambda r: (r["y"], len(r["ids"]), crc32(r["ids"])))  # the model does not depend on the order of arrival
     rows = [np.frombuffer(r["ids"], "<u4") for r in found]
