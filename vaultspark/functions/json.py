@@ -59,6 +59,15 @@ def parse(col: Column | str, spec: dict, mode: str = "FAILFAST") -> Column:
     return F.from_json(c, string_schema(spec), {"mode": mode})
 
 
+def to_outbox(events: DataFrame, event_type: str = "bonus_transaction") -> DataFrame:
+    """Outbox events with the business date of bonus transactions as a typed column (NULL for other events).
+
+    A malformed transaction fails the staging, as it would fail the load that reads it.
+    """
+    date = parse("event_value", {"order_date": None})["order_date"].cast("date")
+    return events.withColumn("order_date", F.when(F.col("event_type") == event_type, date))
+
+
 def json_field(col: Column | str, path: str) -> Column:
     """``v::JSON->>'a'`` / ``(v::JSON->>'a')::JSON->>'b'`` as ``$.a.b`` text."""
     c = F.col(col) if isinstance(col, str) else col

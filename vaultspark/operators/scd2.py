@@ -69,7 +69,7 @@ def scd2_apply(sat: DataFrame, batch: DataFrame, key: str, attrs: list[str], ts:
 
     The batch is first reduced to one row per key.  The insert decision is the
     same before and after the close (closing changes no attributes of the latest
-    version), so both steps read one comparison of batch vs latest version.
+    version), so both steps use the same comparison of batch and latest version.
     """
     b = reduce_batch(batch, key, attrs, ts)
     j = _compare(sat, b, key, attrs, ts)
@@ -79,6 +79,30 @@ def scd2_apply(sat: DataFrame, batch: DataFrame, key: str, attrs: list[str], ts:
     return closed.unionByName(_new_versions(j, key, attrs, ts, null_safe).select(sat.columns))
 
 
+def scd2_changes(open_rows: DataFrame, batch: DataFrame, key: str, attrs: list[str], ts: str = "update_ts",
+                 null_safe: bool = False) -> DataFrame:
+    """The versions a batch adds or ends: for a changed key its open version, now closed, and the new one; for a
+    key without an open version the new one.
+
+    Reads the open versions only (one a key, as every load leaves them), so a run's cost does not grow with the
+    history.  ``scd2_apply`` = the satellite without the open versions ended here, plus these rows.
+    """
+    b = reduce_batch(batch, key, attrs, ts).select(key, *attrs, ts)
+    old = open_rows.where(_open()).select(
+        key, *[F.col(a).alias(f"_o_{a}") for a in attrs], F.col(FROM).alias("_o_from"), F.lit(True).alias("_o_hit"))
+    j = b.join(old, key, "left")
+    chg = F.coalesce(changed([F.col(a) for a in attrs], [F.col(f"_o_{a}") for a in attrs], null_safe), F.lit(False))
+    types = {f.name: f.dataType for f in open_rows.schema.fields}
+
+    def version(prefix: str, start: Column, end: Column) -> Column:
+        return F.struct(*[F.col(f"{prefix}{a}").cast(types[a]).alias(a) for a in attrs],
+                        start.cast(types[FROM]).alias(FROM), end.cast(types[TO]).alias(TO))
+
+    both = F.array(F.when(chg, version("_o_", F.col("_o_from"), minus_one_ms(ts))),
+                   F.when(chg | F.col("_o_hit").isNull(), version("", F.col(ts), ts_lit(OPEN_TO))))
+    return j.select(key, F.explode(F.filter(both, lambda v: v.isNotNull())).alias("_v")).select(key, "_v.*")
+
+
 def scd2_history(updates: DataFrame, key: str, attrs: list[str], ts: str = "update_ts",
                  null_safe: bool = False, per_day: bool = True) -> DataFrame:
     """All versions from a whole history of updates in one job (bulk backfill).

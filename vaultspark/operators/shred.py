@@ -98,8 +98,13 @@ def shred_order_items(stage: DataFrame, day: DayLike | None, days_back: int = 0)
 
 def shred_bonuses(outbox: DataFrame, day: DayLike | None, days_back: int = 0,
                   event_type: str = "bonus_transaction") -> DataFrame:
-    """``(order_id, product_id, bonus_payment, bonus_grant)`` of bonus events of the window."""
+    """``(order_id, product_id, bonus_payment, bonus_grant)`` of bonus events of the window.
+
+    An outbox with a typed ``order_date`` column (``to_outbox``) is cut before any text is parsed.
+    """
     ev = outbox.where(F.col("event_type") == event_type)
+    if day is not None and "order_date" in outbox.columns:
+        ev = ev.where(F.col("order_date").between(day_lit(previous_day(day, days_back)), day_lit(day)))
     p = parsed_once(ev, "event_value", BONUS_SPEC, [])
     p = p.select(F.col("_d.order_id").alias("order_id"), F.col("_d.order_date").cast("date").alias("_day"),
                  F.col("_d.product_payments").alias("_arr"))

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.functions.json import to_document, to_order_document
-from vaultspark.functions.time import DayLike, in_days, ts_lit
+from vaultspark.functions.json import to_document, to_order_document, to_outbox
+from vaultspark.functions.time import OPEN_TO, DayLike, in_days, ts_lit
 from vaultspark.operators import quality, scd2, vault
 from vaultspark.operators.shred import USER_SPEC, menu_product_keys, shred_documents, shred_menu
 from vaultspark.operators.writes import (
@@ -24,8 +25,8 @@ from vaultspark.operators.writes import (
 from vaultspark.schemas import PARTITIONING, TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
 from vaultspark.sources.store import (
-    append_rows_to, append_table, day_table, empty_table, load_days, load_rows, read_days, replace_days, rewrite_days,
-    save_table, upsert_days,
+    DAY_COL, append_rows_to, append_table, day_table, empty_table, load_days, load_rows, read_days, replace_days,
+    rewrite_days, save_table, upsert_days,
 )
 
 DOCUMENT_COLLECTIONS = {
@@ -48,12 +49,22 @@ def _next(day: DayLike) -> str:
 Persist = Callable[[str, DataFrame], DataFrame]
 
 
+def _together(steps: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Independent loads, submitted to Spark side by side."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return dict(zip(steps, pool.map(lambda step: step(), steps.values())))
+
+
 def _keep(name: str, df: DataFrame) -> DataFrame:
     return df
 
 
 DAY_TABLES = {"bonus_system_outbox": "event_ts", "couriers_system_deliveries": "order_ts",
-              "order_system_orders": "order_date"}
+              "order_system_orders": "order_date", "s_orders": "order_create_ts",
+              "s_restaurants": "active_to", "s_users": "active_to", "s_products": "active_to"}
+# Versioned satellites: the open versions are one partition, closed ones lie with the day they ended.
+VERSIONED = {"s_restaurants": ("restaurant_id_dwh", ["restaurant_name"]), "s_users": ("user_id_dwh", ["user_name", "user_login"]),
+             "s_products": ("product_id_dwh", ["product_name", "product_price", "product_category"])}
 # Day tables whose day is not one of their columns: the layout day is looked up.
 LINK_DAY_TABLE = "l_orders"
 
@@ -84,10 +95,10 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
     if day_tables:
         spark = log.sparkSession
         s["bonus_system_outbox"] = replace_days(spark, day_tables["bonus_system_outbox"], "bonus_system_outbox",
-                                                sources["outbox"], "event_ts", day)
+                                                to_outbox(sources["outbox"]), "event_ts", day)
     else:
         s["bonus_system_outbox"] = persist("bonus_system_outbox", replace_slice(
-            s["bonus_system_outbox"], sources["outbox"], "event_ts", day))
+            s["bonus_system_outbox"], to_outbox(sources["outbox"]), "event_ts", day))
     s["bonus_system_users"] = persist("bonus_system_users", replace_all(
         s["bonus_system_users"], sources["bonus_users"].withColumnsRenamed({"id": "bonus_user_id"})))
     s["couriers_system_couriers"] = persist("couriers_system_couriers", replace_all(
@@ -127,14 +138,13 @@ def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash",
         "order": (_updated_on(stg_o, day), "object_id"),
         "product": (menu_product_keys(stg_r, day), "product_id"),
     }
-    for entity, (batch, col) in batches.items():
-        t = HUB_TABLES[entity]
+    def load(entity: str) -> DataFrame:
+        t, (batch, col) = HUB_TABLES[entity], batches[entity]
         if tables and t in tables:
-            s[t] = append_rows_to(stg_o.sparkSession, tables[t], t,
-                                  vault.hub_additions(s[t], batch, col, entity, key))
-        else:
-            s[t] = persist(t, vault.load_hub(s[t], batch, col, entity, key))
-    return s
+            return append_rows_to(stg_o.sparkSession, tables[t], t, vault.hub_additions(s[t], batch, col, entity, key))
+        return persist(t, vault.load_hub(s[t], batch, col, entity, key))
+
+    return s | _together({HUB_TABLES[e]: lambda e=e: load(e) for e in batches})
 
 
 def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist = _keep,
@@ -144,8 +154,9 @@ def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist =
 
     ``link_days_back`` widens the link's window of business days, for orders staged after their day.
 
-    With a day table for the link (partitioned by the order's business date),
-    only the partitions of the day's rows and of the deleted orders are rewritten.
+    With a day table for the link or the order satellite (partitioned by the order's day), only the partitions of
+    the day's rows and of the deleted orders are rewritten; with one for a versioned satellite, only that of the open
+    versions and those of the days on which versions end.
 
     ``on_violation`` applies the declared rules to the rows each load adds: ``"split"`` leaves bad rows out and
     puts them, with the rule each breaks, into ``rejected[table]``; ``"fail"`` raises; None (default) checks nothing.
@@ -158,32 +169,39 @@ def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist =
             rejected[table] = bad
         return valid
 
-    s = dict(state)
+    s, tables = dict(state), day_tables or {}
     stg_r, stg_u, stg_o = s["order_system_restaurants"], s["order_system_users"], s["order_system_orders"]
+    spark, deliveries = stg_o.sparkSession, s["couriers_system_deliveries"]
     hubs = {e: s[t] for e, t in HUB_TABLES.items()}
-    dropped, rows = vault.link_changes(stg_o, s["bonus_system_outbox"], s["couriers_system_deliveries"], hubs, day,
-                                       link_days_back)
-    rows = checked("l_orders", rows)
-    if day_tables and LINK_DAY_TABLE in day_tables:
-        s["l_orders"] = rewrite_days(stg_o.sparkSession, day_tables[LINK_DAY_TABLE], "l_orders", dropped,
-                                     ["order_id_dwh"], rows, "order_date")
-    else:
-        s["l_orders"] = persist("l_orders", vault.apply_changes(s["l_orders"], dropped, rows))
-    s["s_restaurants"] = scd2.scd2_apply(
-        s["s_restaurants"], checked("s_restaurants", restaurant_batch(stg_r, hubs["restaurant"], day)),
-        "restaurant_id_dwh", ["restaurant_name"])
-    s["s_users"] = scd2.scd2_apply(s["s_users"], checked("s_users", user_batch(stg_u, hubs["user"], day)),
-                                   "user_id_dwh", ["user_name", "user_login"])
-    s["s_products"] = scd2.scd2_apply(
-        s["s_products"], checked("s_products", product_batch(stg_r, hubs["product"], day)),
-        "product_id_dwh", ["product_name", "product_price", "product_category"])
-    s["s_couriers"] = vault.load_full_satellite(s["s_couriers"], checked_couriers(s, checked), hubs["courier"])
-    dropped, rows = vault.order_satellite_changes(stg_o, hubs["order"], s["couriers_system_deliveries"], day, 1)
-    s["s_orders"] = vault.apply_changes(s["s_orders"], dropped, checked("s_orders", rows))
-    for t in DEPENDENT_TABLES:
-        if t != "l_orders":
-            s[t] = persist(t, s[t])
-    return s
+
+    def orders(table: str, changes: tuple[DataFrame, DataFrame], part: str) -> DataFrame:
+        dropped, rows = changes
+        rows = checked(table, rows)
+        if table in tables:
+            return rewrite_days(spark, tables[table], table, dropped, ["order_id_dwh"], rows, part)
+        return persist(table, vault.apply_changes(s[table], dropped, rows))
+
+    def versions(table: str, batch: DataFrame) -> DataFrame:
+        key, attrs = VERSIONED[table]
+        batch = checked(table, batch)
+        if table not in tables:
+            return persist(table, scd2.scd2_apply(s[table], batch, key, attrs))
+        is_open = F.col(DAY_COL) == ts_lit(OPEN_TO).cast("date")
+        rows = scd2.scd2_changes(spark.table(tables[table]).where(is_open), batch, key, attrs).checkpoint(eager=True)
+        ended = rows.where(F.col(scd2.TO) != ts_lit(OPEN_TO)).select(key, ts_lit(OPEN_TO).alias(scd2.TO))
+        return rewrite_days(spark, tables[table], table, ended, [key, scd2.TO], rows, scd2.TO, is_open)
+
+    return s | _together({
+        "l_orders": lambda: orders("l_orders", vault.link_changes(
+            stg_o, s["bonus_system_outbox"], deliveries, hubs, day, link_days_back), "order_date"),
+        "s_restaurants": lambda: versions("s_restaurants", restaurant_batch(stg_r, hubs["restaurant"], day)),
+        "s_users": lambda: versions("s_users", user_batch(stg_u, hubs["user"], day)),
+        "s_products": lambda: versions("s_products", product_batch(stg_r, hubs["product"], day)),
+        "s_couriers": lambda: persist("s_couriers", vault.load_full_satellite(
+            s["s_couriers"], checked_couriers(s, checked), hubs["courier"])),
+        "s_orders": lambda: orders("s_orders", vault.order_satellite_changes(
+            stg_o, hubs["order"], deliveries, day, 1), "order_create_ts"),
+    })
 
 
 def checked_couriers(state: dict[str, DataFrame], checked: Callable[[str, DataFrame], DataFrame]) -> DataFrame:
@@ -228,29 +246,19 @@ def register_day_tables(state: dict[str, DataFrame], root: str,
     used as they are on disk, also after a restart, and the state's own rows of them are not looked at.
     """
     s = dict(state)
-    names = {}
-    for name, ts in DAY_TABLES.items():
-        spark = s[name].sparkSession
-        names[name] = day_table(spark, root, name)
-        if load:
-            load_days(spark, names[name], name, s[name], ts)
-        s[name] = read_days(spark, names[name], name)
-    # The link is laid out by its order's business date (looked up in the staged orders).
     spark = s[LINK_DAY_TABLE].sparkSession
-    names[LINK_DAY_TABLE] = day_table(spark, root, LINK_DAY_TABLE)
+    names = {name: day_table(spark, root, name) for name in [*DAY_TABLES, LINK_DAY_TABLE]}
+    names |= {t: append_table(spark, root, t) for t in HUB_TABLES.values()}  # hubs only grow: a run writes its new keys
     if load:
+        # The link is laid out by its order's business date (looked up in the staged orders).
         hub = s["h_orders"].select("order_id_dwh", F.col("order_id_bk").alias("object_id"))
         dated = s[LINK_DAY_TABLE].join(hub, "order_id_dwh", "left").join(
             s["order_system_orders"].select("object_id", "order_date"), "object_id", "left")
-        load_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE, dated, "order_date")
-    s[LINK_DAY_TABLE] = read_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE)
-    # Hubs only grow: append-only tables, a run writes just its new keys.
-    for t in HUB_TABLES.values():
-        names[t] = append_table(spark, root, t)
-        if load:
-            load_rows(spark, names[t], t, s[t])
-        s[t] = spark.table(names[t]).select(*TABLES[t].fieldNames())
-    return s, names
+        loads = {t: lambda t=t, ts=ts: load_days(spark, names[t], t, s[t], ts) for t, ts in DAY_TABLES.items()}
+        loads[LINK_DAY_TABLE] = lambda: load_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE, dated, "order_date")
+        loads |= {t: lambda t=t: load_rows(spark, names[t], t, s[t]) for t in HUB_TABLES.values()}
+        _together(loads)
+    return s | {t: read_days(spark, names[t], t) for t in names}, names
 
 
 def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike,
@@ -270,7 +278,7 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
     persist = _saver(save_root, metrics)
     s = run_staging(state, sources, day, persist, day_tables)
     if metrics is not None and day_tables:
-        for name in day_tables:
+        for name in set(day_tables) & set(STAGING_TABLES):
             metrics[name] = s[name].count()  # rows of the table (partition files' footers)
     s = run_hubs(s, day, key, persist, day_tables)
     if metrics is not None and day_tables:
@@ -278,8 +286,10 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
             if t in day_tables:
                 metrics[t] = s[t].count()
     s = run_dependents(s, day, persist, day_tables, link_days_back, on_violation, rejected)
-    if metrics is not None and day_tables and LINK_DAY_TABLE in day_tables:
-        metrics["l_orders"] = s["l_orders"].count()
+    if metrics is not None and day_tables:
+        for t in DEPENDENT_TABLES:
+            if t in day_tables:
+                metrics[t] = s[t].count()
     return s
 
 
@@ -318,7 +328,7 @@ def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi
     for part in logs[1:]:
         log = log.unionByName(part)
     s["load_watermarks"] = log
-    s["bonus_system_outbox"] = replace_range(s["bonus_system_outbox"], sources["outbox"], "event_ts", lo, hi)
+    s["bonus_system_outbox"] = replace_range(s["bonus_system_outbox"], to_outbox(sources["outbox"]), "event_ts", lo, hi)
     s["bonus_system_users"] = replace_all(
         s["bonus_system_users"], sources["bonus_users"].withColumnsRenamed({"id": "bonus_user_id"}))
     s["couriers_system_couriers"] = replace_all(s["couriers_system_couriers"], sources["couriers"])

@@ -25,7 +25,8 @@ STAGING = {
     "order_system_orders": T.StructType(DOCUMENT.fields + [T.StructField("order_date", T.DateType(), True)]),
     "order_system_users": DOCUMENT,
     "bonus_system_users": _schema(("bonus_user_id", INT), ("order_user_id", S)),
-    "bonus_system_outbox": _schema(("event_type", S), ("event_value", S), ("event_ts", TS)),
+    # Bonus transactions carry their order's business date, which the store's files are filtered by.
+    "bonus_system_outbox": _schema(("event_type", S), ("event_value", S), ("event_ts", TS), ("order_date", T.DateType())),
     "couriers_system_couriers": _schema(("_id", S), ("name", S)),
     "couriers_system_deliveries": _schema(
         ("order_id", S), ("order_ts", TS), ("delivery_id", S), ("courier_id", S),

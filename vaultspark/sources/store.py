@@ -17,7 +17,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,10 +142,11 @@ def replace_days(spark: SparkSession, table: str, name: str, batch: DataFrame, t
 
 
 def rewrite_days(spark: SparkSession, table: str, name: str, drop: DataFrame, keys: list[str],
-                 rows: DataFrame, part: str) -> DataFrame:
+                 rows: DataFrame, part: str, days: Column | None = None) -> DataFrame:
     """Delete the rows whose ``keys`` are in ``drop`` and add ``rows``, rewriting only the day
     partitions involved: those of the new rows and those holding a deleted key (found by a semi
-    join of the table's key and day columns).  Rows without a day are a partition like any other.
+    join of the table's key and day columns, over the partitions that ``days`` selects by ``DAY_COL`` where the
+    caller knows them).  Rows without a day are a partition like any other.
 
     The new rows are materialized once (a reliable checkpoint), then the new content of the partitions
     (Spark refuses to overwrite a table that the writing plan reads), which one overwrite puts in place; a
@@ -159,10 +160,11 @@ def rewrite_days(spark: SparkSession, table: str, name: str, drop: DataFrame, ke
     cols = TABLES[name].fieldNames()
     drop_keys = drop.select(*keys).checkpoint(eager=True)
     fresh = _with_day(rows, name, part).checkpoint(eager=True)
-    hit = current.select(*keys, DAY_COL).join(drop_keys, keys, "left_semi")
+    held = current if days is None else current.where(days)
+    hit = held.select(*keys, DAY_COL).join(drop_keys, keys, "left_semi")
     affected = fresh.select(DAY_COL).union(hit.select(DAY_COL)).distinct().checkpoint(eager=True)
-    days = affected.select(F.col(DAY_COL).alias("_day"))
-    touched = current.join(days, current[DAY_COL].eqNullSafe(days["_day"]), "left_semi")
+    hit_days = affected.select(F.col(DAY_COL).alias("_day"))
+    touched = current.join(hit_days, current[DAY_COL].eqNullSafe(hit_days["_day"]), "left_semi")
     kept = touched.join(drop_keys, keys, "left_anti").select(*cols, DAY_COL)
     content = kept.unionByName(fresh).checkpoint(eager=True)
     emptied = [r[0] for r in affected.join(content.select(F.col(DAY_COL).alias("_day")).distinct(),
