@@ -69,14 +69,16 @@ def scd2_apply(sat: DataFrame, batch: DataFrame, key: str, attrs: list[str], ts:
 
     The batch is first reduced to one row per key.  The insert decision is the
     same before and after the close (closing changes no attributes of the latest
-    version), so both steps use the same comparison of batch and latest version.
+    version), so both steps read the old satellite: one pass closes each open row that
+    differs from its key's batch row, one finds the latest versions of the batch's keys.
     """
     b = reduce_batch(batch, key, attrs, ts)
+    new = b.select(key, *[F.col(a).alias(f"_n_{a}") for a in attrs], F.col(ts).alias("_n_ts"))
+    differs = F.coalesce(changed([F.col(f"_n_{a}") for a in attrs], [F.col(a) for a in attrs], null_safe), F.lit(False))
+    ends = _open() & F.col("_n_ts").isNotNull() & differs
+    closed = sat.join(new, key, "left").withColumn(TO, F.when(ends, minus_one_ms("_n_ts")).otherwise(F.col(TO)))
     j = _compare(sat, b, key, attrs, ts)
-    chg = F.coalesce(changed([F.col(a) for a in attrs], [F.col(f"_o_{a}") for a in attrs], null_safe), F.lit(False))
-    closes = j.where(chg & (F.col("_o_to") == ts_lit(OPEN_TO))).select(key, ts)
-    closed = update_from(sat, closes, [key], {TO: minus_one_ms(ts)}, where=_open())
-    return closed.unionByName(_new_versions(j, key, attrs, ts, null_safe).select(sat.columns))
+    return closed.select(sat.columns).unionByName(_new_versions(j, key, attrs, ts, null_safe).select(sat.columns))
 
 
 def scd2_changes(open_rows: DataFrame, batch: DataFrame, key: str, attrs: list[str], ts: str = "update_ts",
