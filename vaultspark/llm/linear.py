@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vaultspark.llm.common import shuffle_partitions
+
 Features = Callable[[str], np.ndarray]  # a text's distinct feature ids, ascending
 
 
@@ -145,6 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, features: Features, bu
 
     found = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
              .groupBy("_labelled", "_y").agg(F.min("text").alias("text"))  # repeated rows of a document are one
+             .repartition(shuffle_partitions(docs.sparkSession), "_labelled")  # small task results
              .select("_y", "text").mapInPandas(scan, "y int, ids binary").collect())  # at most 2 * per_class rows
     found.sort(key=lambda r: (r["y"], len(r["ids"]), crc32(r["ids"])))  # the model does not depend on the order of arrival
     rows = [np.frombuffer(r["ids"], "<u4") for r in found]
