@@ -219,6 +219,21 @@ def test_decontamination(spark, docs, documents):
     assert decontam.contaminated(docs, bench.limit(0)).count() == 0 and decontam.contaminated(docs.limit(0), bench).count() == 0
 
 
+def _leaks(spark, items, texts):
+    """{(doc, item)} of texts and items numbered from 0."""
+    frame = lambda name, rows: spark.createDataFrame(list(enumerate(rows)), f"{name} long, text string")
+    return {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(frame("doc_id", texts), frame("item_id", items)).collect()}
+
+
+def test_decontamination_in_any_case(spark):
+    plain = "the old mill by the river grinds four sacks of corn before noon and rests until the evening bell"
+    caps = "WHICH OF THE TWO LAKES IS DEEPER THAN THE SEA NEAR IT AND WHY IS ITS WATER SO COLD"
+    names = "Anna Berg 1850 Carl Dahl 1862 Eva Falk 1871 Gustav Holm 1880 Ida Juhl 1893 Karl Lund"
+    texts = [f"Here. {plain.upper()}. More", f"so {plain.title()} it goes", f"well, {caps.lower()}?", f"seen {caps}", f"list, {names}.",
+             "WHICH OF THE TWO HILLS IS HIGHER THAN THE TREE NEAR IT AND WHY IS ITS STONE SO GREY", "nothing of it"]
+    assert _leaks(spark, [plain, caps, names], texts) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)}
+
+
 @pytest.mark.parametrize("scorer,label", [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
 def test_classifiers_on_held_out_labels(spark, docs, scorer, label):
     sf = "/root/testdata/sf0.1"  # about 4,000 labels; at sf0.01 some 20 toxic rows are too few to learn from

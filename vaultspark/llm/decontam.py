@@ -1,9 +1,12 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become templates: numbers, units after numbers and names (capitalised words inside a sentence) are replaced by
-typed placeholders, all else is lower-cased and stripped of outer punctuation.  Windows of template words are hash-joined
-with those of the benchmark; along an alignment of a document with an item, every original slot value must stand for
-one value throughout and the reverse, so a question with other numbers or names is caught, and a chance mix is not.
+Words are stripped of outer punctuation and case-folded.  Windows of these words are hash-joined with those of the
+benchmark as they are, so that a copy is found in whatever case and however many names and numbers it holds.  Beside
+them stand templates: numbers, units after numbers and names (capitalised words) are replaced by typed placeholders; a
+capitalised word and a unit are read both as themselves and as a placeholder.  Along an alignment of a document with an item,
+every original slot value must stand for one value throughout and the reverse, so a question with other numbers or names
+is caught, and a chance mix is not.  In windows without a lower-case word on either side capitals are no sign of a name,
+so there names can't differ.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 from vaultspark.llm.common import written
 
 WINDOW = 8
-LITERALS = 4  # words of a window that are no placeholders, at least
+LITERALS = 4  # words of a template window that are no placeholders, at least
 WINDOWS = 6  # matching windows on consistent alignments (13 words in a row), or all of a shorter item
 FILTER_BITS = 24
 CACHED = 200_000
@@ -32,27 +35,34 @@ UNITS = frozenset("mm cm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec
                   "cent cents euro euros percent % $ € £ mph kmh km/h m/s hz khz mhz ghz w kw v kb mb gb tb".split())
 NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*(?P<unit>[a-z%€£$/°]*)\Z")
 
-CAPITAL, ENDS, NUMERIC, UNIT = 1, 2, 4, 8
-_HASH = np.uint64(0xFFFFFFFFFFFFFFF0)
-_NAME, _NUMBER, _UNIT = (np.uint64(xxhash.xxh64_intdigest(x) & 0xFFFFFFFFFFFFFFF0) for x in (b"<name>", b"<number>", b"<unit>"))
+CAPITAL, LOWER, ENDS, NUMERIC, UNIT = 1, 2, 4, 8, 16
+_HASH = np.uint64(0xFFFFFFFFFFFFFFE0)
+_NAME, _NUMBER, _UNIT, _MEASURE = (np.uint64(xxhash.xxh64_intdigest(x)) & _HASH for x in (b"<name>", b"<number>", b"<unit>", b"<number><unit>"))
+_FACTOR = 0x9E3779B97F4A7C15
+_CHUNK = 4096  # windows whose readings are held at a time
+
+
+def slot_value(word: str) -> str:
+    return word.strip(".,;:!?\"'()[]{}«»“”‘’„-–—…¿¡*_").casefold()
 
 
 class Words(dict):
-    """A word's template hash (upper 60 bits) and flags (lower four)."""
+    """A word's hash (upper 59 bits) and flags (lower five); a number with its unit has both flags."""
 
     def __missing__(self, raw: str) -> int:
         bare = raw.strip(".,;:!?\"'()[]{}«»“”‘’„-–—…¿¡*_")
-        low, flags = bare.lower(), 0
+        low, flags = bare.casefold(), 0
         if (m := NUMBER.match(low)) and (not m["unit"] or m["unit"] in UNITS):
-            flags |= NUMERIC
-            low = "<number>" + ("<unit>" if m["unit"] else "")
+            flags |= NUMERIC | (UNIT if m["unit"] else 0)
         elif low in UNITS:
             flags |= UNIT
         elif bare[:1].isupper():
             flags |= CAPITAL
+        if bare[:1].islower():
+            flags |= LOWER
         if raw.rstrip("\"')]»”’").endswith((".", "!", "?", ":")):
             flags |= ENDS
-        found = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) & 0xFFFFFFFFFFFFFFF0 | flags
+        found = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) & 0xFFFFFFFFFFFFFFE0 | flags
         if len(self) < CACHED:
             self[raw] = found
         return found
@@ -61,47 +71,71 @@ class Words(dict):
 _WORDS = Words()  # kept between a worker's tasks
 
 
-def template(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Template hash of every word, and whether it is a placeholder."""
-    codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
-    hashes, numeric = codes & _HASH, codes & np.uint64(NUMERIC) > 0
-    after = lambda flag: np.r_[False, (codes[:-1] & np.uint64(flag)) > 0]
-    name = (codes & np.uint64(CAPITAL) > 0) & ~after(ENDS)
-    name[:1] = False
-    unit = (codes & np.uint64(UNIT) > 0) & after(NUMERIC)
-    hashes[name], hashes[unit] = _NAME, _UNIT
-    return hashes, name | unit | numeric
+class Text:
+    """A text's words: hashes as they are (``raw``) and as templates (``hashes``), ``numeric`` placeholders, ``either``:
+    words that are read both as they are and as a placeholder (hash ``other``), ``name`` among them, ``lower``-case words."""
 
+    def __init__(self, words: list[str]):
+        codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+        has = lambda flag: codes & np.uint64(flag) > 0
+        after = lambda flag: np.r_[False, has(flag)[:-1]]
+        self.words, self.raw, self.numeric, self.lower = words, codes & _HASH, has(NUMERIC), has(LOWER)
+        self.hashes = np.where(self.numeric, np.where(has(UNIT), _MEASURE, _NUMBER), self.raw)
+        self.name = has(CAPITAL) & ~after(ENDS)
+        self.name[:1] = False
+        unit = has(UNIT) & ~self.numeric & after(NUMERIC)
+        self.either, self.other = self.name | unit, np.where(unit, _UNIT, _NAME)
 
-def windows(words: list[str], width: int, literals: int = LITERALS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions and hashes of the template windows with enough literal words; the placeholder mask of all words."""
-    hashes, slot = template(words)
-    n = len(words) - width + 1
-    if n < 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), slot
-    h = np.full(n, width, np.uint64)
-    for k in range(width):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + hashes[k:k + n]
-    h ^= h >> np.uint64(29)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(32)
-    filled = np.r_[0, np.cumsum(slot)]
-    at = np.flatnonzero(width - (filled[width:] - filled[:-width]) >= min(literals, width))
-    return at, h[at], slot
+    def count(self, flags: np.ndarray, width: int) -> np.ndarray:
+        total = np.r_[0, np.cumsum(flags)]
+        return total[width:] - total[:-width]
 
+    def rows(self, key, width: int, at: np.ndarray, h: np.ndarray, slots: np.ndarray) -> list[tuple]:
+        """``(key, width, pos, h, slots, unsure, words)`` a window; ``unsure``: its names if it has no lower-case word."""
+        return [(key, width, p, x, m, 0 if self.lower[p:p + width].any() else m & int(self.name[p:p + width] @ _BITS[:width]),
+                 [slot_value(w) for w in self.words[p:p + width]])
+                for p, x, m in zip(at.tolist(), h.view(np.int64).tolist(), slots.tolist())]
 
-def slot_value(word: str) -> str:
-    return word.strip(".,;:!?\"'()[]{}«»“”‘’„-–—…¿¡*_").lower()
 
+_BITS = np.int64(1) << np.arange(63)
 
-def _rows(key, words: list[str], width: int, at: np.ndarray, h: np.ndarray, slot: np.ndarray) -> list[tuple]:
-    return [(key, width, int(p), int(x), [slot_value(w) for w, s in zip(words[p:p + width], slot[p:p + width]) if s])
-            for p, x in zip(at.tolist(), h.view(np.int64).tolist())]
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ h >> np.uint64(32)
+
+
+def windows(text: Text, width: int, literals: int = LITERALS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Positions, hashes and placeholder bits of the windows: all as they are (no bits), then every reading
+    with placeholders that leaves ``literals`` words.  Readings double with every capitalised word up to that limit."""
+    n = len(text.words) - width + 1
+    if n < 1:
+        return
+    powers = np.array([pow(_FACTOR, width - 1 - k, 1 << 64) for k in range(width)], np.uint64)
+    total = lambda hashes: sum((hashes[k:k + n] * powers[k] for k in range(width)), np.zeros(n, np.uint64))
+    yield np.arange(n), _mixed(total(text.raw)), np.zeros(n, np.int64)
+    free = width - min(literals, width)  # placeholders that a window can have
+    left = free - text.count(text.numeric, width)
+    some = text.count(text.numeric | text.either, width) > 0
+    base, change = total(text.hashes), text.other - text.hashes
+    slots = sum((text.numeric[k:k + n] * _BITS[k] for k in range(width)), np.zeros(n, np.int64))
+    fit = np.flatnonzero((left >= 0) & some) if free else np.zeros(0, np.int64)
+    for first in range(0, len(fit), _CHUNK):
+        at = fit[first:first + _CHUNK]
+        h, m, rest = base[at], slots[at], left[at]
+        for k in range(width):
+            more = np.flatnonzero(text.either[at + k] & (rest > 0))
+            if len(more):
+                at, h = np.r_[at, at[more]], np.r_[h, h[more] + change[at[more] + k] * powers[k]]
+                m, rest = np.r_[m, m[more] | _BITS[k]], np.r_[rest, rest[more] - 1]
+        held = m > 0
+        yield at[held], _mixed(h[held]), m[held]
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``(item_id, width, item_pos, h, item_slots, item_windows)``: an item shorter than ``window`` words is one
-    window of all its words; an item without a window of enough literal words can't be matched."""
+    """``(item_id, width, item_pos, h, slots, item_unsure, item_words, item_windows, full, full_windows)``: an item shorter
+    than ``window`` words is one window of all its words.  ``full``: the window has enough literal words even with a
+    placeholder for every name that has a lower-case word beside it; a question with other values can match these."""
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
@@ -109,19 +143,27 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                 words = (text or "").split()
                 width = min(window, len(words))
                 if width >= LITERALS:
-                    at, h, slot = windows(words, width)
-                    rows += [(*r, len(at)) for r in _rows(item, words, width, at, h, slot)]
-            yield pd.DataFrame(rows, columns=["item_id", "width", "item_pos", "h", "item_slots", "item_windows"])
+                    read = Text(words)
+                    names = np.where(read.count(read.lower, width) > 0, read.count(read.name, width), 0)
+                    filled = names + read.count(read.numeric | read.either & ~read.name, width)
+                    full = width - filled >= min(LITERALS, width)
+                    for at, h, slots in windows(read, width):
+                        rows += [(*r, len(full), bool(full[r[2]]), int(full.sum())) for r in read.rows(item, width, at, h, slots)]
+            yield pd.DataFrame(rows, columns=["item_id", "width", "item_pos", "h", "slots", "item_unsure", "item_words",
+                                              "item_windows", "full", "full_windows"])
 
     return benchmark.select(F.col("item_id").cast("long"), "text").where("item_id IS NOT NULL").mapInPandas(
-        scan, "item_id long, width int, item_pos int, h long, item_slots array<string>, item_windows int")
+        scan, "item_id long, width int, item_pos int, h long, slots long, item_unsure long, item_words array<string>, "
+              "item_windows int, full boolean, full_windows int")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windows: int = WINDOWS) -> DataFrame:
     """``(doc_id, item_id, matched, item_windows, reparameterised)``: the documents that hold a benchmark item or
     ``min_windows`` windows of it.
 
-    ``matched`` counts the item's windows on alignments whose slots are consistent; ``reparameterised`` says that a slot value differs.
+    ``matched`` counts the item's windows that are equal word by word or on alignments whose slots are consistent;
+    ``reparameterised`` says that a slot value differs.  Of an item whose windows hold too few literal words for other
+    values, the windows that hold enough decide beside all of them.
     A fixed-size bit table of the benchmark's window hashes (``2 ** FILTER_BITS`` bits, whatever the benchmark's
     size) spares the shuffle most windows of the documents; the join itself is exact.  Null and empty texts and null ids
     on either side match nothing; repeated rows count once; empty tables give no rows.
@@ -142,30 +184,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
         for pdf in frames:
             rows = []
             for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                words = text.split()
+                read = Text(text.split())
                 for width in widths:
-                    at, h, slot = windows(words, width)
-                    b = h & np.uint64(mask)
-                    hit = (known[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) > 0
-                    if hit.any():
-                        rows += _rows(doc, words, width, at[hit], h[hit], slot)
-            yield pd.DataFrame(rows, columns=["doc_id", "width", "pos", "h", "slots"])
+                    for at, h, slots in windows(read, width):
+                        b = h & np.uint64(mask)
+                        hit = (known[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) > 0
+                        if hit.any():
+                            rows += read.rows(doc, width, at[hit], h[hit], slots[hit])
+            yield pd.DataFrame(rows, columns=["doc_id", "width", "pos", "h", "slots", "unsure", "words"])
 
     found = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(
-        scan, "doc_id long, width int, pos int, h long, slots array<string>")
-    pairs = written(found.join(items, ["h", "width"]).where("size(slots) = size(item_slots)").distinct(), "template-matches")
+        scan, "doc_id long, width int, pos int, h long, slots long, unsure long, words array<string>")
+    pairs = found.join(items, ["h", "width", "slots"]).withColumn("differs", F.expr(
+        "aggregate(sequence(0, width - 1), 0L, (a, k) -> if(words[k] <> item_words[k], a | shiftleft(1L, k), a))"))
+    pairs = written(pairs.where("differs & ~slots = 0 AND differs & unsure & item_unsure = 0").distinct(), "template-matches")
     pairs = pairs.withColumn("shift", F.col("pos") - F.col("item_pos"))
-    alignment = ["doc_id", "item_id", "shift"]
-    values = pairs.select(*alignment, F.explode(F.arrays_zip("item_slots", "slots")).alias("s")).select(
-        *alignment, F.col("s.item_slots").alias("item"), F.col("s.slots").alias("doc")).distinct()
-    one_way = values.groupBy(*alignment, "item").agg(F.count(F.lit(1)).alias("n"), F.max(F.expr("item <> doc")).alias("d"))
-    other_way = values.groupBy(*alignment, "doc").agg(F.count(F.lit(1)).alias("n"), F.lit(False).alias("d"))
-    slots = one_way.drop("item").union(other_way.drop("doc")).groupBy(*alignment).agg(F.max("n").alias("n"), F.max("d").alias("differs"))
-    matched = pairs.join(slots, alignment, "left").where("coalesce(n, 1) = 1")
-    return (matched.groupBy("doc_id", "item_id")
+    alignment, window_of = ["doc_id", "item_id", "shift"], ["item_pos", "full", "item_windows", "full_windows"]
+    values = pairs.where("slots > 0").select(*alignment, *window_of, "slots", "differs", F.explode(F.expr(
+        "transform(filter(sequence(0, width - 1), k -> slots & shiftleft(1L, k) > 0), "
+        "k -> struct(item_pos + k AS at, item_words[k] AS item, words[k] AS doc))")).alias("s")).select(
+        *alignment, *window_of, "slots", "differs", "s.at", "s.item", "s.doc")
+    held = values.select(*alignment, "item", "doc").distinct()
+    one_way = held.groupBy(*alignment, "item").agg(F.count(F.lit(1)).alias("n"))
+    other_way = held.groupBy(*alignment, "doc").agg(F.count(F.lit(1)).alias("n"))
+    void = one_way.drop("item").union(other_way.drop("doc")).where("n > 1").select(*alignment).distinct()
+    equal = pairs.where("differs = 0").select("doc_id", "item_id", *window_of, "differs")
+    other = pairs.where("differs > 0").join(void, alignment, "left_anti").select("doc_id", "item_id", *window_of, "differs")
+    return (equal.union(other).groupBy("doc_id", "item_id")
             .agg(F.countDistinct("item_pos").alias("matched"), F.max("item_windows").alias("item_windows"),
-                 F.max(F.coalesce("differs", F.lit(False))).alias("reparameterised"))
-            .where(F.col("matched") >= F.least(F.lit(min_windows), F.col("item_windows"))))
+                 F.max(F.col("differs") > 0).alias("reparameterised"),
+                 F.countDistinct(F.when(F.col("full"), F.col("item_pos"))).alias("_full"), F.max("full_windows").alias("_of"))
+            .where((F.col("matched") >= F.least(F.lit(min_windows), F.col("item_windows")))
+                   | (F.col("_of") > 0) & (F.col("_full") >= F.least(F.lit(min_windows), F.col("_of"))))
+            .drop("_full", "_of"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windows: int = WINDOWS) -> DataFrame:
