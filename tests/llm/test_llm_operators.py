@@ -234,6 +234,16 @@ def test_decontamination_in_any_case(spark):
     assert _leaks(spark, [plain, caps, names], texts) == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2)}
 
 
+def test_decontamination_of_short_items(spark):
+    words = "Which rivers of Norway flow into the lake east of Oslo every spring".split()
+    items = [" ".join([f"Which{n}", *words[1:n]]) for n in range(3, 14)] + ["Paris", "Who won 1998", "...", ""]
+    texts = [x for i in items[:11] for x in (f"Q1) {i}?", f"he asked, {i} and so on", f"Heading {i}")]
+    texts += ["it was (paris)", "who won 1998?", "who won 1999?", "-- ...", "which3 rivers in"]
+    got = _leaks(spark, items, texts)  # an item can also stand in a longer one's copy, with another name
+    assert got >= {(3 * n + k, n) for n in range(11) for k in range(3)} and {x for x in got if x[0] > 32} == {(33, 11), (34, 12)}
+    assert _leaks(spark, ["Which box of 3 red ones weighs 5 grams"], ["Q1) Which box of 4 red ones weighs 9 grams"]) == {(0, 0)}
+
+
 @pytest.mark.parametrize("scorer,label", [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
 def test_classifiers_on_held_out_labels(spark, docs, scorer, label):
     sf = "/root/testdata/sf0.1"  # about 4,000 labels; at sf0.01 some 20 toxic rows are too few to learn from

@@ -82,7 +82,6 @@ class Text:
         self.words, self.raw, self.numeric, self.lower = words, codes & _HASH, has(NUMERIC), has(LOWER)
         self.hashes = np.where(self.numeric, np.where(has(UNIT), _MEASURE, _NUMBER), self.raw)
         self.name = has(CAPITAL) & ~after(ENDS)
-        self.name[:1] = False
         unit = has(UNIT) & ~self.numeric & after(NUMERIC)
         self.either, self.other = self.name | unit, np.where(unit, _UNIT, _NAME)
 
@@ -134,7 +133,7 @@ def windows(text: Text, width: int, literals: int = LITERALS) -> Iterator[tuple[
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``(item_id, width, item_pos, h, slots, item_unsure, item_words, item_windows, full, full_windows)``: an item shorter
-    than ``window`` words is one window of all its words.  ``full``: the window has enough literal words even with a
+    than ``window`` words is one window of all its words, one without a letter or digit none.  ``full``: the window has enough literal words even with a
     placeholder for every name that has a lower-case word beside it; a question with other values can match these."""
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
@@ -142,7 +141,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
             for item, text in zip(pdf["item_id"], pdf["text"]):
                 words = (text or "").split()
                 width = min(window, len(words))
-                if width >= LITERALS:
+                if any(map(slot_value, words)):
                     read = Text(words)
                     names = np.where(read.count(read.lower, width) > 0, read.count(read.name, width), 0)
                     filled = names + read.count(read.numeric | read.either & ~read.name, width)
@@ -170,7 +169,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     """
     spark = docs.sparkSession
     items = written(benchmark_windows(benchmark, window), "benchmark-windows")
-    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most window - 3
+    widths = sorted(r["width"] for r in items.select("width").distinct().collect())  # at most window
     mask = (1 << FILTER_BITS) - 1
     table = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     bits = items.select(F.col("h").bitwiseAND(mask).alias("b")).groupBy(F.expr("b div 64").alias("w")).agg(
