@@ -244,6 +244,15 @@ def test_decontamination_of_short_items(spark):
     assert _leaks(spark, ["Which box of 3 red ones weighs 5 grams"], ["Q1) Which box of 4 red ones weighs 9 grams"]) == {(0, 0)}
 
 
+def test_decontamination_of_names_at_the_start_of_a_sentence(spark):
+    items = ["Alice has 12 apples and gives 5 to Bob. How many remain?",
+             "Tom has 5 red apples. Ann has 7 more. Tom gives 2 away. Ann eats 1. How many are left now?"]
+    texts = ["Carol has 30 apples and gives 7 to Dan. How many remain?", "So: Carol has 30 apples and gives 7 to Dan. How many remain?",
+             "Kim has 5 red apples. Lea has 7 more. Kim gives 2 away. Lea eats 1. How many are left now?",
+             "Carol has 30 apples and gives 30 to Dan. How many remain?"]
+    assert _leaks(spark, items, texts) == {(0, 0), (1, 0), (2, 1)}
+
+
 @pytest.mark.parametrize("scorer,label", [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
 def test_classifiers_on_held_out_labels(spark, docs, scorer, label):
     sf = "/root/testdata/sf0.1"  # about 4,000 labels; at sf0.01 some 20 toxic rows are too few to learn from

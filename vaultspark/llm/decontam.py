@@ -2,7 +2,7 @@
 
 Words are stripped of outer punctuation and case-folded.  Windows of these words are hash-joined with those of the
 benchmark as they are, so that a copy is found in whatever case and however many names and numbers it holds.  Beside
-them stand templates: numbers, units after numbers and names (capitalised words) are replaced by typed placeholders; a
+them stand templates: numbers, units after numbers and names (capitalised words, also at the start of a sentence) are replaced by typed placeholders; a
 capitalised word and a unit are read both as themselves and as a placeholder.  Along an alignment of a document with an item,
 every original slot value must stand for one value throughout and the reverse, so a question with other numbers or names
 is caught, and a chance mix is not.  In windows without a lower-case word on either side capitals are no sign of a name,
@@ -35,8 +35,8 @@ UNITS = frozenset("mm cm m km in ft yd mi mg g kg t oz lb lbs ml cl l gal s sec
                   "cent cents euro euros percent % $ € £ mph kmh km/h m/s hz khz mhz ghz w kw v kb mb gb tb".split())
 NUMBER = re.compile(r"[-+]?[$€£]?\d[\d.,:/]*(?P<unit>[a-z%€£$/°]*)\Z")
 
-CAPITAL, LOWER, ENDS, NUMERIC, UNIT = 1, 2, 4, 8, 16
-_HASH = np.uint64(0xFFFFFFFFFFFFFFE0)
+CAPITAL, LOWER, NUMERIC, UNIT = 1, 2, 4, 8
+_HASH = np.uint64(0xFFFFFFFFFFFFFFF0)
 _NAME, _NUMBER, _UNIT, _MEASURE = (np.uint64(xxhash.xxh64_intdigest(x)) & _HASH for x in (b"<name>", b"<number>", b"<unit>", b"<number><unit>"))
 _FACTOR = 0x9E3779B97F4A7C15
 _CHUNK = 4096  # windows whose readings are held at a time
@@ -47,7 +47,7 @@ def slot_value(word: str) -> str:
 
 
 class Words(dict):
-    """A word's hash (upper 59 bits) and flags (lower five); a number with its unit has both flags."""
+    """A word's hash (upper 60 bits) and flags (lower four); a number with its unit has both flags."""
 
     def __missing__(self, raw: str) -> int:
         bare = raw.strip(".,;:!?\"'()[]{}«»“”‘’„-–—…¿¡*_")
@@ -60,9 +60,7 @@ class Words(dict):
             flags |= CAPITAL
         if bare[:1].islower():
             flags |= LOWER
-        if raw.rstrip("\"')]»”’").endswith((".", "!", "?", ":")):
-            flags |= ENDS
-        found = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) & 0xFFFFFFFFFFFFFFE0 | flags
+        found = xxhash.xxh64_intdigest(low.encode("utf-8", "surrogatepass")) & 0xFFFFFFFFFFFFFFF0 | flags
         if len(self) < CACHED:
             self[raw] = found
         return found
@@ -81,7 +79,7 @@ class Text:
         after = lambda flag: np.r_[False, has(flag)[:-1]]
         self.words, self.raw, self.numeric, self.lower = words, codes & _HASH, has(NUMERIC), has(LOWER)
         self.hashes = np.where(self.numeric, np.where(has(UNIT), _MEASURE, _NUMBER), self.raw)
-        self.name = has(CAPITAL) & ~after(ENDS)
+        self.name = has(CAPITAL)
         unit = has(UNIT) & ~self.numeric & after(NUMERIC)
         self.either, self.other = self.name | unit, np.where(unit, _UNIT, _NAME)
 
