@@ -253,6 +253,15 @@ def test_decontamination_of_names_at_the_start_of_a_sentence(spark):
     assert _leaks(spark, items, texts) == {(0, 0), (1, 0), (2, 1)}
 
 
+def test_decontamination_outlives_a_slip(spark):
+    asked = ("if {} buys {} apples for {} dollars each then how many dollars does {} pay in total to the shop "
+             "when {} brings back {} apples that {} did not like and the shop gives {} the money for them")
+    long = " ".join(f"in the year {1900 + n % 7} the ship of captain Berg took {n} sacks of w{n} to port p{n}" for n in range(12))
+    texts = [long.replace("Berg took 5 ", "Borg took 5 "), asked.format("Mary", 7, 9, "Mary", "Mary", 4, "Marie", "Mary"),
+             asked.format("Mary", 7, 9, "Peter", "Otto", 4, "Hans", "Karl")]
+    assert _leaks(spark, [long, asked.format("John", 3, 5, "John", "John", 2, "John", "John")], texts) == {(0, 0), (1, 1)}
+
+
 @pytest.mark.parametrize("scorer,label", [(quality.score_quality, "quality"), (toxicity.score_toxicity, "toxic")])
 def test_classifiers_on_held_out_labels(spark, docs, scorer, label):
     sf = "/root/testdata/sf0.1"  # about 4,000 labels; at sf0.01 some 20 toxic rows are too few to learn from

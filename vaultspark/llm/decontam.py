@@ -4,8 +4,8 @@ Words are stripped of outer punctuation and case-folded.  Windows of these words
 benchmark as they are, so that a copy is found in whatever case and however many names and numbers it holds.  Beside
 them stand templates: numbers, units after numbers and names (capitalised words, also at the start of a sentence) are replaced by typed placeholders; a
 capitalised word and a unit are read both as themselves and as a placeholder.  Along an alignment of a document with an item,
-every original slot value must stand for one value throughout and the reverse, so a question with other numbers or names
-is caught, and a chance mix is not.  In windows without a lower-case word on either side capitals are no sign of a name,
+a slot value stands for the value that it meets at more than half of its places, and the reverse; windows that hold to
+this count, so a question with other numbers or names is caught, also with a slip, and a chance mix is not.  In windows without a lower-case word on either side capitals are no sign of a name,
 so there names can't differ.
 """
 
@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultspark.llm.common import written
@@ -158,7 +158,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
     """``(doc_id, item_id, matched, item_windows, reparameterised)``: the documents that hold a benchmark item or
     ``min_windows`` windows of it.
 
-    ``matched`` counts the item's windows that are equal word by word or on alignments whose slots are consistent;
+    ``matched`` counts the item's windows that are equal word by word or whose slots all have their alignment's values;
     ``reparameterised`` says that a slot value differs.  Of an item whose windows hold too few literal words for other
     values, the windows that hold enough decide beside all of them.
     A fixed-size bit table of the benchmark's window hashes (``2 ** FILTER_BITS`` bits, whatever the benchmark's
@@ -201,12 +201,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
         "transform(filter(sequence(0, width - 1), k -> slots & shiftleft(1L, k) > 0), "
         "k -> struct(item_pos + k AS at, item_words[k] AS item, words[k] AS doc))")).alias("s")).select(
         *alignment, *window_of, "slots", "differs", "s.at", "s.item", "s.doc")
-    held = values.select(*alignment, "item", "doc").distinct()
-    one_way = held.groupBy(*alignment, "item").agg(F.count(F.lit(1)).alias("n"))
-    other_way = held.groupBy(*alignment, "doc").agg(F.count(F.lit(1)).alias("n"))
-    void = one_way.drop("item").union(other_way.drop("doc")).where("n > 1").select(*alignment).distinct()
+    votes = values.select(*alignment, "at", "item", "doc").distinct().groupBy(*alignment, "item", "doc").agg(F.count(F.lit(1)).alias("n"))
+    of = lambda side: F.sum("n").over(Window.partitionBy(*alignment, side))
+    firm = votes.withColumn("of_item", of("item")).withColumn("of_doc", of("doc")).where(
+        "2 * n > of_item AND 2 * n > of_doc").select(*alignment, "item", "doc", F.lit(1).alias("firm"))
     equal = pairs.where("differs = 0").select("doc_id", "item_id", *window_of, "differs")
-    other = pairs.where("differs > 0").join(void, alignment, "left_anti").select("doc_id", "item_id", *window_of, "differs")
+    other = (values.where("differs > 0").join(firm, [*alignment, "item", "doc"], "left").groupBy(*alignment, *window_of, "slots", "differs")
+             .agg(F.count("firm").alias("n"), F.count(F.lit(1)).alias("of")).where("n = of")
+             .select("doc_id", "item_id", *window_of, "differs"))
     return (equal.union(other).groupBy("doc_id", "item_id")
             .agg(F.countDistinct("item_pos").alias("matched"), F.max("item_windows").alias("item_windows"),
                  F.max(F.col("differs") > 0).alias("reparameterised"),
