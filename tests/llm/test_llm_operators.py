@@ -155,6 +155,15 @@ def test_personal_data_matches_the_plain_patterns(docs, documents):
     assert [len(r["iban"]) for r in pii.find_personal_data(more).collect()] == [1]
 
 
+def test_ibans_before_capitals(spark):
+    codes = ["AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "BE68539007547034", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947"]
+    texts = [f"IBAN {c}{after}" for c in codes for after in (" Please", " BIC CAIXESBB", " THEN", " 1234", " A", ", and", "")]
+    texts += [f"IBAN {c[:-1]}{(int(c[-1]) + 1) % 10} Please" for c in codes] + [f"IBAN {codes[0]}X"]
+    rows = pii.find_personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {r["doc_id"]: [texts[r["doc_id"]][x["start"]:x["end"]] for x in r["iban"]] for r in rows}
+    assert got == {i: [codes[i // 7]] if i < 35 else [] for i in range(len(texts))}
+
+
 def test_packing_round_trip(docs, documents):
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(packing.tokenizer_path())

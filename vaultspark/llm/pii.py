@@ -18,7 +18,17 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # further kinds
-IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"
+# fixed values: length of the countries' codes (IBAN registry), so that a code ends where the next word starts; others are a longest run
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU"}
+_listed = "|".join(IBAN_LENGTHS.values()).replace(" ", "|")
+IBAN = "(?<![A-Za-z0-9])(?:" + "|".join(
+    rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, codes in IBAN_LENGTHS.items()) + (
+    rf"|(?!{_listed})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}+(?:\x20?[A-Z0-9]{{1,3}})?+)(?![A-Za-z0-9])")
 ACCOUNT = r"(?<![A-Za-z0-9.@-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
 
 def digits(span: Column) -> Column:
