@@ -39,6 +39,7 @@ CAPITAL, LOWER, NUMERIC, UNIT = 1, 2, 4, 8
 _HASH = np.uint64(0xFFFFFFFFFFFFFFF0)
 _NAME, _NUMBER, _UNIT, _MEASURE = (np.uint64(xxhash.xxh64_intdigest(x)) & _HASH for x in (b"<name>", b"<number>", b"<unit>", b"<number><unit>"))
 _FACTOR = 0x9E3779B97F4A7C15
+_GROUP = 20_000  # words of documents that are read together
 _CHUNK = 4096  # windows whose readings are held at a time
 
 
@@ -70,13 +71,16 @@ _WORDS = Words()  # kept between a worker's tasks
 
 
 class Text:
-    """A text's words: hashes as they are (``raw``) and as templates (``hashes``), ``numeric`` placeholders, ``either``:
+    """The words of texts (lists of words), one after the other, each with its text's number (``owner``): hashes as they are (``raw``) and as templates (``hashes``), ``numeric`` placeholders, ``either``:
     words that are read both as they are and as a placeholder (hash ``other``), ``name`` among them, ``lower``-case words."""
 
-    def __init__(self, words: list[str]):
+    def __init__(self, texts: list[list[str]]):
+        words = [w for t in texts for w in t]
+        sizes = np.array([len(t) for t in texts], np.int64)
+        self.owner, self.starts = np.repeat(np.arange(len(texts)), sizes), np.cumsum(sizes) - sizes
         codes = np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
         has = lambda flag: codes & np.uint64(flag) > 0
-        after = lambda flag: np.r_[False, has(flag)[:-1]]
+        after = lambda flag: np.r_[False, has(flag)[:-1] & (self.owner[1:] == self.owner[:-1])][:len(words)]
         self.words, self.raw, self.numeric, self.lower = words, codes & _HASH, has(NUMERIC), has(LOWER)
         self.hashes = np.where(self.numeric, np.where(has(UNIT), _MEASURE, _NUMBER), self.raw)
         self.name = has(CAPITAL)
@@ -87,11 +91,12 @@ class Text:
         total = np.r_[0, np.cumsum(flags)]
         return total[width:] - total[:-width]
 
-    def rows(self, key, width: int, at: np.ndarray, h: np.ndarray, slots: np.ndarray) -> list[tuple]:
+    def rows(self, keys: list, width: int, at: np.ndarray, h: np.ndarray, slots: np.ndarray) -> list[tuple]:
         """``(key, width, pos, h, slots, unsure, words)`` a window; ``unsure``: its names if it has no lower-case word."""
-        return [(key, width, p, x, m, 0 if self.lower[p:p + width].any() else m & int(self.name[p:p + width] @ _BITS[:width]),
+        return [(keys[o], width, p - s, x, m, 0 if self.lower[p:p + width].any() else m & int(self.name[p:p + width] @ _BITS[:width]),
                  [slot_value(w) for w in self.words[p:p + width]])
-                for p, x, m in zip(at.tolist(), h.view(np.int64).tolist(), slots.tolist())]
+                for p, o, s, x, m in zip(at.tolist(), self.owner[at].tolist(), self.starts[self.owner[at]].tolist(),
+                                         h.view(np.int64).tolist(), slots.tolist())]
 
 
 _BITS = np.int64(1) << np.arange(63)
@@ -110,13 +115,15 @@ def windows(text: Text, width: int, literals: int = LITERALS) -> Iterator[tuple[
         return
     powers = np.array([pow(_FACTOR, width - 1 - k, 1 << 64) for k in range(width)], np.uint64)
     total = lambda hashes: sum((hashes[k:k + n] * powers[k] for k in range(width)), np.zeros(n, np.uint64))
-    yield np.arange(n), _mixed(total(text.raw)), np.zeros(n, np.int64)
+    whole = text.owner[:n] == text.owner[width - 1:]
+    at = np.flatnonzero(whole)
+    yield at, _mixed(total(text.raw)[at]), np.zeros(len(at), np.int64)
     free = width - min(literals, width)  # placeholders that a window can have
     left = free - text.count(text.numeric, width)
     some = text.count(text.numeric | text.either, width) > 0
     base, change = total(text.hashes), text.other - text.hashes
     slots = sum((text.numeric[k:k + n] * _BITS[k] for k in range(width)), np.zeros(n, np.int64))
-    fit = np.flatnonzero((left >= 0) & some) if free else np.zeros(0, np.int64)
+    fit = np.flatnonzero((left >= 0) & some & whole) if free else np.zeros(0, np.int64)
     for first in range(0, len(fit), _CHUNK):
         at = fit[first:first + _CHUNK]
         h, m, rest = base[at], slots[at], left[at]
@@ -140,12 +147,12 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
                 words = (text or "").split()
                 width = min(window, len(words))
                 if any(map(slot_value, words)):
-                    read = Text(words)
+                    read = Text([words])
                     names = np.where(read.count(read.lower, width) > 0, read.count(read.name, width), 0)
                     filled = names + read.count(read.numeric | read.either & ~read.name, width)
                     full = width - filled >= min(LITERALS, width)
                     for at, h, slots in windows(read, width):
-                        rows += [(*r, len(full), bool(full[r[2]]), int(full.sum())) for r in read.rows(item, width, at, h, slots)]
+                        rows += [(*r, len(full), bool(full[r[2]]), int(full.sum())) for r in read.rows([item], width, at, h, slots)]
             yield pd.DataFrame(rows, columns=["item_id", "width", "item_pos", "h", "slots", "item_unsure", "item_words",
                                               "item_windows", "full", "full_windows"])
 
@@ -154,6 +161,20 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
               "item_windows int, full boolean, full_windows int")
 
 
+def _groups(docs: Iterator[tuple]) -> Iterator[tuple[list, list[list[str]]]]:
+    """Ids and word lists of documents, some ``_GROUP`` words at a time."""
+    ids, texts, n = [], [], 0
+    for doc, text in docs:
+        ids.append(doc)
+        texts.append(text.split())
+        n += len(texts[-1])
+        if n >= _GROUP:
+            yield ids, texts
+            ids, texts, n = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_windows: int = WINDOWS) -> DataFrame:
     """``(doc_id, item_id, matched, item_windows, reparameterised)``: the documents that hold a benchmark item or
     ``min_windows`` windows of it.
@@ -180,14 +201,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, mi
         known = shared.value
         for pdf in frames:
             rows = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                read = Text(text.split())
+            for ids, texts in _groups(zip(pdf["doc_id"].tolist(), pdf["text"])):
+                read = Text(texts)
                 for width in widths:
                     for at, h, slots in windows(read, width):
                         b = h & np.uint64(mask)
-                        hit = (known[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1) > 0
-                        if hit.any():
-                            rows += read.rows(doc, width, at[hit], h[hit], slots[hit])
+                        hit = np.flatnonzero((known[b >> np.uint64(6)] >> (b & np.uint64(63))) & np.uint64(1))
+                        if len(hit):
+                            rows += read.rows(ids, width, at[hit], h[hit], slots[hit])
             yield pd.DataFrame(rows, columns=["doc_id", "width", "pos", "h", "slots", "unsure", "words"])
 
     found = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL").mapInPandas(
