@@ -1,4 +1,4 @@
-"""Toxicity classifier: character n-grams scaled by naive Bayes log-count ratios, logistic loss."""
+"""Toxicity classifier: n-grams of UTF-8 bytes scaled by naive Bayes log-count ratios, hinge loss."""
 
 from __future__ import annotations
 
