@@ -328,7 +328,7 @@ def test_pipeline_matches_brute_force(spark, documents):
 
 def test_every_query_is_registered():
     import __spark_entry__ as entry
-    assert {*queries.QUERIES, "pipeline"} <= set(entry.queries()) and len(queries.QUERIES) == 10
+    assert {*queries.QUERIES, "pipeline"} <= set(entry.queries()) and len(queries.QUERIES) == 13
 
 
 def test_extra_rows_survive_the_stages(spark, documents):

@@ -65,4 +65,63 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM s QUALIFY rank <= 20
 """
 
-ORACLES = {"op1_shards": OP1, "op4_warc": OP4, "op6_line_dedup": OP6, "op9_top_k": OP9}
+SEPARATORS = "[.,;:!?\\x0A-\\x0D]"
+
+OP11 = f"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SEPARATORS}')) AS piece FROM documents),
+w AS MATERIALIZED (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \\t]'), lambda x: x <> '') AS w FROM piece),
+g AS (
+  SELECT lang, 1 AS k, unnest(w) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: concat(w[i], ' ', w[i + 1]))) FROM w WHERE len(w) > 1
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2])))
+    FROM w WHERE len(w) > 2),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10),
+cut AS (
+  SELECT lang, phrase, a, 1 AS cut, w[1] AS x, array_to_string(w[2:], ' ') AS y FROM c
+  UNION ALL SELECT lang, phrase, a, 2, concat(w[1], ' ', w[2]), w[3] FROM c WHERE k = 3),
+s AS (
+  SELECT cut.lang, cut.phrase, cut.a, cut, fl.a AS l, fr.a AS r,
+    (1000000::HUGEINT * cut.a * cut.a) // (fl.a::HUGEINT * fr.a) AS score
+  FROM cut JOIN f fl ON fl.lang = cut.lang AND fl.phrase = x JOIN f fr ON fr.lang = cut.lang AND fr.phrase = y),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest([concat(w[1], ' ', w[2]), concat(w[2], ' ', w[3])]) AS phrase FROM c WHERE k = 3) GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM best LEFT JOIN inside USING (lang, phrase) JOIN n USING (lang)
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+OP13 = """
+WITH d AS MATERIALIZED (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ \\t\\n\\x0B\\f\\r]+')) AS BIGINT) AS size FROM documents),
+s AS MATERIALIZED (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, ([5, 2, 1])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS w FROM s),
+o AS (
+  SELECT *, source_size / w AS ratio, sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER before, 0) AS remaining,
+    sum(w) OVER () - coalesce(sum(w) OVER before, 0) AS open
+  FROM w WINDOW before AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+m AS (SELECT *, remaining * w >= 3 * source_size * open AS stopped FROM o),
+factor AS (SELECT remaining AS rest, open AS shares FROM m WHERE NOT stopped ORDER BY ratio, source NULLS LAST LIMIT 1),
+t AS (
+  SELECT source, source_size, CASE WHEN stopped THEN CAST(3 * source_size AS DOUBLE)
+      ELSE CAST(rest * w AS DOUBLE) / CAST(shares AS DOUBLE) END AS target,
+    CAST(CAST(concat('0x', substr(md5(concat('mix', coalesce('=' || source, ''))), 1, 13)) AS BIGINT) AS DOUBLE) / 4503599627370496 AS start
+  FROM m LEFT JOIN factor ON true),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
+p AS (
+  SELECT doc_id, size, source_size, target, floor(rate) AS whole, rate - floor(rate) AS part, start,
+    row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS FIRST) AS nr
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, size, source_size, target,
+  CAST(whole + least(1, floor(start + part * nr) - floor(start + part * (nr - 1))) AS BIGINT) * size AS taken
+FROM p
+"""
+
+ORACLES = {"op1_shards": OP1, "op4_warc": OP4, "op6_line_dedup": OP6, "op9_top_k": OP9, "op11_phrases": OP11, "op13_mixing": OP13}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm import decontam, linededup, packing, pii, quality, sharding, simhash, topk, toxicity, warc
+from vaultspark.llm import (
+    decontam, linededup, mixing, packing, phrases, pii, quality, sharding, simhash, topk, toxicity, warc, whitening,
+)
 from vaultspark.llm.common import read
 
 
@@ -69,6 +71,20 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "score", "predicted")
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(read(spark, sf_dir, "documents"), max_words=3, min_count=10, overlap=50, top=2000)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), components=4, scale=256).withColumn(
+        "deviation", F.col("deviation").cast("long"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixing.mix_sources(read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_shards, op2_simhash, op3_personal_data, op4_warc, op5_packing, op6_line_dedup,
-                            op7_decontamination, op8_quality, op9_top_k, op10_toxicity)}
+                            op7_decontamination, op8_quality, op9_top_k, op10_toxicity, op11_phrases, op12_whitening, op13_mixing)}
