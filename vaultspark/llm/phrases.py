@@ -4,6 +4,10 @@ A sample of the documents proposes words and phrases.  A full pass counts, exact
 parts (without its first, without its last word) were proposed: these are the proposed phrases and their negative border, as
 far as it occurs.  A border phrase that turns out frequent is a failure: it joins the proposals, and a further pass counts the phrases
 that have become countable by it, until a pass brings no failure.  No frequent phrase is missed then, whatever the sample held.
+
+The border is mostly pairs that occur once, so counting is kept lean: a word is a 64-bit hash (of its lang and itself; that
+no two words share one is checked, else another seed is taken), a phrase the list of its words' hashes.  Tasks count chunks of
+text with numpy and send the counts in cells, one a hash range; Spark shuffles the cells and each range is added up by itself.
 """
 
 from __future__ import annotations
@@ -12,33 +16,33 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import written
+from vaultspark.llm.common import shuffle_partitions, written
 
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(SEPARATORS + b"\t", b"." * len(SEPARATORS) + b" ")
 CHUNK = 4 << 20  # bytes of text that a task counts at a time
-FRACTION = 0.25  # of the documents, in the sample
+RANGE_BYTES = 32 << 20  # of text whose phrases one hash range gets on average: at most some 100 MB of counts
+FRACTION = 0.125  # of the documents, in the sample
 FILTER_BITS = 1 << 25  # of the proposals' Bloom filter, a broadcast of 4 MB whatever their number
 SALTS = 16
 UNKNOWN = "und"
+LONG_WORD = 4096  # bytes from which a word is hashed by itself
+CELL = pa.schema([("bucket", pa.int32()), ("k", pa.int32()), ("lang", pa.string()), ("keys", pa.binary()), ("counts", pa.binary()),
+                  ("words", pa.list_(pa.binary()))])
+FOUND = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("w", pa.list_(pa.int64())), ("h", pa.int64()), ("a", pa.int64()),
+                   ("word", pa.string())])
+FOUND_DDL = "lang string, k int, w array<long>, h long, a long, word string"
+CLASH = -1  # as k: two words share a hash
 
 
-class _Ids(dict):
-    """Word -> number in the order of first sight."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
-
+# words of a chunk
 
-def _blocks(data: bytes, ahead: int) -> Iterator[tuple[bytes, list[bytes]]]:
+def _blocks(data: bytes, ahead: int) -> Iterator[tuple[bytes, bytes]]:
     """A long text in blocks of about ``CHUNK`` bytes, cut after a separator or, where a block has none, before a
     blank: then with the next ``ahead`` words of the same piece, at which no phrase of this block starts."""
     following, at = re.compile(rb" *+(?:[^ .]++ *+){0,%d}" % ahead), 0
@@ -49,12 +53,12 @@ def _blocks(data: bytes, ahead: int) -> Iterator[tuple[bytes, list[bytes]]]:
         if cut <= at:  # one huge word
             m = re.compile(rb"[ .]").search(data, at + CHUNK)
             cut = m.start() if m else len(data)
-        yield data[at:cut], following.match(data, cut)[0].split()
+        yield data[at:cut], following.match(data, cut)[0]
         at = cut
-    yield data[at:], []
+    yield data[at:], b""
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[tuple[str, bytes, list[bytes]]]:
+def _chunks(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[tuple[str, bytes, bytes]]:
     """(lang, text, words ahead) of documents put together by lang; separators are ".", blanks are " ", A-Z is lower-cased."""
     held: dict[str, list[bytes]] = {}
     size = 0
@@ -67,15 +71,37 @@ def _chunks(batches: Iterator[pa.RecordBatch], ahead: int) -> Iterator[tuple[str
             held.setdefault(lang, []).append(data)
             size += len(data)
             if size > CHUNK:
-                yield from ((k, b".".join(v), []) for k, v in held.items())
+                yield from ((k, b".".join(v), b"") for k, v in held.items())
                 held, size = {}, 0
-    yield from ((k, b".".join(v), []) for k, v in held.items())
+    yield from ((k, b".".join(v), b"") for k, v in held.items())
 
 
 def _mix(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     """64-bit hashes of phrases continued by a word."""
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + word
-    return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
+
+
+def _words(data: bytes, lang: str, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, starts, ends, whether the next word is in the same piece) of the words of a chunk."""
+    d = np.frombuffer(data, np.uint8)
+    inside = (d != 32) & (d != 46)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, np.uint64), starts, ends, np.zeros(0, bool)
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    place = np.minimum(np.arange(int(sizes.sum())) - np.repeat(first, sizes), LONG_WORD - 1)
+    base = np.uint64(xxhash.xxh64_intdigest(b"base", seed) | 1)
+    powers = np.multiply.accumulate(np.full(min(int(sizes.max()), LONG_WORD), base, np.uint64))
+    h = np.add.reduceat((d[inside].astype(np.uint64) + np.uint64(1)) * powers[place], first)
+    for i in np.flatnonzero(sizes >= LONG_WORD):
+        h[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]], seed)
+    h = _mix(h, np.full(1, xxhash.xxh64_intdigest(lang.encode(), seed), np.uint64))
+    pieces = np.cumsum(d == 46, dtype=np.int32)[starts]
+    return h, starts, ends, np.append(pieces[1:] == pieces[:-1], False)
 
 
 def _within(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
@@ -88,49 +114,54 @@ def _within(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _count(lang: str, data: bytes, ahead: list[bytes], max_words: int, new: np.ndarray | None, old: np.ndarray | None,
-           every: bool) -> Iterator[pa.RecordBatch]:
-    """Counts of a chunk: phrases whose parts lie in ``new`` and not all in ``old`` (``every``: phrases of any parts);
-    where ``old`` is None words are counted too, and their total as the empty phrase."""
-    ids = _Ids({b".": 0})
-    words = data.replace(b".", b" . ").split()
-    at = np.fromiter(map(ids.__getitem__, words + ahead), np.int64, len(words) + len(ahead))
-    names, prefix = pa.array(list(ids), pa.binary()), lang.encode()
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, 7) for w in ids), np.uint64, len(ids)) ^ np.uint64(xxhash.xxh64_intdigest(prefix, 1))
-    starts = np.arange(len(at)) < len(words)
-    good, h = at != 0, hashes[at]
-
-    def rows(k: int, parts: list[pa.Array], h: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        phrase = pc.binary_join_element_wise(*parts, b" ") if k > 1 else parts[0]
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(counts), pa.string()), pa.array(np.full(len(counts), k, np.int32)), phrase.cast(pa.string()),
-             pa.array(h.view(np.int64)), pa.array(counts.astype(np.int64))], names=["lang", "k", "phrase", "h", "a"])
+def _added(h: np.ndarray, keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(one place of every distinct key in the order of its hash, its count); ``h`` are hashes of the rows of ``keys``."""
+    if not len(h):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(h)
+    same = h[order[1:]] == h[order[:-1]]
+    equal = (keys[order[1:]] == keys[order[:-1]]).all(1)
+    if (same & ~equal).any():  # keys that share a hash may lie mixed
+        order = np.lexsort((*keys.T, h))
+        equal = (keys[order[1:]] == keys[order[:-1]]).all(1)
+    firsts = np.flatnonzero(np.append(True, ~equal))
+    if counts is None:
+        return order[firsts], np.diff(np.append(firsts, len(order)))
+    return order[firsts], np.add.reduceat(counts[order], firsts)
+
+
+def _count(lang: str, data: bytes, ahead: bytes, max_words: int, buckets: int, seed: int, new: np.ndarray | None,
+           old: np.ndarray | None, every: bool) -> Iterator[tuple]:
+    """Cells of a chunk: phrases whose parts lie in ``new`` and not all in ``old`` (``every``: phrases of any parts);
+    where ``old`` is None words are counted too, and their number, as the phrase of no words."""
+    text = data + ahead
+    hashes, begins, ends, joined = _words(text, lang, seed)
+    limit = int(np.searchsorted(begins, len(data)))
+
+    def cells(k: int, h: np.ndarray, keys: np.ndarray, counts: np.ndarray, words: list[bytes] | None = None) -> Iterator[tuple]:
+        at = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # ascending, as the hashes are
+        cuts = np.append(np.flatnonzero(np.diff(at, prepend=at[:1] - np.uint64(1))), len(at)) if len(at) else []
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield (int(at[lo]), k, lang, keys[lo:hi].tobytes(), counts[lo:hi].astype("<u4").tobytes(), words and words[lo:hi])
 
     if old is None:
-        counts = np.bincount(at[good & starts], minlength=len(ids))
-        seen = np.flatnonzero(counts)
-        yield rows(0, [pa.array([b""])], np.zeros(1, np.uint64), counts.sum(keepdims=True))
-        yield rows(1, [names.take(pa.array(seen))], hashes[seen], counts[seen])
-    in_new, in_old = (_within(b, hashes)[at] & good for b in (new, old))
+        yield 0, 0, lang, b"", np.array([limit], "<u4").tobytes(), None
+        other = _words(text, lang, seed + 1_000_003)[0]  # words are told apart by 128 bits here, by their letters in ``_add_up``
+        place, counts = _added(hashes[:limit], np.stack([hashes[:limit], other[:limit]], axis=1))
+        yield from cells(1, hashes[place], hashes[place, None], counts, [text[begins[i]:ends[i]] for i in place.tolist()])
+    good, h = np.ones(len(hashes), bool), hashes
+    in_new, in_old = _within(new, hashes), _within(old, hashes)
     for k in range(2, max_words + 1):
-        if len(at) < k:
+        if len(hashes) < k:
             return
-        good = good[:-1] & (at[k - 1:] != 0)
-        h = _mix(h[:-1], hashes[at[k - 1:]])
+        good = good[:-1] & joined[k - 2:len(hashes) - 1]
+        h = _mix(h[:-1], hashes[k - 1:])
         if not every:
             ready, done = in_new[:-1] & in_new[1:] & good, in_old[:-1] & in_old[1:] & good
-        places = np.flatnonzero((good if every else ready & ~done) & starts[:len(good)])
-        if len(places):
-            code, span = at[places], len(ids)
-            for j in range(1, k):
-                if span >= (1 << 62) // len(ids):
-                    code, known = pd.factorize(code)
-                    span = len(known)
-                code, span = code * len(ids) + at[places + j], span * len(ids)
-            code, known = pd.factorize(code)
-            one = np.empty(len(known), np.int64)
-            one[code] = places  # any of the places of a phrase
-            yield rows(k, [names.take(pa.array(at[one + j])) for j in range(k)], h[one], np.bincount(code, minlength=len(known)))
+        at = np.flatnonzero((good if every else ready & ~done)[:limit])
+        keys = np.stack([hashes[at + j] for j in range(k)], axis=1)
+        place, counts = _added(h[at], keys)
+        yield from cells(k, h[at][place], keys[place], counts)
         if k < max_words and not every:
             in_new, in_old = np.zeros(len(good), bool), np.zeros(len(good), bool)
             for flags, ok, bits in ((in_new, ready, new), (in_old, done, old)):
@@ -138,17 +169,59 @@ def _count(lang: str, data: bytes, ahead: list[bytes], max_words: int, new: np.n
                 flags[some] = _within(bits, h[some])
 
 
-def count_phrases(docs: DataFrame, max_words: int, new: np.ndarray | None = None, old: np.ndarray | None = None,
-                  every: bool = False) -> DataFrame:
-    """``(lang, k, phrase, h, a)``: exact counts over all of ``docs(lang, text)``; see ``_count``."""
+def _add_up(cells: pa.Table, least: int) -> pa.Table:
+    """All counts of a hash range; phrases with ``least`` occurrences and more, the numbers of words, and clashes of words."""
+    out = {f.name: [] for f in FOUND}
+
+    def put(lang, k: int, w: list, h, a, word) -> None:
+        for name, values in zip(out, (lang, [k] * len(w), w, h, a, word)):
+            out[name] += values
+
+    ks = cells["k"].to_numpy()
+    langs = cells["lang"].to_pylist()
+    for k in np.unique(ks).tolist():
+        rows = np.flatnonzero(ks == k)
+        part = cells.take(pa.array(rows))
+        counts = np.frombuffer(b"".join(part["counts"].to_pylist()), "<u4").astype(np.int64)
+        if k == 0:
+            total: dict[str, int] = {}
+            for i, n in zip(rows, counts.tolist()):
+                total[langs[i]] = total.get(langs[i], 0) + n
+            put(list(total), 0, [[]] * len(total), [0] * len(total), list(total.values()), [None] * len(total))
+            continue
+        keys = np.frombuffer(b"".join(part["keys"].to_pylist()), "<u8").reshape(-1, k)
+        h = keys[:, 0]
+        for j in range(1, k):
+            h = _mix(h, keys[:, j])
+        place, a = _added(h, keys, counts)
+        of = np.repeat(rows, [len(x) // (8 * k) for x in part["keys"].to_pylist()])  # the cell of an entry
+        words = None
+        if k == 1:
+            words = part["words"].combine_chunks().flatten()
+            named = pa.table({"h": pa.array(h.view(np.int64)), "word": words, "lang": cells["lang"].take(pa.array(of))})
+            clashes = len(named.group_by(["h", "word", "lang"]).aggregate([])) - len(place)
+            put([None] * clashes, CLASH, [[]] * clashes, [0] * clashes, [0] * clashes, [None] * clashes)
+        kept = a >= least
+        place, a = place[kept], a[kept]
+        text = [None] * len(place) if words is None else [x.decode() for x in words.take(pa.array(place)).to_pylist()]
+        put([langs[i] for i in of[place].tolist()], k, keys[place].view(np.int64).tolist(), h[place].view(np.int64).tolist(), a.tolist(), text)
+    return pa.table(out, schema=FOUND)
+
+
+def count_phrases(docs: DataFrame, max_words: int, least: int, buckets: int, seed: int = 0, new: np.ndarray | None = None,
+                  old: np.ndarray | None = None, every: bool = False) -> DataFrame:
+    """``(lang, k, w, h, a, word)``: phrases with ``least`` and more occurrences in all of ``docs(lang, text)``; see ``_count``."""
     filters = docs.sparkSession.sparkContext.broadcast((new, old))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, max_words - 1):
-            yield from _count(*chunk, max_words, *filters.value, every)
+            cells = list(_count(*chunk, max_words, buckets, seed, *filters.value, every))
+            if cells:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*cells), CELL)], schema=CELL)
 
-    counted = docs.select("lang", "text").mapInArrow(scan, "lang string, k int, phrase string, h long, a long")
-    return counted.groupBy("lang", "k", "phrase").agg(F.max("h").alias("h"), F.sum("a").alias("a"))
+    cells = docs.select("lang", "text").mapInArrow(
+        scan, "bucket int, k int, lang string, keys binary, counts binary, words array<binary>")
+    return cells.groupBy("bucket").applyInArrow(lambda table: _add_up(table, least), FOUND_DDL)
 
 
 def filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
@@ -163,44 +236,47 @@ def filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
 
 
 def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, fraction: float = FRACTION,
-                     filter_bits: int = FILTER_BITS) -> tuple[DataFrame, int]:
-    """``(lang, k, phrase, h, a)`` of every phrase of at most ``max_words`` words with a count ``a`` of ``min_count`` or
-    more, and per lang the empty phrase with the number of all words; and the number of full passes.
+                     filter_bits: int = FILTER_BITS, seed: int = 0) -> tuple[DataFrame, int]:
+    """``(lang, k, w, h, a, word)`` of every phrase of at most ``max_words`` words with a count ``a`` of ``min_count`` or
+    more (``w``: its words' hashes; ``word`` where it is one word), and per lang the phrase of no words with the number of
+    all words; and the number of full passes.
 
-    ``docs(lang, text)``.  The sample's threshold is lowered to 0.8 of its share of ``min_count``.  The proposals
+    ``docs(lang, text)``.  The sample's threshold is lowered to 0.8 of its share of ``min_count`` (2 at least).  The proposals
     reach the tasks as a Bloom filter of fixed size: what it holds beside them is counted too, which costs time and changes no
     result; a phrase's parts decide alone in which pass it is counted, so it is counted once.
     """
-    least = max(1, int(0.8 * fraction * min_count))
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    buckets = max(4 * shuffle_partitions(docs.sparkSession), -(-size // RANGE_BYTES))
+    least = max(2, int(0.8 * fraction * min_count))
     chosen = docs.where(F.abs(F.xxhash64("lang", "text") % 1_000_003) < int(fraction * 1_000_003))
-    proposed = written(count_phrases(chosen, max_words - 1, every=True).where(
-        F.col("k").between(1, max_words - 1) & (F.col("a") >= least)), "phrases-proposed")
+    proposed = written(count_phrases(chosen, max_words - 1, least, buckets, seed, every=True).where(
+        F.col("k").between(1, max_words - 1)).select("w", "h"), "phrases-proposed")
     new, old, passes, found = filter_of(proposed, filter_bits), None, 0, None
     while True:
-        counted = count_phrases(docs, max_words, new, old)
-        part = written(counted.where((F.col("a") >= min_count) | (F.col("k") == 0)), f"phrases-{passes}")
+        part = written(count_phrases(docs, max_words, min_count, buckets, seed, new, old), f"phrases-{passes}")
+        if not passes and not part.where(F.col("k") == CLASH).isEmpty():
+            return frequent_phrases(docs, max_words, min_count, fraction, filter_bits, seed + 1)
         found, passes = part if found is None else found.union(part), passes + 1
-        failed = part.where(F.col("k").between(1, max_words - 1)).join(proposed, ["lang", "phrase"], "left_anti")
+        failed = part.where(F.col("k").between(1, max_words - 1)).join(proposed, "w", "left_anti")
         more = new | filter_of(failed, filter_bits)
         if np.array_equal(more, new):
             return found, passes
         new, old = more, new
 
 
+# scores
+
 def scored(found: DataFrame) -> DataFrame:
-    """``(lang, phrase, k, a, l, r, score)`` of phrases of two words and more, by the cut with the lowest score."""
-    word = F.split("phrase", " ")
-    cuts = found.where("k >= 2").select("lang", "phrase", "k", "a", word.alias("_w"),
-                                        F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int")  # a very common word is a part of many phrases
-    left, right = F.slice("_w", F.lit(1), F.col("cut")), F.slice("_w", F.col("cut") + 1, F.col("k"))
-    sides = cuts.select("lang", "phrase", "k", "a", "cut", salt.alias("salt"), F.explode(F.array(
-        F.struct(F.lit(True).alias("first"), F.array_join(left, " ").alias("part")),
-        F.struct(F.lit(False).alias("first"), F.array_join(right, " ").alias("part")))).alias("s"))
-    counts = found.where("k >= 1").select(F.col("lang").alias("_lang"), F.col("phrase").alias("_part"), F.col("a").alias("count"),
+    """``(lang, k, w, a, l, r, score)`` of phrases of two words and more, by the cut with the lowest score."""
+    cuts = found.where("k >= 2").select("lang", "w", "k", "a", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
+    salt = F.pmod(F.xxhash64("w"), F.lit(SALTS)).cast("int")  # a very common word is a part of many phrases
+    left, right = F.slice("w", F.lit(1), F.col("cut")), F.slice("w", F.col("cut") + 1, F.col("k"))
+    sides = cuts.select("lang", "w", "k", "a", "cut", salt.alias("salt"), F.explode(F.array(
+        F.struct(F.lit(True).alias("first"), left.alias("part")), F.struct(F.lit(False).alias("first"), right.alias("part")))).alias("s"))
+    counts = found.where("k >= 1").select(F.col("w").alias("_part"), F.col("a").alias("count"),
                                           F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    both = sides.join(counts, (F.col("lang") == F.col("_lang")) & (F.col("s.part") == F.col("_part")) & (F.col("salt") == F.col("_salt")))
-    cut = both.groupBy("lang", "phrase", "k", "a", "cut").agg(
+    both = sides.join(counts, (F.col("s.part") == F.col("_part")) & (F.col("salt") == F.col("_salt")))
+    cut = both.groupBy("lang", "w", "k", "a", "cut").agg(
         F.max(F.when(F.col("s.first"), F.col("count"))).alias("l"), F.max(F.when(~F.col("s.first"), F.col("count"))).alias("r"))
 
     def wide(c: str) -> Column:
@@ -208,21 +284,28 @@ def scored(found: DataFrame) -> DataFrame:
 
     cut = cut.withColumn("_up", F.lit(1000000).cast("decimal(38,0)") * wide("a") * wide("a")).withColumn("_down", wide("l") * wide("r"))
     cut = cut.withColumn("score", F.expr("cast(_up div _down as long)"))
-    best = cut.groupBy("lang", "phrase", "k", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("b"))
-    return best.select("lang", "phrase", "k", "a", "b.l", "b.r", "b.score")
+    best = cut.groupBy("lang", "w", "k", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("b"))
+    return best.select("lang", "k", "w", "a", "b.l", "b.r", "b.score")
 
 
 def standing(found: DataFrame, max_words: int, overlap: int = 50) -> DataFrame:
-    """``(lang, phrase)`` of the phrases that no longer one contains with ``overlap`` percent of their count."""
-    phrases = found.where("k >= 2").select("lang", "phrase", "k", "a")
+    """``w`` of the phrases that no longer one contains with ``overlap`` percent of their count."""
+    phrases = found.where("k >= 2").select("w", "k", "a")
     if max_words < 3:
-        return phrases.select("lang", "phrase")
-    places = F.expr("flatten(transform(sequence(2, k - 1), j -> transform(sequence(1, k - j + 1), i -> array_join(slice(_w, i, j), ' '))))")
-    inside = phrases.where("k >= 3").withColumn("_w", F.split("phrase", " ")).select(
-        "lang", F.col("a").alias("longer"), F.explode(places).alias("phrase"))
-    most = inside.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
-    known = phrases.join(most, ["lang", "phrase"], "left")
-    return known.where(F.coalesce(100 * F.col("longer") < overlap * F.col("a"), F.lit(True))).select("lang", "phrase")
+        return phrases.select("w")
+    places = F.expr("flatten(transform(sequence(2, k - 1), j -> transform(sequence(1, k - j + 1), i -> slice(w, i, j))))")
+    inside = phrases.where("k >= 3").select(F.col("a").alias("longer"), F.explode(places).alias("w"))
+    most = inside.groupBy("w").agg(F.max("longer").alias("longer"))
+    known = phrases.join(most, "w", "left")
+    return known.where(F.coalesce(100 * F.col("longer") < overlap * F.col("a"), F.lit(True))).select("w")
+
+
+def spelled(phrases: DataFrame, found: DataFrame) -> DataFrame:
+    """``phrases`` with ``phrase``, the words of ``w`` joined by blanks."""
+    names = found.where("k = 1").select(F.element_at("w", 1).alias("_h"), "word")
+    each = phrases.select("w", F.posexplode("w").alias("_i", "_h")).join(names, "_h")
+    texts = each.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("_i", "word"))).alias("_t"))  # max_words each
+    return phrases.join(texts.select("w", F.array_join(F.col("_t.word"), " ").alias("phrase")), "w")
 
 
 def mine_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, overlap: int = 50, top: int = 2000,
@@ -240,8 +323,10 @@ def mine_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, overl
     """
     rows = docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found, _ = frequent_phrases(rows, max_words, min_count, fraction, filter_bits)
+    kept = scored(found).join(standing(found, max_words, overlap), "w")
+    first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))  # ties need the words
+    best = written(kept.withColumn("rank", F.rank().over(first)).where(F.col("rank") <= top).drop("rank"), "phrases-best")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    kept = scored(found).join(standing(found, max_words, overlap), ["lang", "phrase"])
-    best = written(kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top), "phrases-best")
-    words = found.where("k = 0").select("lang", F.col("a").alias("n"))
-    return best.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    ranked = spelled(best, found).withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    words = found.where("k = 0").groupBy("lang").agg(F.sum("a").alias("n"))
+    return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
