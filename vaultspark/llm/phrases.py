@@ -29,9 +29,9 @@ CHUNK = 4 << 20  # bytes of text that a task counts at a time
 RANGE_BYTES = 32 << 20  # of text whose phrases one hash range gets on average: at most some 100 MB of counts
 FRACTION = 0.125  # of the documents, in the sample
 FILTER_BITS = 1 << 25  # of the proposals' Bloom filter, a broadcast of 4 MB whatever their number
-SALTS = 16
+SALTS = 4  # of the parts of phrases, of which the commonest word is one of some percent at most
 UNKNOWN = "und"
-LONG_WORD = 4096  # bytes from which a word is hashed by itself
+LONG_WORD = 4096  # bytes beyond which a word is hashed by itself
 CELL = pa.schema([("bucket", pa.int32()), ("k", pa.int32()), ("lang", pa.string()), ("keys", pa.binary()), ("counts", pa.binary()),
                   ("words", pa.list_(pa.binary()))])
 FOUND = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("w", pa.list_(pa.int64())), ("h", pa.int64()), ("a", pa.int64()),
@@ -83,25 +83,30 @@ def _mix(h: np.ndarray, word: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _words(data: bytes, lang: str, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes, starts, ends, whether the next word is in the same piece) of the words of a chunk."""
+def _words(data: bytes, lang: str, seeds: list[int]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes by seed, starts, ends, whether the next word is in the same piece) of the words of a chunk."""
     d = np.frombuffer(data, np.uint8)
     inside = (d != 32) & (d != 46)
     edges = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
-        return np.zeros(0, np.uint64), starts, ends, np.zeros(0, bool)
+        return [np.zeros(0, np.uint64)] * len(seeds), starts, ends, np.zeros(0, bool)
     sizes = ends - starts
     first = np.cumsum(sizes) - sizes
-    place = np.minimum(np.arange(int(sizes.sum())) - np.repeat(first, sizes), LONG_WORD - 1)
-    base = np.uint64(xxhash.xxh64_intdigest(b"base", seed) | 1)
-    powers = np.multiply.accumulate(np.full(min(int(sizes.max()), LONG_WORD), base, np.uint64))
-    h = np.add.reduceat((d[inside].astype(np.uint64) + np.uint64(1)) * powers[place], first)
-    for i in np.flatnonzero(sizes >= LONG_WORD):
-        h[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]], seed)
-    h = _mix(h, np.full(1, xxhash.xxh64_intdigest(lang.encode(), seed), np.uint64))
+    letters = d[inside].astype(np.uint64) + np.uint64(1)
+    place = np.arange(len(letters), dtype=np.int32) - np.repeat(first.astype(np.int32), sizes)
+    longest = int(sizes.max())
+    if longest > LONG_WORD:
+        place = np.minimum(place, LONG_WORD - 1)
+    hashes = []
+    for seed in seeds:
+        base = np.uint64(xxhash.xxh64_intdigest(b"base", seed) | 1)
+        h = np.add.reduceat(letters * np.multiply.accumulate(np.full(min(longest, LONG_WORD), base, np.uint64))[place], first)
+        for i in np.flatnonzero(sizes > LONG_WORD):
+            h[i] = xxhash.xxh64_intdigest(data[starts[i]:ends[i]], seed)
+        hashes.append(_mix(h, np.full(1, xxhash.xxh64_intdigest(lang.encode(), seed), np.uint64)))
     pieces = np.cumsum(d == 46, dtype=np.int32)[starts]
-    return h, starts, ends, np.append(pieces[1:] == pieces[:-1], False)
+    return hashes, starts, ends, np.append(pieces[1:] == pieces[:-1], False)
 
 
 def _within(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
@@ -119,9 +124,10 @@ def _added(h: np.ndarray, keys: np.ndarray, counts: np.ndarray | None = None) ->
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = np.argsort(h)
-    same = h[order[1:]] == h[order[:-1]]
-    equal = (keys[order[1:]] == keys[order[:-1]]).all(1)
-    if (same & ~equal).any():  # keys that share a hash may lie mixed
+    sorted_h = h[order]
+    equal = sorted_h[1:] == sorted_h[:-1]
+    at = np.flatnonzero(equal)
+    if not (keys[order[at]] == keys[order[at + 1]]).all():  # keys that share a hash may lie mixed
         order = np.lexsort((*keys.T, h))
         equal = (keys[order[1:]] == keys[order[:-1]]).all(1)
     firsts = np.flatnonzero(np.append(True, ~equal))
@@ -135,7 +141,7 @@ def _count(lang: str, data: bytes, ahead: bytes, max_words: int, buckets: int, s
     """Cells of a chunk: phrases whose parts lie in ``new`` and not all in ``old`` (``every``: phrases of any parts);
     where ``old`` is None words are counted too, and their number, as the phrase of no words."""
     text = data + ahead
-    hashes, begins, ends, joined = _words(text, lang, seed)
+    (hashes, *other), begins, ends, joined = _words(text, lang, [seed, seed + 1_000_003][:1 if old is not None else 2])
     limit = int(np.searchsorted(begins, len(data)))
 
     def cells(k: int, h: np.ndarray, keys: np.ndarray, counts: np.ndarray, words: list[bytes] | None = None) -> Iterator[tuple]:
@@ -146,8 +152,8 @@ def _count(lang: str, data: bytes, ahead: bytes, max_words: int, buckets: int, s
 
     if old is None:
         yield 0, 0, lang, b"", np.array([limit], "<u4").tobytes(), None
-        other = _words(text, lang, seed + 1_000_003)[0]  # words are told apart by 128 bits here, by their letters in ``_add_up``
-        place, counts = _added(hashes[:limit], np.stack([hashes[:limit], other[:limit]], axis=1))
+        twice = np.stack([hashes[:limit], other[0][:limit]], axis=1)  # words are told apart by 128 bits here, by letters in ``_add_up``
+        place, counts = _added(hashes[:limit], twice)
         yield from cells(1, hashes[place], hashes[place, None], counts, [text[begins[i]:ends[i]] for i in place.tolist()])
     good, h = np.ones(len(hashes), bool), hashes
     in_new, in_old = _within(new, hashes), _within(old, hashes)
