@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import map_columns, shuffle_partitions, written
+from vaultspark.llm.common import join_per_key, map_columns, shuffle_partitions, written
 from vaultspark.llm.components import connected_components
 
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
@@ -222,12 +222,13 @@ def near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = MAX_BITS) -
     is kept and never is a component's id unless its component has no other.  An empty table gives no rows.
     """
     fps = written(fingerprints(docs, width), "fingerprints")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("low"))
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("held"))
     parts = written(connected_components(fingerprint_links(nodes, max_bits)), "components")
     lows = (parts.join(nodes, parts["node"] == nodes["fp"]).groupBy("root").agg(F.min("low").alias("component_id")))
     linked = parts.join(lows, "root").select(F.col("node").alias("fp"), "component_id")
-    class_of = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    return fps.join(class_of, "fp").select("doc_id", "fp", "component_id")
+    class_of = written(nodes.join(linked, "fp", "left").select(
+        "fp", "held", F.coalesce("component_id", "low").alias("component_id")), "classes")
+    return join_per_key(fps, class_of, ["fp"], "held").select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 4, max_bits: int = MAX_BITS) -> DataFrame:

@@ -22,10 +22,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import map_columns, shuffle_partitions, written
+from vaultspark.llm.common import join_per_key, map_columns, shuffle_partitions, written
 from vaultspark.session import shared_dir
 
 DATE = "2024-01-01T00:00:00Z"
+READ_BYTES = 16 << 20  # of an archive that a task reads back
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -133,7 +134,8 @@ def revisits(listed: DataFrame, min_bytes: int = 0) -> DataFrame:
     keep = (listed.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest", "payload_bytes")
             .agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("keep")).where("n > 1 AND keep IS NOT NULL"))
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("keep")), F.col("keep"))
-    return listed.join(keep.drop("n"), ["payload_digest", "payload_bytes"], "left").withColumn("refers_to", refers).drop("keep")
+    both = join_per_key(listed, written(keep, "kept-payloads"), ["payload_digest", "payload_bytes"], "n")
+    return both.withColumn("refers_to", refers).drop("keep")
 
 
 def normalise(decided: DataFrame, root: str, level: int = 6) -> None:
@@ -185,6 +187,10 @@ def read_archives(spark: SparkSession, root: str, with_payload: bool = False) ->
     payload_digest, record_type, refers_to (and payload, null for revisits).  A response's payload must have the
     digest its header states."""
     listed = spark.read.schema("offset long, length long, name string").option("sep", "\t").csv(f"{root}/members/*.idx")
+    size = listed.agg(F.sum("length")).first()[0] or 0
+    slices = listed.withColumn("_slice", F.expr(f"offset div {READ_BYTES}"))  # a task reads so many bytes of archive, not of index
+    listed = slices.repartition(max(shuffle_partitions(spark), -(-size // READ_BYTES)), "name", "_slice").sortWithinPartitions(
+        "name", "offset").drop("_slice")
     kinds = [("page_id", pa.int64(), "long"), ("target_uri", pa.string(), "string"), ("payload_bytes", pa.int64(), "long"),
              ("payload_digest", pa.string(), "string"), ("record_type", pa.string(), "string"),
              ("refers_to", pa.int64(), "long"), ("payload", pa.binary(), "binary")][:7 if with_payload else 6]
