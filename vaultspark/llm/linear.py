@@ -1,7 +1,7 @@
 """Linear text classifiers over hashed features scaled by naive Bayes log-count ratios.
 
-A model is fitted on a bounded, documented sample of labelled rows (at most ``per_class`` of either class, the
-smallest hashes of doc_id first); every document is scored.  Only that sample's feature ids reach the driver.
+A model is fitted on a bounded, documented sample of labelled rows (of either class at most ``per_class`` rows and ``max_ids``
+feature ids, the smallest hashes of doc_id first); every document is scored.  Only that sample's feature ids reach the driver.
 """
 
 from __future__ import annotations
@@ -13,10 +13,13 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import shuffle_partitions
+from vaultspark.llm.common import shuffle_partitions, written
+
+MAX_IDS = 6_000_000  # bound of the feature ids of a class that a model is fitted on
+ROWS = 500  # of a batch, turned into Python strings at a time
 
 Features = Callable[[str], np.ndarray]  # a text's distinct feature ids, ascending
 
@@ -129,10 +132,12 @@ def fold(doc_id: str, folds: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str, features: Features, buckets: int, solver: Callable,
-          per_class: int) -> LinearModel:
-    """Fit on at most ``per_class`` labelled rows of either class.  ``labels(doc_id, <label>)`` holds the training
-    rows only; other labels than 0 and 1 and rows without a document are left out.  A doc_id counts once, with
-    its largest label and smallest text."""
+          per_class: int, max_ids: int = MAX_IDS) -> LinearModel:
+    """Fit on a bounded sample of labelled rows: of either class the first ``per_class`` in the order of their doc_id's
+    hash, as far as they have ``max_ids`` feature ids together (so that the driver gets 8 * ``max_ids`` bytes at most).
+
+    ``labels(doc_id, <label>)`` holds the training rows only; other labels than 0 and 1 and rows without a
+    document are left out.  A doc_id counts once, with its largest label and smallest text."""
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(
         F.col("doc_id").alias("_labelled")).agg(F.max(F.col(label).cast("int")).alias("_y"))
     counts = dict(known.groupBy("_y").count().collect())
@@ -143,30 +148,41 @@ def train(docs: DataFrame, labels: DataFrame, label: str, features: Features, bu
 
     def scan(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
-            yield pd.DataFrame({"y": pdf["_y"], "ids": [features(t or "").astype("<u4").tobytes() for t in pdf["text"]]})
+            ids = [features(t or "").astype("<u4").tobytes() for t in pdf["text"]]
+            yield pd.DataFrame({"y": pdf["_y"], "nr": pdf["nr"], "ids": ids})
 
-    found = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_labelled"))
              .groupBy("_labelled", "_y").agg(F.min("text").alias("text"))  # repeated rows of a document are one
              .repartition(shuffle_partitions(docs.sparkSession), "_labelled")  # small task results
-             .select("_y", "text").mapInPandas(scan, "y int, ids binary").collect())  # at most 2 * per_class rows
-    found.sort(key=lambda r: (r["y"], len(r["ids"]), crc32(r["ids"])))  # the model does not depend on the order of arrival
-    rows = [np.frombuffer(r["ids"], "<u4") for r in found]
+             .select("_y", F.xxhash64("_labelled").alias("nr"), "text"))
+    found = written(texts.mapInPandas(scan, "y int, nr long, ids binary"), "training-features")
+    running = Window.partitionBy("y").orderBy("nr", F.octet_length("ids"), "ids")  # at most ``per_class`` rows each
+    kept = found.withColumn("total", F.sum(F.octet_length("ids").cast("long")).over(running)).where(F.col("total") <= 4 * max_ids)
+    rows = kept.select("y", "ids").collect()
+    rows.sort(key=lambda r: (r["y"], len(r["ids"]), crc32(r["ids"])))  # the model does not depend on the order of arrival
+    ids = [np.frombuffer(r["ids"], "<u4") for r in rows]
     odds = counts.get(1, 0) / counts[0] if counts.get(0) else None
-    return fit(rows, np.array([r["y"] for r in found]), buckets, solver, odds)
+    return fit(ids, np.array([r["y"] for r in rows]), buckets, solver, odds)
 
 
 def score(docs: DataFrame, model: LinearModel, features: Features, carry: list[str], name: str = "score") -> DataFrame:
-    """The columns ``carry`` of every row of ``docs`` and, as ``name``, the probability of label 1 (null text: empty)."""
+    """The columns ``carry`` of every row of ``docs`` and, as ``name``, the probability of label 1 (null text: empty).
+
+    The text passes to Python once, also where it is carried; a carried column named ``name`` is left out.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one weight a bucket
-    types = {f.name: f.dataType for f in docs.schema.fields}
-    schema = ", ".join(f"`{c}` {types[c].simpleString()}" for c in carry) + f", `{name}` double"
+    kept = [c for c in carry if c != name]
+    columns = kept if "text" in kept else [*kept, "text"]
+    at_text, types = columns.index("text"), {f.name: f.dataType for f in docs.schema.fields}
+    schema = ", ".join([f"`{c}` {types[c].simpleString()}" for c in kept] + [f"`{name}` double"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch in batches:
-            margins = [m.weights[features(t or "")].sum(dtype=np.float64) + m.bias
-                       for at in range(0, batch.num_rows, 500) for t in batch.column(len(carry)).slice(at, 500).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:len(carry)], pa.array(m.probability(np.array(margins, dtype=np.float64)))], names=[*carry, name])
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                margins = [m.weights[features(t or "")].sum(dtype=np.float64) + m.bias for t in part.column(at_text).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:len(kept)], pa.array(m.probability(np.array(margins, dtype=np.float64)))], names=[*kept, name])
 
-    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(scan, schema)
+    return docs.select(*columns).mapInArrow(scan, schema)

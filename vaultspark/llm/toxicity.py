@@ -1,4 +1,4 @@
-"""Toxicity classifier: n-grams of UTF-8 bytes scaled by naive Bayes log-count ratios, hinge loss."""
+"""Toxicity classifier: character n-grams scaled by naive Bayes log-count ratios, hinge loss."""
 
 from __future__ import annotations
 
@@ -11,12 +11,12 @@ from vaultspark.llm import linear
 BITS = 20
 SIZES = (3, 4, 5, 6)
 PER_CLASS = 2500  # bound of the labelled sample the model is fitted on, per class
-BLOCK = 1 << 20  # bytes of a text hashed at a time
+BLOCK = 1 << 20  # characters of a text hashed at a time
 
 
 def char_ngrams(text: str) -> np.ndarray:
-    """Distinct hashed byte n-grams of 3 to 6 bytes of the lower-cased text between two blanks."""
-    data = np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), np.uint8).astype(np.uint32)
+    """Distinct hashed n-grams of 3 to 6 characters (code points) of the lower-cased text between two blanks."""
+    data = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), "<u4")
     found = []
     for at in range(0, max(1, len(data) - 2), BLOCK):
         block = data[at:at + BLOCK + max(SIZES) - 1]
@@ -33,6 +33,7 @@ def char_ngrams(text: str) -> np.ndarray:
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> linear.LinearModel:
+    """Hinge-loss model of the character n-grams scaled by log-count ratios, by dual coordinate descent."""
     return linear.train(docs, labels, "toxic", char_ngrams, 1 << BITS, linear.dual_coordinate_descent, per_class)
 
 
