@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from vaultspark.llm.common import map_columns, written
 
 WINDOW = 4096
-GRAIN = 16  # lengths are rounded up to this many tokens when patterns are enumerated
+GRAIN = 16  # lengths from ``FINE`` on are rounded up to multiples of this many tokens, of which patterns are made
+FINE = 256  # shorter pieces keep their exact length
 DEPTH = 3  # pieces in an enumerated pattern, at most
 TOKENIZER = "word_bpe_49k.json"
 END = 2  # id appended to every document
@@ -83,11 +84,16 @@ def token_ids(path: str) -> ChunkIds:
     return _WORKER[path]
 
 
+def room(length: int, grain: int = GRAIN) -> int:
+    """Tokens that a piece takes in the plan."""
+    return length if length < FINE else -(-length // grain) * grain
+
+
 def token_pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW, grain: int = GRAIN) -> DataFrame:
     """Every document's ids (its tokens, then ``END``) cut every ``window`` ids, as a written table.
 
-    Columns: doc_id, start, length, doc_tokens, ids (binary, little-endian 32-bit), and for packing bin (length
-    in grains, rounded up), part (writing partition) and nr (number within part and bin).  A null text is empty: one piece
+    Columns: doc_id, start, length, doc_tokens, ids (binary, little-endian 32-bit), and for packing bin (the
+    room it takes), part (writing partition) and nr (number within part and bin).  A null text is empty: one piece
     holding ``END``.  Repeated rows are packed as often as they occur.
     """
     path = path or tokenizer_path()
@@ -103,7 +109,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, window: int = WINDOW,
                 total = len(ids) // 4
                 for start in range(0, total, window):
                     length = min(window, total - start)
-                    b = -(-length // grain)
+                    b = room(length, grain)
                     nr = seen.get(b, 0)
                     seen[b] = nr + 1
                     rows.append((doc, start, length, total, ids[4 * start:4 * (start + length)], b, part, nr))
@@ -170,11 +176,12 @@ def non_negative_least_squares(a: np.ndarray, b: np.ndarray, steps: int | None =
     return x
 
 
-def plan_packing(histogram: dict[int, int], bins: int, depth: int = DEPTH) -> Plan:
+def plan_packing(histogram: dict[int, int], window: int, grain: int = 1, depth: int = DEPTH) -> Plan:
     """Repeat counts of patterns that together take every piece of ``histogram`` (bin -> pieces) exactly once.
 
-    Non-negative least squares gives the repeats of the enumerated patterns; they are rounded down, and what
-    remains is packed greedily, longest first, a pattern as often as the remaining counts allow.
+    Patterns are combinations of the lengths that are multiples of ``grain``.  Non-negative least squares gives their
+    repeats; they are rounded down, and what remains, with the pieces of other lengths, is packed greedily,
+    longest first, a pattern as often as the remaining counts allow.
     """
     left = {b: n for b, n in sorted(histogram.items()) if n}
     plan, taken = Plan(), dict.fromkeys(left, 0)
@@ -188,15 +195,15 @@ def plan_packing(histogram: dict[int, int], bins: int, depth: int = DEPTH) -> Pl
             slot += each
         plan.sequences += repeats
 
-    present = list(left)
-    found = patterns(bins, present, depth)
+    present = [b for b in left if b % grain == 0]
+    found = [tuple(grain * b for b in p) for p in patterns(window // grain, [b // grain for b in present], depth)]
     if found:
         row = {b: i for i, b in enumerate(present)}
         a = np.zeros((len(present), len(found)))
         for j, p in enumerate(found):
             for b in p:
                 a[row[b], j] += 1
-        total = sum(left.values())
+        total = sum(left[b] for b in present)
         x = non_negative_least_squares(a, np.array([left[b] for b in present]) / total) * total
         for j in np.argsort(-x, kind="stable"):
             lengths = {b: found[j].count(b) for b in found[j]}
@@ -204,12 +211,12 @@ def plan_packing(histogram: dict[int, int], bins: int, depth: int = DEPTH) -> Pl
             if repeats > 0:
                 use(lengths, repeats)
     while any(left.values()):
-        room, lengths = bins, {}
+        free, lengths = window, {}
         for b in sorted((b for b, n in left.items() if n), reverse=True):
-            each = min(left[b], room // b)
+            each = min(left[b], free // b)
             if each:
                 lengths[b] = each
-                room -= each * b
+                free -= each * b
         use(lengths, min(left[b] // n for b, n in lengths.items()))
     return plan
 
@@ -228,7 +235,7 @@ def place(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN, depth: in
     before = Window.partitionBy("bin").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("part", "bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
     histogram = {r["bin"]: r["n"] for r in pieces.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = plan_packing(histogram, window // grain, depth)
+    plan = plan_packing(histogram, window, grain, depth)
     ranges = spark.createDataFrame(plan.rows, "_bin int, _lo long, _hi long, _base long, _each long, _slot0 long")
     rank = F.col("_first") + F.col("nr")
     placed = pieces.join(offsets, ["part", "bin"]).withColumn("_rank", rank).join(
