@@ -78,11 +78,31 @@ def _line_dedup(rows):
 def test_line_dedup(docs):
     got = [(r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in linededup.dedup_lines(docs).collect()]
     assert _sorted(got) == _sorted(_line_dedup(DOCS))
+    with pytest.MonkeyPatch.context() as patch:  # no line is hot: all runs are streamed in their ranges
+        patch.setattr(linededup, "HOT_SEEN", 10 ** 9)
+        got = [(r["doc_id"], r["n_lines"], r["n_dropped"], r["text"] or "") for r in linededup.dedup_lines(docs).collect()]
+    assert _sorted(got) == _sorted(_line_dedup(DOCS))
     named = docs.select("doc_id", "text", F.lit(5).alias("_id"), F.lit(6).alias("_text_hash"), F.lit(7).alias("dropped"))
     assert {tuple(r)[1:4] for r in linededup.dedup_lines(named).collect()} == {(5, 6, 7)}
     assert linededup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_runs_are_streamed_in_sorted_ranges(spark, documents):
+    """A range exchange, a sort and windows over it; the rows meet no hash exchange by line."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    plan = linededup.line_drops(documents)._jdf.queryExecution().explainString(mode)
+    assert "rangepartitioning(h1" in plan and "Sort [h1" in plan and "Window" in plan
+    assert "hashpartitioning(h1" not in plan and "SortMergeJoin" not in plan
+
+
+def test_keep_bitmaps_leave_full_words_out(spark):
+    long = "\n".join([LINE if i in (3, 200) else f"line {i}" for i in range(400)])
+    df = spark.createDataFrame([(i, LINE) for i in range(2, 7)] + [(1, long)], "doc_id long, text string")
+    row = {r["_id"]: r for r in linededup.line_drops(df).collect()}[1]
+    assert row["n_dropped"] == 2
+    assert [(w["word"], w["bits"]) for w in row["kept"]] == [(0, ~(1 << 3)), (3, ~(1 << (200 - 192)))]
+
+
 def _components(rows, bits=4):
     fps = {t: simhash.fingerprint(t) for _, t in rows}
     values = sorted(set(fps.values()))
@@ -187,6 +207,13 @@ def test_packing_round_trip(docs, documents):
     assert packing.pack_documents(docs.limit(0)).count() == 0
 
 
+def test_tiny_pieces_leave_little_padding(spark):
+    tiny = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(4096)], "doc_id long, text string")
+    rows = packing.pack_documents(tiny).collect()
+    total = sum(r["length"] for r in rows)
+    assert len({r["sequence_id"] for r in rows}) == -(-total // 4096)
+
+
 def test_plan_takes_every_piece_once():
     rng = np.random.default_rng(3)
     histogram = {int(b): int(n) for b, n in zip(rng.choice(np.arange(1, 257), 90, replace=False), rng.integers(1, 4000, 90))}
@@ -298,18 +325,109 @@ def test_dual_coordinate_descent_separates():
     assert np.mean((model.probability(model.margins(rows)) > 0.5) == y) > 0.97
 
 
+def _top(rows, k, scale=64):
+    """(query id, rank, id, score) by exact integers; every row is told apart by its place."""
+    width = max((len(x) for _, x in rows), default=0)
+    v = [[int(np.floor(scale * float(np.float32(c)))) for c in x] + [0] * (width - len(x)) for _, x in rows]
+    out = []
+    for a, (q, _) in enumerate(rows):
+        if q % 20 == 0:
+            best = sorted((-sum(x * y for x, y in zip(v[a], v[b])), rows[b][0]) for b in range(len(rows)) if b != a)[:k]
+            out += [(q, n + 1, c, -s) for n, (s, c) in enumerate(best)]
+    return sorted(out)
+
+
 def test_top_k_matches_brute_force(spark):
     rng = np.random.default_rng(5)
     data = [(i, [float(x) for x in rng.normal(size=6).round(1)]) for i in range(120)]
-    data += [(200 + i, data[0][1]) for i in range(40)] + [(300, None), (320, [None, 1.0]), (340, [float("nan")] * 6), (None, data[0][1]), (360, [])]
-    df = spark.createDataFrame([(*d, None, None) for d in data], "vec_id long, embedding array<float>, label int, v string")
-    got = sorted(map(tuple, topk.top_k(df, k=7).collect()))
-    v = {i: np.floor(64 * np.pad(np.float32(x).astype(float), (0, 6 - len(x)))) for i, x in data if i is not None and i not in (300, 320, 340)}
-    want = [(q, n + 1, c, -s) for q in v if q % 20 == 0 for n, (s, c) in enumerate(sorted((-int(v[q] @ v[c]), c) for c in v if c != q)[:7])]
-    assert got == sorted(want)
+    data += [(200 + i, data[0][1]) for i in range(40)] + [(360, [])]
+    data += [(20, data[3][1]), (20, data[20][1]), (20, data[20][1]), (21, data[3][1])]  # query ids that several rows hold
+    bad = [(300, None), (320, [None, 1.0]), (340, [float("nan")] * 6), (None, data[0][1])]
+    df = spark.createDataFrame([(*d, None, None, None) for d in data + bad], "vec_id long, embedding array<float>, label int, v string, nr int")
+    assert sorted(map(tuple, topk.top_k(df, k=7).collect())) == _top(data, 7)
     assert topk.top_k(df.limit(0)).count() == 0
 
 
+def test_top_k_of_rows_that_share_an_id(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (21, [1.0, 1.0])]
+    got = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()))
+    assert got == _top(rows, 20) and len(got) == 4
+
+
+def test_top_k_of_large_components(spark):
+    rng = np.random.default_rng(9)
+    for size in (1e4, 1e6, 1e7):  # scores below and above 2 ** 53
+        rows = [(i, [float(np.float32(c)) for c in rng.normal(size=4) * size]) for i in range(60)]
+        got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=5).collect()
+        assert sorted(map(tuple, got)) == _top(rows, 5)
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(20, [1e30]), (1, [1e30])], "vec_id long, embedding array<float>")).collect()
+
+
+def _hinge(rows, y, buckets, epochs=2000):
+    """Weights and bias of the hinge-loss model of scaled indicators, restated on dense rows with cyclic updates."""
+    x = np.zeros((len(rows), buckets))
+    for i, r in enumerate(rows):
+        x[i, r] = 1
+    p, q = (1 + x[y == 1].sum(0)), (1 + x[y == 0].sum(0))
+    scaled = np.c_[x * np.log((p / p.sum()) / (q / q.sum())), np.ones(len(rows))]
+    sign, dual, w = np.where(y == 1, 1.0, -1.0), np.zeros(len(rows)), np.zeros(buckets + 1)
+    for _ in range(epochs):
+        for i in range(len(rows)):
+            new = min(1.0, max(0.0, dual[i] - (sign[i] * (scaled[i] @ w) - 1) / (scaled[i] @ scaled[i])))
+            w += (new - dual[i]) * sign[i] * scaled[i]
+            dual[i] = new
+    return scaled @ w
+
+
+def test_classifier_matches_a_plain_restatement():
+    rng = np.random.default_rng(10)
+    y = rng.integers(0, 2, 60)
+    rows = [np.unique(rng.integers(0, 40, 6) + 10 * v).astype(np.uint32) for v in y]
+    ratios = linear.log_count_ratios(rows, y, 64)
+    w, bias = linear.dual_coordinate_descent(rows, y, ratios, epochs=4000)
+    margins = np.array([w[r].sum() + bias for r in rows])
+    assert np.allclose(margins, _hinge(rows, y, 64), atol=0.02)
+
+
+def test_character_ngrams_are_those_of_code_points():
+    for text in ("", "a", "\u00c9t\u00e9 \u4e2d\u6587 \U0001f600!", "ab" * 50):
+        padded = f" {text.lower()} "
+        want = {padded[i:i + n] for n in toxicity.SIZES for i in range(len(padded) - n + 1)}
+        assert len(toxicity.char_ngrams(text)) == len(want)  # so few n-grams don't share a bucket
+    grams, block = toxicity.char_ngrams("\u00e9\u4e2d" * 500 + "xyz"), toxicity.BLOCK
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "BLOCK", 64)
+        assert np.array_equal(toxicity.char_ngrams("\u00e9\u4e2d" * 500 + "xyz"), grams) and toxicity.BLOCK != block
+
+
+def test_training_sample_is_bounded_by_ids(spark, documents):
+    labels = read(spark, SF001, "labels")
+    seen = []
+
+    def solver(rows, y, ratios):
+        seen.append((len(rows), sum(map(len, rows))))
+        return np.zeros(len(ratios)), 0.0
+
+    linear.train(documents, labels, "quality", quality.word_ngrams, 1 << 20, solver, 5000, 3000)
+    assert max(n for _, n in seen) <= 6000 and max(r for r, _ in seen) >= 2
+
+
+@pytest.mark.parametrize("train", [quality.train_quality, toxicity.train_toxicity])
+def test_fitted_models_score_awkward_rows(spark, docs, train):
+    """Null, empty, very long and repeated texts beside clashing columns: a score each, equal texts alike."""
+    name = "quality" if train is quality.train_quality else "toxic"
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3, 4, 5, 6, 7, 8, 9)] + [(None, 1), (5, None), (999, 0)], f"doc_id long, {name} int")
+    model = train(docs, labels)
+    features = quality.word_ngrams if name == "quality" else toxicity.char_ngrams
+    got = linear.score(docs, model, features, ["doc_id", "text", "score", "_text"]).collect()
+    assert len(got) == len(DOCS) and all(0 <= r["score"] <= 1 for r in got)
+    by_text = defaultdict(set)
+    for r in got:
+        by_text[r["text"] or ""].add(r["score"])
+    assert all(len(v) == 1 for v in by_text.values())
+
+
 def test_pipeline_matches_brute_force(spark, documents):
     scored = linear.score(documents, quality.train_quality(documents, read(spark, SF001, "labels").where(linear.fold("doc_id", 5) != 0)),
                           quality.word_ngrams, ["doc_id"]).collect()
@@ -331,9 +449,20 @@ def test_every_query_is_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries()) and len(queries.QUERIES) == 13
 
 
-def test_extra_rows_survive_the_stages(spark, documents):
-    odd = spark.createDataFrame([(None, None, None, None, None), (900001, None, "en", None, 0)], documents.schema)
-    both = documents.limit(40).union(odd)
-    for _, stage in corpus_pipeline.STAGES[1:4]:
-        out = stage(spark, both, SF001)
-        assert out.columns == documents.columns and out.where(F.col("text").isNull()).count() >= 1
+def test_stages_keep_awkward_rows_and_clashing_columns(spark, documents):
+    """Every stage but the last returns its input's columns, whatever their names, with the values of the rows it keeps."""
+    names = ["quality_score", "_quality_score", "_text", "n_lines", "n_dropped", "_id", "h1", "kept", "fp", "component_id", "item_id", "part"]
+    odd = spark.createDataFrame([(None, None, None, None, None), (900001, None, "en", None, 0), (900002, "", "en", "s", 0),
+                                 (900003, "word " * 30000, "en", "s", 0)], documents.schema)
+    both = documents.limit(40).union(odd).union(odd.limit(2))
+    wide = both.select("*", *[F.lit(n).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, wide, SF001)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == n for r in rows for n in names), name
+        if name != "quality":
+            assert any(r["text"] is None for r in rows), name
+        assert stage(spark, wide.limit(0), SF001).count() == 0
+    packed = corpus_pipeline.packing_stage(spark, wide, SF001)
+    assert packed.count() >= wide.count()

@@ -76,9 +76,9 @@ def test_words_that_share_a_hash_lead_to_another_seed(spark, monkeypatch):
     """With one seed all words of a length are taken for one; the next seed is used then."""
     words = phrases._words
 
-    def same(data, lang, seed):
-        h, begins, ends, joined = words(data, lang, seed)
-        return ((ends - begins).astype(np.uint64) if seed == 0 else h), begins, ends, joined
+    def same(data, lang, seeds):
+        h, begins, ends, joined = words(data, lang, seeds)
+        return [(ends - begins).astype(np.uint64) if seed == 0 else x for x, seed in zip(h, seeds)], begins, ends, joined
 
     rows = [("en", "aa bb cc " * 12)]
     cells = [c for chunk in phrases._chunks(iter([_batch(rows)]), 2) for c in phrases._count(*chunk, 3, 4, 0, None, None, True)]
