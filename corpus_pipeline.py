@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultspark.llm import decontam, linear, linededup, quality, simhash
-from vaultspark.llm.common import read, written
+from vaultspark.llm.common import free_name, read, written
 from vaultspark.llm.queries import packed_digest
 
 QUALITY_THRESHOLD = 0.3
@@ -20,14 +20,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents whose quality score reaches the threshold; held-out labels (the fold of the quality query) stay unused."""
     labels = read(spark, sf_dir, "labels")
     model = quality.train_quality(docs, labels.where(linear.fold("doc_id", 5) != 0))
-    scored = linear.score(docs, model, quality.word_ngrams, docs.columns, "_quality_score")
-    return scored.where(F.col("_quality_score") >= QUALITY_THRESHOLD).drop("_quality_score")
+    score = free_name("quality_score", docs.columns)
+    scored = linear.score(docs, model, quality.word_ngrams, docs.columns, score)
+    return scored.where(F.col(score) >= QUALITY_THRESHOLD).drop(score)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that later documents repeat; ``n_chars`` follows the text."""
-    kept = linededup.dedup_lines(docs)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    kept = linededup.dedup_lines(docs, counts=False)
+    return kept.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
