@@ -69,37 +69,20 @@ def test_border_failures_lead_to_further_passes(spark):
     found, passes = phrases.frequent_phrases(df, fraction=0.0)
     assert passes == 3  # words, then pairs of them, then triples of those
     whole, once = phrases.frequent_phrases(df, fraction=1.0)
-    assert once == 1 and sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, found.collect()), key=repr)
-
-
-def test_words_that_share_a_hash_lead_to_another_seed(spark, monkeypatch):
-    """With one seed all words of a length are taken for one; the next seed is used then."""
-    words = phrases._words
-
-    def same(data, lang, seeds):
-        h, begins, ends, joined = words(data, lang, seeds)
-        return [(ends - begins).astype(np.uint64) if seed == 0 else x for x, seed in zip(h, seeds)], begins, ends, joined
-
-    rows = [("en", "aa bb cc " * 12)]
-    cells = [c for chunk in phrases._chunks(iter([_batch(rows)]), 2) for c in phrases._count(*chunk, 3, 4, 0, None, None, True)]
-    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*cells), phrases.CELL)], schema=phrases.CELL)
-    assert phrases.CLASH not in phrases._add_up(table, 1)["k"].to_pylist()
-    monkeypatch.setattr(phrases, "_words", same)
-    cells = [c for chunk in phrases._chunks(iter([_batch(rows)]), 2) for c in phrases._count(*chunk, 3, 4, 0, None, None, True)]
-    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*cells), phrases.CELL)], schema=phrases.CELL)
-    assert phrases._add_up(table, 1)["k"].to_pylist().count(phrases.CLASH) == 2  # three words, one hash
+    assert once == 1 and sorted(map(repr, whole.collect())) == sorted(map(repr, found.collect()))
 
 
 def _batch(rows):
     return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["lang", "text"])
 
 
-def _cells(rows):
-    cells = [c for chunk in phrases._chunks(iter([_batch(rows)]), 2) for c in phrases._count(*chunk, 3, 8, 5, None, None, True)]
-    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*cells), phrases.CELL)], schema=phrases.CELL)
-    got = phrases._add_up(table, 1).to_pylist()
-    return sorted((r["lang"], r["k"], r["w"], r["a"], r["word"]) for r in got if r["k"] != 1) + sorted(
-        (r["lang"], r["w"], r["a"], r["word"]) for r in got if r["k"] == 1)
+def _counts(rows):
+    out = Counter()
+    for chunk in phrases._chunks(iter([_batch(rows)]), 2):
+        for part in phrases._count(*chunk, 3, 5, None, None, True):
+            for r in part.to_pylist():
+                out[tuple(v for k, v in r.items() if k != "a")] += r["a"]
+    return out
 
 
 def test_long_texts_are_counted_in_blocks(monkeypatch):
@@ -107,16 +90,42 @@ def test_long_texts_are_counted_in_blocks(monkeypatch):
     words = np.array([f"w{i}" for i in range(30)] + ["x,", "y.", "z" * 40, "\n"])
     texts = [("en", " ".join(words[rng.integers(0, len(words) - 4 * (i % 2), 4000)])) for i in range(3)]
     texts += [("en", "v" * 5000 + " v"), ("en", "u v" + " " * 900 + "u v"), ("fr", "")]
-    whole = _cells(texts)
+    whole = _counts(texts)
     for size in (64, 1000):
         monkeypatch.setattr(phrases, "CHUNK", size)
-        assert _cells(texts) == whole
+        assert _counts(texts) == whole
 
 
 def test_scores_beyond_64_bits_are_exact(spark):
     a, left, right = 3_000_000_000_001, 3_000_000_000_019, 4_000_000_000_003
-    found = spark.createDataFrame([("en", 2, [7, 8], a), ("en", 1, [7], left), ("en", 1, [8], right)], "lang string, k int, w array<long>, a long")
-    assert [tuple(r) for r in phrases.scored(found).collect()] == [("en", 2, [7, 8], a, left, right, 10 ** 6 * a * a // (left * right))]
+    found = spark.createDataFrame([(2, [7, 8], a), (1, [7], left), (1, [8], right)], "k int, w array<long>, a long")
+    assert [tuple(r) for r in phrases.scored(found).collect()] == [(2, [7, 8], a, left, right, 10 ** 6 * a * a // (left * right))]
+
+
+def test_words_that_share_a_hash_are_found(spark, monkeypatch):
+    """A chunk keeps two words of one hash apart; the miner then takes the next seed."""
+    words = phrases._words
+
+    def same(data, lang, seeds):
+        h, begins, ends, joined = words(data, lang, seeds)
+        return [(ends - begins).astype(np.uint64) if seed == 0 else x for x, seed in zip(h, seeds)], begins, ends, joined
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(phrases, "_words", same)
+        parts = [p for chunk in phrases._chunks(iter([_batch([("en", "aa bb aa")])]), 2) for p in phrases._count(*chunk, 3, 0, None, None, True)]
+    rows = [r for p in parts for r in p.to_pylist() if r["k"] == 1]
+    assert sorted((r["word"], r["a"]) for r in rows) == [("aa", 2), ("bb", 1)] and len({r["w1"] for r in rows}) == 1
+    count, seeds = phrases.count_phrases, []
+
+    def clashing(docs, max_words, seed=0, *args, **named):
+        seeds.append(seed)
+        out = count(docs, max_words, seed, *args, **named)
+        return out.withColumn("w1", F.when((F.col("k") == 1) & (F.lit(seed) == 0), 1).otherwise(F.col("w1"))) if not named else out
+
+    monkeypatch.setattr(phrases, "count_phrases", clashing)
+    df = spark.createDataFrame([("en", "a b a b " * 10)], "lang string, text string")
+    found, _ = phrases.frequent_phrases(df, max_words=2)
+    assert seeds[:4] == [0, 0, 1, 1] and {r["a"] for r in found.where("k = 1").collect()} == {20}
 
 
 # ---------------------------------------------------------------- whitening

@@ -6,8 +6,8 @@ far as it occurs.  A border phrase that turns out frequent is a failure: it join
 that have become countable by it, until a pass brings no failure.  No frequent phrase is missed then, whatever the sample held.
 
 The border is mostly pairs that occur once, so counting is kept lean: a word is a 64-bit hash (of its lang and itself; that
-no two words share one is checked, else another seed is taken), a phrase the list of its words' hashes.  Tasks count chunks of
-text with numpy and send the counts in cells, one a hash range; Spark shuffles the cells and each range is added up by itself.
+no two words share one is checked, else another seed is taken), a phrase the hashes of its words.  Tasks count chunks of
+text with numpy, and Spark adds the counts up by those numbers.
 """
 
 from __future__ import annotations
@@ -21,23 +21,16 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import shuffle_partitions, written
+from vaultspark.llm.common import written
 
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(SEPARATORS + b"\t", b"." * len(SEPARATORS) + b" ")
 CHUNK = 4 << 20  # bytes of text that a task counts at a time
-RANGE_BYTES = 32 << 20  # of text whose phrases one hash range gets on average: at most some 100 MB of counts
 FRACTION = 0.125  # of the documents, in the sample
 FILTER_BITS = 1 << 25  # of the proposals' Bloom filter, a broadcast of 4 MB whatever their number
 SALTS = 4  # of the parts of phrases, of which the commonest word is one of some percent at most
 UNKNOWN = "und"
 LONG_WORD = 4096  # bytes beyond which a word is hashed by itself
-CELL = pa.schema([("bucket", pa.int32()), ("k", pa.int32()), ("lang", pa.string()), ("keys", pa.binary()), ("counts", pa.binary()),
-                  ("words", pa.list_(pa.binary()))])
-FOUND = pa.schema([("lang", pa.string()), ("k", pa.int32()), ("w", pa.list_(pa.int64())), ("h", pa.int64()), ("a", pa.int64()),
-                   ("word", pa.string())])
-FOUND_DDL = "lang string, k int, w array<long>, h long, a long, word string"
-CLASH = -1  # as k: two words share a hash
 
 
 # words of a chunk
@@ -119,8 +112,8 @@ def _within(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _added(h: np.ndarray, keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(one place of every distinct key in the order of its hash, its count); ``h`` are hashes of the rows of ``keys``."""
+def _counted(h: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one place of every distinct row of ``keys``, its count); ``h`` are hashes of the rows."""
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = np.argsort(h)
@@ -131,30 +124,35 @@ def _added(h: np.ndarray, keys: np.ndarray, counts: np.ndarray | None = None) ->
         order = np.lexsort((*keys.T, h))
         equal = (keys[order[1:]] == keys[order[:-1]]).all(1)
     firsts = np.flatnonzero(np.append(True, ~equal))
-    if counts is None:
-        return order[firsts], np.diff(np.append(firsts, len(order)))
-    return order[firsts], np.add.reduceat(counts[order], firsts)
+    return order[firsts], np.diff(np.append(firsts, len(order)))
 
 
-def _count(lang: str, data: bytes, ahead: bytes, max_words: int, buckets: int, seed: int, new: np.ndarray | None,
-           old: np.ndarray | None, every: bool) -> Iterator[tuple]:
-    """Cells of a chunk: phrases whose parts lie in ``new`` and not all in ``old`` (``every``: phrases of any parts);
-    where ``old`` is None words are counted too, and their number, as the phrase of no words."""
+def _columns(max_words: int) -> list[str]:
+    return [f"w{j + 1}" for j in range(max_words)]
+
+
+def _count(lang: str, data: bytes, ahead: bytes, max_words: int, seed: int, new: np.ndarray | None, old: np.ndarray | None,
+           every: bool) -> Iterator[pa.RecordBatch]:
+    """Counts of a chunk: phrases whose parts lie in ``new`` and not all in ``old`` (``every``: phrases of any parts);
+    where ``old`` is None words are counted too, with their letters, and their number, as the phrase of no words."""
     text = data + ahead
     (hashes, *other), begins, ends, joined = _words(text, lang, [seed, seed + 1_000_003][:1 if old is not None else 2])
     limit = int(np.searchsorted(begins, len(data)))
 
-    def cells(k: int, h: np.ndarray, keys: np.ndarray, counts: np.ndarray, words: list[bytes] | None = None) -> Iterator[tuple]:
-        at = ((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)  # ascending, as the hashes are
-        cuts = np.append(np.flatnonzero(np.diff(at, prepend=at[:1] - np.uint64(1))), len(at)) if len(at) else []
-        for lo, hi in zip(cuts, cuts[1:]):
-            yield (int(at[lo]), k, lang, keys[lo:hi].tobytes(), counts[lo:hi].astype("<u4").tobytes(), words and words[lo:hi])
+    def rows(k: int, keys: np.ndarray, counts: np.ndarray, words: list[bytes] | None = None) -> pa.RecordBatch:
+        n = len(counts)
+        w = [np.ascontiguousarray(keys[:, j]).view(np.int64) if j < k else np.zeros(n, np.int64) for j in range(max_words)]
+        named = k < 2
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(n, k, np.int32)), *map(pa.array, w), pa.array([lang] * n, pa.string()) if named else pa.nulls(n, pa.string()),
+             pa.array(words, pa.binary()).cast(pa.string()) if words else pa.nulls(n, pa.string()), pa.array(counts.astype(np.int64))],
+            names=["k", *_columns(max_words), "lang", "word", "a"])
 
     if old is None:
-        yield 0, 0, lang, b"", np.array([limit], "<u4").tobytes(), None
-        twice = np.stack([hashes[:limit], other[0][:limit]], axis=1)  # words are told apart by 128 bits here, by letters in ``_add_up``
-        place, counts = _added(hashes[:limit], twice)
-        yield from cells(1, hashes[place], hashes[place, None], counts, [text[begins[i]:ends[i]] for i in place.tolist()])
+        yield rows(0, hashes[:0, None], np.array([limit]))
+        twice = np.stack([hashes[:limit], other[0][:limit]], axis=1)  # words are told apart by 128 bits here, by letters in the sum
+        place, counts = _counted(hashes[:limit], twice)
+        yield rows(1, hashes[place, None], counts, [text[begins[i]:ends[i]] for i in place.tolist()])
     good, h = np.ones(len(hashes), bool), hashes
     in_new, in_old = _within(new, hashes), _within(old, hashes)
     for k in range(2, max_words + 1):
@@ -166,8 +164,8 @@ def _count(lang: str, data: bytes, ahead: bytes, max_words: int, buckets: int, s
             ready, done = in_new[:-1] & in_new[1:] & good, in_old[:-1] & in_old[1:] & good
         at = np.flatnonzero((good if every else ready & ~done)[:limit])
         keys = np.stack([hashes[at + j] for j in range(k)], axis=1)
-        place, counts = _added(h[at], keys)
-        yield from cells(k, h[at][place], keys[place], counts)
+        place, counts = _counted(h[at], keys)
+        yield rows(k, keys[place], counts)
         if k < max_words and not every:
             in_new, in_old = np.zeros(len(good), bool), np.zeros(len(good), bool)
             for flags, ok, bits in ((in_new, ready, new), (in_old, done, old)):
@@ -175,93 +173,66 @@ def _count(lang: str, data: bytes, ahead: bytes, max_words: int, buckets: int, s
                 flags[some] = _within(bits, h[some])
 
 
-def _add_up(cells: pa.Table, least: int) -> pa.Table:
-    """All counts of a hash range; phrases with ``least`` occurrences and more, the numbers of words, and clashes of words."""
-    out = {f.name: [] for f in FOUND}
-
-    def put(lang, k: int, w: list, h, a, word) -> None:
-        for name, values in zip(out, (lang, [k] * len(w), w, h, a, word)):
-            out[name] += values
-
-    ks = cells["k"].to_numpy()
-    langs = cells["lang"].to_pylist()
-    for k in np.unique(ks).tolist():
-        rows = np.flatnonzero(ks == k)
-        part = cells.take(pa.array(rows))
-        counts = np.frombuffer(b"".join(part["counts"].to_pylist()), "<u4").astype(np.int64)
-        if k == 0:
-            total: dict[str, int] = {}
-            for i, n in zip(rows, counts.tolist()):
-                total[langs[i]] = total.get(langs[i], 0) + n
-            put(list(total), 0, [[]] * len(total), [0] * len(total), list(total.values()), [None] * len(total))
-            continue
-        keys = np.frombuffer(b"".join(part["keys"].to_pylist()), "<u8").reshape(-1, k)
-        h = keys[:, 0]
-        for j in range(1, k):
-            h = _mix(h, keys[:, j])
-        place, a = _added(h, keys, counts)
-        of = np.repeat(rows, [len(x) // (8 * k) for x in part["keys"].to_pylist()])  # the cell of an entry
-        words = None
-        if k == 1:
-            words = part["words"].combine_chunks().flatten()
-            named = pa.table({"h": pa.array(h.view(np.int64)), "word": words, "lang": cells["lang"].take(pa.array(of))})
-            clashes = len(named.group_by(["h", "word", "lang"]).aggregate([])) - len(place)
-            put([None] * clashes, CLASH, [[]] * clashes, [0] * clashes, [0] * clashes, [None] * clashes)
-        kept = a >= least
-        place, a = place[kept], a[kept]
-        text = [None] * len(place) if words is None else [x.decode() for x in words.take(pa.array(place)).to_pylist()]
-        put([langs[i] for i in of[place].tolist()], k, keys[place].view(np.int64).tolist(), h[place].view(np.int64).tolist(), a.tolist(), text)
-    return pa.table(out, schema=FOUND)
-
-
-def count_phrases(docs: DataFrame, max_words: int, least: int, buckets: int, seed: int = 0, new: np.ndarray | None = None,
+def count_phrases(docs: DataFrame, max_words: int, seed: int = 0, new: np.ndarray | None = None,
                   old: np.ndarray | None = None, every: bool = False) -> DataFrame:
-    """``(lang, k, w, h, a, word)``: phrases with ``least`` and more occurrences in all of ``docs(lang, text)``; see ``_count``."""
+    """``(k, w1 .., lang, word, a)``: exact counts over all of ``docs(lang, text)``; see ``_count``."""
     filters = docs.sparkSession.sparkContext.broadcast((new, old))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches, max_words - 1):
-            cells = list(_count(*chunk, max_words, buckets, seed, *filters.value, every))
-            if cells:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*cells), CELL)], schema=CELL)
+            yield from _count(*chunk, max_words, seed, *filters.value, every)
 
-    cells = docs.select("lang", "text").mapInArrow(
-        scan, "bucket int, k int, lang string, keys binary, counts binary, words array<binary>")
-    return cells.groupBy("bucket").applyInArrow(lambda table: _add_up(table, least), FOUND_DDL)
+    columns = _columns(max_words)
+    counted = docs.select("lang", "text").mapInArrow(
+        scan, f"k int, {', '.join(f'{c} long' for c in columns)}, lang string, word string, a long")
+    return counted.groupBy("k", *columns, "lang", "word").agg(F.sum("a").alias("a"))
 
 
 def filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
-    """Bloom filter over the column ``h``: set bits are gathered by 64-bit word, so that at most ``bits / 64`` rows reach the driver."""
-    mask = F.lit(bits - 1).cast("long")
-    at = F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftright("h", 32).bitwiseAND(mask)))
-    words = phrases.select(at.alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(
+    """Bloom filter of phrases ``w``: set bits are gathered by 64-bit word, so that at most ``bits / 64`` rows reach the driver."""
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            w, sizes = batch.column(0).flatten().to_numpy().view(np.uint64), np.diff(batch.column(0).offsets.to_numpy())
+            first = np.cumsum(sizes) - sizes
+            h = w[first] if len(first) else w
+            for j in range(1, int(sizes.max(initial=0))):
+                longer = np.flatnonzero(sizes > j)
+                h[longer] = _mix(h[longer], w[first[longer] + j])
+            p = np.concatenate([h & np.uint64(bits - 1), (h >> np.uint64(32)) & np.uint64(bits - 1)]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(p)], names=["p"])
+
+    words = phrases.select("w").mapInArrow(places, "p long").groupBy(F.shiftright("p", 6).alias("i")).agg(
         F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("b")).toArrow()
     out = np.zeros(bits // 64, np.uint64)
-    out[words["w"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
+    out[words["i"].to_numpy()] = words["b"].to_numpy().view(np.uint64)
     return out
 
 
 def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, fraction: float = FRACTION,
                      filter_bits: int = FILTER_BITS, seed: int = 0) -> tuple[DataFrame, int]:
-    """``(lang, k, w, h, a, word)`` of every phrase of at most ``max_words`` words with a count ``a`` of ``min_count`` or
-    more (``w``: its words' hashes; ``word`` where it is one word), and per lang the phrase of no words with the number of
-    all words; and the number of full passes.
+    """``(k, w, lang, word, a)`` of every phrase of at most ``max_words`` words with a count ``a`` of ``min_count`` or
+    more (``w``: its words' hashes; ``lang`` and ``word`` where it is one word), and per lang the phrase of no words with the
+    number of all words; and the number of full passes.
 
     ``docs(lang, text)``.  The sample's threshold is lowered to 0.8 of its share of ``min_count`` (2 at least).  The proposals
     reach the tasks as a Bloom filter of fixed size: what it holds beside them is counted too, which costs time and changes no
     result; a phrase's parts decide alone in which pass it is counted, so it is counted once.
     """
-    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    buckets = max(4 * shuffle_partitions(docs.sparkSession), -(-size // RANGE_BYTES))
+    w = F.slice(F.array(*_columns(max_words)), F.lit(1), F.col("k")).alias("w")
     least = max(2, int(0.8 * fraction * min_count))
     chosen = docs.where(F.abs(F.xxhash64("lang", "text") % 1_000_003) < int(fraction * 1_000_003))
-    proposed = written(count_phrases(chosen, max_words - 1, least, buckets, seed, every=True).where(
-        F.col("k").between(1, max_words - 1)).select("w", "h"), "phrases-proposed")
+    shorter = F.slice(F.array(*_columns(max_words - 1)), F.lit(1), F.col("k")).alias("w")
+    proposed = written(count_phrases(chosen, max_words - 1, seed, every=True).where((F.col("k") > 0) & (F.col("a") >= least)).select(
+        shorter), "phrases-proposed")
     new, old, passes, found = filter_of(proposed, filter_bits), None, 0, None
     while True:
-        part = written(count_phrases(docs, max_words, min_count, buckets, seed, new, old), f"phrases-{passes}")
-        if not passes and not part.where(F.col("k") == CLASH).isEmpty():
-            return frequent_phrases(docs, max_words, min_count, fraction, filter_bits, seed + 1)
+        counted = count_phrases(docs, max_words, seed, new, old)
+        part = written(counted.where((F.col("a") >= min_count) | (F.col("k") < 2)), f"phrases-{passes}")
+        if not passes:
+            shared = part.where("k = 1").groupBy("w1").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+            if not shared.isEmpty():  # two words have one hash
+                return frequent_phrases(docs, max_words, min_count, fraction, filter_bits, seed + 1)
+        part = part.where((F.col("a") >= min_count) | (F.col("k") == 0)).select("k", w, "lang", "word", "a")
         found, passes = part if found is None else found.union(part), passes + 1
         failed = part.where(F.col("k").between(1, max_words - 1)).join(proposed, "w", "left_anti")
         more = new | filter_of(failed, filter_bits)
@@ -273,16 +244,16 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, f
 # scores
 
 def scored(found: DataFrame) -> DataFrame:
-    """``(lang, k, w, a, l, r, score)`` of phrases of two words and more, by the cut with the lowest score."""
-    cuts = found.where("k >= 2").select("lang", "w", "k", "a", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
+    """``(k, w, a, l, r, score)`` of phrases of two words and more, by the cut with the lowest score."""
+    cuts = found.where("k >= 2").select("w", "k", "a", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
     salt = F.pmod(F.xxhash64("w"), F.lit(SALTS)).cast("int")  # a very common word is a part of many phrases
     left, right = F.slice("w", F.lit(1), F.col("cut")), F.slice("w", F.col("cut") + 1, F.col("k"))
-    sides = cuts.select("lang", "w", "k", "a", "cut", salt.alias("salt"), F.explode(F.array(
+    sides = cuts.select("w", "k", "a", "cut", salt.alias("salt"), F.explode(F.array(
         F.struct(F.lit(True).alias("first"), left.alias("part")), F.struct(F.lit(False).alias("first"), right.alias("part")))).alias("s"))
     counts = found.where("k >= 1").select(F.col("w").alias("_part"), F.col("a").alias("count"),
                                           F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     both = sides.join(counts, (F.col("s.part") == F.col("_part")) & (F.col("salt") == F.col("_salt")))
-    cut = both.groupBy("lang", "w", "k", "a", "cut").agg(
+    cut = both.groupBy("w", "k", "a", "cut").agg(
         F.max(F.when(F.col("s.first"), F.col("count"))).alias("l"), F.max(F.when(~F.col("s.first"), F.col("count"))).alias("r"))
 
     def wide(c: str) -> Column:
@@ -290,8 +261,8 @@ def scored(found: DataFrame) -> DataFrame:
 
     cut = cut.withColumn("_up", F.lit(1000000).cast("decimal(38,0)") * wide("a") * wide("a")).withColumn("_down", wide("l") * wide("r"))
     cut = cut.withColumn("score", F.expr("cast(_up div _down as long)"))
-    best = cut.groupBy("lang", "w", "k", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("b"))
-    return best.select("lang", "k", "w", "a", "b.l", "b.r", "b.score")
+    best = cut.groupBy("w", "k", "a").agg(F.min(F.struct("score", "cut", "l", "r")).alias("b"))
+    return best.select("k", "w", "a", "b.l", "b.r", "b.score")
 
 
 def standing(found: DataFrame, max_words: int, overlap: int = 50) -> DataFrame:
@@ -314,6 +285,13 @@ def spelled(phrases: DataFrame, found: DataFrame) -> DataFrame:
     return phrases.join(texts.select("w", F.array_join(F.col("_t.word"), " ").alias("phrase")), "w")
 
 
+def with_lang(phrases: DataFrame, found: DataFrame) -> DataFrame:
+    """``phrases`` with the lang of their first word."""
+    names = found.where("k = 1").select(F.element_at("w", 1).alias("_first"), "lang", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+    salt = F.pmod(F.xxhash64("w"), F.lit(SALTS)).cast("int")
+    return phrases.withColumns({"_first": F.element_at("w", 1), "_salt": salt}).join(names, ["_first", "_salt"]).drop("_first", "_salt")
+
+
 def mine_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, overlap: int = 50, top: int = 2000,
                  fraction: float = FRACTION, filter_bits: int = FILTER_BITS) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: each lang's ``top`` phrases by score, count and phrase.
@@ -329,7 +307,7 @@ def mine_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, overl
     """
     rows = docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found, _ = frequent_phrases(rows, max_words, min_count, fraction, filter_bits)
-    kept = scored(found).join(standing(found, max_words, overlap), "w")
+    kept = with_lang(scored(found).join(standing(found, max_words, overlap), "w"), found)
     first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))  # ties need the words
     best = written(kept.withColumn("rank", F.rank().over(first)).where(F.col("rank") <= top).drop("rank"), "phrases-best")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
