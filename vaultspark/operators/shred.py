@@ -51,12 +51,12 @@ def json_explode(df: DataFrame, value: str, spec: dict, array: str, keep: list[s
     return parsed.select(*names, F.explode(F.col("_d")[array]).alias("_e")).select(*names, "_e.*")
 
 
-def parsed_orders(stage: DataFrame) -> DataFrame:
+def parsed_orders(stage: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Staged orders parsed once: ``object_id, update_ts, order_date, order_ts, restaurant_id,
-    user_id, final_status, order_items``."""
-    p = parsed_once(stage, "object_value", ORDER_SPEC, ["object_id", "update_ts"])
+    user_id, final_status, order_items``, after the ``keep`` columns of the stage."""
+    p = parsed_once(stage, "object_value", ORDER_SPEC, [*keep, "object_id", "update_ts"])
     return p.select(
-        "object_id", "update_ts",
+        *keep, "object_id", "update_ts",
         F.col("_d.date").cast("date").alias("order_date"),
         F.col("_d.date").cast("timestamp_ntz").alias("order_ts"),
         F.col("_d.restaurant.id").alias("restaurant_id"),
@@ -79,12 +79,12 @@ def orders_of_days(stage: DataFrame, day: DayLike | None, days_back: int = 0) ->
     return parsed_orders(stage).where(F.col("order_date").between(*window))
 
 
-def order_lines(orders: DataFrame) -> DataFrame:
+def order_lines(orders: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Items of parsed orders with their order's attributes, in one pass (no join back to the orders):
-    ``o_id, order_date, restaurant_id, user_id, p_id, quantity``."""
-    e = orders.select(F.col("object_id").alias("o_id"), "order_date", "restaurant_id", "user_id",
+    ``o_id, order_date, restaurant_id, user_id, p_id, quantity``, after the ``keep`` columns of the orders."""
+    e = orders.select(*keep, F.col("object_id").alias("o_id"), "order_date", "restaurant_id", "user_id",
                       F.explode("order_items").alias("_e"))
-    return e.select("o_id", "order_date", "restaurant_id", "user_id", F.col("_e.id").alias("p_id"),
+    return e.select(*keep, "o_id", "order_date", "restaurant_id", "user_id", F.col("_e.id").alias("p_id"),
                     F.col("_e.quantity").cast("int").alias("quantity"))
 
 
@@ -105,14 +105,29 @@ def shred_bonuses(outbox: DataFrame, day: DayLike | None, days_back: int = 0,
     ev = outbox.where(F.col("event_type") == event_type)
     if day is not None and "order_date" in outbox.columns:
         ev = ev.where(F.col("order_date").between(day_lit(previous_day(day, days_back)), day_lit(day)))
-    p = parsed_once(ev, "event_value", BONUS_SPEC, [])
-    p = p.select(F.col("_d.order_id").alias("order_id"), F.col("_d.order_date").cast("date").alias("_day"),
-                 F.col("_d.product_payments").alias("_arr"))
+    p = _bonuses(ev)
     if day is not None:
-        p = p.where(F.col("_day").between(day_lit(previous_day(day, days_back)), day_lit(day)))
-    lines = p.select("order_id", F.explode("_arr").alias("_e"))
+        p = p.where(F.col("order_date").between(day_lit(previous_day(day, days_back)), day_lit(day)))
+    return _bonus_lines(p)
+
+
+def shred_dated_bonuses(outbox: DataFrame, event_type: str = "bonus_transaction") -> DataFrame:
+    """Bonus lines of all staged events with the day of the event and the business date of its order:
+    ``event_day, order_date, order_id, product_id, bonus_payment, bonus_grant``."""
+    ev = outbox.where(F.col("event_type") == event_type).withColumn("event_day", F.to_date("event_ts"))
+    return _bonus_lines(_bonuses(ev, ["event_day"]), ["event_day", "order_date"])
+
+
+def _bonuses(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    p = parsed_once(events, "event_value", BONUS_SPEC, keep or [])
+    return p.select(*(keep or []), F.col("_d.order_id").alias("order_id"), F.col("_d.order_date").cast("date").alias("order_date"),
+                    F.col("_d.product_payments").alias("_arr"))
+
+
+def _bonus_lines(bonuses: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    lines = bonuses.select(*(keep or []), "order_id", F.explode("_arr").alias("_e"))
     return lines.select(
-        "order_id",
+        *(keep or []), "order_id",
         F.col("_e.product_id").alias("product_id"),
         F.col("_e.bonus_payment").cast("decimal(8,2)").alias("bonus_payment"),
         F.col("_e.bonus_grant").cast("decimal(8,2)").alias("bonus_grant"),

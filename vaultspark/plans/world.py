@@ -72,6 +72,11 @@ class World:
             "deliveries": self.deliveries,
         }
 
+    def changing_sources(self) -> dict[str, DataFrame]:
+        """The same with orders that change after their business day."""
+        return self.sources() | {"orders": fx.changed_orders_source(self.t),
+                                 "outbox": self.outbox.unionByName(fx.moved_bonus_events(self.t))}
+
     # -------------------------------------------------- staging
     @cached_property
     def stg_orders(self) -> DataFrame:

@@ -178,6 +178,28 @@ def orders_raw_source(t: Tables) -> DataFrame:
     return _orders(t, items)
 
 
+def changed_orders_source(t: Tables) -> DataFrame:
+    """Order documents that change after their day.
+
+    Every fourth order is updated a day later: it moves to that day, belongs to the next customer and takes one more of
+    each item.  Of these every second one moves back another day later, with one more of each item.  Every
+    fourth order counted from the second is updated a day later with another status alone.
+    """
+    k, o = F.col("_id").cast("long"), orders_source(t)
+    n_users = t("customer").select(F.count("*")).scalar()
+
+    def version(chosen: Column, days: int, moved: int, more: int, next_user: bool, status: str | None) -> DataFrame:
+        user = (1 + F.col("user.id").cast("long") % n_users).cast("string") if next_user else F.col("user.id")
+        items = F.transform("order_items", lambda i: F.struct(i["id"].alias("id"), (i["quantity"] + more).alias("quantity")))
+        return o.where(chosen).select(
+            "_id", (F.col("date") + F.make_dt_interval(F.lit(moved))).alias("date"), "restaurant", F.struct(user.alias("id")).alias("user"),
+            (F.lit(status) if status else F.col("final_status")).alias("final_status"), items.alias("order_items"),
+            (F.col("update_ts") + F.make_dt_interval(F.lit(days))).alias("update_ts"))
+
+    return (o.unionByName(version(k % 4 == 0, 1, 1, 1, True, None)).unionByName(version(k % 8 == 0, 2, 0, 2, True, None))
+            .unionByName(version(k % 4 == 2, 1, 0, 0, False, "X")))
+
+
 # ---------------------------------------------------------------- bonus system
 
 def bonus_events(t: Tables) -> DataFrame:
@@ -198,6 +220,17 @@ def bonus_events(t: Tables) -> DataFrame:
     return ev.select(F.lit("bonus_transaction").alias("event_type"), value.alias("event_value"), d.alias("event_ts"))
 
 
+def moved_bonus_events(t: Tables) -> DataFrame:
+    """Bonus transactions of the orders that ``changed_orders_source`` moves to the next day, dated that day."""
+    spec = "order_id string, order_date string, product_payments array<struct<product_id:string,bonus_payment:string,bonus_grant:string>>"
+    e = bonus_events(t).withColumn("_d", F.from_json("event_value", spec)).where(F.col("_d.order_id").cast("long") % 4 == 0)
+    ts = F.col("event_ts") + F.make_dt_interval(F.lit(1))
+    value = F.to_json(F.struct(F.col("_d.order_id").alias("order_id"), ts.alias("order_date"),
+                               F.col("_d.product_payments").alias("product_payments")),
+                      {"timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS"})
+    return e.select("event_type", value.alias("event_value"), ts.alias("event_ts"))
+
+
 def other_events(t: Tables) -> DataFrame:
     """The ``events`` table as outbox rows."""
     return t("events").select("event_type", F.col("props").alias("event_value"), F.col("ts").alias("event_ts"))
@@ -232,3 +265,11 @@ def deliveries(t: Tables) -> DataFrame:
         total.alias("sum"),
         (total * F.lit(Decimal("0.01"))).cast(DEC8).alias("tip_sum"),
     )
+
+
+def flawed_deliveries(t: Tables) -> DataFrame:
+    """Deliveries of which some break a declared rule: an address that is too long, or a rate of 9."""
+    k = F.col("order_id").cast("long")
+    return deliveries(t).withColumns({
+        "address": F.when(k % 7 == 3, F.repeat(F.lit("long "), 20)).otherwise(F.col("address")),
+        "rate": F.when(k % 5 == 2, 9).otherwise(F.col("rate")).cast("smallint")})
