@@ -1,5 +1,7 @@
 from decimal import Decimal
 
+from collections import Counter
+
 import pytest
 
 from vaultspark.operators import quality as Q
@@ -57,3 +59,29 @@ def test_defaults_and_types(spark):
     t = spark.createDataFrame([("12.5",), ("abc",), ("123456789.1",), (None,)], "price string")
     got = [r.rule for r in Q.check(t, [Q.conforms("price", "decimal(8,2)")]).collect()]
     assert sorted(got, key=str) == sorted([None, "type:price", "type:price", None], key=str)
+
+
+def test_every_broken_rule_is_named_and_the_input_runs_once(spark):
+    """Uniqueness, references and row rules together; hot duplicate keys and NULLs; the plan behind the rows runs once."""
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    ddl = "id int, ref string, n int"
+    data = [(1, "a", 5), (1, "x", -1), (2, None, 0), (None, "a", 3), (None, "y", 3), (3, "a", None)] + [(9, "a", 1)] * 50
+    df = spark.createDataFrame(data, ddl).mapInArrow(seen, ddl)
+    hub = spark.createDataFrame([("a",), ("b",), ("a",)], "key string")
+    rules = [*Q.not_null("id"), Q.unique("id"), Q.foreign_key("ref", hub, "key"), Q.lower_bound("n", 0), Q.max_length("ref", 0)]
+    valid, rejected = Q.enforce(df, rules)
+    got = Counter((r["id"], r["ref"], tuple(r["rules"])) for r in rejected.collect())
+    assert got == {(1, "a", ("unique:id", "max_length:ref")): 1, (1, "x", ("unique:id", "foreign_key:ref", "lower_bound:n", "max_length:ref")): 1,
+                   (None, "a", ("not_null:id", "max_length:ref")): 1, (None, "y", ("not_null:id", "foreign_key:ref", "max_length:ref")): 1,
+                   (3, "a", ("max_length:ref",)): 1, (9, "a", ("unique:id", "max_length:ref")): 50}
+    assert [tuple(r) for r in valid.collect()] == [(2, None, 0)]
+    assert runs.value == len(data)
+    with pytest.raises(Q.RuleViolation, match="unique:id"):
+        Q.enforce(df, [Q.unique("id")], "fail")
+    assert Q.validate(df.limit(0), rules).isEmpty()

@@ -4,7 +4,8 @@ Plain parquet enforces no NOT NULL / UNIQUE / FOREIGN KEY / CHECK, so the
 rules of the declared tables are applied as DataFrame operators.  ``check``
 adds a ``rule`` column (the first violated rule, NULL for a valid row);
 ``split_valid`` returns ``(valid, rejected)``; ``on_violation="fail"`` raises
-like the database statement would.
+like the database statement would.  ``validate`` and ``enforce`` are the forms for
+loads: the input is evaluated once, and all rules that a row breaks are named.
 
 Row rules are plain expressions.  UNIQUE and FOREIGN KEY need a join: the
 duplicate keys / referenced keys are first reduced to one row per key (partial
@@ -20,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultspark.schemas import DEFAULTS, RULES, TABLES
+from vaultspark.schemas import DEFAULTS, FOREIGN_KEYS, RULES, TABLES
+from vaultspark.session import shared_dir
 
 
 class RuleViolation(Exception):
@@ -48,10 +50,11 @@ class NotNull(Rule):
 class Unique(Rule):
     columns: tuple[str, ...] = ()
 
-    def prepare(self, df, i):
+    def prepare(self, df, i, rows=None):
+        """``rows``: where the keys are counted, if not in ``df`` itself."""
         cols = list(self.columns)
         flag = f"_dup{i}"
-        complete = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
+        complete = (df if rows is None else rows).where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
         dups = complete.groupBy(*cols).count().where(F.col("count") > 1).select(*cols, F.lit(True).alias(flag))
         return df.join(dups, cols, "left"), F.coalesce(F.col(flag), F.lit(False))
 
@@ -71,6 +74,14 @@ class ForeignKey(Rule):
         joined = df.join(keys, self.column, "left")
         return joined, F.col(self.column).isNotNull() & F.col(flag).isNull()
 
+    def orphans(self, df, i, rows):
+        """Like ``prepare``, with the keys of ``rows`` that the reference lacks on the joined side (none, as a rule)."""
+        flag = f"_fk{i}"
+        wanted = rows.select(self.column).where(F.col(self.column).isNotNull()).dropDuplicates([self.column])
+        known = self.ref.select(F.col(self.ref_column).alias(self.column)).join(wanted, self.column, "left_semi")
+        lost = wanted.join(known, self.column, "left_anti").select(self.column, F.lit(True).alias(flag))
+        return df.join(lost, self.column, "left"), F.coalesce(F.col(flag), F.lit(False))
+
 
 @dataclass(frozen=True)
 class LowerBound(Rule):
@@ -178,12 +189,14 @@ def declared_rules(table: str, refs: dict[str, tuple[DataFrame, str]] | None = N
     return out
 
 
-def rules_of(df: DataFrame, table: str) -> list[Rule]:
-    """The declared rules of ``table`` whose columns ``df`` holds (a load's batch lacks the columns the load fills)."""
+def rules_of(df: DataFrame, table: str, hubs: dict[str, DataFrame] | None = None, keys: bool = True) -> list[Rule]:
+    """The declared rules of ``table`` whose columns ``df`` holds (a load's batch lacks the columns the load fills), with its
+    references to ``hubs`` (table name -> hub).  ``keys=False`` leaves uniqueness out, for batches that are yet to be upserted."""
     def columns(rule: Rule) -> tuple[str, ...]:
         return rule.columns if isinstance(rule, Unique) else (rule.column,)
 
-    return [r for r in declared_rules(table) if set(columns(r)) <= set(df.columns)]
+    refs = {c: (hubs[h], c) for c, h in FOREIGN_KEYS.get(table, {}).items() if hubs and h in hubs}
+    return [r for r in declared_rules(table, refs) if set(columns(r)) <= set(df.columns) and (keys or not isinstance(r, Unique))]
 
 
 def check(df: DataFrame, rules: list[Rule], rule_col: str = "rule") -> DataFrame:
@@ -213,6 +226,41 @@ def split_valid(df: DataFrame, rules: list[Rule], on_violation: str = "split",
     return valid, rejected
 
 
+def validate(df: DataFrame, rules: list[Rule], name: str = "rules") -> DataFrame:
+    """``df`` plus the names of all rules a row breaks, in the order of ``rules`` (an empty array for a valid row).
+
+    Rules over several rows read the input again, so with one of them it is first written once (a reliable checkpoint): the
+    plan behind it runs once whatever the number of rules.  What is joined back has one row per bad key: keys held more
+    than once, and keys of a reference that lacks them, found from the distinct keys of the input.
+    """
+    shared = any(isinstance(r, Unique | ForeignKey) for r in rules)
+    if shared:
+        shared_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
+    out, flags = df, []
+    for i, r in enumerate(rules):
+        if isinstance(r, Unique):
+            out, flag = r.prepare(out, i, df)
+        elif isinstance(r, ForeignKey):
+            out, flag = r.orphans(out, i, df)
+        else:
+            out, flag = r.prepare(out, i)
+        flags.append(F.when(flag, F.lit(r.name)))
+    broken = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+    return out.select(*df.columns, broken.alias(name))
+
+
+def enforce(df: DataFrame, rules: list[Rule], on_violation: str = "split", name: str = "rules") -> tuple[DataFrame, DataFrame]:
+    """``(valid rows, rejected rows with the array of rules they break)``; ``on_violation="fail"`` raises on any rejected row."""
+    if on_violation not in ("split", "fail"):
+        raise ValueError(on_violation)
+    checked = validate(df, rules, name)
+    rejected = checked.where(F.size(name) > 0)
+    if on_violation == "fail" and (bad := rejected.select(name).limit(1).collect()):
+        raise RuleViolation(f"rules violated: {', '.join(bad[0][0])}")
+    return checked.where(F.size(name) == 0).drop(name), rejected
+
+
 def apply_defaults(df: DataFrame, defaults: dict[str, object] | str) -> DataFrame:
     """Fill NULLs with the declared column defaults (``coalesce``); opt-in."""
     if isinstance(defaults, str):

@@ -63,6 +63,15 @@ VAULT.update({
 
 TABLES = {**STAGING, **VAULT}
 
+# Tables a run keeps for itself, beside those it loads.
+BOOKKEEPING = {
+    # Orders whose business date changed: which partitions may hold rows loaded under an earlier date.
+    "order_moves": _schema(("object_id", S), ("old_day", T.DateType()), ("new_day", T.DateType())),
+    # One row per table of a finished run, all written at once, after everything else.
+    "run_ledger": _schema(("run_id", T.LongType()), ("run_day", T.DateType()), ("table_name", S), ("kind", S), ("path", S),
+                          ("buckets", INT), ("rows", T.LongType())),
+}
+
 # Physical layout of persisted tables (partition columns).
 PARTITIONING = {"order_system_orders": ["order_date"]}
 
@@ -79,6 +88,7 @@ RULES = {
         ("not_null", ["order_id", "order_ts", "delivery_id", "courier_id", "address", "delivery_ts", "rate", "sum", "tip_sum"]),
         ("max_length", "address", 50),
     ],
+    "bonus_system_users": [("not_null", ["bonus_user_id"]), ("unique", ["bonus_user_id"])],
     "l_orders": [
         ("not_null", ["order_id_dwh", "restaurant_id_dwh", "user_id_dwh", "product_id_dwh",
                       "quantity", "bonus_payment", "bonus_grant"]),
@@ -109,6 +119,12 @@ for _e in HUB_ENTITIES:
     RULES[f"h_{_e}s"] = [("not_null", [f"{_e}_id_dwh", f"{_e}_id_bk"]), ("unique", [f"{_e}_id_bk"]),
                          ("max_length", f"{_e}_id_bk", 24)]
 
+# Declared references: table -> column -> hub (whose surrogate key has the column's name).
+FOREIGN_KEYS = {
+    "l_orders": {f"{_e}_id_dwh": f"h_{_e}s" for _e in ("order", "restaurant", "user", "courier", "product")},
+    **{f"s_{_e}s": {f"{_e}_id_dwh": f"h_{_e}s"} for _e in HUB_ENTITIES},
+}
+
 # Column defaults of the declared tables (applied only on request).
 DEFAULTS = {
     "l_orders": {"quantity": 1, "bonus_payment": "0", "bonus_grant": "0"},
