@@ -5,7 +5,6 @@ import subprocess
 import sys
 
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -15,7 +14,6 @@ from vaultspark.plans import pipeline
 from vaultspark.schemas import TABLES
 from vaultspark.session import shared_dir
 from vaultspark.sources import store
-from vaultspark.streaming.documents import read_stage
 
 NAME = "order_system_orders"
 D = dt.date
@@ -53,13 +51,6 @@ def test_saved_table_without_rows_has_its_schema(spark):
     assert got.count() == 0 and set(got.columns) == set(TABLES[NAME].fieldNames())
 
 
-def test_missing_epoch_is_an_error(spark):
-    root = shared_dir(spark, "t-epoch")
-    assert read_stage(spark, root, -1, "order_system_users").count() == 0
-    with pytest.raises(AnalysisException):
-        read_stage(spark, root, 3, "order_system_users").count()
-
-
 @pytest.mark.parametrize("master,local", [("local", True), ("local[8]", True), ("local[*,3]", True), ("yarn", False),
                                           ("local-cluster[3,2,3000]", False), ("spark://h:7077", False), ("k8s://x", False)])
 def test_local_folder_only_for_one_process(master, local):

@@ -78,10 +78,13 @@ def replace_all(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def insert_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """``INSERT .. ON CONFLICT DO NOTHING``: existing keys win, batch duplicates collapse."""
+    """``INSERT .. ON CONFLICT DO NOTHING``: existing keys win, batch duplicates collapse.
+
+    The target is first cut to the batch's keys (see ``vault.new_keys``), so no join builds on the growing side.
+    """
     fresh = _conform(batch, target).dropDuplicates(keys)
-    fresh = fresh.join(target.select(*keys), keys, "left_anti")
-    return target.unionByName(fresh)
+    known = target.select(*keys).join(fresh.select(*keys), keys, "left_semi")
+    return target.unionByName(fresh.join(known, keys, "left_anti"))
 
 
 def delete_keys(target: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
