@@ -63,7 +63,7 @@ def test_declared_rules_reject_rows_in_the_load(spark, world):
     s["order_system_orders"] = world.stg_orders
     rejected = {}
     out = pipeline.run_dependents(s, "2024-01-04", on_violation="split", rejected=rejected)
-    rules = {r[0] for r in rejected["s_orders"].select("rule").distinct().collect()}
+    rules = {r[0] for r in rejected["s_orders"].select(F.explode("rules")).distinct().collect()}
     assert rules == {"not_null:order_rate", "range:order_rate"}
     assert out["s_orders"].where("order_rate = 9").isEmpty()
     assert {"l_orders", "s_products", "s_users", "s_restaurants", "s_couriers", "s_orders"} <= set(rejected)

@@ -680,12 +680,64 @@ def q_stream_stage_documents(w: World) -> DataFrame:
     landing, root, ckpt = f"{base}/landing", f"{base}/stage", f"{base}/checkpoint"
     src = w.orders_source
     day = F.dayofmonth("date")
-    epoch = None
     for i, (lo, hi) in enumerate(((1, 10), (11, 20), (21, 31))):
         ingest.land_json(src.where(day.between(lo, hi)), f"{landing}/drop={i}")
-        epoch = stage_documents_stream(w.spark, f"{landing}/drop=*", src.schema, root, ckpt,
-                                       "order_system_orders", to_order_document)
-    return read_stage(w.spark, root, epoch, "order_system_orders").select("object_id", "update_ts", "order_date")
+        stage_documents_stream(w.spark, f"{landing}/drop=*", src.schema, root, ckpt, "order_system_orders", to_order_document)
+    return read_stage(w.spark, root, "order_system_orders").select("object_id", "update_ts", "order_date")
+
+
+# ======================================================================== backfill of changing orders (B2)
+
+# Versions of the orders, and for each order the version and day of the last run up to D that loaded it.
+CHANGES = """ver AS (
+  SELECT o.*, CAST(odate AS DATE) AS seen, CAST(odate AS DATE) AS business, o_custkey AS user_key, 0 AS more, o_orderstatus AS status FROM ord o
+  UNION ALL SELECT o.*, CAST(odate AS DATE) + 1, CAST(odate AS DATE) + 1, 1 + o_custkey % (SELECT count(*) FROM customer), 1, o_orderstatus
+    FROM ord o WHERE o_orderkey % 4 = 0
+  UNION ALL SELECT o.*, CAST(odate AS DATE) + 2, CAST(odate AS DATE), 1 + o_custkey % (SELECT count(*) FROM customer), 2, o_orderstatus
+    FROM ord o WHERE o_orderkey % 8 = 0
+  UNION ALL SELECT o.*, CAST(odate AS DATE) + 1, CAST(odate AS DATE), o_custkey, 0, 'X' FROM ord o WHERE o_orderkey % 4 = 2),
+runs AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-05', INTERVAL 1 DAY)) AS DATE) AS run),
+asof AS (
+  SELECT * FROM ver JOIN runs ON seen <= run QUALIFY row_number() OVER (PARTITION BY o_orderkey, run ORDER BY seen DESC) = 1)"""
+
+
+def _last_load(days_back: int) -> str:
+    return (f"last AS (SELECT * FROM asof WHERE business BETWEEN run - {days_back} AND run "
+            "QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY run DESC) = 1)")
+
+
+CHANGED_LINK = sql("", "items", "bon", "orest", "ord").rstrip() + f""",
+{CHANGES}, {_last_load(0)},
+dated AS (
+  SELECT o_orderkey AS k, CAST(odate AS DATE) AS day FROM ord
+  UNION ALL SELECT o_orderkey, CAST(odate AS DATE) + 1 FROM ord WHERE o_orderkey % 4 = 0)
+SELECT sha256(CAST(o.o_orderkey AS VARCHAR)) AS order_id_dwh, sha256(CAST(r.rkey AS VARCHAR)) AS restaurant_id_dwh,
+  sha256(CAST(o.user_key AS VARCHAR)) AS user_id_dwh,
+  CASE WHEN o.o_orderstatus <> 'O' THEN sha256(CAST(o.o_orderkey % 25 AS VARCHAR)) END AS courier_id_dwh,
+  sha256(CAST(i.l_partkey AS VARCHAR)) AS product_id_dwh, CAST(i.quantity + o.more AS INTEGER) AS quantity, b.bonus_payment, b.bonus_grant
+FROM last o JOIN items i ON i.l_orderkey = o.o_orderkey
+JOIN bon b ON b.l_orderkey = i.l_orderkey AND b.l_partkey = i.l_partkey
+JOIN dated d ON d.k = o.o_orderkey AND d.day = o.run
+JOIN orest r ON r.l_orderkey = o.o_orderkey
+JOIN supplier s ON s.s_suppkey = r.rkey JOIN customer c ON c.c_custkey = o.user_key JOIN part p ON p.p_partkey = i.l_partkey"""
+
+CHANGED_SATELLITE = sql("", "deliv").rstrip() + f""",
+{CHANGES}, {_last_load(1)}
+SELECT sha256(CAST(o.o_orderkey AS VARCHAR)) AS order_id_dwh, d.tip_sum AS order_tip_sum, d.rate AS order_rate, o.status AS order_status,
+  d.address AS order_address, odate + to_days(CAST(business - CAST(odate AS DATE) AS INTEGER)) AS order_create_ts,
+  d.delivery_ts AS order_delivering_ts
+FROM last o LEFT JOIN deliv d ON d.order_id = CAST(o.o_orderkey AS VARCHAR)"""
+
+
+@query("backfill_changed_orders", CHANGED_LINK)
+def q_backfill_changed_orders(w: World) -> DataFrame:
+    """The order link after the backfill of all days up to D, of orders that move, change owner and items."""
+    return pipeline.backfill(w.spark, w.changing_sources(), fx.FIRST_DAY, DAY, save_root=shared_dir(w.spark, "backfill"))["l_orders"]
+
+
+@query("backfill_changed_order_satellite", CHANGED_SATELLITE)
+def q_backfill_changed_order_satellite(w: World) -> DataFrame:
+    return pipeline.backfill(w.spark, w.changing_sources(), fx.FIRST_DAY, DAY, save_root=shared_dir(w.spark, "backfill"))["s_orders"]
 
 
 # ======================================================================== whole pipeline (B1)
@@ -732,6 +784,30 @@ def q_run_day(w: World) -> DataFrame:
         "table_name", "rows")
 
 
+FLAWS = ("CASE WHEN CAST(order_id AS BIGINT) % 7 = 3 THEN 'l' WHEN CAST(order_id AS BIGINT) % 5 = 2 THEN 'r' ELSE '' END")
+
+
+@query("run_day_rejects", sql(
+    "SELECT 'couriers_system_deliveries' AS table_name, 'max_length:address' AS rule, count(*) AS rows FROM deliv "
+    f"WHERE CAST(order_ts AS DATE) BETWEEN {D1} AND {D} AND {FLAWS} = 'l' "
+    "UNION ALL SELECT 's_orders', 'not_null:order_rate', count(*) FROM ord LEFT JOIN deliv d ON d.order_id = CAST(o_orderkey AS VARCHAR) "
+    f"WHERE CAST(odate AS DATE) BETWEEN {D1} AND {D} AND (d.order_id IS NULL OR {FLAWS} = 'l') "
+    "UNION ALL SELECT 's_orders', 'range:order_rate', count(*) FROM ord JOIN deliv d ON d.order_id = CAST(o_orderkey AS VARCHAR) "
+    f"WHERE CAST(odate AS DATE) BETWEEN {D1} AND {D} AND {FLAWS} = 'r'", "ord", "deliv"))
+def q_run_day_rejects(w: World) -> DataFrame:
+    """Rows that the daily run of D rejects, by table and declared rule, with deliveries that break some."""
+    sources = w.sources() | {"deliveries": fx.flawed_deliveries(w.t)}
+    rejected: dict[str, DataFrame] = {}
+    root = shared_dir(w.spark, "warehouse")
+    before = pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV, save_root=root)
+    pipeline.run_day(before, sources, DAY, root, on_violation="split", rejected=rejected)
+    parts = [bad.select(F.lit(t).alias("table_name"), F.explode("rules").alias("rule")) for t, bad in sorted(rejected.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.groupBy("table_name", "rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query("run_day_contents", sql(
     "SELECT 'l_orders' AS table_name, order_id_dwh AS key, product_id_dwh AS product, bonus_payment AS amount, "
     "concat_ws('|', restaurant_id_dwh, user_id_dwh, courier_id_dwh, CAST(quantity AS VARCHAR)) AS attributes, "
