@@ -81,7 +81,7 @@ def _counts(rows):
     for chunk in phrases._chunks(iter([_batch(rows)]), 2):
         for part in phrases._count(*chunk, 3, 5, None, None, True):
             for r in part.to_pylist():
-                out[tuple(v for k, v in r.items() if k != "a")] += r["a"]
+                out[tuple(v for k, v in r.items() if k != "a") if r["k"] else r["lang"]] += r["a"]
     return out
 
 
@@ -115,12 +115,14 @@ def test_words_that_share_a_hash_are_found(spark, monkeypatch):
         parts = [p for chunk in phrases._chunks(iter([_batch([("en", "aa bb aa")])]), 2) for p in phrases._count(*chunk, 3, 0, None, None, True)]
     rows = [r for p in parts for r in p.to_pylist() if r["k"] == 1]
     assert sorted((r["word"], r["a"]) for r in rows) == [("aa", 2), ("bb", 1)] and len({r["w1"] for r in rows}) == 1
+    added = [r for p in phrases._add_up(iter(parts), 3, 1) for r in p.to_pylist()]
+    assert sum(r["a"] for r in added if r["k"] == phrases.CLASH) == 1
     count, seeds = phrases.count_phrases, []
 
-    def clashing(docs, max_words, seed=0, *args, **named):
+    def clashing(docs, max_words, least, parts, seed=0, *args, **named):
         seeds.append(seed)
-        out = count(docs, max_words, seed, *args, **named)
-        return out.withColumn("w1", F.when((F.col("k") == 1) & (F.lit(seed) == 0), 1).otherwise(F.col("w1"))) if not named else out
+        out = count(docs, max_words, least, parts, seed, *args, **named)
+        return out.withColumn("k", F.when(F.lit(seed == 0 and not named), phrases.CLASH).otherwise(F.col("k")))
 
     monkeypatch.setattr(phrases, "count_phrases", clashing)
     df = spark.createDataFrame([("en", "a b a b " * 10)], "lang string, text string")

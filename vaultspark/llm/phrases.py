@@ -7,7 +7,7 @@ that have become countable by it, until a pass brings no failure.  No frequent p
 
 The border is mostly pairs that occur once, so counting is kept lean: a word is a 64-bit hash (of its lang and itself; that
 no two words share one is checked, else another seed is taken), a phrase the hashes of its words.  Tasks count chunks of
-text with numpy, and Spark adds the counts up by those numbers.
+text, Spark deals the counts out by those numbers, over as many partitions as the text needs, and tasks add them up.
 """
 
 from __future__ import annotations
@@ -17,20 +17,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultspark.llm.common import written
+from vaultspark.llm.common import shuffle_partitions, written
 
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(SEPARATORS + b"\t", b"." * len(SEPARATORS) + b" ")
 CHUNK = 4 << 20  # bytes of text that a task counts at a time
+PART_BYTES = 32 << 20  # of text, whose counts (some 100 MB at most) one task adds up
 FRACTION = 0.125  # of the documents, in the sample
 FILTER_BITS = 1 << 25  # of the proposals' Bloom filter, a broadcast of 4 MB whatever their number
 SALTS = 4  # of the parts of phrases, of which the commonest word is one of some percent at most
 UNKNOWN = "und"
 LONG_WORD = 4096  # bytes beyond which a word is hashed by itself
+CLASH = -1  # as k: two words share a hash
 
 
 # words of a chunk
@@ -112,8 +115,8 @@ def _within(bits: np.ndarray | None, h: np.ndarray) -> np.ndarray:
     return out
 
 
-def _counted(h: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(one place of every distinct row of ``keys``, its count); ``h`` are hashes of the rows."""
+def _counted(h: np.ndarray, keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(one place of every distinct row of ``keys``, its number of rows or sum of ``counts``); ``h`` are hashes of the rows."""
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     order = np.argsort(h)
@@ -124,6 +127,8 @@ def _counted(h: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         order = np.lexsort((*keys.T, h))
         equal = (keys[order[1:]] == keys[order[:-1]]).all(1)
     firsts = np.flatnonzero(np.append(True, ~equal))
+    if counts is not None:
+        return order[firsts], np.add.reduceat(counts[order], firsts)
     return order[firsts], np.diff(np.append(firsts, len(order)))
 
 
@@ -141,7 +146,7 @@ def _count(lang: str, data: bytes, ahead: bytes, max_words: int, seed: int, new:
 
     def rows(k: int, keys: np.ndarray, counts: np.ndarray, words: list[bytes] | None = None) -> pa.RecordBatch:
         n = len(counts)
-        w = [np.ascontiguousarray(keys[:, j]).view(np.int64) if j < k else np.zeros(n, np.int64) for j in range(max_words)]
+        w = [np.ascontiguousarray(keys[:, j]).view(np.int64) if j < max(k, 1) else np.zeros(n, np.int64) for j in range(max_words)]
         named = k < 2
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(n, k, np.int32)), *map(pa.array, w), pa.array([lang] * n, pa.string()) if named else pa.nulls(n, pa.string()),
@@ -149,7 +154,7 @@ def _count(lang: str, data: bytes, ahead: bytes, max_words: int, seed: int, new:
             names=["k", *_columns(max_words), "lang", "word", "a"])
 
     if old is None:
-        yield rows(0, hashes[:0, None], np.array([limit]))
+        yield rows(0, np.append(hashes, np.uint64(0))[:1, None], np.array([limit]))  # dealt out by the chunk's first word
         twice = np.stack([hashes[:limit], other[0][:limit]], axis=1)  # words are told apart by 128 bits here, by letters in the sum
         place, counts = _counted(hashes[:limit], twice)
         yield rows(1, hashes[place, None], counts, [text[begins[i]:ends[i]] for i in place.tolist()])
@@ -173,9 +178,46 @@ def _count(lang: str, data: bytes, ahead: bytes, max_words: int, seed: int, new:
                 flags[some] = _within(bits, h[some])
 
 
-def count_phrases(docs: DataFrame, max_words: int, seed: int = 0, new: np.ndarray | None = None,
+def _add_up(batches: Iterator[pa.RecordBatch], max_words: int, least: int) -> Iterator[pa.RecordBatch]:
+    """The counts of a partition added up, phrases of fewer than ``least`` left out (not the numbers of all words)."""
+    columns, parts, named, schema = _columns(max_words), [], [], None
+    for batch in batches:
+        schema = batch.schema
+        k = batch.column(0).to_numpy()
+        if (k < 2).any():
+            named.append(batch.filter(pa.array(k < 2)))
+        phrase = np.flatnonzero(k > 1)
+        parts.append(np.stack([np.asarray(batch.column(i), dtype=np.int64)[phrase] for i in (0, *range(1, max_words + 1), batch.num_columns - 1)]))
+    if schema is None:
+        return
+    if named:
+        words = pa.Table.from_batches(named).group_by(["k", "w1", "lang", "word"]).aggregate([("a", "sum")])
+        ones = words.filter(pc.equal(words["k"], 1))
+        clash = len(ones) - len(pc.unique(ones["w1"]))
+        words = words.filter(pc.or_(pc.equal(words["k"], 0), pc.greater_equal(words["a_sum"], least)))
+        n = len(words)
+        zeros = [pa.array(np.zeros(n, np.int64))] * (max_words - 1)
+        yield pa.Table.from_arrays([words["k"], words["w1"], *zeros, words["lang"], words["word"], words["a_sum"]], schema=schema
+                                   ).combine_chunks().to_batches()[0] if n else batch.slice(0, 0)
+        if clash:
+            yield pa.RecordBatch.from_arrays([pa.array([CLASH], pa.int32()), *[pa.array([0])] * max_words, pa.nulls(1, pa.string()),
+                                              pa.nulls(1, pa.string()), pa.array([clash])], schema=schema)
+    rows = np.concatenate(parts, axis=1)
+    keys, counts = rows[:-1].T.view(np.uint64), rows[-1]
+    h = np.zeros(rows.shape[1], np.uint64)
+    for j in range(max_words + 1):
+        h = _mix(h, keys[:, j])
+    place, total = _counted(h, keys, counts)
+    place, total = place[total >= least], total[total >= least]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(rows[0][place].astype(np.int32)), *[pa.array(rows[j + 1][place]) for j in range(len(columns))],
+         pa.nulls(len(place), pa.string()), pa.nulls(len(place), pa.string()), pa.array(total)], schema=schema)
+
+
+def count_phrases(docs: DataFrame, max_words: int, least: int, parts: int, seed: int = 0, new: np.ndarray | None = None,
                   old: np.ndarray | None = None, every: bool = False) -> DataFrame:
-    """``(k, w1 .., lang, word, a)``: exact counts over all of ``docs(lang, text)``; see ``_count``."""
+    """``(k, w1 .., lang, word, a)``: phrases with ``least`` and more occurrences in all of ``docs(lang, text)``, see ``_count``;
+    a row of k ``CLASH`` where words share a hash."""
     filters = docs.sparkSession.sparkContext.broadcast((new, old))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,9 +225,9 @@ def count_phrases(docs: DataFrame, max_words: int, seed: int = 0, new: np.ndarra
             yield from _count(*chunk, max_words, seed, *filters.value, every)
 
     columns = _columns(max_words)
-    counted = docs.select("lang", "text").mapInArrow(
-        scan, f"k int, {', '.join(f'{c} long' for c in columns)}, lang string, word string, a long")
-    return counted.groupBy("k", *columns, "lang", "word").agg(F.sum("a").alias("a"))
+    ddl = f"k int, {', '.join(f'{c} long' for c in columns)}, lang string, word string, a long"
+    counted = docs.select("lang", "text").mapInArrow(scan, ddl).repartition(parts, *columns)  # a chunk has added up its own
+    return counted.mapInArrow(lambda batches: _add_up(batches, max_words, least), ddl)
 
 
 def filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
@@ -218,21 +260,18 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, f
     reach the tasks as a Bloom filter of fixed size: what it holds beside them is counted too, which costs time and changes no
     result; a phrase's parts decide alone in which pass it is counted, so it is counted once.
     """
-    w = F.slice(F.array(*_columns(max_words)), F.lit(1), F.col("k")).alias("w")
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = max(shuffle_partitions(docs.sparkSession), -(-size // PART_BYTES))
+    w = F.slice(F.array(*_columns(max_words)), F.lit(1), F.greatest("k", F.lit(0))).alias("w")
     least = max(2, int(0.8 * fraction * min_count))
     chosen = docs.where(F.abs(F.xxhash64("lang", "text") % 1_000_003) < int(fraction * 1_000_003))
     shorter = F.slice(F.array(*_columns(max_words - 1)), F.lit(1), F.col("k")).alias("w")
-    proposed = written(count_phrases(chosen, max_words - 1, seed, every=True).where((F.col("k") > 0) & (F.col("a") >= least)).select(
-        shorter), "phrases-proposed")
+    proposed = written(count_phrases(chosen, max_words - 1, least, parts, seed, every=True).where("k > 0").select(shorter), "phrases-proposed")
     new, old, passes, found = filter_of(proposed, filter_bits), None, 0, None
     while True:
-        counted = count_phrases(docs, max_words, seed, new, old)
-        part = written(counted.where((F.col("a") >= min_count) | (F.col("k") < 2)), f"phrases-{passes}")
-        if not passes:
-            shared = part.where("k = 1").groupBy("w1").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-            if not shared.isEmpty():  # two words have one hash
-                return frequent_phrases(docs, max_words, min_count, fraction, filter_bits, seed + 1)
-        part = part.where((F.col("a") >= min_count) | (F.col("k") == 0)).select("k", w, "lang", "word", "a")
+        part = written(count_phrases(docs, max_words, min_count, parts, seed, new, old).select("k", w, "lang", "word", "a"), f"phrases-{passes}")
+        if not part.where(F.col("k") == CLASH).isEmpty():
+            return frequent_phrases(docs, max_words, min_count, fraction, filter_bits, seed + 1)
         found, passes = part if found is None else found.union(part), passes + 1
         failed = part.where(F.col("k").between(1, max_words - 1)).join(proposed, "w", "left_anti")
         more = new | filter_of(failed, filter_bits)
