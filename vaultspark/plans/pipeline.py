@@ -26,7 +26,7 @@ from vaultspark.operators.writes import (
 from vaultspark.schemas import PARTITIONING, TABLES
 from vaultspark.sources.ingest import high_watermark, incremental_scan
 from vaultspark.sources.store import (
-    BUCKET_COL, DAY_COL, append_ledger, append_moves, append_rows_to, append_table, bucket_of, day_table, empty_table, load_days,
+    BUCKET_COL, DAY_COL, Changes, append_ledger, append_moves, append_rows_to, append_table, bucket_of, day_table, empty_table, load_days,
     load_rows, load_table, moves_table, read_days, read_ledger, replace_days, rewrite_days, save_table, table_buckets,
     table_location, upsert_days, with_buckets,
 )
@@ -94,7 +94,8 @@ def _checker(on_violation: str | None, rejected: dict[str, DataFrame] | None) ->
 
 
 def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: DayLike, persist: Persist = _keep,
-                day_tables: dict[str, str] | None = None, check: Check = _checker(None, None)) -> dict[str, DataFrame]:
+                day_tables: dict[str, str] | None = None, check: Check = _checker(None, None),
+                changes: Changes | None = None) -> dict[str, DataFrame]:
     """Sources -> staging for run date ``day`` (the run starts right after ``day`` ended).
 
     ``persist(name, df)`` is applied to each table as soon as it is built (the
@@ -112,7 +113,7 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
         staged = check(table, DOCUMENT_WRITERS[coll](fresh), keys=False)  # an upsert keeps one row a key
         if day_tables and table in day_tables:
             s[table] = upsert_days(log.sparkSession, day_tables[table], table, staged, ["object_id"], "update_ts",
-                                   DAY_TABLES[table], day_tables.get(MOVES), day)
+                                   DAY_TABLES[table], day_tables.get(MOVES), day, changes)
         else:
             s[table] = persist(table, upsert(s[table], staged, ["object_id"], "update_ts"))
         log = advance_watermark(log, fresh, coll)  # the batch holds every newer row: no scan of the stage
@@ -120,7 +121,7 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
     if day_tables:
         spark = log.sparkSession
         s["bonus_system_outbox"] = replace_days(spark, day_tables["bonus_system_outbox"], "bonus_system_outbox",
-                                                to_outbox(sources["outbox"]), "event_ts", day)
+                                                to_outbox(sources["outbox"]), "event_ts", day, changes=changes)
     else:
         s["bonus_system_outbox"] = persist("bonus_system_outbox", replace_slice(
             s["bonus_system_outbox"], to_outbox(sources["outbox"]), "event_ts", day))
@@ -133,7 +134,7 @@ def run_staging(state: dict[str, DataFrame], sources: dict[str, DataFrame], day:
     if day_tables:
         s["couriers_system_deliveries"] = replace_days(
             log.sparkSession, day_tables["couriers_system_deliveries"], "couriers_system_deliveries",
-            deliveries, "order_ts", previous_day(day), day)
+            deliveries, "order_ts", previous_day(day), day, changes)
     else:
         s["couriers_system_deliveries"] = persist("couriers_system_deliveries", replace_window(
             s["couriers_system_deliveries"], deliveries, "order_ts", day, 1))
@@ -151,7 +152,8 @@ DEPENDENT_TABLES = ["l_orders", "s_restaurants", "s_users", "s_products", "s_cou
 
 
 def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash", persist: Persist = _keep,
-             tables: dict[str, str] | None = None, check: Check = _checker(None, None)) -> dict[str, DataFrame]:
+             tables: dict[str, str] | None = None, check: Check = _checker(None, None),
+             changes: Changes | None = None) -> dict[str, DataFrame]:
     """Staging -> the five hubs for run date ``day``.
 
     With registered append tables (``register_day_tables``) only the new keys are written (``INSERT INTO``).
@@ -169,7 +171,7 @@ def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash", persi
         t, (batch, col) = HUB_TABLES[entity], batches[entity]
         added = check(t, vault.hub_additions(s[t], batch, col, entity, key))
         if tables and t in tables:
-            return append_rows_to(stg_o.sparkSession, tables[t], t, added)
+            return append_rows_to(stg_o.sparkSession, tables[t], t, added, changes)
         return persist(t, append_rows(s[t], added))
 
     return s | _together({HUB_TABLES[e]: lambda e=e: load(e) for e in batches})
@@ -177,7 +179,7 @@ def run_hubs(state: dict[str, DataFrame], day: DayLike, key: str = "hash", persi
 
 def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist = _keep,
                    day_tables: dict[str, str] | None = None, link_days_back: int = 0, on_violation: str | None = None,
-                   rejected: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+                   rejected: dict[str, DataFrame] | None = None, changes: Changes | None = None) -> dict[str, DataFrame]:
     """Staging + hubs -> link and satellites for run date ``day`` (independent of each other).
 
     ``link_days_back`` widens the link's window of business days, for orders staged after their day.
@@ -201,12 +203,12 @@ def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist =
     spark, deliveries = stg_o.sparkSession, s["couriers_system_deliveries"]
     hubs = {e: s[t] for e, t in HUB_TABLES.items()}
 
-    def orders(table: str, changes: tuple[DataFrame, DataFrame], part: str, days_back: int) -> DataFrame:
-        dropped, rows = changes
+    def orders(table: str, load: tuple[DataFrame, DataFrame], part: str, days_back: int) -> DataFrame:
+        dropped, rows = load
         rows = checked(table, rows)
         if table in tables:
             held = days_of_orders(stg_o, spark.table(tables[MOVES]), day, days_back) if MOVES in tables else None
-            return rewrite_days(spark, tables[table], table, dropped, ["order_id_dwh"], rows, part, held)
+            return rewrite_days(spark, tables[table], table, dropped, ["order_id_dwh"], rows, part, held, changes)
         return persist(table, vault.apply_changes(s[table], dropped, rows))
 
     def versions(table: str, batch: DataFrame) -> DataFrame:
@@ -222,7 +224,7 @@ def run_dependents(state: dict[str, DataFrame], day: DayLike, persist: Persist =
         rows = rows.checkpoint(eager=True)
         ended = rows.where(F.col(scd2.TO) != ts_lit(OPEN_TO)).select(key, ts_lit(OPEN_TO).alias(scd2.TO))
         held = ended.select(open_day.alias(DAY_COL), bucket_of(key, buckets).alias(BUCKET_COL))
-        return rewrite_days(spark, tables[table], table, ended, [key, scd2.TO], rows, scd2.TO, held)
+        return rewrite_days(spark, tables[table], table, ended, [key, scd2.TO], rows, scd2.TO, held, changes)
 
     return s | _together({
         "l_orders": lambda: orders("l_orders", vault.link_changes(
@@ -280,15 +282,16 @@ def product_batch(stage: DataFrame, hub: DataFrame, day: DayLike | None) -> Data
 
 
 def register_day_tables(state: dict[str, DataFrame], root: str, load: bool = False, open_buckets: int = OPEN_BUCKETS,
-                        hub_buckets: int = HUB_BUCKETS) -> tuple[dict[str, DataFrame], dict[str, str]]:
+                        hub_buckets: int = HUB_BUCKETS, metrics: dict[str, int] | None = None,
+                        ) -> tuple[dict[str, DataFrame], dict[str, str]]:
     """Day and append tables under ``root``; returns the state reading from them and the registered names.
 
     ``load=True`` is the one bulk load: the tables' content becomes the state's rows.  Without it the tables are
     used as they are on disk, also after a restart, and the state's own rows of them are not looked at.
     ``open_buckets`` (of the open versions) and ``hub_buckets`` (of the hubs, clustered by business key) must stay what they
-    were at the load.
+    were at the load.  ``metrics`` gets the rows of each table loaded, as the writes observe them.
     """
-    s = dict(state)
+    s, changes = dict(state), {}
     spark = s[LINK_DAY_TABLE].sparkSession
     names = {name: day_table(spark, root, name, open_buckets if name in VERSIONED else 0) for name in [*DAY_TABLES, LINK_DAY_TABLE]}
     names |= {t: append_table(spark, root, t, vault.bk(e), hub_buckets) for e, t in HUB_TABLES.items()}  # hubs only grow
@@ -301,17 +304,19 @@ def register_day_tables(state: dict[str, DataFrame], root: str, load: bool = Fal
 
         def versions(t: str) -> DataFrame:
             key, _ = VERSIONED[t]
-            return load_days(spark, names[t], t, with_buckets(s[t], key, F.col(scd2.TO) == ts_lit(OPEN_TO), open_buckets), scd2.TO)
+            return load_days(spark, names[t], t, with_buckets(s[t], key, F.col(scd2.TO) == ts_lit(OPEN_TO), open_buckets), scd2.TO, changes)
 
-        loads = {t: lambda t=t, ts=ts: load_days(spark, names[t], t, s[t], ts) for t, ts in DAY_TABLES.items() if t not in VERSIONED}
+        loads = {t: lambda t=t, ts=ts: load_days(spark, names[t], t, s[t], ts, changes) for t, ts in DAY_TABLES.items() if t not in VERSIONED}
         loads |= {t: lambda t=t: versions(t) for t in VERSIONED}
-        loads[LINK_DAY_TABLE] = lambda: load_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE, dated, "order_date")
-        loads |= {t: lambda t=t: load_rows(spark, names[t], t, s[t]) for t in HUB_TABLES.values()}
+        loads[LINK_DAY_TABLE] = lambda: load_days(spark, names[LINK_DAY_TABLE], LINK_DAY_TABLE, dated, "order_date", changes)
+        loads |= {t: lambda t=t: load_rows(spark, names[t], t, s[t], changes) for t in HUB_TABLES.values()}
         _together(loads)
         # Satellite rows that lie in another day than their order's business date: the order has moved before.
         lies = s["s_orders"].select("order_id_dwh", F.to_date(DAY_TABLES["s_orders"]).alias("old_day")).join(staged, "order_id_dwh")
         moved = lies.where(~F.col("old_day").eqNullSafe(F.col("order_date")))
         append_moves(spark, names[MOVES], moved.select("object_id", "old_day", F.col("order_date").alias("new_day")), None)
+    if metrics is not None:
+        metrics |= {t: c["added"] for t, c in changes.items()}
     return s | {t: read_days(spark, names[t], t) for t in names if t in TABLES}, names
 
 
@@ -319,13 +324,15 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
             save_root: str | None = None, key: str = "hash",
             metrics: dict[str, int] | None = None, day_tables: dict[str, str] | None = None,
             link_days_back: int = 0, on_violation: str | None = None,
-            rejected: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+            rejected: dict[str, DataFrame] | None = None, changes: Changes | None = None) -> dict[str, DataFrame]:
     """One daily run: staging, then hubs, then link and satellites.
 
     With ``save_root`` every table is persisted as soon as it is built, so no
     table is computed twice and every later step starts from written files.
-    With ``metrics`` (a dict) the rows written per table are recorded there,
-    observed during the writes (see ``metrics_frame``).  With ``day_tables``
+    With ``metrics`` (a dict) the rows of each table after the run are recorded there (see ``metrics_frame``): of tables saved
+    as versions as the write observes them, of day and append tables the rows that ``metrics`` has for them (from the load or
+    the run before, or the ledger: ``table_rows``) plus those added and less those removed.  ``changes`` gets the rows
+    added and removed per day and append table.  With ``day_tables``
     (``register_day_tables``) outbox and deliveries are replaced per day partition.
     ``on_violation`` and ``rejected``: the declared rules, see ``run_dependents``.
 
@@ -337,21 +344,14 @@ def run_day(state: dict[str, DataFrame], sources: dict[str, DataFrame], day: Day
     persist = _saver(save_root, metrics, paths)
     if on_violation == "split" and rejected is None:
         rejected = {}
-    check = _checker(on_violation, rejected)
-    s = run_staging(state, sources, day, persist, day_tables, check)
-    if metrics is not None and day_tables:
-        for name in set(day_tables) & set(STAGING_TABLES):
-            metrics[name] = s[name].count()  # rows of the table (partition files' footers)
-    s = run_hubs(s, day, key, persist, day_tables, check)
-    if metrics is not None and day_tables:
-        for t in HUB_TABLES.values():
-            if t in day_tables:
-                metrics[t] = s[t].count()
-    s = run_dependents(s, day, persist, day_tables, link_days_back, on_violation, rejected)
-    if metrics is not None and day_tables:
-        for t in DEPENDENT_TABLES:
-            if t in day_tables:
-                metrics[t] = s[t].count()
+    check, changes = _checker(on_violation, rejected), {} if changes is None else changes
+    s = run_staging(state, sources, day, persist, day_tables, check, changes)
+    s = run_hubs(s, day, key, persist, day_tables, check, changes)
+    s = run_dependents(s, day, persist, day_tables, link_days_back, on_violation, rejected, changes)
+    if metrics is not None:
+        for t in set(day_tables or {}) & set(TABLES):
+            was, now = metrics.get(t), changes.get(t, {"added": 0, "removed": 0})
+            metrics[t] = s[t].count() if was is None else was + now["added"] - now["removed"]  # counted once, where not known
     if save_root and on_violation == "split":
         rejected |= {t: save_table(bad, save_root, f"rejects/{t}", paths=paths) for t, bad in rejected.items()}
     if save_root and day_tables:
@@ -388,6 +388,13 @@ def load_state(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], di
     return state, names, rows[0]["run_day"]
 
 
+def table_rows(spark: SparkSession, root: str) -> dict[str, int]:
+    """Rows of each table after the last finished run, as its ledger has them; the ``metrics`` of the run that follows."""
+    rows = read_ledger(spark, root).collect()
+    last = max((r["run_id"] for r in rows), default=None)
+    return {r["table_name"]: r["rows"] for r in rows if r["run_id"] == last and r["rows"] is not None and r["table_name"] in TABLES}
+
+
 def start(spark: SparkSession, sources: dict[str, DataFrame], root: str, lo: DayLike, hi: DayLike | None = None,
           key: str = "hash", open_buckets: int = OPEN_BUCKETS, hub_buckets: int = HUB_BUCKETS,
           ) -> tuple[dict[str, DataFrame], dict[str, str]]:
@@ -395,10 +402,11 @@ def start(spark: SparkSession, sources: dict[str, DataFrame], root: str, lo: Day
     tables without ``hi``), entered in the ledger."""
     state = empty_state(spark) if hi is None else backfill(spark, sources, lo, hi, key, f"{root}/bulk")
     paths: dict[str, str] = {}
-    persist = _saver(root, paths=paths)
+    metrics: dict[str, int] = {}
+    persist = _saver(root, metrics, paths)
     state |= {t: persist(t, state[t]) for t in SNAPSHOTS}
-    state, names = register_day_tables(state, root, True, open_buckets, hub_buckets)
-    _finish(spark, root, hi or previous_day(lo), paths, names)
+    state, names = register_day_tables(state, root, True, open_buckets, hub_buckets, metrics)
+    _finish(spark, root, hi or previous_day(lo), paths, names, metrics)
     return state, names
 
 
@@ -499,7 +507,7 @@ def resume_days(spark: SparkSession, sources: dict[str, DataFrame], root: str, l
         end = min(first, dt.date.fromisoformat(str(hi))) if first else None
         state, names = start(spark, sources, root, lo, end, key, open_buckets, hub_buckets)
         last = end or previous_day(lo)
-    return run_days(state, sources, last + dt.timedelta(days=1), hi, root, key, day_tables=names, **options)
+    return run_days(state, sources, last + dt.timedelta(days=1), hi, root, key, day_tables=names, metrics=table_rows(spark, root), **options)
 
 
 def metrics_frame(spark: SparkSession, metrics: dict[str, int], day: DayLike) -> DataFrame:

@@ -272,4 +272,4 @@ def flawed_deliveries(t: Tables) -> DataFrame:
     k = F.col("order_id").cast("long")
     return deliveries(t).withColumns({
         "address": F.when(k % 7 == 3, F.repeat(F.lit("long "), 20)).otherwise(F.col("address")),
-        "rate": F.when(k % 5 == 2, 9).otherwise(F.col("rate")).cast("smallint")})
+        "rate": F.when(k % 9 == 3, 9).otherwise(F.col("rate")).cast("smallint")})

@@ -87,6 +87,23 @@ def path_exists(spark: SparkSession, location: str) -> bool:
     return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)
 
 
+Changes = dict[str, dict[str, int]]  # table -> rows added, removed
+
+
+def _note(changes: Changes | None, name: str, added: int, removed: int) -> None:
+    """Add a write's rows to what a run changed in a table."""
+    if changes is not None:
+        was = changes.setdefault(name, {"added": 0, "removed": 0})
+        was["added"] += added
+        was["removed"] += removed
+
+
+def _observed(df: DataFrame, **sums: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with sums that the action on it brings along."""
+    seen = Observation(f"rows_{uuid.uuid4().hex[:10]}")
+    return df.observe(seen, *[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(n) for n, c in sums.items()]), seen
+
+
 def _table_name(location: str, name: str) -> str:
     return f"{name}_{hashlib.sha1(location.encode()).hexdigest()[:10]}"
 
@@ -176,29 +193,34 @@ def read_days(spark: SparkSession, table: str, name: str) -> DataFrame:
     return spark.table(table).select(*SCHEMAS[name].fieldNames())
 
 
-def load_days(spark: SparkSession, table: str, name: str, df: DataFrame, ts: str) -> DataFrame:
+def load_days(spark: SparkSession, table: str, name: str, df: DataFrame, ts: str, changes: Changes | None = None) -> DataFrame:
     """Bulk load: overwrite every partition present in ``df`` (others are kept)."""
-    content = _with_day(df, name, ts)
+    content, seen = _observed(_with_day(df, name, ts), added=F.lit(1))
     view = _view(content)
     _overwrite_present_days(spark, table, _parts(content), f"SELECT * FROM {view}")
     spark.catalog.dropTempView(view)
+    _note(changes, name, seen.get["added"], 0)
     return read_days(spark, table, name)
 
 
 def replace_days(spark: SparkSession, table: str, name: str, batch: DataFrame, ts: str,
-                 lo: DayLike, hi: DayLike | None = None) -> DataFrame:
+                 lo: DayLike, hi: DayLike | None = None, changes: Changes | None = None) -> DataFrame:
     """Replace days ``lo..hi`` with the batch's rows of those days; other partitions are not touched.
 
     One static-partition overwrite per day: a day without rows in the batch
-    ends up empty (a dynamic overwrite would leave its old rows).
+    ends up empty (a dynamic overwrite would leave its old rows).  With ``changes`` the replaced partitions, and no
+    others, are counted before.
     """
     cols = ", ".join(f"`{c}`" for c in TABLES[name].fieldNames())
     day = dt.date.fromisoformat(str(lo))
     end = dt.date.fromisoformat(str(hi if hi is not None else lo))
     while day <= end:
-        view = _view(conform(batch.where(in_days(ts, day)), name))
+        rows, seen = _observed(conform(batch.where(in_days(ts, day)), name), added=F.lit(1))
+        removed = 0 if changes is None else spark.table(table).where(F.col(DAY_COL) == F.lit(day)).count()
+        view = _view(rows)
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL} = DATE'{day}') SELECT {cols} FROM {view}")
         spark.catalog.dropTempView(view)
+        _note(changes, name, seen.get["added"], removed)
         day += dt.timedelta(days=1)
     return read_days(spark, table, name)
 
@@ -221,7 +243,7 @@ def in_partitions(values: list[tuple], parts: list[str]) -> Column:
 
 
 def rewrite_days(spark: SparkSession, table: str, name: str, drop: DataFrame, keys: list[str],
-                 rows: DataFrame, part: str, held: DataFrame | None = None) -> DataFrame:
+                 rows: DataFrame, part: str, held: DataFrame | None = None, changes: Changes | None = None) -> DataFrame:
     """Delete the rows whose ``keys`` are in ``drop`` and add ``rows``, rewriting only the partitions involved: those
     of the new rows and those that may hold a deleted key.  Rows without a day are a partition like any other.
 
@@ -231,20 +253,26 @@ def rewrite_days(spark: SparkSession, table: str, name: str, drop: DataFrame, ke
     The new rows are materialized once (a reliable checkpoint), then the new content of the partitions
     (Spark refuses to overwrite a table that the writing plan reads), which one overwrite puts in place; a
     partition left without rows is cleared after it, so a failure in between leaves a moved row twice, never lost, and
-    a rerun finds and clears it.  The list of affected partitions is the only thing brought to the driver.
+    a rerun finds and clears it.  The list of affected partitions is the only thing brought to the driver; with ``changes``,
+    also the numbers of rows added and removed, which the write itself observes.
     """
     from vaultspark.session import shared_dir
 
     shared_dir(spark)
     current = spark.table(table)
-    drop_keys = drop.select(*keys).checkpoint(eager=True)
+    drop_keys = drop.select(*keys).distinct().checkpoint(eager=True)
     fresh = _with_day(rows, name, part).checkpoint(eager=True)
     parts = _parts(fresh)
     if held is None:
         held = current.select(*keys, *parts).join(drop_keys, keys, "left_semi")
     affected = [tuple(r) for r in fresh.select(*parts).union(held.select(*parts)).distinct().collect()]
-    kept = current.where(in_partitions(affected, parts)).join(drop_keys, keys, "left_anti").select(*fresh.columns)
-    content = kept.unionByName(fresh).checkpoint(eager=True)
+    gone = F.col("_gone").isNotNull()
+    lying = current.where(in_partitions(affected, parts)).join(drop_keys.withColumn("_gone", F.lit(True)), keys, "left")
+    both = lying.select(*fresh.columns, gone.alias("_gone"), F.lit(False).alias("_new")).unionByName(
+        fresh.withColumns({"_gone": F.lit(False), "_new": F.lit(True)}))
+    both, seen = _observed(both, added=F.col("_new"), removed=F.col("_gone"))
+    content = both.where(~F.col("_gone")).select(*fresh.columns).checkpoint(eager=True)
+    _note(changes, name, seen.get["added"], seen.get["removed"])
     present = {tuple(r) for r in content.select(*parts).distinct().collect()}
     view = _view(content)
     if present:
@@ -263,7 +291,7 @@ def _literal(value: object) -> str:
 
 
 def upsert_days(spark: SparkSession, table: str, name: str, batch: DataFrame, keys: list[str], order_by: str,
-                part: str, moves: str | None = None, run_day: DayLike | None = None) -> DataFrame:
+                part: str, moves: str | None = None, run_day: DayLike | None = None, changes: Changes | None = None) -> DataFrame:
     """Keyed upsert (newest batch row per key wins) that rewrites only the affected day partitions:
     those of the batch rows and those holding the versions the batch replaces.
 
@@ -285,7 +313,7 @@ def upsert_days(spark: SparkSession, table: str, name: str, batch: DataFrame, ke
         moved = held.where(~F.col(DAY_COL).eqNullSafe(F.col("_new"))).select(
             F.col(keys[0]).alias("object_id"), F.col(DAY_COL).alias("old_day"), F.col("_new").alias("new_day"))
         append_moves(spark, moves, moved, run_day)
-    return rewrite_days(spark, table, name, fresh, keys, fresh, "_part", held)
+    return rewrite_days(spark, table, name, fresh, keys, fresh, "_part", held, changes)
 
 
 def append_moves(spark: SparkSession, table: str, moved: DataFrame, run_day: DayLike | None) -> None:
@@ -321,17 +349,20 @@ def _bucketed(spark: SparkSession, table: str, name: str, rows: DataFrame) -> Da
     return rows.repartition(buckets, key)
 
 
-def load_rows(spark: SparkSession, table: str, name: str, rows: DataFrame) -> DataFrame:
+def load_rows(spark: SparkSession, table: str, name: str, rows: DataFrame, changes: Changes | None = None) -> DataFrame:
     """Bulk load of an append table: its whole content becomes ``rows``."""
-    view = _view(_bucketed(spark, table, name, rows))
-    spark.sql(f"INSERT OVERWRITE TABLE {table} SELECT * FROM {view}")
+    return _insert(spark, "OVERWRITE", table, name, rows, changes)
+
+
+def _insert(spark: SparkSession, how: str, table: str, name: str, rows: DataFrame, changes: Changes | None) -> DataFrame:
+    rows, seen = _observed(_bucketed(spark, table, name, rows), added=F.lit(1))
+    view = _view(rows)
+    spark.sql(f"INSERT {how} TABLE {table} SELECT * FROM {view}")
     spark.catalog.dropTempView(view)
+    _note(changes, name, seen.get["added"], 0)
     return read_days(spark, table, name)
 
 
-def append_rows_to(spark: SparkSession, table: str, name: str, rows: DataFrame) -> DataFrame:
+def append_rows_to(spark: SparkSession, table: str, name: str, rows: DataFrame, changes: Changes | None = None) -> DataFrame:
     """``INSERT INTO``: only the new rows are written (the plan may read the table itself)."""
-    view = _view(_bucketed(spark, table, name, rows))
-    spark.sql(f"INSERT INTO {table} SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
-    return read_days(spark, table, name)
+    return _insert(spark, "INTO", table, name, rows, changes)
