@@ -9,7 +9,7 @@ from tests.conftest import rows
 from vaultspark.plans import pipeline
 from vaultspark.session import shared_dir
 
-LO, DAYS = dt.date(2024, 3, 1), 4
+LO, DAYS = dt.date(2024, 3, 1), 3
 TABLES = ["h_orders", "h_products", "h_users", "h_restaurants", "h_couriers", "l_orders", "s_orders", "s_products", "s_users",
           "s_restaurants", "order_system_orders", "couriers_system_deliveries", "bonus_system_outbox"]
 
@@ -59,7 +59,7 @@ def changing_sources(spark, seed):
     }
 
 
-@pytest.mark.parametrize("seed,back", [(1, 0), (2, 0), (3, 1)])
+@pytest.mark.parametrize("seed,back", [(1, 0), (3, 1)])
 def test_backfill_equals_the_loop_for_changing_orders(spark, seed, back):
     sources = changing_sources(spark, seed)
     hi = LO + dt.timedelta(days=DAYS - 1)

@@ -67,8 +67,8 @@ DAY_TABLES = {"bonus_system_outbox": "event_ts", "couriers_system_deliveries": "
 # Versioned satellites: the open versions are one partition, closed ones lie with the day they ended.
 VERSIONED = {"s_restaurants": ("restaurant_id_dwh", ["restaurant_name"]), "s_users": ("user_id_dwh", ["user_name", "user_login"]),
              "s_products": ("product_id_dwh", ["product_name", "product_price", "product_category"])}
-OPEN_BUCKETS = 16  # of the open versions of a versioned satellite, and ..
-HUB_BUCKETS = 16   # .. of the hubs; a warehouse keeps those it was started with (they are in its ledger)
+OPEN_BUCKETS = 8  # of the open versions of a versioned satellite, and ..
+HUB_BUCKETS = 8   # .. of the hubs; a warehouse keeps those it was started with (they are in its ledger)
 # Day tables whose day is not one of their columns: the layout day is looked up.
 LINK_DAY_TABLE = "l_orders"
 MOVES = "order_moves"
