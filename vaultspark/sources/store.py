@@ -25,6 +25,7 @@ from __future__ import annotations
 import time
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,7 +69,7 @@ def save_table(df: DataFrame, root: str, name: str, partition_by: list[str] | No
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     if obs is not None:
-        metrics[name] = int(obs.get["rows"])
+        metrics[name] = _sum_of(obs, "rows")
     if paths is not None:
         paths[name] = path
     return load_table(df.sparkSession, path, df.schema)
@@ -104,6 +105,13 @@ def _observed(df: DataFrame, **sums: Column) -> tuple[DataFrame, Observation]:
     return df.observe(seen, *[F.coalesce(F.sum(c.cast("long")), F.lit(0)).alias(n) for n, c in sums.items()]), seen
 
 
+def _sum_of(seen: Observation, name: str) -> int:
+    try:
+        return int(seen.get[name])
+    except Py4JJavaError:  # a plan that the optimizer knows to be empty brings no sums along
+        return 0
+
+
 def _table_name(location: str, name: str) -> str:
     return f"{name}_{hashlib.sha1(location.encode()).hexdigest()[:10]}"
 
@@ -199,7 +207,7 @@ def load_days(spark: SparkSession, table: str, name: str, df: DataFrame, ts: str
     view = _view(content)
     _overwrite_present_days(spark, table, _parts(content), f"SELECT * FROM {view}")
     spark.catalog.dropTempView(view)
-    _note(changes, name, seen.get["added"], 0)
+    _note(changes, name, _sum_of(seen, "added"), 0)
     return read_days(spark, table, name)
 
 
@@ -220,7 +228,7 @@ def replace_days(spark: SparkSession, table: str, name: str, batch: DataFrame, t
         view = _view(rows)
         spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({DAY_COL} = DATE'{day}') SELECT {cols} FROM {view}")
         spark.catalog.dropTempView(view)
-        _note(changes, name, seen.get["added"], removed)
+        _note(changes, name, _sum_of(seen, "added"), removed)
         day += dt.timedelta(days=1)
     return read_days(spark, table, name)
 
@@ -272,7 +280,7 @@ def rewrite_days(spark: SparkSession, table: str, name: str, drop: DataFrame, ke
         fresh.withColumns({"_gone": F.lit(False), "_new": F.lit(True)}))
     both, seen = _observed(both, added=F.col("_new"), removed=F.col("_gone"))
     content = both.where(~F.col("_gone")).select(*fresh.columns).checkpoint(eager=True)
-    _note(changes, name, seen.get["added"], seen.get["removed"])
+    _note(changes, name, _sum_of(seen, "added"), _sum_of(seen, "removed"))
     present = {tuple(r) for r in content.select(*parts).distinct().collect()}
     view = _view(content)
     if present:
@@ -359,7 +367,7 @@ def _insert(spark: SparkSession, how: str, table: str, name: str, rows: DataFram
     view = _view(rows)
     spark.sql(f"INSERT {how} TABLE {table} SELECT * FROM {view}")
     spark.catalog.dropTempView(view)
-    _note(changes, name, seen.get["added"], 0)
+    _note(changes, name, _sum_of(seen, "added"), 0)
     return read_days(spark, table, name)
 
 
