@@ -28,7 +28,7 @@ SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(SEPARATORS + b"\t", b"." * len(SEPARATORS) + b" ")
 CHUNK = 4 << 20  # bytes of text that a task counts at a time
 PART_BYTES = 32 << 20  # of text, whose counts (some 100 MB at most) one task adds up
-FRACTION = 0.125  # of the documents, in the sample
+FRACTION = 0.0625  # of the documents, in the sample
 FILTER_BITS = 1 << 25  # of the proposals' Bloom filter, a broadcast of 4 MB whatever their number
 SALTS = 4  # of the parts of phrases, of which the commonest word is one of some percent at most
 UNKNOWN = "und"
