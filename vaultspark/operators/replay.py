@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultspark.functions.time import DayLike, day_lit
-from vaultspark.operators.shred import order_lines, parsed_orders, shred_dated_bonuses
+from vaultspark.operators.shred import matched_lines, order_heads, parsed_orders, shred_dated_bonuses
 from vaultspark.operators.vault import _hub_as, bk, dwh
 from vaultspark.operators.writes import latest_per_key
 
@@ -38,8 +38,13 @@ def last_loads(documents: DataFrame, lo: DayLike, hi: DayLike, days_back: int =
     ``documents``: every version of the days ``lo .. hi`` with the typed ``order_date``.  A run of day ``d`` loads
     business days ``d - days_back .. d``.  Orders that no run loaded, and those without a business date, have no row.
     """
+    return loads_of(run_versions(documents, hi), lo, hi, days_back)
+
+
+def loads_of(versions: DataFrame, lo: DayLike, hi: DayLike, days_back: int = 0) -> DataFrame:
+    """``last_loads`` from ``run_versions``, which loads with different windows share."""
     last = F.least(F.date_add("order_date", days_back), F.col("seen_until"), day_lit(hi))
-    loads = run_versions(documents, hi).where(F.col("order_date").isNotNull()).withColumn("load_day", last)
+    loads = versions.where(F.col("order_date").isNotNull()).withColumn("load_day", last)
     loads = loads.where((F.col("load_day") >= F.col("run_day")) & (F.col("load_day") >= F.col("order_date"))
                         & (F.col("load_day") >= day_lit(lo)))
     return latest_per_key(loads, ["object_id"], [F.col("load_day").desc()]).drop("run_day", "seen_until")
@@ -71,6 +76,7 @@ def replay_link(loads: DataFrame, outbox: DataFrame, deliveries: DataFrame, hubs
 
     ``outbox`` and ``deliveries`` are the staged tables of those runs; the restaurant, user and product hubs are dated
     (``dated_hub``).  Keys and staged rows that arrived after an order's last load are not seen by it, as in the loop.
+    Joined like ``vault.link_changes``; the load day is known once an order meets its bonus lines.
     """
     orders = parsed_orders(loads, ("load_day",))
     bonuses = shred_dated_bonuses(outbox).select(
@@ -79,13 +85,13 @@ def replay_link(loads: DataFrame, outbox: DataFrame, deliveries: DataFrame, hubs
     couriers = deliveries.select(F.col("order_id").alias("o_id"), "courier_id", F.to_date("order_ts").alias("_delivery_day")).join(
         _hub_as(hubs["courier"], "courier", "courier_id"), "courier_id", "left").drop("courier_id")
     window = F.col("_bonus_date").between(F.date_sub("load_day", days_back), F.col("load_day"))
-    rows = order_lines(orders, ("load_day",)).alias("l")
-    rows = rows.join(bonuses, ["o_id", "p_id"]).where(window & _arrived("_event_day"))
-    rows = _left_arrived(rows, couriers)
-    rows = rows.join(_hub_as(hubs["order"], "order", "o_id"), "o_id")
-    for entity, name in (("restaurant", "restaurant_id"), ("user", "user_id"), ("product", "p_id")):
-        rows = rows.join(_known(hubs[entity], entity, name), name).where(_arrived(f"_{entity}_day"))
-    return rows
+    heads = order_heads(orders, ("load_day",))
+    for entity, name in (("user", "user_id"), ("restaurant", "restaurant_id")):
+        heads = heads.join(_known(hubs[entity], entity, name), name).where(_arrived(f"_{entity}_day")).drop(name, f"_{entity}_day")
+    heads = _left_arrived(heads.join(_hub_as(hubs["order"], "order", "o_id"), "o_id"), couriers)
+    known = bonuses.join(_known(hubs["product"], "product", "p_id"), "p_id")
+    rows = heads.join(known, "o_id").where(window & _arrived("_event_day") & _arrived("_product_day"))
+    return matched_lines(rows, "p_id")
 
 
 def _left_arrived(rows: DataFrame, deliveries: DataFrame) -> DataFrame:
