@@ -425,19 +425,21 @@ def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi
     and day in the range (SCD2 through ``scd2_history``); the link and the order
     satellite from the version with which each order was last loaded, joined with what had been staged by that
     run (``operators.replay``).  Equal to ``run_days(lo, hi)``, also for orders that change after their business day.
-    With ``save_root`` staging, then hubs, then the rest are persisted as they are built.  ``link_days_back``: see
-    ``run_dependents``.
+    With ``save_root`` staging, then hubs, then the rest are persisted as they are built, and before them what several of
+    them read: the documents up to ``hi`` (so the sources are read once) and the orders' versions by run.
+    ``link_days_back``: see ``run_dependents``.
     """
     persist = _saver(save_root)
+    shared = (lambda name, df: save_table(df, save_root, f"shared/{name}")) if save_root else _keep
     s = empty_state(spark)
     lo_d = dt.date.fromisoformat(str(lo))
     run_end = ts_lit(f"{_next(hi)} 00:00:00")
     versions: dict[str, DataFrame] = {}
     logs = []
     for coll, table in DOCUMENT_COLLECTIONS.items():
-        src = sources[coll].where(F.col("update_ts") < run_end)
-        s[table] = upsert(s[table], DOCUMENT_WRITERS[coll](src), ["object_id"], "update_ts")
-        seen = DOCUMENT_WRITERS[coll](sources[coll].where(in_days("update_ts", lo, hi)))
+        src = shared(table, DOCUMENT_WRITERS[coll](sources[coll].where(F.col("update_ts") < run_end)))
+        s[table] = upsert(s[table], src, ["object_id"], "update_ts")
+        seen = src.where(in_days("update_ts", lo, hi))
         versions[coll] = seen if coll == "orders" else _newest_of_day(seen)
         logs.append(src.agg(F.max("update_ts").alias("update_ts"))
                     .where(F.col("update_ts").isNotNull()).select(F.lit(coll).alias("table_name"), "update_ts"))
@@ -468,15 +470,16 @@ def backfill(spark: SparkSession, sources: dict[str, DataFrame], lo: DayLike, hi
     dated = hubs | {e: replay.dated_hub(hubs[e], e, replay.first_days(keys, col)) for e, keys, col in (
         ("restaurant", vr, "object_id"), ("user", vu, "object_id"), ("product", menus, "product_id"))}
     deliveries = s["couriers_system_deliveries"]
-    s["l_orders"] = replay.replay_link(replay.last_loads(vo, lo, hi, link_days_back), s["bonus_system_outbox"], deliveries,
-                                       dated, link_days_back)
+    by_run = shared("orders_by_run", replay.run_versions(vo, hi))
+    s["l_orders"] = replay.replay_link(shared("orders_linked", replay.loads_of(by_run, lo, hi, link_days_back)),
+                                       s["bonus_system_outbox"], deliveries, dated, link_days_back)
     s["s_restaurants"] = scd2.scd2_history(restaurant_batch(vr, hubs["restaurant"], None),
                                            "restaurant_id_dwh", ["restaurant_name"])
     s["s_users"] = scd2.scd2_history(user_batch(vu, hubs["user"], None), "user_id_dwh", ["user_name", "user_login"])
     s["s_products"] = scd2.scd2_history(product_batch(vr, hubs["product"], None), "product_id_dwh",
                                         ["product_name", "product_price", "product_category"])
     s["s_couriers"] = vault.load_full_satellite(s["s_couriers"], s["couriers_system_couriers"], hubs["courier"])
-    s["s_orders"] = replay.replay_order_satellite(replay.last_loads(vo, lo, hi, 1), deliveries, hubs["order"])
+    s["s_orders"] = replay.replay_order_satellite(replay.loads_of(by_run, lo, hi, 1), deliveries, hubs["order"])
     for t in DEPENDENT_TABLES:
         s[t] = persist(t, s[t].select(*TABLES[t].fieldNames()))
     return s
