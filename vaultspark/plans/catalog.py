@@ -770,8 +770,8 @@ def after_run_day(w: World, written: dict[str, int], changes: dict | None = None
     partitions of those two."""
     sources = w.sources()
     root = shared_dir(w.spark, "warehouse")
-    before, day_tables = pipeline.register_day_tables(
-        pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV), root, load=True, metrics=written)
+    before = pipeline.backfill(w.spark, sources, fx.FIRST_DAY, PREV, save_root=f"{root}/bulk")
+    before, day_tables = pipeline.register_day_tables(before, root, load=True, metrics=written)
     return pipeline.run_day(before, sources, DAY, root, metrics=written, day_tables=day_tables, changes=changes)
 
 
