@@ -5,9 +5,11 @@ parts (without its first, without its last word) were proposed: these are the pr
 far as it occurs.  A border phrase that turns out frequent is a failure: it joins the proposals, and a further pass counts the phrases
 that have become countable by it, until a pass brings no failure.  No frequent phrase is missed then, whatever the sample held.
 
-The border is mostly pairs that occur once, so counting is kept lean: a word is a 64-bit hash (of its lang and itself; that
-no two words share one is checked, else another seed is taken), a phrase the hashes of its words.  Tasks count chunks of
-text, Spark deals the counts out by those numbers, over as many partitions as the text needs, and tasks add them up.
+The border is mostly pairs that occur once, so a pass for many proposals screens it before it counts: 40 bits of every phrase's hash are counted first, and
+only phrases whose bits reach the count are counted as they are.  Phrases that share their bits are counted together there, so none
+is lost.  A word is a 64-bit hash (of its lang and itself; that no two of the words counted share one is checked, else another seed is
+taken), a phrase the hashes of its words.  Tasks add up the counts of their own text and send them packed, in cells by hash; Spark
+deals the cells out over as many partitions as the text needs, and tasks add them up.
 """
 
 from __future__ import annotations
@@ -26,10 +28,15 @@ from vaultspark.llm.common import shuffle_partitions, written
 
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 TABLE = bytes.maketrans(SEPARATORS + b"\t", b"." * len(SEPARATORS) + b" ")
-CHUNK = 4 << 20  # bytes of text that a task counts at a time
+CHUNK = 2 << 20  # bytes of text that a task counts at a time
 PART_BYTES = 32 << 20  # of text, whose counts (some 100 MB at most) one task adds up
 FRACTION = 0.0625  # of the documents, in the sample
 FILTER_BITS = 1 << 25  # of the proposals' Bloom filter, a broadcast of 4 MB whatever their number
+SCREEN_BITS = 40  # of a phrase's hash, that the screen counts by
+SCREEN_MOST = 1 << 29  # bits of the screen's Bloom filter at most, 64 MB; beyond, more phrases are counted than pass the screen
+CELLS = 1024  # that a task's counts are sent in, at least
+HELD = 1 << 22  # hashes that a task holds before it sends them
+HELD_ROWS = 1 << 20  # counts of phrases likewise
 SALTS = 4  # of the parts of phrases, of which the commonest word is one of some percent at most
 UNKNOWN = "und"
 LONG_WORD = 4096  # bytes beyond which a word is hashed by itself
@@ -136,10 +143,32 @@ def _columns(max_words: int) -> list[str]:
     return [f"w{j + 1}" for j in range(max_words)]
 
 
+def _phrases(hashes: np.ndarray, joined: np.ndarray, limit: int, max_words: int, new: np.ndarray | None, old: np.ndarray | None,
+             every: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, first words, hashes) of the phrases of two words and more that a pass counts, see ``_count``."""
+    good, h = np.ones(len(hashes), bool), hashes
+    in_new, in_old = _within(new, hashes), _within(old, hashes)
+    for k in range(2, max_words + 1):
+        if len(hashes) < k:
+            return
+        good = good[:-1] & joined[k - 2:len(hashes) - 1]
+        h = _mix(h[:-1], hashes[k - 1:])
+        if not every:
+            ready, done = in_new[:-1] & in_new[1:] & good, in_old[:-1] & in_old[1:] & good
+        at = np.flatnonzero((good if every else ready & ~done)[:limit])
+        yield k, at, h[at]
+        if k < max_words and not every:
+            in_new, in_old = np.zeros(len(good), bool), np.zeros(len(good), bool)
+            for flags, ok, bits in ((in_new, ready, new), (in_old, done, old)):
+                some = np.flatnonzero(ok)
+                flags[some] = _within(bits, h[some])
+
+
 def _count(lang: str, data: bytes, ahead: bytes, max_words: int, seed: int, new: np.ndarray | None, old: np.ndarray | None,
-           every: bool) -> Iterator[pa.RecordBatch]:
+           every: bool, screen: tuple | None = None) -> Iterator[pa.RecordBatch]:
     """Counts of a chunk: phrases whose parts lie in ``new`` and not all in ``old`` (``every``: phrases of any parts);
-    where ``old`` is None words are counted too, with their letters, and their number, as the phrase of no words."""
+    where ``old`` is None words are counted too, with their letters, and their number, as the phrase of no words.
+    Words and phrases that ``screen`` doesn't hold are left out."""
     text = data + ahead
     (hashes, *other), begins, ends, joined = _words(text, lang, [seed, seed + 1_000_003][:1 if old is not None else 2])
     limit = int(np.searchsorted(begins, len(data)))
@@ -155,27 +184,186 @@ def _count(lang: str, data: bytes, ahead: bytes, max_words: int, seed: int, new:
 
     if old is None:
         yield rows(0, np.append(hashes, np.uint64(0))[:1, None], np.array([limit]))  # dealt out by the chunk's first word
-        twice = np.stack([hashes[:limit], other[0][:limit]], axis=1)  # words are told apart by 128 bits here, by letters in the sum
-        place, counts = _counted(hashes[:limit], twice)
-        yield rows(1, hashes[place, None], counts, [text[begins[i]:ends[i]] for i in place.tolist()])
-    good, h = np.ones(len(hashes), bool), hashes
-    in_new, in_old = _within(new, hashes), _within(old, hashes)
-    for k in range(2, max_words + 1):
-        if len(hashes) < k:
-            return
-        good = good[:-1] & joined[k - 2:len(hashes) - 1]
-        h = _mix(h[:-1], hashes[k - 1:])
-        if not every:
-            ready, done = in_new[:-1] & in_new[1:] & good, in_old[:-1] & in_old[1:] & good
-        at = np.flatnonzero((good if every else ready & ~done)[:limit])
+        at = np.flatnonzero(_passed(screen, hashes[:limit]))
+        twice = np.stack([hashes[at], other[0][at]], axis=1)  # words are told apart by 128 bits here, by letters in the sum
+        place, counts = _counted(hashes[at], twice)
+        at = at[place]
+        yield rows(1, hashes[at, None], counts, [text[begins[i]:ends[i]] for i in at.tolist()])
+    for k, at, h in _phrases(hashes, joined, limit, max_words, new, old, every):
+        passed = _passed(screen, h)
+        at, h = at[passed], h[passed]
         keys = np.stack([hashes[at + j] for j in range(k)], axis=1)
-        place, counts = _counted(h[at], keys)
+        place, counts = _counted(h, keys)
         yield rows(k, keys[place], counts)
-        if k < max_words and not every:
-            in_new, in_old = np.zeros(len(good), bool), np.zeros(len(good), bool)
-            for flags, ok, bits in ((in_new, ready, new), (in_old, done, old)):
-                some = np.flatnonzero(ok)
-                flags[some] = _within(bits, h[some])
+
+
+# the screen
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as planes of their bytes, each compressed by itself."""
+    width = (int(values.max(initial=0)).bit_length() + 7) // 8
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:width]
+    frames = [pa.compress(np.ascontiguousarray(p), "zstd", asbytes=True) for p in planes]
+    return np.array([len(values), width, *map(len, frames)], "<u4").tobytes() + b"".join(frames)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n, width = np.frombuffer(data, "<u4", 2).tolist()
+    out, at = np.zeros((n, 8), np.uint8), 8 + 4 * width
+    for j, size in enumerate(np.frombuffer(data, "<u4", width, 8).tolist()):
+        out[:, j] = np.frombuffer(pa.decompress(data[at:at + size], n, "zstd", asbytes=True), np.uint8)
+        at += size
+    return out.view("<u8")[:, 0]
+
+
+def _bits(v: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two places that the screen's filter has for the bits that are counted by."""
+    q = v * np.uint64(0x9E3779B97F4A7C15)
+    q ^= q >> np.uint64(32)
+    return q & mask, (q >> np.uint64(32)) & mask
+
+
+def _passed(screen: tuple | None, h: np.ndarray) -> np.ndarray:
+    """Which phrases of hashes ``h`` the screen may hold; no screen holds all."""
+    if screen is None:
+        return np.ones(len(h), bool)
+    words, firsts, masks = screen
+    v = h >> np.uint64(64 - SCREEN_BITS)
+    cell = (v >> np.uint64(SCREEN_BITS + 1 - len(masks).bit_length())).astype(np.int64)
+    first, out = firsts[cell], np.ones(len(h), bool)
+    for p in _bits(v, masks[cell]):
+        out &= (words[first + (p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63))) & np.uint64(1) == 1
+    return out
+
+
+def _send_hashes(held: list[np.ndarray], least: int, cells: int) -> Iterator[pa.RecordBatch]:
+    """The counts of hashes, up to ``least``, in cells: differences between sorted hashes take few bytes."""
+    v, shift = np.concatenate(held), SCREEN_BITS + 1 - cells.bit_length()
+    held.clear()
+    v.sort()
+    firsts = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
+    counts = np.minimum(np.diff(firsts, append=len(v)), least)
+    v = v[firsts]
+    cuts = np.searchsorted(v >> np.uint64(shift), np.arange(cells + 1, dtype=np.uint64))
+    some = np.flatnonzero(np.diff(cuts)).tolist()
+    parts = [(v[cuts[c]:cuts[c + 1]], counts[cuts[c]:cuts[c + 1]]) for c in some]
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(some, pa.int32()), pa.array([_packed(np.diff(x, prepend=np.uint64(c << shift))) for c, (x, _) in zip(some, parts)], pa.binary()),
+         pa.array([_packed(n) for _, n in parts], pa.binary())], names=["cell", "v", "a"])
+
+
+def _screened(batches: Iterator[pa.RecordBatch], least: int, cells: int) -> Iterator[pa.RecordBatch]:
+    """Bloom filters, a cell each, of the hashes of a partition with ``least`` occurrences and more; eight bits a hash at least."""
+    shift, v, counts = SCREEN_BITS + 1 - cells.bit_length(), [], []
+    for batch in batches:
+        for cell, packed, a in zip(*(c.to_pylist() for c in batch.columns)):
+            v.append(np.cumsum(_unpacked(packed), dtype=np.uint64) + np.uint64(cell << shift))
+            counts.append(_unpacked(a).astype(np.int64))
+    if not v:
+        return
+    v, counts = np.concatenate(v), np.concatenate(counts)
+    order = np.argsort(v)
+    v, counts = v[order], counts[order]
+    firsts = np.flatnonzero(np.append(True, v[1:] != v[:-1]))
+    v = v[firsts][np.add.reduceat(counts, firsts) >= least]
+    of = (v >> np.uint64(shift)).astype(np.int64)
+    cuts = np.append(np.flatnonzero(np.diff(of, prepend=-1)), len(of)).tolist()
+    found, filters = [], []
+    for lo, hi in zip(cuts, cuts[1:]):
+        flags = np.zeros(max(64, min(1 << (8 * (hi - lo) - 1).bit_length(), SCREEN_MOST // cells)), bool)
+        for p in _bits(v[lo:hi], np.uint64(len(flags) - 1)):
+            flags[p] = True
+        found.append(int(of[lo]))
+        filters.append(np.packbits(flags, bitorder="little").tobytes())
+    yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(filters, pa.binary())], names=["cell", "bits"])
+
+
+def screen_of(docs: DataFrame, max_words: int, least: int, parts: int, seed: int, new: np.ndarray | None,
+              old: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(Bloom filters of all cells, where each begins, its mask) of the words and phrases that a pass must count: at least those
+    with ``least`` and more occurrences in all of ``docs(lang, text)``.  Some two bytes a phrase of them reach the driver."""
+    filters, cells = docs.sparkSession.sparkContext.broadcast((new, old)), _cells(parts)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, (new, old) = [], 0, filters.value
+        for lang, data, ahead in _chunks(batches, max_words - 1):
+            (hashes,), begins, _, joined = _words(data + ahead, lang, [seed])
+            limit = int(np.searchsorted(begins, len(data)))
+            found = [hashes[:limit]] if old is None else []
+            found += [h for _, _, h in _phrases(hashes, joined, limit, max_words, new, old, False)]
+            held += [h >> np.uint64(64 - SCREEN_BITS) for h in found]
+            size += sum(map(len, found))
+            if size > HELD:
+                yield from _send_hashes(held, least, cells)
+                held, size = [], 0
+        if size:
+            yield from _send_hashes(held, least, cells)
+
+    sent = docs.select("lang", "text").mapInArrow(scan, "cell int, v binary, a binary").repartition(parts, "cell")
+    got = sent.mapInArrow(lambda batches: _screened(batches, least, cells), "cell int, bits binary").toArrow()
+    bits = {c: np.frombuffer(b.as_py(), "<u8") for c, b in zip(got["cell"].to_pylist(), got["bits"])}
+    each = [bits.get(c, np.zeros(1, np.uint64)) for c in range(cells)]
+    sizes = np.array([len(b) for b in each], np.int64)
+    return np.concatenate(each), np.cumsum(sizes) - sizes, (64 * sizes - 1).astype(np.uint64)
+
+
+# counts
+
+def _cells(parts: int) -> int:
+    return max(CELLS, 1 << (4 * parts - 1).bit_length())
+
+
+def _send(batch: pa.RecordBatch, max_words: int, cells: int) -> pa.RecordBatch:
+    """Counts that a task has added up, in cells by their words' hashes."""
+    k, lang, word = batch.column(0).to_numpy(), batch.column(max_words + 1), batch.column(max_words + 2)
+    w, a = [np.asarray(batch.column(j + 1), np.int64).view(np.uint64) for j in range(max_words)], np.asarray(batch.column(max_words + 3), np.uint64)
+    h = w[0]
+    for j in range(1, max_words):
+        h = _mix(h, w[j])
+    cell = (h >> np.uint64(65 - cells.bit_length())).astype(np.int32)
+    order = np.lexsort((w[0], k, cell))
+    group = cell[order].astype(np.int64) * (max_words + 1) + k[order]
+    cuts = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(group)).tolist()
+    rows = []
+    for lo, hi in zip(cuts, cuts[1:]):
+        at, size = order[lo:hi], int(k[order[lo]])
+        keys = [pa.compress(w[0][at], "zstd", asbytes=True), *[x[at].tobytes() if j < size else None for j, x in enumerate(w[1:], 1)]]
+        langs = code = words = None
+        if size < 2:
+            taken = lang.take(pa.array(at)).dictionary_encode()
+            langs, code = taken.dictionary.to_pylist(), _packed(taken.indices.to_numpy())
+        if size == 1:
+            words = " ".join(word.take(pa.array(at)).to_pylist())
+        rows.append((int(cell[at[0]]), size, *keys, langs, code, words, _packed(a[at])))
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _sent(max_words))], schema=_sent(max_words)) if rows else \
+        pa.RecordBatch.from_pylist([], schema=_sent(max_words))
+
+
+def _sent(max_words: int) -> pa.Schema:
+    return pa.schema([("cell", pa.int32()), ("k", pa.int32()), *[(c, pa.binary()) for c in _columns(max_words)],
+                      ("langs", pa.list_(pa.string())), ("lang", pa.binary()), ("words", pa.string()), ("a", pa.binary())])
+
+
+def _received(batches: Iterator[pa.RecordBatch], max_words: int) -> Iterator[pa.RecordBatch]:
+    """The rows of ``_count`` again."""
+    for batch in batches:
+        cells = batch.to_pylist()
+        for size in sorted({c["k"] for c in cells}):
+            some = [c for c in cells if c["k"] == size]
+            a = np.concatenate([_unpacked(c["a"]) for c in some]).view(np.int64)
+            sizes = [8 * int(np.frombuffer(c["a"], "<u4", 1)[0]) for c in some]
+            w = [np.frombuffer(b"".join(pa.decompress(c["w1"], n, "zstd", asbytes=True) for c, n in zip(some, sizes)), "<u8")]
+            w += [np.frombuffer(b"".join(c[x] for c in some), "<u8") if j < size else np.zeros(len(a), np.uint64)
+                  for j, x in enumerate(_columns(max_words)[1:], 1)]
+            lang = word = pa.nulls(len(a), pa.string())
+            if size < 2:
+                lang = pa.chunked_array([pa.DictionaryArray.from_arrays(pa.array(_unpacked(c["lang"]).astype(np.int32)), pa.array(c["langs"], pa.string()))
+                                         .cast(pa.string()) for c in some]).combine_chunks()
+            if size == 1:
+                word = pa.array([x for c in some for x in c["words"].split(" ")], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(a), size, np.int32)), *[pa.array(x.view(np.int64)) for x in w], lang, word, pa.array(a)],
+                names=["k", *_columns(max_words), "lang", "word", "a"])
 
 
 def _add_up(batches: Iterator[pa.RecordBatch], max_words: int, least: int) -> Iterator[pa.RecordBatch]:
@@ -203,6 +391,7 @@ def _add_up(batches: Iterator[pa.RecordBatch], max_words: int, least: int) -> It
             yield pa.RecordBatch.from_arrays([pa.array([CLASH], pa.int32()), *[pa.array([0])] * max_words, pa.nulls(1, pa.string()),
                                               pa.nulls(1, pa.string()), pa.array([clash])], schema=schema)
     rows = np.concatenate(parts, axis=1)
+    parts.clear()
     keys, counts = rows[:-1].T.view(np.uint64), rows[-1]
     h = np.zeros(rows.shape[1], np.uint64)
     for j in range(max_words + 1):
@@ -218,16 +407,30 @@ def count_phrases(docs: DataFrame, max_words: int, least: int, parts: int, seed:
                   old: np.ndarray | None = None, every: bool = False) -> DataFrame:
     """``(k, w1 .., lang, word, a)``: phrases with ``least`` and more occurrences in all of ``docs(lang, text)``, see ``_count``;
     a row of k ``CLASH`` where words share a hash."""
-    filters = docs.sparkSession.sparkContext.broadcast((new, old))
+    cells, columns = _cells(parts), _columns(max_words)
+    few = every or old is not None and 2 * np.bitwise_count(new & ~old).sum() < np.bitwise_count(new).sum()  # a sample, or a pass for few proposals
+    screen = None if few else screen_of(docs, max_words, least, parts, seed, new, old)
+    shared = docs.sparkSession.sparkContext.broadcast((new, old, every, screen))
+
+    def added(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _add_up(iter(held), max_words, 0):
+            yield _send(batch.filter(pc.greater_equal(batch.column(0), 0)), max_words, cells)  # clashes show again in the sum
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for chunk in _chunks(batches, max_words - 1):
-            yield from _count(*chunk, max_words, seed, *filters.value, every)
-
-    columns = _columns(max_words)
+            for part in _count(*chunk, max_words, seed, *shared.value):
+                held.append(part)
+                size += part.num_rows
+            if size > HELD_ROWS:
+                yield from added(held)
+                held, size = [], 0
+        yield from added(held)
+
+    sent = f"cell int, k int, {', '.join(f'{c} binary' for c in columns)}, langs array<string>, lang binary, words string, a binary"
+    counted = docs.select("lang", "text").mapInArrow(scan, sent).repartition(parts, "cell")
     ddl = f"k int, {', '.join(f'{c} long' for c in columns)}, lang string, word string, a long"
-    counted = docs.select("lang", "text").mapInArrow(scan, ddl).repartition(parts, *columns)  # a chunk has added up its own
-    return counted.mapInArrow(lambda batches: _add_up(batches, max_words, least), ddl)
+    return counted.mapInArrow(lambda batches: _add_up(_received(batches, max_words), max_words, least), ddl)
 
 
 def filter_of(phrases: DataFrame, bits: int) -> np.ndarray:
@@ -273,8 +476,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, f
         if not part.where(F.col("k") == CLASH).isEmpty():
             return frequent_phrases(docs, max_words, min_count, fraction, filter_bits, seed + 1)
         found, passes = part if found is None else found.union(part), passes + 1
-        failed = part.where(F.col("k").between(1, max_words - 1)).join(proposed, "w", "left_anti")
-        more = new | filter_of(failed, filter_bits)
+        more = new | filter_of(part.where(F.col("k").between(1, max_words - 1)), filter_bits)  # the failures alone add to it
         if np.array_equal(more, new):
             return found, passes
         new, old = more, new
