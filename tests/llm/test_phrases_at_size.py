@@ -55,3 +55,16 @@ def test_what_the_screen_leaves_out_is_not_counted():
     rows = [r for p in phrases._count("en", b"a b a b c", b"", 3, 0, None, None, True, screen) for r in p.to_pylist()]
     counted = {(r["k"], r["word"]): r["a"] for r in rows}
     assert counted == {(0, None): 5, (1, "a"): 2, (1, "b"): 2, (2, None): 2}
+
+
+def test_joins_with_what_was_found_are_never_broadcast(spark):
+    """Spark takes rows from compressed files, and more so what explodes, for much smaller than they are."""
+    found = spark.createDataFrame([(2, [7, 8], None, None, 20), (3, [7, 8, 9], None, None, 12), (2, [8, 9], None, None, 15), (1, [7], "en", "a", 30),
+                                   (1, [8], "en", "b", 40), (1, [9], "en", "c", 50)], "k int, w array<long>, lang string, word string, a long")
+    scores, names = phrases.scored(found), found.where("k >= 2").select("w")
+    for df in (scores, phrases.standing(found, 3), phrases.with_lang(names, found)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {(tuple(r["w"]), r["lang"]) for r in phrases.with_lang(names, found).collect()} == {((7, 8), "en"), ((7, 8, 9), "en"), ((8, 9), "en")}
+    assert "SortMergeJoin" in phrases.spelled(names, found)._jdf.queryExecution().executedPlan().toString()
+    assert {(tuple(r["w"]), r["phrase"]) for r in phrases.spelled(names, found).collect()} == {((7, 8), "a b"), ((7, 8, 9), "a b c"), ((8, 9), "b c")}

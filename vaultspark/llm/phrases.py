@@ -483,6 +483,8 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, f
 
 
 # scores
+# Joins with what was found are merge joins by hint: rows that explode or come from compressed files are many times larger than Spark takes
+# them to be, and a side that it broadcasts for that is put together in the driver.
 
 def scored(found: DataFrame) -> DataFrame:
     """``(k, w, a, l, r, score)`` of phrases of two words and more, by the cut with the lowest score."""
@@ -493,7 +495,7 @@ def scored(found: DataFrame) -> DataFrame:
         F.struct(F.lit(True).alias("first"), left.alias("part")), F.struct(F.lit(False).alias("first"), right.alias("part")))).alias("s"))
     counts = found.where("k >= 1").select(F.col("w").alias("_part"), F.col("a").alias("count"),
                                           F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
-    both = sides.join(counts, (F.col("s.part") == F.col("_part")) & (F.col("salt") == F.col("_salt")))
+    both = sides.join(counts.hint("merge"), (F.col("s.part") == F.col("_part")) & (F.col("salt") == F.col("_salt")))
     cut = both.groupBy("w", "k", "a", "cut").agg(
         F.max(F.when(F.col("s.first"), F.col("count"))).alias("l"), F.max(F.when(~F.col("s.first"), F.col("count"))).alias("r"))
 
@@ -514,14 +516,14 @@ def standing(found: DataFrame, max_words: int, overlap: int = 50) -> DataFrame:
     places = F.expr("flatten(transform(sequence(2, k - 1), j -> transform(sequence(1, k - j + 1), i -> slice(w, i, j))))")
     inside = phrases.where("k >= 3").select(F.col("a").alias("longer"), F.explode(places).alias("w"))
     most = inside.groupBy("w").agg(F.max("longer").alias("longer"))
-    known = phrases.join(most, "w", "left")
+    known = phrases.join(most.hint("merge"), "w", "left")
     return known.where(F.coalesce(100 * F.col("longer") < overlap * F.col("a"), F.lit(True))).select("w")
 
 
 def spelled(phrases: DataFrame, found: DataFrame) -> DataFrame:
     """``phrases`` with ``phrase``, the words of ``w`` joined by blanks."""
     names = found.where("k = 1").select(F.element_at("w", 1).alias("_h"), "word")
-    each = phrases.select("w", F.posexplode("w").alias("_i", "_h")).join(names, "_h")
+    each = phrases.select("w", F.posexplode("w").alias("_i", "_h")).join(names.hint("merge"), "_h")
     texts = each.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("_i", "word"))).alias("_t"))  # max_words each
     return phrases.join(texts.select("w", F.array_join(F.col("_t.word"), " ").alias("phrase")), "w")
 
@@ -530,7 +532,7 @@ def with_lang(phrases: DataFrame, found: DataFrame) -> DataFrame:
     """``phrases`` with the lang of their first word."""
     names = found.where("k = 1").select(F.element_at("w", 1).alias("_first"), "lang", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
     salt = F.pmod(F.xxhash64("w"), F.lit(SALTS)).cast("int")
-    return phrases.withColumns({"_first": F.element_at("w", 1), "_salt": salt}).join(names, ["_first", "_salt"]).drop("_first", "_salt")
+    return phrases.withColumns({"_first": F.element_at("w", 1), "_salt": salt}).join(names.hint("merge"), ["_first", "_salt"]).drop("_first", "_salt")
 
 
 def mine_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, overlap: int = 50, top: int = 2000,
@@ -548,7 +550,7 @@ def mine_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, overl
     """
     rows = docs.select(F.coalesce(F.col("lang"), F.lit(UNKNOWN)).alias("lang"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     found, _ = frequent_phrases(rows, max_words, min_count, fraction, filter_bits)
-    kept = with_lang(scored(found).join(standing(found, max_words, overlap), "w"), found)
+    kept = with_lang(scored(found).join(standing(found, max_words, overlap).hint("merge"), "w"), found)
     first = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"))  # ties need the words
     best = written(kept.withColumn("rank", F.rank().over(first)).where(F.col("rank") <= top).drop("rank"), "phrases-best")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
