@@ -13,9 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vaultspark.functions.keys import unpacked_keys
 from vaultspark.functions.time import DayLike, day_lit
 from vaultspark.operators.shred import matched_lines, order_heads, parsed_orders, shred_dated_bonuses
-from vaultspark.operators.vault import _hub_as, bk, dwh
+from vaultspark.operators.vault import _hub_as, bk, dwh, packed_hub
 from vaultspark.operators.writes import latest_per_key
 
 
@@ -79,19 +80,20 @@ def replay_link(loads: DataFrame, outbox: DataFrame, deliveries: DataFrame, hubs
     Joined like ``vault.link_changes``; the load day is known once an order meets its bonus lines.
     """
     orders = parsed_orders(loads, ("load_day",))
+    packed = {entity: packed_hub(hub, entity) for entity, hub in hubs.items()}
     bonuses = shred_dated_bonuses(outbox).select(
         F.col("order_id").alias("o_id"), F.col("product_id").alias("p_id"), "bonus_payment", "bonus_grant",
         F.col("event_day").alias("_event_day"), F.col("order_date").alias("_bonus_date"))
     couriers = deliveries.select(F.col("order_id").alias("o_id"), "courier_id", F.to_date("order_ts").alias("_delivery_day")).join(
-        _hub_as(hubs["courier"], "courier", "courier_id"), "courier_id", "left").drop("courier_id")
+        _hub_as(packed["courier"], "courier", "courier_id"), "courier_id", "left").drop("courier_id")
     window = F.col("_bonus_date").between(F.date_sub("load_day", days_back), F.col("load_day"))
     heads = order_heads(orders, ("load_day",))
     for entity, name in (("user", "user_id"), ("restaurant", "restaurant_id")):
-        heads = heads.join(_known(hubs[entity], entity, name), name).where(_arrived(f"_{entity}_day")).drop(name, f"_{entity}_day")
-    heads = _left_arrived(heads.join(_hub_as(hubs["order"], "order", "o_id"), "o_id"), couriers)
-    known = bonuses.join(_known(hubs["product"], "product", "p_id"), "p_id")
-    rows = heads.join(known, "o_id").where(window & _arrived("_event_day") & _arrived("_product_day"))
-    return matched_lines(rows, "p_id")
+        heads = heads.join(_known(packed[entity], entity, name).hint("merge"), name).where(_arrived(f"_{entity}_day")).drop(name, f"_{entity}_day")
+    heads = _left_arrived(heads.join(_hub_as(packed["order"], "order", "o_id"), "o_id"), couriers)
+    known = bonuses.join(_known(packed["product"], "product", "p_id").hint("merge"), "p_id")
+    rows = heads.join(known.hint("merge"), "o_id").where(window & _arrived("_event_day") & _arrived("_product_day"))
+    return unpacked_keys(matched_lines(rows, "p_id"), *map(dwh, hubs))
 
 
 def _left_arrived(rows: DataFrame, deliveries: DataFrame) -> DataFrame:
