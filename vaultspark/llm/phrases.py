@@ -36,7 +36,7 @@ SCREEN_BITS = 40  # of a phrase's hash, that the screen counts by
 SCREEN_MOST = 1 << 29  # bits of the screen's Bloom filter at most, 64 MB; beyond, more phrases are counted than pass the screen
 CELLS = 1024  # that a task's counts are sent in, at least
 HELD = 1 << 22  # hashes that a task holds before it sends them
-HELD_ROWS = 1 << 20  # counts of phrases likewise
+HELD_ROWS = 1 << 19  # counts of phrases likewise
 SALTS = 4  # of the parts of phrases, of which the commonest word is one of some percent at most
 UNKNOWN = "und"
 LONG_WORD = 4096  # bytes beyond which a word is hashed by itself
